@@ -7,6 +7,7 @@ made for a document unless an operator needs one.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -64,6 +65,12 @@ def drop(*frames: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of frames that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def semi_join(big: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of big whose key is in ids (distinct). The id list is broadcast only when counted to be small."""
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -252,5 +259,5 @@ def unpack(batches: Iterator[pa.RecordBatch], dtype: np.dtype) -> np.ndarray:
 
 
 def exchange(df: DataFrame, parts: int) -> DataFrame:
-    """Sends packed records to their parts; parts stands several to a partition, so hashing evens them out."""
-    return df.repartition(parts, "part")
+    """Sends packed records to their parts: part k is partition k."""
+    return df.repartitionById(parts, F.col("part"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import language, neighbours, quality, sharding, toxicity, url_filters
+from . import jaccard_join, language, neighbours, quality, sharding, toxicity, url_filters
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", C.held_out().alias("held_out"), "score", "predicted")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(C.table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     return language.identify(docs, language.train(docs)).select("doc_id", C.held_out().alias("held_out"), "lang_pred", "score")
@@ -39,7 +43,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_quality, op5_language, op8_neighbours, op9_sharding)
+    f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_quality, op4_jaccard_join, op5_language, op8_neighbours, op9_sharding)
 }
 
 ORACLE: dict[str, str] = {}
