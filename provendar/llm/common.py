@@ -89,7 +89,7 @@ def trainable(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % HELD_OUT_MOD != 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, seed: int) -> list:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, seed: int):
     """At most `rows` labelled training texts (the documented bound), half of them per class where possible.
 
     Chosen by the smallest hash of (seed, doc_id), so the choice depends only on
@@ -144,10 +144,6 @@ def text_blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_
         yield i, j, data[off[i] : off[j]], off[i : j + 1] - off[i]
 
 
-def strings_of(col: pa.Array) -> list:
-    return ["" if x is None else x for x in col.to_pylist()]
-
-
 # --------------------------------------------------------------------------- hashing
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -156,6 +152,10 @@ LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
+#: Everything but ASCII letters and digits and bytes of longer characters.
+NOT_ALNUM = np.ones(256, bool)
+NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
 _R = 0x9E3779B97F4A7C13  # odd, 3 mod 8: consecutive powers differ in all but two low bits
 _RINV = pow(_R, -1, 1 << 64)
 _T = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -195,9 +195,9 @@ def span_hash(p: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     return mix((p[e] - p[s]) * powers(len(p))[1][s] + (e - s).astype(U64))
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words [^\\x20\\x09-\\x0D]+ and, for each row, the index of its first word (n + 1 entries)."""
-    ink = ~SPACE[data]
+def words(data: np.ndarray, off: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (by default [^\\x20\\x09-\\x0D]+) and, for each row, the index of its first word (n + 1 entries)."""
+    ink = ~space[data]
     first = ink.copy()
     first[1:] &= ~ink[:-1]
     last = ink.copy()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import jaccard_join, language, neighbours, quality, sharding, toxicity, url_filters
+from . import decontaminate, jaccard_join, language, neighbours, quality, sentencepiece_codec, sharding, toxicity, url_filters
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs)).select("doc_id", C.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text with the public 32k model, as count and checksum, and whether decoding gives the text back."""
+    return sentencepiece_codec.encode_documents(C.table(spark, sf_dir, "documents"), ids=False)
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(C.table(spark, sf_dir, "embeddings"))
 
@@ -42,8 +47,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(C.table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each test item found in a document; documents without one have no row."""
+    return decontaminate.find_leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_quality, op4_jaccard_join, op5_language, op8_neighbours, op9_sharding)
+    f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_quality, op4_jaccard_join, op5_language, op7_sentencepiece, op8_neighbours, op9_sharding, op10_decontaminate)
 }
 
 ORACLE: dict[str, str] = {}
