@@ -1,6 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are runs of letters and digits, A-Z lower-cased, as 64-bit hashes. Each
+Words are runs of letters and digits, lower-cased (ASCII and Latin-1), as 64-bit hashes. Each
 test item has its word n-grams (SEED_WORDS; a shorter item is one n-gram);
 their document counts over the whole corpus are gathered, and the rarest
 RARE_SHARE of each item's n-grams are its seeds, whatever their counts are, so an
@@ -47,6 +47,10 @@ _COEF = C.mix(np.arange(7, 7 + SEED_WORDS, dtype=_U)) | _U(1)
 def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and each row's first (rows + 1)."""
     low = C.LOWER[data]
+    # capital letters of the Latin-1 block: C3 80-9E without C3 97 become C3 A0-BE
+    after = np.flatnonzero(low[:-1] == 0xC3) + 1
+    after = after[(low[after] >= 0x80) & (low[after] <= 0x9E) & (low[after] != 0x97)]
+    low[after] += 0x20
     s, e, first = C.words(low, off, C.NOT_ALNUM)
     return C.span_hash(C.prefix_hash(low), s, e), first
 
