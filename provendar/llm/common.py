@@ -71,10 +71,10 @@ def forget(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def semi_join(big: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of big whose key is in ids (distinct). The id list is broadcast only when counted to be small."""
+def semi_join(big: DataFrame, ids: DataFrame, key: str, anti: bool = False) -> DataFrame:
+    """Rows of big whose key is (anti: is not) in ids, distinct. The id list is broadcast only when counted to be small."""
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return big.join(F.broadcast(ids) if small else ids, key, "left_semi")
+    return big.join(F.broadcast(ids) if small else ids, key, "left_anti" if anti else "left_semi")
 
 
 # --------------------------------------------------------------------------- hold-out rule
@@ -243,6 +243,10 @@ class Packer:
         if self.size >= self.limit:
             yield from self.flush()
 
+    def add_all(self, rec: np.ndarray, pid: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from self.add(rec, pid)
+        yield from self.flush()
+
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
             rec, pid = (np.concatenate([x[k] for x in self.held]) for k in (0, 1))

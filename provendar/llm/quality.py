@@ -18,9 +18,11 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -148,3 +150,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """(doc_id, score, predicted) for every document."""
     return apply_scores(docs, train(docs, labels), threshold)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """The rows of docs whose text scores at least threshold, with all their columns, in one pass."""
+    net = train(docs, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [net.scores(data, off) >= threshold for _, _, data, off in C.text_blocks(b, text)]
+            if ok:
+                yield b.filter(pa.array(np.concatenate(ok)))
+
+    return docs.mapInArrow(run, docs.schema)

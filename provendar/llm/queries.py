@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate, jaccard_join, language, neighbours, quality, sentencepiece_codec, sharding, toxicity, url_filters
+from . import decontaminate, jaccard_join, language, neighbours, quality, repeats, sentencepiece_codec, sharding, toxicity, url_filters
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs)).select("doc_id", C.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(C.table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text with the public 32k model, as count and checksum, and whether decoding gives the text back."""
     return sentencepiece_codec.encode_documents(C.table(spark, sf_dir, "documents"), ids=False)
@@ -53,7 +57,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_quality, op4_jaccard_join, op5_language, op7_sentencepiece, op8_neighbours, op9_sharding, op10_decontaminate)
+    f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_quality, op4_jaccard_join, op5_language, op6_repeats, op7_sentencepiece, op8_neighbours, op9_sharding, op10_decontaminate)
 }
 
 ORACLE: dict[str, str] = {}
