@@ -1,15 +1,594 @@
-"""Registry of the engine's queries and their oracle SQL (filled by the query modules)."""
+"""The engine's operators as registered queries over the star-schema tables, with DuckDB SQL for each that SQL can express.
+
+The adapters only rename columns: `cells` views line items as measured cells (part = concept, part type = group,
+region = source, four measures = nutrients, line status = basis), `composition` views each line item as one food.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import fixed as K
+from .functions import scalar as S
+from .functions import text as T
+from .operators import gates, labels, matching, quality, records, search, selection, views
+from .plans.store import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLE: dict[str, str] = {}
 
 
+def query(sql: str | None = None):
+    def put(f):
+        name = f.__name__.removeprefix("q_")
+        _QUERIES[name] = f
+        if sql is not None:
+            _ORACLE[name] = sql
+        return f
+
+    return put
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+# --------------------------------------------------------------------------- adapters
+
+RECORD = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+RULES = [
+    ("en", "*", "*", "EUROPE>AMERICA>ASIA>AFRICA>MIDDLE EAST"),
+    ("en", "*", "PRICE", "ASIA>AFRICA"),
+    ("en", "PROMO", "*", "AMERICA>EUROPE"),
+    ("en", "PROMO", "TAX", "AFRICA>ASIA>EUROPE"),
+    ("fr", "*", "*", "MIDDLE EAST>ASIA>EUROPE"),
+]
+OVERRIDES = [("7", "QTY", "per_100ml", 42.0, "u", "recount"), ("11", "TAX", "per_100g_edible", 0.5, "u", "notice")]
+DENSITIES = [("PROMO", 1.03), ("SMALL", 0.92), ("LARGE", 1.2)]
+NUTRIENTS = ["QTY", "PRICE", "DISC", "TAX"]
+
+
+def sources(spark: SparkSession, d: str) -> DataFrame:
+    """l_suppkey -> source_id."""
+    s, n, r = (table(spark, d, x) for x in ("supplier", "nation", "region"))
+    return s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("source_id"))
+
+
+def concepts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("concept_id"), F.col("p_type").alias("food_group"))
+
+
+def cells(spark: SparkSession, d: str) -> DataFrame:
+    """The long fact table: concept_id, nutrient_id, value, unit, value_type, source_id, source_record_id, basis, derivation_id."""
+    li = table(spark, d, "lineitem").join(sources(spark, d), "l_suppkey")
+    wide = li.select(
+        F.col("l_partkey").cast("string").alias("concept_id"), "source_id", F.expr(RECORD).alias("source_record_id"),
+        F.when(F.col("l_linestatus") == "F", K.PER_100G).otherwise(K.PER_100ML).alias("basis"), F.col("l_returnflag").alias("flag"),
+        F.col("l_quantity").alias("QTY"), F.col("l_extendedprice").alias("PRICE"), F.col("l_discount").alias("DISC"), F.col("l_tax").alias("TAX"),
+    )
+    long = wide.unpivot(["concept_id", "source_id", "source_record_id", "basis", "flag"], NUTRIENTS, "nutrient_id", "v")
+    kind = F.when(F.col("v") == 0, "below_loq").when(F.col("flag") == "R", "trace").otherwise("measured")
+    return long.select("concept_id", "nutrient_id", F.when(F.col("v") != 0, F.col("v")).alias("value"), F.lit("u").alias("unit"), kind.alias("value_type"), "source_id", "source_record_id", "basis", F.lit(None).cast("string").alias("derivation_id"))
+
+
+CELL_SQL = """
+src AS (SELECT s_suppkey AS l_suppkey, r_name AS source_id FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+base AS (
+  SELECT l_partkey::VARCHAR AS concept_id, source_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS source_record_id,
+         CASE WHEN l_linestatus = 'F' THEN 'per_100g_edible' ELSE 'per_100ml' END AS basis, l_returnflag AS flag,
+         l_quantity, l_extendedprice, l_discount, l_tax
+  FROM lineitem JOIN src USING (l_suppkey)),
+long AS (
+  SELECT concept_id, source_id, source_record_id, basis, flag, 'QTY' AS nutrient_id, l_quantity AS v FROM base UNION ALL
+  SELECT concept_id, source_id, source_record_id, basis, flag, 'PRICE', l_extendedprice FROM base UNION ALL
+  SELECT concept_id, source_id, source_record_id, basis, flag, 'DISC', l_discount FROM base UNION ALL
+  SELECT concept_id, source_id, source_record_id, basis, flag, 'TAX', l_tax FROM base),
+cell AS (
+  SELECT concept_id, nutrient_id, CASE WHEN v <> 0 THEN v END AS value, 'u' AS unit,
+         CASE WHEN v = 0 THEN 'below_loq' WHEN flag = 'R' THEN 'trace' ELSE 'measured' END AS value_type, source_id, source_record_id, basis
+  FROM long),
+concept AS (SELECT p_partkey::VARCHAR AS concept_id, p_type AS food_group FROM part)"""
+
+
+def rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(RULES, "locale string, food_group string, nutrient string, source_order string")
+
+
+RULE_SQL = "rule(locale, food_group, nutrient, source_order) AS (VALUES " + ", ".join(str(r) for r in RULES) + ")"
+
+
+def located(spark: SparkSession, d: str) -> DataFrame:
+    """cells with group, locale (en and fr) and the source order that holds for them."""
+    c = cells(spark, d).join(concepts(spark, d), "concept_id").withColumn("locale", F.explode(F.array(F.lit("en"), F.lit("fr"))))
+    return selection.resolve_rules(c, rules(spark))
+
+
+RANKED_SQL = f"""{CELL_SQL}, {RULE_SQL},
+located AS (
+  SELECT c.*, k.food_group, l.locale FROM cell c JOIN concept k USING (concept_id), (VALUES ('en'), ('fr')) l(locale)),
+combo AS (SELECT DISTINCT locale, food_group, nutrient_id FROM located),
+chosen AS (
+  SELECT b.locale, b.food_group, b.nutrient_id,
+         arg_max(r.source_order, CASE WHEN r.nutrient <> '*' THEN 2 ELSE 0 END + CASE WHEN r.food_group <> '*' THEN 1 ELSE 0 END) AS source_order
+  FROM combo b JOIN rule r ON r.locale = b.locale AND r.food_group IN (b.food_group, '*') AND r.nutrient IN (b.nutrient_id, '*') GROUP BY ALL),
+ranked AS (
+  SELECT l.*, ch.source_order,
+         row_number() OVER (PARTITION BY concept_id, l.nutrient_id, l.locale, basis ORDER BY
+           coalesce(list_position(string_split(ch.source_order, '>'), source_id), len(string_split(ch.source_order, '>')) + 1),
+           CASE value_type WHEN 'measured' THEN 0 WHEN 'trace' THEN 1 WHEN 'below_loq' THEN 2 ELSE 3 END, source_record_id) AS pick
+  FROM located l JOIN chosen ch ON l.locale = ch.locale AND l.food_group = ch.food_group AND l.nutrient_id = ch.nutrient_id),
+best AS (SELECT * FROM ranked WHERE pick = 1),
+divergence AS (
+  SELECT b.concept_id, b.nutrient_id, b.locale, b.basis,
+         max(CASE WHEN b.value_type = 'measured' AND a.value_type = 'measured' THEN
+           CASE WHEN greatest(abs(a.value), abs(b.value)) = 0 THEN 0 ELSE abs(a.value - b.value) / greatest(abs(a.value), abs(b.value)) END END) AS d
+  FROM best b JOIN ranked a ON a.pick > 1 AND a.concept_id = b.concept_id AND a.nutrient_id = b.nutrient_id AND a.locale = b.locale AND a.basis = b.basis GROUP BY ALL)"""
+
+FOOD_COLUMNS = {
+    "WATER": "l_quantity", "PROCNT": "l_tax * 100", "FAT": "l_discount * 100", "CHOAVL": "l_quantity / 2", "FIBTG": "l_linenumber * 1.0D", "ASH": "1.0D", "ALC": "0.0D",
+    "FASAT": "l_discount * 70", "FAMS": "l_tax * 90", "SUGAR": "l_quantity * 0.51", "GLUS": "l_quantity * 0.4", "FRUS": "l_tax * 100", "NA": "l_tax", "NACL": "l_tax * l_linenumber * 0.7",
+    "VITA_RAE": "l_quantity", "RETOL": "l_quantity * (0.9 + l_tax * 2)",
+}
+KCAL = "l_quantity * 6"
+
+
+def foods(spark: SparkSession, d: str) -> DataFrame:
+    """Each line item as one food of one source, long."""
+    li = table(spark, d, "lineitem").join(sources(spark, d), "l_suppkey")
+    wide = li.select(F.expr(RECORD).alias("concept_id"), "source_id", *[F.expr(x).cast("double").alias(n) for n, x in FOOD_COLUMNS.items()])
+    long = wide.unpivot(["concept_id", "source_id"], list(FOOD_COLUMNS), "nutrient_id", "value")
+    return long.withColumn("unit", F.lit("g")).withColumn("source_record_id", F.col("concept_id"))
+
+
+FOOD_SQL = f"""src AS (SELECT s_suppkey AS l_suppkey, r_name AS source_id FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+food AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS concept_id, source_id, {", ".join(f"({x.replace('D', '')})::DOUBLE AS {n}" for n, x in FOOD_COLUMNS.items())}, ({KCAL})::DOUBLE AS kcal FROM lineitem JOIN src USING (l_suppkey))"""
+
+
+def food_profile(spark: SparkSession, d: str) -> DataFrame:
+    names = [*FOOD_COLUMNS, *(n for n in (*K.ENERGY, *K.FATTY_ACIDS, *K.SUGARS) if n not in FOOD_COLUMNS)]
+    return quality.profile(foods(spark, d), list(dict.fromkeys(names)))
+
+
+# --------------------------------------------------------------------------- scans, filters, joins
+
+
+@query(f"WITH {CELL_SQL} SELECT concept_id, nutrient_id, value, value_type, source_id, source_record_id, basis FROM cell")
+def q_unpivot_cells(spark, d):
+    return cells(spark, d).drop("unit", "derivation_id")
+
+
+@query(f"WITH {CELL_SQL} SELECT concept_id, nutrient_id, value, source_record_id FROM cell WHERE value_type = 'measured' AND value IS NOT NULL AND basis = 'per_100g_edible' AND nutrient_id IN ('QTY', 'PRICE')")
+def q_measured_filter(spark, d):
+    return quality.measured(cells(spark, d)).where(F.col("nutrient_id").isin("QTY", "PRICE")).select("concept_id", "nutrient_id", "value", "source_record_id")
+
+
+@query("SELECT p_type AS food_group, count(*) AS n, round(sum(l_quantity), 4) AS quantity FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL")
+def q_concept_join(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity")
+    both = gates.lookup_join(li, table(spark, d, "part").select("p_partkey", "p_type"), ["p_partkey"], "part", check=False)
+    return both.where("p_type is not null").groupBy(F.col("p_type").alias("food_group")).agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 4).alias("quantity"))
+
+
+@query(f"WITH {RANKED_SQL} SELECT * FROM chosen")
+def q_priority_rule_resolution(spark, d):
+    combos = concepts(spark, d).select("food_group").distinct().withColumn("nutrient_id", F.explode(F.array(*map(F.lit, NUTRIENTS)))).withColumn("locale", F.explode(F.array(F.lit("en"), F.lit("fr"))))
+    return selection.resolve_rules(combos, rules(spark)).select("locale", "food_group", "nutrient_id", F.array_join("source_order", ">").alias("source_order"))
+
+
+@query(f"WITH {RANKED_SQL} SELECT concept_id, nutrient_id, locale, basis, value, value_type, source_id, source_record_id FROM best")
+def q_preferred_value(spark, d):
+    return selection.preferred_values(located(spark, d)).select(*selection.CELL, "value", "value_type", "source_id", "source_record_id")
+
+
+@query(f"WITH {RANKED_SQL} SELECT concept_id, nutrient_id, locale, basis, pick - 1 AS alternative, source_record_id, value FROM ranked WHERE pick > 1")
+def q_alternatives_list(spark, d):
+    return selection.alternatives(located(spark, d)).select(*selection.CELL, F.col("alternative").cast("long").alias("alternative"), "source_record_id", "value")
+
+
+@query(f"WITH {RANKED_SQL} SELECT b.concept_id, b.nutrient_id, b.locale, b.basis, coalesce(d, 0) AS divergence_max, coalesce(d, 0) >= 0.3 AS divergence_flag FROM best b LEFT JOIN divergence USING (concept_id, nutrient_id, locale, basis)")
+def q_divergence_max(spark, d):
+    return selection.merge_cells(located(spark, d)).select(*selection.CELL, "divergence_max", "divergence_flag")
+
+
+def _model(spark, d) -> DataFrame:
+    names = concepts(spark, d).select(F.lit("concept").alias("ref_kind"), F.col("concept_id").alias("ref"), F.explode(F.array(F.lit("en"), F.lit("fr"))).alias("locale"), F.concat(F.lit("part "), F.col("concept_id")).alias("text"))
+    over = spark.createDataFrame(OVERRIDES, "concept_id string, nutrient_id string, basis string, value double, unit string, justification string")
+    return selection.read_model(cells(spark, d), concepts(spark, d), names, rules(spark), over)
+
+
+MODEL_SQL = f"""{RANKED_SQL},
+over(concept_id, nutrient_id, basis, v, u, justification) AS (VALUES {", ".join(str(o) for o in OVERRIDES)}),
+n_alt AS (SELECT concept_id, nutrient_id, locale, basis, count(*) - 1 AS n_alternatives FROM ranked GROUP BY ALL),
+model AS (
+  SELECT b.concept_id, b.nutrient_id, b.locale, b.basis, 'part ' || b.concept_id AS label, b.food_group, CASE WHEN o.justification IS NOT NULL THEN o.v ELSE b.value END AS value,
+         b.value_type, b.source_id, b.source_record_id, n.n_alternatives, coalesce(d.d, 0) AS divergence_max, coalesce(d.d, 0) >= 0.3 AS divergence_flag, o.justification AS override_justification
+  FROM best b JOIN n_alt n USING (concept_id, nutrient_id, locale, basis) LEFT JOIN divergence d USING (concept_id, nutrient_id, locale, basis) LEFT JOIN over o USING (concept_id, nutrient_id, basis))"""
+
+
+@query(f"WITH {MODEL_SQL} SELECT * FROM model")
+def q_merged_read_model(spark, d):
+    cols = [*selection.CELL, "label", "food_group", "value", "value_type", "source_id", "source_record_id", F.size("alternatives").cast("long").alias("n_alternatives"), "divergence_max", "divergence_flag", "override_justification"]
+    return _model(spark, d).select(*cols)
+
+
+@query(f"WITH {MODEL_SQL} SELECT concept_id, nutrient_id, basis, value FROM model WHERE locale = 'en' AND nutrient_id IN ('QTY', 'TAX')")
+def q_lite_profile(spark, d):
+    return views.lite(_model(spark, d), ["QTY", "TAX"]).select("concept_id", "nutrient_id", "basis", "value")
+
+
+@query(f"""WITH {MODEL_SQL}, r AS (SELECT *, row_number() OVER (ORDER BY value DESC, concept_id) AS k FROM model WHERE nutrient_id = 'PRICE' AND value IS NOT NULL AND food_group = 'PROMO' AND locale = 'en' AND basis = 'per_100ml')
+SELECT concept_id, value FROM r WHERE k <= 20""")
+def q_top_k_by_nutrient(spark, d):
+    return views.foods_for_nutrient(_model(spark, d).where(F.col("basis") == K.PER_100ML), "PRICE", "pt-BR", 20, "PROMO").select("concept_id", "value")
+
+
+@query(f"WITH {MODEL_SQL} SELECT concept_id, nutrient_id, basis, locale, value FROM model WHERE value IS NOT NULL AND concept_id IN ('3', '77') AND locale = 'en'")
+def q_food_values_chain(spark, d):
+    m = _model(spark, d)
+    both = views.food_values(m, "3", "pt").unionAll(views.food_values(m, "77", "es"))
+    return both.select("concept_id", "nutrient_id", "basis", "locale", "value")
+
+
+@query(f"""WITH {CELL_SQL}, one AS (SELECT concept_id, nutrient_id, source_id, arg_min(value, source_record_id) AS value FROM cell WHERE value_type = 'measured' AND value > 0 AND basis = 'per_100g_edible' GROUP BY ALL)
+SELECT concept_id, nutrient_id, a.source_id AS source_a, b.source_id AS source_b, a.value AS value_a, b.value AS value_b, abs(a.value - b.value) / greatest(a.value, b.value) AS divergence
+FROM one a JOIN one b USING (concept_id, nutrient_id) WHERE a.source_id < b.source_id""")
+def q_source_pair_divergence(spark, d):
+    return quality.source_pairs(quality.measured(cells(spark, d)))
+
+
+# --------------------------------------------------------------------------- quality
+
+
+@query("""WITH s AS (SELECT p_type, count(l_quantity * p_size) AS n, avg(l_quantity * p_size) AS m, stddev_samp(l_quantity * p_size) AS sd FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL HAVING count(*) >= 10)
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS source_record_id, p_type AS food_group, round((l_quantity * p_size - m) / sd, 6) AS z
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN s USING (p_type) WHERE abs((l_quantity * p_size - m) / sd) > 2""")
+def q_group_zscore(spark, d):
+    li = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    v = li.select(F.expr(RECORD).alias("source_record_id"), F.col("p_type").alias("food_group"), F.lit("QTY").alias("nutrient_id"), (F.col("l_quantity") * F.col("p_size")).alias("value"))
+    return quality.z_scores(v).where(F.abs("z") > 2).select("source_record_id", "food_group", F.round("z", 6).alias("z"))
+
+
+@query(f"WITH {FOOD_SQL} SELECT concept_id || '|' || source_id AS ref, round(WATER + PROCNT + FAT + CHOAVL + FIBTG + ASH + ALC, 6) AS metric FROM food WHERE (WATER + PROCNT + FAT + CHOAVL + FIBTG + ASH + ALC) NOT BETWEEN 97 AND 103")
+def q_pivot_profile_sum(spark, d):
+    return quality.proximates(food_profile(spark, d)).select("ref", F.round("metric", 6).alias("metric"))
+
+
+@query(f"""WITH {FOOD_SQL}, e AS (SELECT *, abs(kcal - (4 * PROCNT + 9 * FAT + 4 * CHOAVL + 2 * FIBTG + 7 * ALC)) AS off FROM food)
+SELECT concept_id || '|' || source_id AS ref, round(off, 6) AS metric FROM e WHERE off > 5 AND (kcal = 0 OR off / abs(kcal) > 0.05)""")
+def q_energy_recalc(spark, d):
+    kcal = table(spark, d, "lineitem").join(sources(spark, d), "l_suppkey").select(F.expr(RECORD).alias("concept_id"), "source_id", F.expr(KCAL).alias("kcal"))
+    return quality.energy(food_profile(spark, d), kcal).select("ref", F.round("metric", 6).alias("metric"))
+
+
+@query(f"""WITH {FOOD_SQL}, o AS (
+SELECT 'fatty_acids' AS "check", concept_id || '|' || source_id AS ref, FASAT + FAMS AS metric FROM food WHERE FASAT + FAMS > FAT * 1.02 UNION ALL
+SELECT 'sugars_parts', concept_id || '|' || source_id, GLUS + FRUS FROM food WHERE GLUS + FRUS > SUGAR * 1.02 UNION ALL
+SELECT 'sugars_total', concept_id || '|' || source_id, SUGAR FROM food WHERE SUGAR > CHOAVL * 1.02 UNION ALL
+SELECT 'salt', concept_id || '|' || source_id, CASE WHEN NA * 2.5 = 0 THEN 0 ELSE abs(NACL - NA * 2.5) / (NA * 2.5) END FROM food WHERE CASE WHEN NA * 2.5 = 0 THEN 0 ELSE abs(NACL - NA * 2.5) / (NA * 2.5) END > 0.1 UNION ALL
+SELECT 'vitamin_a', concept_id || '|' || source_id, VITA_RAE FROM food WHERE VITA_RAE < RETOL * 0.95)
+SELECT "check", count(*) AS n, round(sum(metric), 3) AS total FROM o GROUP BY ALL""")
+def q_ratio_checks(spark, d):
+    p = food_profile(spark, d)
+    parts = quality.fatty_acids(p).unionAll(quality.sugars(p)).unionAll(quality.salt(p)).unionAll(quality.retinol(p))
+    return parts.groupBy("check").agg(F.count("*").alias("n"), F.round(F.sum("metric"), 3).alias("total"))
+
+
+@query(f"""WITH {CELL_SQL}, m AS (SELECT * FROM cell WHERE value_type = 'measured' AND value IS NOT NULL AND basis = 'per_100g_edible'),
+one AS (SELECT concept_id, nutrient_id, source_id, arg_min(value, source_record_id) AS value FROM m WHERE value > 0 GROUP BY ALL),
+o AS (
+  SELECT 'cross_source' AS "check", 'info' AS severity FROM one a JOIN one b USING (concept_id, nutrient_id) WHERE a.source_id < b.source_id AND abs(a.value - b.value) / greatest(a.value, b.value) >= 0.3 UNION ALL
+  SELECT 'unit', 'error' FROM m WHERE nutrient_id IN ('DISC', 'TAX'))
+SELECT "check", severity, count(*) AS n FROM o GROUP BY ALL""")
+def q_quality_findings(spark, d):
+    m = quality.measured(cells(spark, d))
+    units = spark.createDataFrame([("QTY", "u"), ("PRICE", "u"), ("DISC", "share")], "nutrient_id string, unit string")
+    return quality.findings(quality.cross_source(m).unionAll(quality.domain(m, units))).drop("examples")
+
+
+# --------------------------------------------------------------------------- views
+
+
+@query(f"WITH {CELL_SQL} SELECT source_id, count(DISTINCT concept_id) AS n_foods, count(DISTINCT nutrient_id) AS n_nutrients, count(*) AS n_values FROM cell WHERE value IS NOT NULL GROUP BY ALL")
+def q_coverage_by_source(spark, d):
+    return views.coverage_by_source(cells(spark, d).where("value is not null"))
+
+
+@query(f"WITH {CELL_SQL} SELECT source_id, food_group, count(DISTINCT concept_id) AS n_foods, count(DISTINCT nutrient_id) AS n_nutrients, count(*) AS n_values FROM cell JOIN concept USING (concept_id) WHERE value IS NOT NULL GROUP BY ALL")
+def q_coverage_by_group(spark, d):
+    return views.coverage_by_source(cells(spark, d).where("value is not null").join(concepts(spark, d), "concept_id"), ("food_group",))
+
+
+@query(f"WITH {CELL_SQL} SELECT (SELECT count(*) FROM cell) AS n_values, (SELECT count(DISTINCT nutrient_id) FROM cell) AS n_nutrients, (SELECT count(DISTINCT source_id) FROM cell) AS n_sources, (SELECT count(*) FROM concept) AS n_concepts")
+def q_dataset_summary(spark, d):
+    return views.summary(cells(spark, d), concepts(spark, d))
+
+
+@query(f"WITH {CELL_SQL} SELECT DISTINCT c.concept_id, c.source_id FROM cell c WHERE NOT EXISTS (SELECT 1 FROM cell v WHERE v.concept_id = c.concept_id AND v.source_id = c.source_id AND v.value_type = 'measured')")
+def q_missing_matrix(spark, d):
+    c = cells(spark, d)
+    return views.not_measured(c, c.where("value_type = 'measured'"), ["concept_id", "source_id"])
+
+
+@query("SELECT DISTINCT o_custkey AS orphan FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
+def q_orphan_keys(spark, d):
+    return gates.orphans(table(spark, d, "orders"), table(spark, d, "customer").where("c_acctbal > 0"), "o_custkey", "c_custkey", limit=None)
+
+
+@query("SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS source_record_id, s_name AS ref, n_name AS nation, r_name AS source_id FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE l_quantity >= 49")
+def q_provenance_walk(spark, d):
+    s, n, r = (table(spark, d, x) for x in ("supplier", "nation", "region"))
+    dim = s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+    li = table(spark, d, "lineitem").where("l_quantity >= 49").select("l_suppkey", F.expr(RECORD).alias("source_record_id"))
+    return li.join(dim, F.col("l_suppkey") == F.col("s_suppkey")).select("source_record_id", F.col("s_name").alias("ref"), F.col("n_name").alias("nation"), F.col("r_name").alias("source_id"))
+
+
+ITEMS = [("1", 150.0), ("2", 30.0), ("5", 220.0)]
+
+
+@query(f"WITH {MODEL_SQL}, item(concept_id, grams) AS (VALUES {', '.join(str(x) for x in ITEMS)}) SELECT nutrient_id, round(sum(coalesce(value, 0) * grams / 100), 6) AS total FROM item JOIN model USING (concept_id) WHERE locale = 'en' GROUP BY ALL")
+def q_composition_total(spark, d):
+    items = spark.createDataFrame(ITEMS, "concept_id string, grams double")
+    return views.composition(items, _model(spark, d).where("locale = 'en'")).select("nutrient_id", F.round("total", 6).alias("total"))
+
+
+@query(f"WITH {CELL_SQL} SELECT concept_id, nutrient_id, count(*) AS n, min(value) AS low, max(value) AS high FROM cell WHERE value IS NOT NULL GROUP BY ALL HAVING count(*) > 1 AND min(value) / max(value) < 0.7")
+def q_min_max_divergence(spark, d):
+    return views.spread(cells(spark, d), ["concept_id", "nutrient_id"])
+
+
+# --------------------------------------------------------------------------- labels and search
+
+
+def doc_labels(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return docs.select(F.col("doc_id").alias("label_id"), F.lit("concept").alias("ref_kind"), F.col("doc_id").cast("string").alias("ref"), F.col("lang").alias("locale"), "text", S.fold(F.col("text")).alias("text_normalized"))
+
+
+FOLD_SQL = "lower(strip_accents(replace(replace(replace(replace(replace(text, 'œ', 'oe'), 'Œ', 'OE'), 'æ', 'ae'), 'Æ', 'AE'), 'ß', 'ss')))"
+LABEL_SQL = f"label AS (SELECT doc_id AS label_id, lang AS locale, text, {FOLD_SQL} AS norm FROM documents)"
+
+
+@query("SELECT lang AS locale, source, min(doc_id) AS doc_id, md5(arg_min(text, doc_id)) AS text_md5 FROM documents WHERE trim(text) <> '' GROUP BY ALL")
+def q_first_label_per_locale(spark, d):
+    docs = table(spark, d, "documents").withColumnRenamed("lang", "locale")
+    return labels.first_names(docs, ["locale", "source"], "text", "doc_id").select("locale", "source", "doc_id", F.md5("text").alias("text_md5"))
+
+
+@query("""WITH b AS (
+  SELECT 0 AS branch, d.doc_id::VARCHAR AS ref, lang AS locale, 'reviewed' AS status, text FROM documents d JOIN labels USING (doc_id) WHERE quality = 1 UNION ALL
+  SELECT 1, doc_id::VARCHAR, lang, 'native', text FROM documents WHERE n_chars < 2000 UNION ALL
+  SELECT 2, doc_id::VARCHAR, lang, 'mt_unreviewed', text FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY ref, locale ORDER BY branch, text) AS k FROM b)
+SELECT ref, locale, status, branch, md5(text) AS text_md5 FROM r WHERE k = 1""")
+def q_label_union_precedence(spark, d):
+    return labels.preferred(_branches(spark, d)).select("ref", "locale", "status", "branch", F.md5("text").alias("text_md5"))
+
+
+def _branches(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    good = docs.join(table(spark, d, "labels").where("quality = 1").select("doc_id"), "doc_id")
+    form = lambda df, status: df.select(F.lit("concept").alias("ref_kind"), F.col("doc_id").cast("string").alias("ref"), F.col("lang").alias("locale"), F.lit(status).alias("status"), "text")
+    return labels.union_branches([form(good, "reviewed"), form(docs.where("n_chars < 2000"), "native"), form(docs, "mt_unreviewed")])
+
+
+@query("""WITH b AS (
+  SELECT lang AS locale, 'reviewed' AS status FROM documents JOIN labels USING (doc_id) WHERE quality = 1 UNION ALL
+  SELECT lang, 'native' FROM documents WHERE n_chars < 2000 UNION ALL SELECT lang, 'mt_unreviewed' FROM documents)
+SELECT locale, count(*) AS n, count(*) FILTER (status IN ('reviewed', 'native', 'official')) AS n_ok, count(*) FILTER (status IN ('reviewed', 'native', 'official')) / count(*) AS share FROM b GROUP BY ALL""")
+def q_label_status_share(spark, d):
+    return labels.status_share(_branches(spark, d))
+
+
+@query(f"SELECT doc_id, md5({FOLD_SQL}) AS folded FROM documents")
+def q_normalize_label(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(S.fold(F.col("text"))).alias("folded"))
+
+
+@query(f"WITH {LABEL_SQL} SELECT label_id, locale FROM label WHERE (contains(lower(text), 'thand') OR contains(norm, 'thand')) AND (contains(lower(text), 'erea') OR contains(norm, 'erea'))")
+def q_search_substring(spark, d):
+    t = doc_labels(spark, d)
+    return search.matches(t, 'Thand* "erea"', search.trigram_index(t)).select("label_id", "locale")
+
+
+@query(f"WITH {LABEL_SQL} SELECT label_id, locale FROM label WHERE regexp_matches(norm, '(^|[^\\p{{L}}\\p{{N}}])eu') AND regexp_matches(norm, '(^|[^\\p{{L}}\\p{{N}}])menta')")
+def q_search_prefix(spark, d):
+    return search.matches(doc_labels(spark, d), "éu menta").select("label_id", "locale")
+
+
+@query(f"""WITH {LABEL_SQL}, h AS (SELECT label_id, locale, row_number() OVER (ORDER BY label_id) AS k FROM label WHERE locale = 'en' AND (contains(lower(text), 'ingwh') OR contains(norm, 'ingwh')))
+SELECT label_id, locale FROM h WHERE k <= 50""")
+def q_search_fallback(spark, d):
+    return search.search(doc_labels(spark, d), "ingwh", "pt-PT", 50).select("label_id", "locale")
+
+
+@query()
+def q_search_ranked(spark, d):
+    t = doc_labels(spark, d)
+    return search.search(t, "thing other", "it", 20, words=Scratch(spark).save(search.word_index(t))).select("label_id", "locale", F.round("score", 6).alias("score"))
+
+
+# --------------------------------------------------------------------------- matching
+
+
+def _sides(spark, d) -> tuple[DataFrame, DataFrame]:
+    side = lambda name, key: table(spark, d, name).select(F.col(key).alias("id"), "text", F.array().cast("array<string>").alias("terms"), S.words_of(F.col("text")).alias("tokens"))
+    return side("documents", "doc_id"), side("benchmark", "item_id")
+
+
+TOKEN_SQL = f"""doc AS (SELECT doc_id AS id, regexp_extract_all({FOLD_SQL}, '[\\p{{L}}\\p{{N}}]+') AS tokens FROM documents),
+item AS (SELECT item_id AS id, regexp_extract_all({FOLD_SQL}, '[\\p{{L}}\\p{{N}}]+') AS tokens FROM benchmark),
+df AS (SELECT token, count(*) AS df FROM (SELECT unnest(tokens) AS token FROM doc UNION ALL SELECT unnest(tokens) FROM item) GROUP BY ALL),
+rare AS (SELECT token FROM df WHERE df <= 25),
+pair AS (
+  SELECT DISTINCT a.id AS left_id, b.id AS right_id FROM
+  (SELECT DISTINCT id, unnest(tokens) AS token FROM doc) a JOIN (SELECT DISTINCT id, unnest(tokens) AS token FROM item) b USING (token) JOIN rare USING (token)),
+scored AS (
+  SELECT left_id, right_id, len(list_intersect(x.tokens, y.tokens)) / len(list_distinct(list_concat(x.tokens, y.tokens))) AS jaccard
+  FROM pair JOIN doc x ON left_id = x.id JOIN item y ON right_id = y.id)"""
+
+
+@query(f"WITH {TOKEN_SQL} SELECT token, df FROM df")
+def q_token_df(spark, d):
+    return matching.token_counts(*_sides(spark, d))
+
+
+@query(f"WITH {TOKEN_SQL} SELECT left_id, right_id FROM pair")
+def q_blocking_pairs(spark, d):
+    a, b = _sides(spark, d)
+    return matching.blocking_pairs(a, b, matching.token_counts(a, b))
+
+
+def _scored(spark, d) -> DataFrame:
+    a, b = _sides(spark, d)
+    pairs = matching.blocking_pairs(a, b, matching.token_counts(a, b))
+    both = pairs.join(a.select(F.col("id").alias("left_id"), F.col("tokens").alias("x")), "left_id").join(b.select(F.col("id").alias("right_id"), F.col("tokens").alias("y")), "right_id")
+    return both.select("left_id", "right_id", matching.jaccard(F.col("x"), F.col("y")).alias("jaccard"))
+
+
+@query(f"WITH {TOKEN_SQL} SELECT left_id, right_id, jaccard, 0.55 * jaccard + 0.25 * 0.5 + 0.20 * (left_id % 2) AS score FROM scored")
+def q_jaccard_score(spark, d):
+    s = _scored(spark, d)
+    return s.withColumn("score", K.TERM_WEIGHT * F.col("jaccard") + F.lit(K.NAME_WEIGHT) * 0.5 + K.GROUP_WEIGHT * (F.col("left_id") % 2))
+
+
+@query(f"""WITH {TOKEN_SQL}, p AS (SELECT left_id, right_id, CASE WHEN jaccard >= 0.05 THEN 'automatic' ELSE 'review' END AS status FROM scored WHERE jaccard >= 0.02),
+g AS (SELECT s.left_id, s.right_id, (s.left_id + s.right_id) % 3 = 0 AS label, p.status FROM scored s LEFT JOIN p USING (left_id, right_id)),
+f AS (SELECT DISTINCT left_id FROM p)
+SELECT coalesce(count(*) FILTER (label AND status = 'automatic') / nullif(count(*) FILTER (status = 'automatic'), 0), 0) AS precision,
+       coalesce(count(*) FILTER (label AND status IS NOT NULL) / nullif(count(*) FILTER (label), 0), 0) AS recall,
+       coalesce(count(*) FILTER (label AND status = 'automatic') / nullif(count(*) FILTER (label), 0), 0) AS confirmed_recall,
+       coalesce(count(DISTINCT CASE WHEN label AND f.left_id IS NOT NULL THEN g.left_id END) / nullif(count(DISTINCT CASE WHEN label THEN g.left_id END), 0), 0) AS food_recall
+FROM g LEFT JOIN f USING (left_id)""")
+def q_match_evaluation(spark, d):
+    s = _scored(spark, d)
+    p = s.where("jaccard >= 0.02").select("left_id", "right_id", F.when(F.col("jaccard") >= 0.05, "automatic").otherwise("review").alias("status"))
+    return matching.evaluate(s.select("left_id", "right_id", ((F.col("left_id") + F.col("right_id")) % 3 == 0).alias("label")), p)
+
+
+@query()
+def q_name_similarity(spark, d):
+    n = table(spark, d, "part").select("p_name").distinct()
+    a, b = n.withColumn("w", F.explode(S.words_of(F.col("p_name")))), n.select(F.col("p_name").alias("other"), F.explode(S.words_of(F.col("p_name"))).alias("w"))
+    pairs = a.join(b, "w").where("p_name < other").select("p_name", "other").distinct()
+    return pairs.withColumn("similarity", T.name_similarity("p_name", "other"))
+
+
+@query()
+def q_greedy_one_to_one(spark, d):
+    s = _scored(spark, d).select("left_id", "right_id", F.col("jaccard").alias("score"), F.col("jaccard").alias("similarity"))
+    return matching.one_to_one(s, Scratch(spark).save)
+
+
+@query(f"""WITH {CELL_SQL}, m AS (SELECT concept_id::BIGINT AS id, nutrient_id, source_id, arg_max(value, source_record_id) AS value FROM cell WHERE value IS NOT NULL GROUP BY ALL),
+p AS (SELECT DISTINCT a.id AS left_id, b.id AS right_id FROM m a JOIN m b ON b.id = a.id + 1 WHERE a.source_id = 'ASIA' AND b.source_id = 'EUROPE'),
+n AS (SELECT left_id, right_id, count(*) AS shared, count(*) FILTER (abs(a.value - b.value) / greatest(abs(a.value), abs(b.value)) > 0.65) AS divergent
+  FROM p JOIN m a ON a.id = left_id AND a.source_id = 'ASIA' JOIN m b ON b.id = right_id AND b.source_id = 'EUROPE' AND a.nutrient_id = b.nutrient_id GROUP BY ALL)
+SELECT left_id, right_id, coalesce(shared, 0) AS shared, coalesce(divergent, 0) AS divergent, coalesce(shared, 0) >= 3 AND coalesce(divergent, 0) >= 2 AS vetoed FROM p LEFT JOIN n USING (left_id, right_id)""")
+def q_nutrient_veto(spark, d):
+    m = cells(spark, d).where("value is not null").groupBy(F.col("concept_id").cast("long").alias("id"), "nutrient_id", "source_id").agg(F.max_by("value", "source_record_id").alias("value"))
+    a, b = m.where("source_id = 'ASIA'"), m.where("source_id = 'EUROPE'")
+    pairs = a.select(F.col("id").alias("left_id")).distinct().withColumn("right_id", F.col("left_id") + 1).join(b.select(F.col("id").alias("right_id")).distinct(), "right_id", "left_semi")
+    return matching.nutrient_veto(pairs, a, b, tuple(NUTRIENTS)).select("left_id", "right_id", "shared", "divergent", "vetoed")
+
+
+LINKS = [("5", "2", "automatic"), ("9", "4", "adjudicated"), ("12", "3", "review")]
+
+
+@query(f"WITH {CELL_SQL}, link(absorbed, survivor, status) AS (VALUES {', '.join(str(x) for x in LINKS)}) SELECT coalesce(survivor, concept_id) AS concept_id, count(*) AS n FROM cell LEFT JOIN link ON absorbed = concept_id AND status <> 'review' GROUP BY ALL")
+def q_link_reassign(spark, d):
+    links = spark.createDataFrame(LINKS, "absorbed string, survivor string, status string")
+    return records.reassign(cells(spark, d), links).groupBy("concept_id").agg(F.count("*").alias("n"))
+
+
+# --------------------------------------------------------------------------- records
+
+_HEX = "('0x' || substr(h, {a}, {n}))::BIGINT"
+_DIGIT = "substr('0123456789ABCDEFGHJKMNPQRSTVWXYZ', ((({x}) >> {s}) & 31)::INT + 1, 1)"
+ID_SQL = "'nfx_' || " + " || ".join(
+    [_DIGIT.format(x=_HEX.format(a=1, n=2), s=s) for s in (5, 0)] + [_DIGIT.format(x=_HEX.format(a=3 + 5 * k, n=5), s=s) for k in range(6) for s in (15, 10, 5, 0)]
+)
+
+
+@query(f"WITH s AS (SELECT p_partkey, substr(sha256('nfx_:concept|ref|food|' || p_partkey), 1, 32) AS h FROM part) SELECT p_partkey, {ID_SQL} AS concept_id FROM s")
+def q_deterministic_id(spark, d):
+    return table(spark, d, "part").select("p_partkey", S.entity_id("concept", "ref", "food", F.col("p_partkey").cast("string")).alias("concept_id"))
+
+
+@query("""WITH f AS (SELECT 'ref' AS source_id, p_partkey::VARCHAR AS food_code, 'c' || p_partkey AS concept_id, sha256(p_name) AS seed_hash, p_size FROM part),
+o AS (SELECT source_id, food_code, concept_id, CASE WHEN p_size % 7 = 0 THEN sha256('old') ELSE seed_hash END AS seed_hash FROM f WHERE p_size % 5 <> 0),
+n AS (SELECT source_id, food_code, concept_id, seed_hash FROM f WHERE p_size % 11 <> 0)
+SELECT source_id, food_code, coalesce(o.concept_id, n.concept_id) AS concept_id, coalesce(n.seed_hash, o.seed_hash) AS seed_hash,
+       CASE WHEN o.concept_id IS NULL THEN 'new' WHEN n.concept_id IS NULL THEN 'gone' WHEN o.seed_hash = n.seed_hash THEN 'same' ELSE 'drift' END AS state
+FROM o FULL JOIN n USING (source_id, food_code)""")
+def q_ledger_upsert(spark, d):
+    f = table(spark, d, "part").select(F.lit("ref").alias("source_id"), F.col("p_partkey").cast("string").alias("food_code"), F.concat(F.lit("c"), F.col("p_partkey")).alias("concept_id"), F.sha2("p_name", 256).alias("seed_hash"), "p_size")
+    old = f.where("p_size % 5 <> 0").withColumn("seed_hash", F.when(F.col("p_size") % 7 == 0, F.sha2(F.lit("old"), 256)).otherwise(F.col("seed_hash")))
+    return records.ledger_upsert(old, f.where("p_size % 11 <> 0"))
+
+
+@query(f"""WITH {CELL_SQL}, dens(food_group, x) AS (VALUES {', '.join(str(x) for x in DENSITIES)}),
+b AS (SELECT c.*, x, row_number() OVER (PARTITION BY concept_id, nutrient_id ORDER BY source_record_id) AS k FROM cell c JOIN concept USING (concept_id) JOIN dens USING (food_group)
+  WHERE basis = 'per_100g_edible' AND value_type = 'measured' AND NOT EXISTS (SELECT 1 FROM cell v WHERE v.concept_id = c.concept_id AND v.nutrient_id = c.nutrient_id AND v.basis = 'per_100ml' AND v.source_id = 'ASIA'))
+SELECT concept_id, nutrient_id, value * x AS value, source_record_id, 'calculated' AS value_type, 'per_100ml' AS basis FROM b WHERE k = 1""")
+def q_derive_volume(spark, d):
+    c = cells(spark, d).where((F.col("basis") == K.PER_100G) | (F.col("source_id") == "ASIA"))
+    dens = spark.createDataFrame(DENSITIES, "food_group string, density_g_per_ml double")
+    return records.derive_volume(c, concepts(spark, d), dens)[0].select("concept_id", "nutrient_id", "value", "source_record_id", "value_type", "basis")
+
+
+@query("SELECT o_orderpriority AS nutrient, o_orderstatus AS method, round(median(l_quantity) / 100, 4) AS factor, count(*) AS n, min(l_quantity) / 100 AS low, max(l_quantity) / 100 AS high FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
+def q_median_factors(spark, d):
+    both = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = both.select(F.col("o_orderpriority").alias("nutrient"), F.col("o_orderstatus").alias("method"), "l_quantity")
+    return records.median_factors(rows, ["nutrient", "method"], "l_quantity")
+
+
+RAW_CELLS = ["59,7", "traces", "-", "< 1,5", "0", "1e-3", "-2.5", "<0.2"]
+
+
+@query(f"""WITH r(raw) AS (SELECT unnest({RAW_CELLS!r}) UNION ALL SELECT json_extract_string(props, '$.k') FROM events UNION ALL SELECT '< ' || event_id || ',5' FROM events)
+SELECT raw, CASE WHEN regexp_matches(raw, '^-?\\d+(?:[.,]\\d+)?(?:[eE][+-]?\\d+)?$') THEN 'number' WHEN raw = '-' THEN 'missing' WHEN raw = 'traces' THEN 'trace' ELSE 'below_loq' END AS kind,
+       try_cast(replace(replace(replace(raw, '<', ''), ' ', ''), ',', '.') AS DOUBLE) AS value, count(*) AS n FROM r GROUP BY ALL""")
+def q_typed_cell_parse(spark, d):
+    e = table(spark, d, "events")
+    raw = spark.createDataFrame([(x,) for x in RAW_CELLS], "raw string").unionAll(e.select(F.get_json_object("props", "$.k"))).unionAll(e.select(F.concat(F.lit("< "), F.col("event_id"), F.lit(",5"))))
+    return raw.select("raw", S.parse_cell(F.col("raw")).alias("c")).groupBy("raw", F.col("c.kind").alias("kind"), F.col("c.value").alias("value")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_type, json_extract_string(props, '$.k') AS k, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def q_json_props(spark, d):
+    e = table(spark, d, "events").withColumn("m", S.string_map(F.col("props")))
+    return e.groupBy("event_type", F.try_element_at("m", F.lit("k")).alias("k")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("""WITH a AS (SELECT l_partkey, l_suppkey, min(l_tax) AS tax FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01' GROUP BY ALL),
+b AS (SELECT l_partkey, l_suppkey, min(l_tax) AS tax FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01' GROUP BY ALL)
+SELECT l_partkey, l_suppkey, a.tax AS before_tax, b.tax AS after_tax, CASE WHEN a.tax IS NULL THEN 'added' WHEN b.tax IS NULL THEN 'removed' WHEN a.tax = b.tax THEN 'same' ELSE 'changed' END AS status
+FROM a FULL JOIN b USING (l_partkey, l_suppkey)""")
+def q_artifact_diff(spark, d):
+    li = table(spark, d, "lineitem")
+    version = lambda cond: li.where(cond).groupBy("l_partkey", "l_suppkey").agg(F.min("l_tax").alias("tax"))
+    return records.diff(version("l_shipdate < timestamp'1999-01-01'"), version("l_shipdate >= timestamp'1997-01-01'"), ["l_partkey", "l_suppkey"], ["tax"])
+
+
+@query("SELECT page_id, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title FROM pages")
+def q_html_record_extract(spark, d):
+    p = table(spark, d, "pages")
+    return p.select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
+
+
+EDGES = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("x", "y"), ("q", "q")]
+
+
+@query(f"""WITH RECURSIVE e(p, c) AS (VALUES {', '.join(str(x) for x in EDGES)}),
+w(start, node) AS (SELECT p, c FROM e UNION SELECT w.start, e.c FROM w JOIN e ON w.node = e.p) SELECT DISTINCT start AS node FROM w WHERE start = node""")
+def q_relation_cycle(spark, d):
+    return gates.cycles(spark.createDataFrame(EDGES, "parent string, child string"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
