@@ -134,17 +134,16 @@ def rank_strings(code: np.ndarray, bits: int, start: np.ndarray, size: np.ndarra
 
 
 def rank_suffixes(t: np.ndarray) -> np.ndarray:
-    """Ranks of all suffixes of a string of integers whose last symbol is the unique least (the recursion)."""
+    """Ranks of all suffixes of a string of dense names whose last one is the unique least (the recursion)."""
     n = len(t)
-    first = rank_strings(t, 32, np.arange(n), np.ones(n, np.int64)) if n > 1 else np.zeros(n, np.int64)
-    if n < 2 or len(np.unique(first)) == n:
-        return first
+    if t[: n - 1].max(initial=0) == n - 1:  # dense names that are all different are ranks
+        return t
     s = types(t)
     star = _star(s)
     code = t.astype(np.int64) * 2 + s
     nxt = np.append(star[1:], n - 1)
     names = rank_strings(code, 32, star, nxt - star + 1)
-    star_rank = names if len(np.unique(names)) == len(names) else rank_suffixes(_dense(names))
+    star_rank = rank_suffixes(_dense(names))
     which = np.minimum(np.searchsorted(star, np.arange(n), "right"), len(star) - 1)  # next S* after each suffix
     size = np.maximum(star[which] - np.arange(n), 0) + 1
     rank = rank_strings(code, 32, np.arange(n), size)
@@ -155,7 +154,10 @@ def rank_suffixes(t: np.ndarray) -> np.ndarray:
 
 
 def _dense(names: np.ndarray) -> np.ndarray:
-    return np.unique(names, return_inverse=True)[1].astype(np.int64)
+    """Ranks without gaps."""
+    used = np.zeros(len(names), np.int64)
+    used[names] = 1
+    return (np.cumsum(used) - 1)[names]
 
 
 def common_prefix(data: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int = CAP) -> np.ndarray:
@@ -195,7 +197,7 @@ class _Scan:
             np.minimum(self.least, low, out=self.least)
             return
         sym = self.t[before[hit]]
-        order = np.argsort(sym, kind="stable")
+        order = np.argsort(sym, kind="stable")  # 16 bits: a radix sort
         at, sym = hit[order], sym[order]
         head = np.ones(len(at), bool)
         head[1:] = sym[1:] != sym[:-1]
@@ -237,7 +239,7 @@ def sort_suffixes(data: np.ndarray, cap: int = CAP, limit: int = QUEUE_BYTES) ->
     nxt = np.append(star[1:], n)
     names = rank_strings(code, 10, star, nxt - star + 1)
     del code
-    rank = names if len(np.unique(names)) == len(names) else rank_suffixes(_dense(names))
+    rank = rank_suffixes(_dense(names))
     star = star[np.argsort(rank, kind="stable")].astype(np.int32)
     del names, rank
     star_lcp = np.zeros(len(star), np.int16)
