@@ -74,12 +74,13 @@ def ascii_key(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(folded, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-def nutrient_key(header: Column) -> Column:
-    """Key of a measured column: name and canonical unit; the one known spelling variant is mapped."""
+def nutrient_key(header: Column, strict: bool = True) -> Column:
+    """Key of a measured column: name and canonical unit; the one known spelling variant is mapped. Without a unit the query fails, or the key is null if not strict."""
     unit = unit_of(header, K.UNIT_IN_HEADER)
     key = F.concat_ws("_", ascii_key(F.regexp_replace(header, K.UNIT_IN_HEADER + ".*$", "")), unit)
     key = lookup_or_self(K.KEY_ALIASES, key)
-    return F.when(unit.isNull(), F.raise_error(F.concat(F.lit("no unit in "), header)).cast("string")).otherwise(key)
+    missing = F.raise_error(F.concat(F.lit("no unit in "), header)).cast("string") if strict else F.lit(None).cast("string")
+    return F.when(unit.isNull(), missing).otherwise(key)
 
 
 def lookup_or_self(pairs: dict, key: Column) -> Column:

@@ -1,0 +1 @@
+"""Readers for the raw inputs and the contract tables."""

@@ -1,0 +1,2 @@
+"""The engine is a batch engine: nothing here keeps state over streams. Stages are plain DataFrame functions, so
+those without ordering or windows (typed cells, keys, filters, unions) also apply to a streaming DataFrame."""
