@@ -89,7 +89,6 @@ def _gradient(net: Net, data: np.ndarray, off: np.ndarray, y: np.ndarray) -> lis
     doc = np.repeat(np.arange(len(y)), np.diff(at))
     g_max, g_mean = d[:, None] * net.out[:FILTERS], d[:, None] * net.out[FILTERS:]
     won = (chunk == mx[doc]) & whole[:, None]
-    won &= np.maximum(1, np.add.reduceat(won.astype(np.int32), at[:-1]))[doc] > 0
     share = won / np.maximum(1, np.add.reduceat(won.astype(np.float32), at[:-1]))[doc]
     g_chunk = share * g_max[doc] + whole[:, None] * (g_mean / count)[doc]
     g_h = np.where(h >= nxt, g_chunk, 0)

@@ -28,7 +28,7 @@ from . import common as C
 
 ORDERS = (3, 4, 5)
 BITS = 18
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 2400
 #: Smoothing of the document counts, L2 penalty, steps of the fit, and the factor that brings frequencies near 1.
 ALPHA, L2, STEPS, SCALE = 1.0, 1e-4, 100, 100.0
 
@@ -94,6 +94,7 @@ def fit(texts: list[str], y: np.ndarray, prior: float) -> Model:
     start = np.searchsorted(col[order], np.arange(1 << BITS))
     used = np.unique(col)
     starts, by_row, by_val = start[used], row[order], val[order]
+    del order, start
     edges = np.searchsorted(row, np.arange(len(y)))
     w, b, m, v = np.ones(1 << BITS, np.float32) * 0.1, 0.0, np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)
     has = np.diff(np.append(edges, len(row))) > 0
