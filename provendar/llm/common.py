@@ -45,9 +45,14 @@ def scratch_root(spark: SparkSession) -> str:
     return (root or "/tmp/checkpoints/provendar").rstrip("/")
 
 
-def save(df: DataFrame, what: str) -> DataFrame:
-    """Cuts lineage: writes df as Parquet under the shared folder and reads it back."""
+def save(df: DataFrame, what: str, small: bool = False) -> DataFrame:
+    """Cuts lineage: writes df as Parquet under the shared folder and reads it back.
+
+    small: tables of ids or links, a hundredth of the text or less, go to a sixteenth of the usual number of files.
+    """
     spark = df.sparkSession
+    if small:
+        df = df.coalesce(max(6, shuffle_parts(spark) // 16))
     path = f"{scratch_root(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
