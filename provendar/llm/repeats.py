@@ -51,9 +51,9 @@ _U = np.uint64
 ISLAND = np.dtype([("anchor", "<u4"), ("top", "u1"), ("name", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("count", "u1")])
 SPAN = np.dtype([("doc", "<i8"), ("start", "<u4"), ("end", "<u4")])
 #: Bytes of islands sorted at once.
-SORT_BYTES = 4 << 20
+SORT_BYTES = 2 << 20
 #: Islands of a task that are gathered before equal ones are left out and the rest is sent.
-HELD = 500_000
+HELD = 200_000
 #: Documents in the sample that finds burdensome anchors, and the least count that tells.
 SAMPLE_DOCS, SAMPLE_LEAST = 5000, 5
 

@@ -28,7 +28,9 @@ import numpy as np
 #: Common prefixes are carried up to this length; what is asked is whether they reach it.
 CAP = 100
 #: Bytes of queued tuples held in memory before blocks go to the temporary file.
-QUEUE_BYTES = 192 << 20
+QUEUE_BYTES = 64 << 20
+#: Tuples taken from a run at once: small blocks are joined, so that few steps do the work.
+POP_TUPLES = 1 << 20
 _TUPLE = np.dtype([("pos", "<i4"), ("lcp", "<i2")])
 _BIG = np.int16(32000)
 
@@ -67,10 +69,14 @@ class BucketQueue:
         """Blocks of a symbol in order; those pushed meanwhile follow."""
         run = self.runs[symbol]
         while run:
-            x = run.popleft()
-            if isinstance(x, np.ndarray):
-                self.held -= x.nbytes
-            yield self._load(x)
+            got, n = [], 0
+            while run and n < POP_TUPLES:
+                x = run.popleft()
+                if isinstance(x, np.ndarray):
+                    self.held -= x.nbytes
+                got.append(self._load(x))
+                n += len(got[-1])
+            yield np.concatenate(got) if len(got) > 1 else got[0]
 
     def read(self, symbol: int) -> np.ndarray:
         """All tuples of a symbol, left in the queue."""
