@@ -319,9 +319,19 @@ def q_orphan_keys(spark, d):
 
 @query("SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS source_record_id, s_name AS ref, n_name AS nation, r_name AS source_id FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE l_quantity >= 49")
 def q_provenance_walk(spark, d):
+    return _provenance(spark, d, table(spark, d, "lineitem").where("l_quantity >= 49"))
+
+
+@query()
+def q_provenance_walk_all(spark, d):
+    """The walk of every record; provenance_walk is bound to the quantities that its SQL names."""
+    return _provenance(spark, d, table(spark, d, "lineitem"))
+
+
+def _provenance(spark, d, records: DataFrame) -> DataFrame:
     s, n, r = (table(spark, d, x) for x in ("supplier", "nation", "region"))
     dim = s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
-    li = table(spark, d, "lineitem").where("l_quantity >= 49").select("l_suppkey", F.expr(RECORD).alias("source_record_id"))
+    li = records.select("l_suppkey", F.expr(RECORD).alias("source_record_id"))
     return li.join(dim, F.col("l_suppkey") == F.col("s_suppkey")).select("source_record_id", F.col("s_name").alias("ref"), F.col("n_name").alias("nation"), F.col("r_name").alias("source_id"))
 
 

@@ -26,3 +26,14 @@ def test_entry_points_work_without_the_corpus_operators():
 
     assert set(Q) <= set(e.queries())
     assert set(O) <= set(e.oracle_sql())
+
+
+def test_every_record_has_its_provenance(spark):
+    import pyarrow.parquet as pq
+
+    rows = lambda name: pq.read_table(f"{SF}/{name}.parquet").to_pylist()
+    regions = {r["r_regionkey"]: r["r_name"] for r in rows("region")}
+    nations = {n["n_nationkey"]: (n["n_name"], regions[n["n_regionkey"]]) for n in rows("nation")}
+    suppliers = {s["s_suppkey"]: (s["s_name"], *nations[s["s_nationkey"]]) for s in rows("supplier")}
+    want = [("-".join(str(x[c]) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")), *suppliers[x["l_suppkey"]]) for x in rows("lineitem")]
+    assert sorted(tuple(r) for r in Q["provenance_walk_all"](spark, SF).collect()) == sorted(want)
