@@ -4,7 +4,8 @@ Each byte is embedded (EMBED numbers, learned). Filters of WIDTH bytes move
 over the text in steps of STRIDE; responses (rectified) are max-pooled within
 overlapping chunks of two half-chunks, and the chunks cover the whole text.
 Per filter, the greatest and the mean chunk value go into one logistic unit.
-Texts are padded with zero bytes to whole half-chunks.
+Texts are padded with zero bytes to whole half-chunks, and beyond their end
+for the last filter positions, so a score depends on the text alone.
 
 Training: stochastic gradient steps (Adam) on a bounded sample of labelled
 texts (SAMPLE_ROWS, by id hash), gradients worked out by hand; only the
@@ -59,7 +60,10 @@ class Net:
         n = at[-1] * HALF
         r = a[:n] @ self.conv[0]
         for t in range(1, TAPS):
-            r += a[t : t + n] @ self.conv[t]
+            x = a[t : t + n] @ self.conv[t]
+            # what would reach into the next text meets padding: the step at n
+            x[(at[1:, None] * HALF - np.arange(1, t + 1)).ravel()] = a[n] @ self.conv[t]
+            r += x
         r = r.reshape(-1, HALF, FILTERS)
         top = r.argmax(1) if train else None
         h = r.max(1) + self.bias
@@ -95,13 +99,15 @@ def _gradient(net: Net, data: np.ndarray, off: np.ndarray, y: np.ndarray) -> lis
     g_h[1:] += np.where(h >= nxt, 0, g_chunk)[:-1]
     g_h = np.where(h > 0, g_h, 0).astype(np.float32)
     pos = top + (np.arange(len(h)) * HALF)[:, None]
+    ends = at[1:][doc][:, None] * HALF
     g_conv, g_emb = np.zeros_like(net.conv), np.zeros_like(net.emb)
     bytes_at = buf.reshape(-1, STRIDE)
     for t in range(TAPS):
-        x = a[pos + t]  # halves x filters x (STRIDE*EMBED)
+        step = np.where(pos + t < ends, pos + t, at[-1] * HALF)
+        x = a[step]  # halves x filters x (STRIDE*EMBED)
         g_conv[t] = np.einsum("hfe,hf->ef", x, g_h, optimize=True)
         g_a = (g_h[:, :, None] * net.conv[t].T[None]).reshape(-1, EMBED)
-        idx = bytes_at[pos + t].reshape(-1)
+        idx = bytes_at[step].reshape(-1)
         for e in range(EMBED):
             g_emb[:, e] += np.bincount(idx, g_a[:, e], 256)
     return [g_emb, g_conv, g_h.sum(0), g_out, np.array([g_ob])]

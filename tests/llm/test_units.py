@@ -200,6 +200,22 @@ def test_quality_gradient():
             assert abs((up - down) / 2e-5 - gp[at]) < 1e-4
 
 
+def test_quality_of_a_text_does_not_depend_on_its_neighbours():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, int(n)).astype(np.uint8)).decode() for n in (0, 1, 3, 90, 0, 127, 128, 129, 2, 256, 257, 385, 0, 5, 640, 641)]
+    net = Q.Net(rng.normal(0, 0.5, (256, Q.EMBED)), rng.normal(0, 0.2, (Q.TAPS, Q.STRIDE * Q.EMBED, Q.FILTERS)), rng.normal(0, 0.1, Q.FILTERS), rng.normal(0, 0.3, 2 * Q.FILTERS))
+    alone = np.array([net.forward(*block([t]))[0][0] for t in texts])
+    for _ in range(5):
+        order = rng.permutation(len(texts))
+        assert np.allclose(net.forward(*block([texts[k] for k in order]))[0], alone[order], rtol=0, atol=1e-9)
+    # gradients meet the same padding
+    y = rng.integers(0, 2, len(texts)).astype(float)
+    whole = Q._gradient(net, *block(texts), y)
+    parts = [Q._gradient(net, *block([t]), y[k : k + 1]) for k, t in enumerate(texts)]
+    for k, g in enumerate(whole):
+        assert np.allclose(g, sum(p[k] for p in parts) / len(texts), rtol=0, atol=1e-5)
+
+
 def test_forward_backward_equals_enumeration():
     from itertools import product
 
