@@ -90,6 +90,18 @@ def test_near_duplicates_with_odd_ids(spark):
     assert sorted(r.doc_id for r in once) == [1, 3]
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    kept = lambda rows: sorted((r.doc_id, r.text or "") for r in jaccard_join.keep_one(docs(spark, rows)).collect())
+    assert kept([(5, "a b c d e f"), (5, "a b c d e f"), (2, "a b c d e f"), (5, "other words")]) == [(2, "a b c d e f"), (5, "other words")]
+    text = [f"w{i}" for i in range(60)]
+    near = " ".join([*text[:-1], "x"])
+    text = " ".join(text)
+    # two texts of one id are no link between their groups
+    assert kept([(2, text), (2, "own text"), (1, near), (7, "own text")]) == [(1, near), (2, "own text")]
+    # of one id's own copies one stays; texts without words are no copies of others
+    assert kept([(3, text), (3, near), (3, ""), (3, ""), (4, None), (4, "own text")]) == [(3, ""), (3, text), (4, ""), (4, "own text")]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
