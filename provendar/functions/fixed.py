@@ -45,17 +45,28 @@ TERM_WEIGHT, NAME_WEIGHT, GROUP_WEIGHT = 0.55, 0.25, 0.20
 AUTOMATIC, REVIEW, SINGLE_TERM = 0.84, 0.50, 0.65
 RARE_TOKEN = 25
 GENERIC_TERMS = (
-    "raw boiled cooked grilled fried roasted roast stewed breaded fresh dried dry dehydrated frozen canned drained whole skin with_skin "
-    "without_skin lean fat semi_skimmed skimmed liquid solid natural plain salted unsalted with_salt sweetened flavoured fortified powder "
-    "instant concentrated pulp pieces grated squeezed stuffed filled green white black red sweet light reduced homemade crystallized "
-    "pasteurized uht seco"
-).split()
-COLOR_TERMS = "green white black red yellow".split()
+    "raw", "boiled", "cooked", "grilled", "fried", "roasted", "roast", "stewed", "breaded", "fresh", "dried", "dry", "dehydrated", "frozen",
+    "canned", "drained", "whole", "skin", "with_skin", "without_skin", "lean", "fat", "semi_skimmed", "skimmed", "liquid", "solid", "natural",
+    "plain", "salted", "unsalted", "with_salt", "sweetened", "flavoured", "fortified", "powder", "instant", "concentrated", "pulp", "pieces",
+    "grated", "squeezed", "stuffed", "filled", "green", "white", "black", "red", "sweet", "light", "reduced", "homemade", "crystallized",
+    "pasteurized", "uht", "seco",
+)
+COLOR_TERMS = ("green", "white", "black", "red", "yellow")
 STOP_WORDS = (
-    "de da do das dos e ou em para no na ao aos as um uma sem com o a os du des et en au aux la le les un une l sans avec y d n the of and an "
-    "in on for with without to is tipo type moyen media medio average pur puro pure pura simples standard tablete tablette aliment emballe "
-    "preemballe embalado preembalado rafinee refinado"
-).split()
+    "de", "da", "do", "das", "dos", "e", "ou", "em", "para", "no", "na", "ao", "aos", "as", "um", "uma", "sem", "com", "o", "a", "os", "du", "des",
+    "et", "en", "au", "aux", "la", "le", "les", "un", "une", "l", "sans", "avec", "y", "d", "n", "the", "of", "and", "an", "in", "on", "for", "with",
+    "without", "to", "is", "tipo", "type", "moyen", "media", "medio", "average", "pur", "puro", "pure", "pura", "simples", "standard", "tablete",
+    "tablette", "aliment", "emballe", "preemballe", "embalado", "preembalado", "rafinee", "refinado",
+)
+
+# ---- fixed values: vocabulary gates
+ENERGY_TAGS = ("ENERC_KJ", "ENERC_KCAL")
+ABSENCE_TYPES = ("not_measured", "not_detected", "below_loq", "trace", "not_applicable", "assumed_zero")
+PROFILES = ("core", "extended", "lite")
+
+# ---- fixed values: locales of values, first exact, then in this order; locales that the client tries
+VALUE_CHAINS = {"fr": ["en", "pt"], "en": ["fr", "pt"], "pt": ["en", "fr"], "pt-PT": ["pt", "en", "fr"], "pt-BR": ["pt", "en", "fr"]}
+CLIENT_LOCALES = ("en", "fr", "pt")
 
 # ---- fixed values: retention methods, the first keyword found wins
 METHODS = (
@@ -67,4 +78,4 @@ METHODS = (
 
 # ---- fixed values: locale chains
 CHAINS = {"en": [], "fr": [], "pt": ["en"], "pt-PT": ["pt", "en"], "pt-BR": ["pt", "en"], "es": ["en"], "de": ["en"], "it": ["en"]}
-LABEL_OK = ("reviewed", "native", "official")
+LABEL_OK = ("native", "official", "curated")

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from . import fixed as K
 
-_ACCENTED = "àáâãäåāăąçćĉċčďèéêëēĕėęěĝğġģĥìíîïĩīĭįĵķĺļľñńņňòóôõöōŏőŕŗřśŝşšţťùúûüũūŭůűųŵýÿŷźżž"
-_PLAIN = "aaaaaaaaacccccdeeeeeeeeegggghiiiiiiiijklllnnnnoooooooorrrssssttuuuuuuuuuuwyyyzzz"
-
-
 def literal_map(pairs: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
 
@@ -62,10 +58,17 @@ def collapse_space(text: Column) -> Column:
 
 
 def fold(text: Column) -> Column:
-    """Lower case without ligatures and Latin accents. For full Unicode decomposition see functions.text.normalize_label."""
+    """Ligatures spelt out, compatibility forms, accents and case folded, by a table of single characters.
+
+    Exact for all texts but those with characters that become several (Hangul, fractions, ...): functions.text.normalize_label
+    folds these too.
+    """
+    from .text import fold_table
+
     for a, b in K.LIGATURES.items():
         text = F.replace(text, F.lit(a), F.lit(b))
-    return F.translate(F.lower(text), _ACCENTED, _PLAIN)
+    single, to, gone = fold_table()
+    return F.translate(text, single + gone, to)
 
 
 def ascii_key(text: Column) -> Column:

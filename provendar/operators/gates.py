@@ -21,9 +21,14 @@ def unique(df: DataFrame, keys: list[str], what: str) -> None:
     none_left(df.groupBy(*keys).count().where("count > 1"), f"{what}: repeated key")
 
 
+def unknown(df: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys of df that dim does not hold."""
+    return df.select(*keys).distinct().join(dim.select(*keys), keys, "left_anti")
+
+
 def covered(df: DataFrame, dim: DataFrame, keys: list[str], what: str) -> None:
     """Every key of df must be in dim."""
-    none_left(df.select(*keys).distinct().join(dim.select(*keys), keys, "left_anti"), f"{what}: unknown key")
+    none_left(unknown(df, dim, keys), f"{what}: unknown key")
 
 
 def holds(df: DataFrame, condition: Column, what: str) -> None:
@@ -44,15 +49,14 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return out.limit(limit) if limit else out
 
 
-def cycles(edges: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
-    """Nodes that reach themselves, by a recursive query over distinct pairs (the relation table is a small vocabulary)."""
-    spark = edges.sparkSession
-    edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).distinct().createOrReplaceTempView("provendar_edges")
-    bound = edges.select(F.col(parent)).distinct().count() + 1
-    return spark.sql(f"""
-        WITH RECURSIVE walk(start, node, depth) AS (
-          SELECT p, c, 1 FROM provendar_edges
-          UNION ALL
-          SELECT w.start, e.c, w.depth + 1 FROM walk w JOIN provendar_edges e ON w.node = e.p
-          WHERE w.start <> w.node AND w.depth < {bound})
-        SELECT DISTINCT start AS node FROM walk WHERE start = node""")
+def cycles(edges: DataFrame, save, parent: str = "parent", child: str = "child") -> DataFrame:
+    """Nodes that reach themselves. Reachable pairs are doubled in length, without repeats, until nothing is new: as many
+    rounds as the longest path has doublings. save cuts the lineage of each round. The relation table is a small vocabulary."""
+    reach = save(edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).distinct())
+    n = reach.count()
+    while True:
+        far = reach.select(F.col("p"), F.col("c").alias("m")).join(reach.select(F.col("p").alias("m"), F.col("c")), "m").select("p", "c")
+        nxt = save(reach.unionAll(far).distinct())
+        if (m := nxt.count()) == n:
+            return nxt.where("p = c").select(F.col("p").alias("node"))
+        reach, n = nxt, m

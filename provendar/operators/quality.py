@@ -22,10 +22,15 @@ def measured(values: DataFrame) -> DataFrame:
 
 
 def profile(values: DataFrame, nutrients: list[str], keys: tuple[str, ...] = ("concept_id", "source_id"), in_grams: bool = True) -> DataFrame:
-    """One row per key with a column per nutrient; of several values that with the greatest record id."""
+    """One row per key with a column per nutrient; of several values that with the greatest record id, then the greatest value.
+
+    The winner of each cell is found first (two columns in the buffer, whatever the number of nutrients); the pivot
+    then only meets one number per cell, which plain hash aggregation holds.
+    """
     v = S.in_grams(F.col("value"), F.col("unit")) if in_grams else F.col("value")
-    cells = values.where(F.col("nutrient_id").isin(*nutrients))
-    return cells.groupBy(*keys).agg(*[F.max_by(F.when(F.col("nutrient_id") == n, v), F.when(F.col("nutrient_id") == n, F.col("source_record_id"))).alias(n) for n in nutrients])
+    cells = values.where(F.col("nutrient_id").isin(*nutrients)).select(*keys, "nutrient_id", F.struct(F.col("source_record_id"), v.cast("double").alias("v")).alias("_w"))
+    won = cells.groupBy(*keys, "nutrient_id").agg(F.max("_w").alias("_w"))
+    return won.groupBy(*keys).agg(*[F.max(F.when(F.col("nutrient_id") == n, F.col("_w.v"))).alias(n) for n in nutrients])
 
 
 def _ref(keys=("concept_id", "source_id")) -> Column:
@@ -52,8 +57,13 @@ def energy(p: DataFrame, declared: DataFrame) -> DataFrame:
     expected = reduce(lambda a, b: a + b, terms)
     both = p.join(declared, ["concept_id", "source_id"]).withColumn("_e", expected)
     off = F.abs(F.col("kcal") - F.col("_e"))
-    rel = F.try_divide(off, F.abs("kcal"))
-    return _offenders(both, "energy", "warning", (off > K.ENERGY_FLOOR) & ((rel > K.ENERGY_TOLERANCE) | rel.isNull()), off)
+    rel = F.coalesce(F.try_divide(off, F.abs("kcal")), F.lit(0.0))  # a declared zero is not held against anything
+    return _offenders(both, "energy", "warning", (off > K.ENERGY_FLOOR) & (rel > K.ENERGY_TOLERANCE), off)
+
+
+def energy_skipped(p: DataFrame, declared: DataFrame) -> DataFrame:
+    """One row: how many profiles the energy check leaves out, for lack of a value by the registered method."""
+    return p.join(declared, ["concept_id", "source_id"], "left_anti").agg(F.count("*").alias("n_skipped"))
 
 
 def fatty_acids(p: DataFrame) -> DataFrame:
@@ -99,7 +109,7 @@ def z_scores(values: DataFrame, keys: tuple[str, ...] = ("nutrient_id", "food_gr
     """
     stats = values.groupBy(*keys).agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
     stats = stats.where((F.col("n") >= K.Z_MIN_N) & (F.col("sd") > 0))
-    return values.join(F.broadcast(stats), list(keys)).withColumn("z", (F.col("value") - F.col("mean")) / F.col("sd"))
+    return values.join(stats, list(keys)).withColumn("z", (F.col("value") - F.col("mean")) / F.col("sd"))
 
 
 def outliers(values: DataFrame) -> DataFrame:
@@ -108,8 +118,8 @@ def outliers(values: DataFrame) -> DataFrame:
 
 
 def source_pairs(values: DataFrame) -> DataFrame:
-    """Positive values of the same concept and nutrient in two sources (one value per source: that with the smallest record id) with their relative difference."""
-    one = values.where("value > 0").groupBy("concept_id", "nutrient_id", "source_id").agg(F.min_by("value", "source_record_id").alias("value"))
+    """Positive values of the same concept and nutrient in two sources (one value per source: that with the smallest record id, then the smallest value) with their relative difference."""
+    one = values.where("value > 0").groupBy("concept_id", "nutrient_id", "source_id").agg(F.min(F.struct("source_record_id", "value")).alias("_w")).withColumn("value", F.col("_w.value")).drop("_w")
     a = one.withColumnsRenamed({"source_id": "source_a", "value": "value_a"})
     b = one.withColumnsRenamed({"source_id": "source_b", "value": "value_b"})
     both = a.join(b, ["concept_id", "nutrient_id"]).where("source_a < source_b")

@@ -22,7 +22,7 @@ def level_fallback(df: DataFrame, mapping: DataFrame, codes: list[str], out: str
 def reassign(values: DataFrame, links: DataFrame) -> DataFrame:
     """Moves values of absorbed concepts to their survivor, one hop. links: absorbed, survivor, status; only automatic and adjudicated ones count."""
     used = links.where(F.col("status").isin("automatic", "adjudicated")).select(F.col("absorbed").alias("concept_id"), "survivor")
-    return values.join(F.broadcast(used), "concept_id", "left").withColumn("concept_id", F.coalesce("survivor", "concept_id")).select(values.columns)
+    return values.join(used, "concept_id", "left").withColumn("concept_id", F.coalesce("survivor", "concept_id")).select(values.columns)
 
 
 def tombstones(links: DataFrame) -> DataFrame:
@@ -51,22 +51,23 @@ def diff(before: DataFrame, after: DataFrame, keys: list[str], payload: list[str
 
 
 def diff_samples(changes: DataFrame, keys: list[str], limit: int = 20) -> DataFrame:
-    """The first `limit` rows of each changed status in key order (a report)."""
-    w = Window.partitionBy("status").orderBy(*keys)
-    return changes.where("status <> 'same'").withColumn("sample", F.row_number().over(w)).where(F.col("sample") <= limit)
+    """The first `limit` rows of each changed status in key order (a report). Rows are ranked inside hash buckets first, so no task sees a whole status."""
+    rank = lambda by: F.row_number().over(Window.partitionBy("status", *by).orderBy(*keys))
+    some = changes.where("status <> 'same'").withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(256))).withColumn("sample", rank(["_b"])).where(F.col("sample") <= limit)
+    return some.withColumn("sample", rank([])).where(F.col("sample") <= limit).drop("_b")
 
 
 def derive_volume(values: DataFrame, concepts: DataFrame, densities: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(derived values per 100 ml, derivation rows) for measured per-100-g values of groups with a density.
 
     A cell that already has a per-100-ml value is left alone; of several source values the one with the
-    smallest record id is derived.
+    smallest record id (then source and value) is derived.
     """
     have = values.where(F.col("basis") == K.PER_100ML).select("concept_id", "nutrient_id").distinct()
     base = values.where((F.col("basis") == K.PER_100G) & (F.col("value_type") == "measured") & F.col("value").isNotNull())
     base = base.join(concepts.select("concept_id", "food_group"), "concept_id").join(F.broadcast(densities.select("food_group", "density_g_per_ml")), "food_group")
     base = base.join(have, ["concept_id", "nutrient_id"], "left_anti")
-    first = F.row_number().over(Window.partitionBy("concept_id", "nutrient_id").orderBy("source_record_id"))
+    first = F.row_number().over(Window.partitionBy("concept_id", "nutrient_id").orderBy("source_record_id", "source_id", "value"))
     base = base.withColumn("_r", first).where("_r = 1")
     seed = F.concat_ws("|", F.lit("derivation"), F.col("source_id"), F.lit("volume"), F.concat(F.col("source_record_id"), F.lit(":100ml")))
     base = base.withColumn("derivation_id", F.concat(F.lit(K.ID_PREFIX), S.stable_id(seed)))

@@ -1,9 +1,11 @@
 """Choosing one value of several: most specific rule, preferred candidate, alternatives, divergence, overrides.
 
 A cell is (concept_id, nutrient_id, locale, basis). Candidates are ordered by
-the place of their source in the rule's order, the rank of their value type and
-the record id; nothing is ever averaged. One shuffle on the cell key serves the
-ranking, the alternatives and the divergence.
+the place of their source in the rule's order, the rank of their value type, the
+record id and the value; nothing is ever averaged. Only the place of the source
+depends on the locale. So candidates are brought together per (concept,
+nutrient, basis), before locales multiply them: for the preferred value alone,
+one row per source goes on; for the divergence, the least and the greatest value.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from ..functions import fixed as K
 from ..functions import scalar as S
 
 CELL = ["concept_id", "nutrient_id", "locale", "basis"]
+KEY = ["concept_id", "nutrient_id", "basis"]
 PAYLOAD = ["source_id", "source_record_id", "value", "unit", "value_type", "derivation_id"]
 
 
@@ -24,7 +27,7 @@ def specificity(group: Column, nutrient: Column) -> Column:
 
 
 def resolve_rules(cells: DataFrame, rules: DataFrame) -> DataFrame:
-    """Adds source_order (array) of the most specific rule of each (locale, food_group, nutrient_id); null where none fits.
+    """Adds source_order (array) of the most specific rule of each (locale, food_group, nutrient_id); a row that no rule fits fails the query.
 
     Four equi-joins on broadcast slices of the rule table, most specific first:
     no theta join and no row multiplied.
@@ -35,13 +38,19 @@ def resolve_rules(cells: DataFrame, rules: DataFrame) -> DataFrame:
         part = part.select(F.col("locale"), *([F.col("food_group")] if g else []), *([F.col("nutrient").alias("nutrient_id")] if n else []), F.split("source_order", ">").alias(f"_o{k}"))
         out = out.join(F.broadcast(part), ["locale", *filter(None, (g, n))], "left")
         orders.append(f"_o{k}")
-    return out.withColumn("source_order", F.coalesce(*orders)).drop(*orders)
+    found = F.coalesce(*orders)
+    none = F.raise_error(F.concat_ws(" ", F.lit("no source rule for"), "locale", "food_group", "nutrient_id")).cast("array<string>")
+    return out.withColumn("source_order", F.when(found.isNull(), none).otherwise(found)).drop(*orders)
+
+
+def _type_rank():
+    return S.lookup(K.TYPE_RANK, F.col("value_type"), 3)
 
 
 def rank_candidates(cells: DataFrame) -> DataFrame:
     """Adds source_rank, type_rank and pick (1: preferred). cells carry source_order."""
-    out = cells.withColumn("source_rank", S.rank_in(F.col("source_order"), F.col("source_id"))).withColumn("type_rank", S.lookup(K.TYPE_RANK, F.col("value_type"), 3))
-    order = Window.partitionBy(*CELL).orderBy("source_rank", "type_rank", "source_record_id")
+    out = cells.withColumn("source_rank", S.rank_in(F.col("source_order"), F.col("source_id"))).withColumn("type_rank", _type_rank())
+    order = Window.partitionBy(*CELL).orderBy("source_rank", "type_rank", "source_record_id", "value")
     return out.withColumn("pick", F.row_number().over(order))
 
 
@@ -54,32 +63,60 @@ def alternatives(cells: DataFrame) -> DataFrame:
     return rank_candidates(cells).where("pick > 1").withColumn("alternative", F.col("pick") - 1)
 
 
-def merge_cells(cells: DataFrame) -> DataFrame:
-    """One row per cell: the preferred candidate, `alternatives` (ordered array), `divergence_max` and `divergence_flag`.
+def contenders(cells: DataFrame) -> DataFrame:
+    """The best candidate of each source in each (concept, nutrient, basis): the only ones that any locale can prefer."""
+    by = [*KEY, "source_id"]
+    rest = [c for c in cells.columns if c not in (*by, "source_record_id", "value")]
+    best = cells.groupBy(*by).agg(F.min(F.struct(_type_rank().alias("_t"), "source_record_id", "value", *rest)).alias("_w"))
+    return best.select(*by, *[F.col(f"_w.{c}").alias(c) for c in cells.columns if c not in by])
+
+
+def preferred_by_locale(cells: DataFrame, locales: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per cell: its preferred candidate. cells: candidates with food_group; locales: concept_id, locale and what goes with them."""
+    return preferred_values(resolve_rules(contenders(cells).join(locales, "concept_id"), rules)).drop("source_order", "source_rank", "type_rank", "pick")
+
+
+def divergences(cells: DataFrame, preferred: DataFrame) -> DataFrame:
+    """preferred with n_alternatives, divergence_max and divergence_flag.
 
-    The divergence is the largest relative difference between the preferred value and a measured
-    alternative, counted only if the preferred value is measured too.
+    The divergence is the largest relative difference between the preferred value and a measured candidate, counted only
+    if the preferred value is measured too. Among values that are not negative it is that to the least or to the greatest
+    one; cells with negative values look at all of theirs.
     """
-    ranked = rank_candidates(cells)
-    keys = Window.partitionBy(*CELL).orderBy("source_rank", "type_rank", "source_record_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    top_value, top_type = F.first("value").over(keys), F.first("value_type").over(keys)
-    differ = F.when((F.col("pick") > 1) & (F.col("value_type") == "measured") & (top_type == "measured"), S.relative_difference(F.col("value"), top_value))
-    ranked = ranked.withColumn("_differ", differ)
-    cols = [c for c in cells.columns if c not in (*CELL, "source_order")]
-    mine = F.struct(*[F.col(c) for c in cols])
-    other = F.struct("pick", *[F.col(c) for c in PAYLOAD])
-    out = ranked.groupBy(*CELL).agg(
-        F.min_by(mine, "pick").alias("_p"),
-        F.array_sort(F.collect_list(F.when(F.col("pick") > 1, other))).alias("_a"),
-        F.coalesce(F.max("_differ"), F.lit(0.0)).alias("divergence_max"),
-    )
-    return out.select(
-        *CELL,
-        *[F.col(f"_p.{c}").alias(c) for c in cols],
-        F.transform("_a", lambda x: F.struct(*[x[c].alias(c) for c in PAYLOAD])).alias("alternatives"),
-        "divergence_max",
-        (F.col("divergence_max") >= K.DIVERGENCE).alias("divergence_flag"),
-    )
+    here = F.col("value_type") == "measured"
+    value = F.when(here, F.col("value"))
+    stat = cells.groupBy(*KEY).agg(F.count("*").alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    out = preferred.join(stat, KEY)
+    mine = F.when(here, F.col("value"))
+    plain = F.greatest(S.relative_difference(F.col("_lo"), mine), S.relative_difference(F.col("_hi"), mine))
+    odd = stat.where("_lo < 0").select(*KEY)
+    others = cells.where(here & F.col("value").isNotNull()).join(odd, KEY, "left_semi").select(*KEY, F.col("value").alias("_v"))
+    far = preferred.where(here).select(*CELL, "value").join(others, KEY).groupBy(*CELL).agg(F.max(S.relative_difference(F.col("_v"), F.col("value"))).alias("_far"))
+    out = out.join(far, CELL, "left").withColumn("divergence_max", F.coalesce(F.when(F.col("_lo") < 0, F.col("_far")).otherwise(plain), F.lit(0.0)))
+    return out.withColumn("n_alternatives", F.col("_n") - 1).withColumn("divergence_flag", F.col("divergence_max") >= K.DIVERGENCE).drop("_n", "_lo", "_hi", "_far")
+
+
+def merge_cells(cells: DataFrame, locales: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per cell: the preferred candidate, `alternatives` (ordered array), n_alternatives, divergence_max and divergence_flag.
+
+    cells: candidates with food_group; locales: concept_id, locale and what goes with them. Candidates are gathered once
+    per (concept, nutrient, basis) - the array is part of the result -, and ordered for each locale in place.
+    """
+    own = [c for c in cells.columns if c not in (*KEY, "food_group")]
+    first = ["source_record_id", "value"]
+    one = F.struct(_type_rank().alias("_t"), *first, *[c for c in own if c not in first])
+    some = cells.groupBy(*KEY, "food_group").agg(F.collect_list(one).alias("_c"))
+    some = resolve_rules(some.join(locales, "concept_id"), rules)
+    ranked = F.array_sort(F.transform("_c", lambda x: F.struct(S.rank_in(F.col("source_order"), x["source_id"]).alias("_s"), x.alias("_x"))))
+    some = some.withColumn("_c", F.transform(ranked, lambda x: x["_x"])).withColumn("_p", F.element_at("_c", 1)).withColumn("_a", F.slice("_c", F.lit(2), F.size("_c")))
+    far = F.aggregate("_a", F.lit(0.0), lambda m, x: F.greatest(m, F.when(x["value_type"] == "measured", S.relative_difference(x["value"], F.col("_p.value")))))
+    extra = [c for c in locales.columns if c not in ("concept_id", "locale")]
+    out = some.select(
+        *CELL, "food_group", *extra, *[F.col(f"_p.{c}").alias(c) for c in own],
+        F.transform("_a", lambda x: F.struct(*[x[c].alias(c) for c in PAYLOAD if c in own])).alias("alternatives"), F.size("_a").cast("long").alias("n_alternatives"),
+        F.when(F.col("_p.value_type") == "measured", far).otherwise(0.0).alias("divergence_max"),
+    )
+    return out.withColumn("divergence_flag", F.col("divergence_max") >= K.DIVERGENCE)
 
 
 def apply_overrides(model: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -94,9 +131,19 @@ def apply_overrides(model: DataFrame, overrides: DataFrame) -> DataFrame:
     return out.withColumn("override_justification", F.col("_j")).drop("_v", "_u", "_j").select(*model.columns, "override_justification")
 
 
-def read_model(values: DataFrame, concepts: DataFrame, labels: DataFrame, rules: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """The materialized read model: values joined with their concept's group and labels, one row per cell. Concepts without a label have none."""
+def read_model(values: DataFrame, concepts: DataFrame, labels: DataFrame, rules: DataFrame, overrides: DataFrame | None = None, with_alternatives: bool = True) -> DataFrame:
+    """The materialized read model: values joined with their concept's group and labels, one row per cell. Concepts without a label have none.
+
+    with_alternatives=False leaves the arrays out (their number stays): no candidate but the best of each source is carried.
+    """
     named = labels.where("ref_kind = 'concept'").groupBy(F.col("ref").alias("concept_id"), "locale").agg(F.min("text").alias("label"))
-    cells = values.join(concepts.select("concept_id", "food_group"), "concept_id").join(named, "concept_id")
-    out = merge_cells(resolve_rules(cells, rules))
+    cells = values.join(concepts.select("concept_id", "food_group"), "concept_id")
+    out = merge_cells(cells, named, rules) if with_alternatives else divergences(cells, preferred_by_locale(cells, named, rules))
     return apply_overrides(out, overrides) if overrides is not None else out.withColumn("override_justification", F.lit(None).cast("string"))
+
+
+def candidate_lists(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and `candidates`: the candidates' payload as an array in the order of their record ids."""
+    cols = [c for c in PAYLOAD if c in cells.columns]
+    row = F.struct("source_record_id", "source_id", *[c for c in cols if c not in ("source_record_id", "source_id")])
+    return cells.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("candidates"))

@@ -64,3 +64,41 @@ def spread(values: DataFrame, keys: list[str]) -> DataFrame:
 
 def lite(model: DataFrame, nutrients: list[str], locale: str = "en") -> DataFrame:
     return model.where(F.col("nutrient_id").isin(*nutrients) & (F.col("locale") == locale))
+
+
+def values_by_source(values: DataFrame, nutrients: DataFrame, sources: DataFrame, concept_id=None) -> DataFrame:
+    """Every value with its nutrient's name and its source's name, version and licence (of one concept, if named)."""
+    some = values if concept_id is None else values.where(F.col("concept_id") == concept_id)
+    named = some.join(nutrients.select(F.col("tagname").alias("nutrient_id"), "name_en"), "nutrient_id")
+    return named.join(sources.select("source_id", F.col("name").alias("source_name"), "version", "license_id"), "source_id")
+
+
+def food_matrix(model: DataFrame, nutrients: DataFrame, locale: str, concept_id=None, chains: dict[str, list[str]] | None = None) -> DataFrame:
+    """Preferred values, nulls included, in the first locale that has any for the concept: the locale itself, then the value locales' own order; with the nutrients' names."""
+    chains = K.VALUE_CHAINS if chains is None else chains
+    chain = {locale: [*chains.get(locale, K.CHAINS.get(locale, []))]} | {x: [] for x in chains.get(locale, K.CHAINS.get(locale, []))}
+    some = model if concept_id is None else model.where(F.col("concept_id") == concept_id)
+    return first_locale(some, locale, ["concept_id"], chain).join(nutrients.select(F.col("tagname").alias("nutrient_id"), "name_en"), "nutrient_id")
+
+
+def client_values(model: DataFrame, concept_id=None) -> DataFrame:
+    """Preferred values, nulls included, in the first of the client's locales that has any for the concept."""
+    first, *rest = K.CLIENT_LOCALES
+    some = model if concept_id is None else model.where(F.col("concept_id") == concept_id)
+    return first_locale(some, first, ["concept_id"], {first: rest} | {x: [] for x in rest})
+
+
+def coverage_of_concepts(values: DataFrame, nutrients: DataFrame, sources: DataFrame) -> DataFrame:
+    """Per concept and source: nutrients covered, and how many there are."""
+    total = nutrients.agg(F.count("*").alias("n_total"))
+    n = values.groupBy("concept_id", "source_id").agg(F.count_distinct("nutrient_id").alias("n_covered"))
+    return n.join(sources.select("source_id", F.col("name").alias("source_name"), "version"), "source_id").join(total)
+
+
+def food_groups(concepts: DataFrame, groups: DataFrame) -> DataFrame:
+    """The groups that concepts are in, with their names."""
+    return concepts.select("food_group").distinct().join(groups.select(F.col("id").alias("food_group"), "name_pt", "name_en"), "food_group").orderBy("food_group")
+
+
+def nutrient_catalog(nutrients: DataFrame) -> DataFrame:
+    return nutrients.select("tagname", "name_en", "unit").orderBy("tagname")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed as K
 from . import gates
 
 TAG = "^[A-Z][A-Z0-9_]*$"
@@ -16,11 +17,13 @@ def _bad(df: DataFrame, check: str, ref: str, condition: Column) -> DataFrame:
     return df.where(F.coalesce(condition, F.lit(True))).select(F.lit(check).alias("check"), F.col(ref).cast("string").alias("ref"))
 
 
-def vocabulary(nutrients: DataFrame, groups: DataFrame, units: DataFrame, relations: DataFrame) -> DataFrame:
-    """nutrients: tagname, group, unit; groups: group; units: unit; relations: parent, child.
+def vocabulary(nutrients: DataFrame, groups: DataFrame, units: DataFrame, relations: DataFrame, value_types: DataFrame, save) -> DataFrame:
+    """nutrients: tagname, group, unit; groups: group; units: unit; relations: parent, child; value_types: id, is_absence.
 
-    Tags well-formed and unique; groups, units and both ends of relations known; no relation to itself, twice, or in a circle.
+    Tags well-formed and unique; groups, units and both ends of relations known; no relation to itself, twice, or in a
+    circle; the energy tags and the required absence types are there, and absence is true or false.
     """
+    wanted = lambda df, values, name: df.sparkSession.createDataFrame([(v,) for v in values], f"{name} string").join(df, name, "left_anti")
     tags = nutrients.select("tagname")
     twice = nutrients.groupBy("tagname").count().where("count > 1")
     ends = relations.select(F.explode(F.array("parent", "child")).alias("tagname")).distinct()
@@ -34,7 +37,10 @@ def vocabulary(nutrients: DataFrame, groups: DataFrame, units: DataFrame, relati
         _bad(ends.join(tags, "tagname", "left_anti"), "relation_known", "tagname", F.lit(True)),
         _bad(relations.where("parent = child"), "relation_self", "parent", F.lit(True)),
         _bad(repeated, "relation_twice", "pair", F.lit(True)),
-        _bad(gates.cycles(relations), "relation_cycle", "node", F.lit(True)),
+        _bad(gates.cycles(relations, save), "relation_cycle", "node", F.lit(True)),
+        _bad(wanted(nutrients, K.ENERGY_TAGS, "tagname"), "energy_tag", "tagname", F.lit(True)),
+        _bad(wanted(value_types.where("is_absence = 'true'"), K.ABSENCE_TYPES, "id"), "absence_type", "id", F.lit(True)),
+        _bad(value_types, "absence_flag", "id", ~F.col("is_absence").isin("true", "false")),
     ]
     return reduce(lambda a, b: a.unionAll(b), parts)
 

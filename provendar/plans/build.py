@@ -15,6 +15,11 @@ VALUE = (
 ).split()
 
 
+def concept_id(source_id, food_code):
+    """The id of a source's food."""
+    return S.entity_id(F.lit("concept"), source_id, F.lit("food"), food_code)
+
+
 def transform(tables: dict[str, DataFrame], mapping: DataFrame, groups: DataFrame, ledger: DataFrame | None = None, check: bool = True) -> dict[str, DataFrame]:
     """Canonical tables from the contract tables of all sources (each with source_id).
 
@@ -24,7 +29,8 @@ def transform(tables: dict[str, DataFrame], mapping: DataFrame, groups: DataFram
     food, value = tables["food"], tables["value"]
     if check:
         gates.covered(value, mapping, ["source_id", "nutrient_code"], "values: nutrient mapping")
-        gates.holds(mapping, F.col("factor").cast("double") > 0, "a factor is not positive")
+        number = F.col("factor").cast("double")
+        gates.holds(mapping, (number > 0) & ~F.isnan(number), "a factor is not positive")
     path = S.string_map(F.col("group_path"))
     food = food.select("*", *[F.try_element_at(path, F.lit(k)).alias(f"_c{k}") for k in ("3", "2", "1")])
     for k in ("3", "2", "1"):
@@ -34,7 +40,7 @@ def transform(tables: dict[str, DataFrame], mapping: DataFrame, groups: DataFram
     if check:
         gates.holds(food, F.col("food_group").isNotNull(), "a food has no group")
     seed = F.concat_ws("|", F.lit("concept"), "source_id", F.lit("food"), "food_code")
-    food = food.withColumn("concept_id", F.concat(F.lit(K.ID_PREFIX), S.stable_id(seed))).withColumn("seed_hash", F.sha2(seed, 256))
+    food = food.withColumn("concept_id", concept_id(F.col("source_id"), F.col("food_code"))).withColumn("seed_hash", F.sha2(seed, 256))
     new_ledger = records.ledger_upsert(ledger, food) if ledger is not None else food.select("source_id", "food_code", "concept_id", "seed_hash", F.lit("new").alias("state"))
     if check and ledger is not None:
         both = ledger.select("source_id", "food_code", F.col("concept_id").alias("_old")).join(food, ["source_id", "food_code"])
@@ -43,7 +49,7 @@ def transform(tables: dict[str, DataFrame], mapping: DataFrame, groups: DataFram
     cell_record = S.entity_id("source_record", F.col("source_id"), "value", F.concat_ws(":", "food_code", "nutrient_code"))
     m = mapping.select("source_id", "nutrient_code", "tagname", F.col("factor").cast("double").alias("_f"), "unit", F.nullif("energy_method", F.lit("-")).alias("analytical_method"))
     cell = value.where("value_kind <> 'missing'").join(F.broadcast(m), ["source_id", "nutrient_code"]).join(food.select("source_id", "food_code", "concept_id"), ["source_id", "food_code"])
-    scaled = lambda c: F.col(c) * F.col("_f")
+    scaled = lambda c: S.convert(F.col(c), F.col("_f"))
     values = cell.select(
         "concept_id", F.col("tagname").alias("nutrient_id"), scaled("value").alias("value"), "unit", S.lookup(K.KIND_TO_TYPE, F.col("value_kind")).alias("value_type"), F.lit("declared").alias("acquisition_type"), "source_id",
         cell_record.alias("source_record_id"), F.col("nutrient_code").alias("source_nutrient_code"), F.lit(None).cast("double").alias("n_samples"), F.lit(None).cast("double").alias("standard_deviation"),
@@ -80,10 +86,14 @@ def link(canonical: dict[str, DataFrame], links: DataFrame, check: bool = True)
     return canonical | {"value": records.reassign(canonical["value"], links), "tombstone": records.tombstones(links)}
 
 
-def derive(canonical: dict[str, DataFrame], densities: DataFrame) -> dict[str, DataFrame]:
+def derive(canonical: dict[str, DataFrame], densities: DataFrame, portions: DataFrame | None = None, check: bool = True) -> dict[str, DataFrame]:
+    """Adds calculated values and their derivations, and the density and portion tables they rest on."""
+    if check and portions is not None:
+        gates.covered(portions, canonical["concept"].select("concept_id"), ["concept_id"], "portions: concept")
     derived, chain = records.derive_volume(canonical["value"], canonical["concept"], densities)
     old = canonical.get("derivation")
-    return canonical | {"value": records.append_derived(canonical["value"], derived), "derivation": chain if old is None else old.unionByName(chain)}
+    out = canonical | {"value": records.append_derived(canonical["value"], derived), "derivation": chain if old is None else old.unionByName(chain), "density": densities}
+    return out if portions is None else out | {"portion": portions}
 
 
 def label_table(names: DataFrame, glossary: DataFrame, reviewed: DataFrame | None = None, curated: DataFrame | None = None, divergent: DataFrame | None = None) -> DataFrame:

@@ -38,7 +38,9 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- adapters
 
-RECORD = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+#: A line item's name: its keys (which repeat), its day and its quantity.
+RECORD = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, datediff(l_shipdate, date'1970-01-01'), cast(round(l_quantity * 100) as bigint))"
+RECORD_SQL = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_diff('day', DATE '1970-01-01', l_shipdate::DATE), round(l_quantity * 100)::BIGINT)"
 RULES = [
     ("en", "*", "*", "EUROPE>AMERICA>ASIA>AFRICA>MIDDLE EAST"),
     ("en", "*", "PRICE", "ASIA>AFRICA"),
@@ -74,10 +76,10 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
     return long.select("concept_id", "nutrient_id", F.when(F.col("v") != 0, F.col("v")).alias("value"), F.lit("u").alias("unit"), kind.alias("value_type"), "source_id", "source_record_id", "basis", F.lit(None).cast("string").alias("derivation_id"))
 
 
-CELL_SQL = """
+CELL_SQL = f"""
 src AS (SELECT s_suppkey AS l_suppkey, r_name AS source_id FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 base AS (
-  SELECT l_partkey::VARCHAR AS concept_id, source_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS source_record_id,
+  SELECT l_partkey::VARCHAR AS concept_id, source_id, {RECORD_SQL} AS source_record_id,
          CASE WHEN l_linestatus = 'F' THEN 'per_100g_edible' ELSE 'per_100ml' END AS basis, l_returnflag AS flag,
          l_quantity, l_extendedprice, l_discount, l_tax
   FROM lineitem JOIN src USING (l_suppkey)),
@@ -100,10 +102,18 @@ def rules(spark: SparkSession) -> DataFrame:
 RULE_SQL = "rule(locale, food_group, nutrient, source_order) AS (VALUES " + ", ".join(str(r) for r in RULES) + ")"
 
 
+def grouped(spark: SparkSession, d: str) -> DataFrame:
+    """cells with their concept's group."""
+    return cells(spark, d).join(concepts(spark, d), "concept_id")
+
+
+def locales(spark: SparkSession, d: str) -> DataFrame:
+    return concepts(spark, d).select("concept_id", F.explode(F.array(F.lit("en"), F.lit("fr"))).alias("locale"))
+
+
 def located(spark: SparkSession, d: str) -> DataFrame:
     """cells with group, locale (en and fr) and the source order that holds for them."""
-    c = cells(spark, d).join(concepts(spark, d), "concept_id").withColumn("locale", F.explode(F.array(F.lit("en"), F.lit("fr"))))
-    return selection.resolve_rules(c, rules(spark))
+    return selection.resolve_rules(grouped(spark, d).withColumn("locale", F.explode(F.array(F.lit("en"), F.lit("fr")))), rules(spark))
 
 
 RANKED_SQL = f"""{CELL_SQL}, {RULE_SQL},
@@ -118,7 +128,7 @@ ranked AS (
   SELECT l.*, ch.source_order,
          row_number() OVER (PARTITION BY concept_id, l.nutrient_id, l.locale, basis ORDER BY
            coalesce(list_position(string_split(ch.source_order, '>'), source_id), len(string_split(ch.source_order, '>')) + 1),
-           CASE value_type WHEN 'measured' THEN 0 WHEN 'trace' THEN 1 WHEN 'below_loq' THEN 2 ELSE 3 END, source_record_id) AS pick
+           CASE value_type WHEN 'measured' THEN 0 WHEN 'trace' THEN 1 WHEN 'below_loq' THEN 2 ELSE 3 END, source_record_id, value NULLS FIRST) AS pick
   FROM located l JOIN chosen ch ON l.locale = ch.locale AND l.food_group = ch.food_group AND l.nutrient_id = ch.nutrient_id),
 best AS (SELECT * FROM ranked WHERE pick = 1),
 divergence AS (
@@ -144,7 +154,7 @@ def foods(spark: SparkSession, d: str) -> DataFrame:
 
 
 FOOD_SQL = f"""src AS (SELECT s_suppkey AS l_suppkey, r_name AS source_id FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-food AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS concept_id, source_id, {", ".join(f"({x.replace('D', '')})::DOUBLE AS {n}" for n, x in FOOD_COLUMNS.items())}, ({KCAL})::DOUBLE AS kcal FROM lineitem JOIN src USING (l_suppkey))"""
+food AS (SELECT {RECORD_SQL} AS concept_id, source_id, {", ".join(f"({x.replace('D', '')})::DOUBLE AS {n}" for n, x in FOOD_COLUMNS.items())}, ({KCAL})::DOUBLE AS kcal FROM lineitem JOIN src USING (l_suppkey))"""
 
 
 def food_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -180,7 +190,7 @@ def q_priority_rule_resolution(spark, d):
 
 @query(f"WITH {RANKED_SQL} SELECT concept_id, nutrient_id, locale, basis, value, value_type, source_id, source_record_id FROM best")
 def q_preferred_value(spark, d):
-    return selection.preferred_values(located(spark, d)).select(*selection.CELL, "value", "value_type", "source_id", "source_record_id")
+    return selection.preferred_by_locale(grouped(spark, d), locales(spark, d), rules(spark)).select(*selection.CELL, "value", "value_type", "source_id", "source_record_id")
 
 
 @query(f"WITH {RANKED_SQL} SELECT concept_id, nutrient_id, locale, basis, pick - 1 AS alternative, source_record_id, value FROM ranked WHERE pick > 1")
@@ -190,13 +200,14 @@ def q_alternatives_list(spark, d):
 
 @query(f"WITH {RANKED_SQL} SELECT b.concept_id, b.nutrient_id, b.locale, b.basis, coalesce(d, 0) AS divergence_max, coalesce(d, 0) >= 0.3 AS divergence_flag FROM best b LEFT JOIN divergence USING (concept_id, nutrient_id, locale, basis)")
 def q_divergence_max(spark, d):
-    return selection.merge_cells(located(spark, d)).select(*selection.CELL, "divergence_max", "divergence_flag")
+    c = grouped(spark, d)
+    return selection.divergences(c, selection.preferred_by_locale(c, locales(spark, d), rules(spark))).select(*selection.CELL, "divergence_max", "divergence_flag")
 
 
-def _model(spark, d) -> DataFrame:
+def _model(spark, d, with_alternatives: bool = False) -> DataFrame:
     names = concepts(spark, d).select(F.lit("concept").alias("ref_kind"), F.col("concept_id").alias("ref"), F.explode(F.array(F.lit("en"), F.lit("fr"))).alias("locale"), F.concat(F.lit("part "), F.col("concept_id")).alias("text"))
     over = spark.createDataFrame(OVERRIDES, "concept_id string, nutrient_id string, basis string, value double, unit string, justification string")
-    return selection.read_model(cells(spark, d), concepts(spark, d), names, rules(spark), over)
+    return selection.read_model(cells(spark, d), concepts(spark, d), names, rules(spark), over, with_alternatives)
 
 
 MODEL_SQL = f"""{RANKED_SQL},
@@ -210,8 +221,8 @@ model AS (
 
 @query(f"WITH {MODEL_SQL} SELECT * FROM model")
 def q_merged_read_model(spark, d):
-    cols = [*selection.CELL, "label", "food_group", "value", "value_type", "source_id", "source_record_id", F.size("alternatives").cast("long").alias("n_alternatives"), "divergence_max", "divergence_flag", "override_justification"]
-    return _model(spark, d).select(*cols)
+    cols = [*selection.CELL, "label", "food_group", "value", "value_type", "source_id", "source_record_id", "n_alternatives", "divergence_max", "divergence_flag", "override_justification"]
+    return _model(spark, d, True).where(F.size("alternatives") == F.col("n_alternatives")).select(*cols)
 
 
 @query(f"WITH {MODEL_SQL} SELECT concept_id, nutrient_id, basis, value FROM model WHERE locale = 'en' AND nutrient_id IN ('QTY', 'TAX')")
@@ -232,7 +243,7 @@ def q_food_values_chain(spark, d):
     return both.select("concept_id", "nutrient_id", "basis", "locale", "value")
 
 
-@query(f"""WITH {CELL_SQL}, one AS (SELECT concept_id, nutrient_id, source_id, arg_min(value, source_record_id) AS value FROM cell WHERE value_type = 'measured' AND value > 0 AND basis = 'per_100g_edible' GROUP BY ALL)
+@query(f"""WITH {CELL_SQL}, one AS (SELECT concept_id, nutrient_id, source_id, arg_min(value, (source_record_id, value)) AS value FROM cell WHERE value_type = 'measured' AND value > 0 AND basis = 'per_100g_edible' GROUP BY ALL)
 SELECT concept_id, nutrient_id, a.source_id AS source_a, b.source_id AS source_b, a.value AS value_a, b.value AS value_b, abs(a.value - b.value) / greatest(a.value, b.value) AS divergence
 FROM one a JOIN one b USING (concept_id, nutrient_id) WHERE a.source_id < b.source_id""")
 def q_source_pair_divergence(spark, d):
@@ -242,8 +253,8 @@ def q_source_pair_divergence(spark, d):
 # --------------------------------------------------------------------------- quality
 
 
-@query("""WITH s AS (SELECT p_type, count(l_quantity * p_size) AS n, avg(l_quantity * p_size) AS m, stddev_samp(l_quantity * p_size) AS sd FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL HAVING count(*) >= 10)
-SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS source_record_id, p_type AS food_group, round((l_quantity * p_size - m) / sd, 6) AS z
+@query(f"""WITH s AS (SELECT p_type, count(l_quantity * p_size) AS n, avg(l_quantity * p_size) AS m, stddev_samp(l_quantity * p_size) AS sd FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL HAVING count(*) >= 10)
+SELECT {RECORD_SQL} AS source_record_id, p_type AS food_group, round((l_quantity * p_size - m) / sd, 6) AS z
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN s USING (p_type) WHERE abs((l_quantity * p_size - m) / sd) > 2""")
 def q_group_zscore(spark, d):
     li = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -257,7 +268,7 @@ def q_pivot_profile_sum(spark, d):
 
 
 @query(f"""WITH {FOOD_SQL}, e AS (SELECT *, abs(kcal - (4 * PROCNT + 9 * FAT + 4 * CHOAVL + 2 * FIBTG + 7 * ALC)) AS off FROM food)
-SELECT concept_id || '|' || source_id AS ref, round(off, 6) AS metric FROM e WHERE off > 5 AND (kcal = 0 OR off / abs(kcal) > 0.05)""")
+SELECT concept_id || '|' || source_id AS ref, round(off, 6) AS metric FROM e WHERE off > 5 AND kcal <> 0 AND off / abs(kcal) > 0.05""")
 def q_energy_recalc(spark, d):
     kcal = table(spark, d, "lineitem").join(sources(spark, d), "l_suppkey").select(F.expr(RECORD).alias("concept_id"), "source_id", F.expr(KCAL).alias("kcal"))
     return quality.energy(food_profile(spark, d), kcal).select("ref", F.round("metric", 6).alias("metric"))
@@ -277,7 +288,7 @@ def q_ratio_checks(spark, d):
 
 
 @query(f"""WITH {CELL_SQL}, m AS (SELECT * FROM cell WHERE value_type = 'measured' AND value IS NOT NULL AND basis = 'per_100g_edible'),
-one AS (SELECT concept_id, nutrient_id, source_id, arg_min(value, source_record_id) AS value FROM m WHERE value > 0 GROUP BY ALL),
+one AS (SELECT concept_id, nutrient_id, source_id, arg_min(value, (source_record_id, value)) AS value FROM m WHERE value > 0 GROUP BY ALL),
 o AS (
   SELECT 'cross_source' AS "check", 'info' AS severity FROM one a JOIN one b USING (concept_id, nutrient_id) WHERE a.source_id < b.source_id AND abs(a.value - b.value) / greatest(a.value, b.value) >= 0.3 UNION ALL
   SELECT 'unit', 'error' FROM m WHERE nutrient_id IN ('DISC', 'TAX'))
@@ -317,21 +328,12 @@ def q_orphan_keys(spark, d):
     return gates.orphans(table(spark, d, "orders"), table(spark, d, "customer").where("c_acctbal > 0"), "o_custkey", "c_custkey", limit=None)
 
 
-@query("SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS source_record_id, s_name AS ref, n_name AS nation, r_name AS source_id FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE l_quantity >= 49")
+@query(f"SELECT {RECORD_SQL} AS source_record_id, s_name AS ref, n_name AS nation, r_name AS source_id FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
 def q_provenance_walk(spark, d):
-    return _provenance(spark, d, table(spark, d, "lineitem").where("l_quantity >= 49"))
-
-
-@query()
-def q_provenance_walk_all(spark, d):
-    """The walk of every record; provenance_walk is bound to the quantities that its SQL names."""
-    return _provenance(spark, d, table(spark, d, "lineitem"))
-
-
-def _provenance(spark, d, records: DataFrame) -> DataFrame:
+    """The walk of every record to its source."""
     s, n, r = (table(spark, d, x) for x in ("supplier", "nation", "region"))
     dim = s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
-    li = records.select("l_suppkey", F.expr(RECORD).alias("source_record_id"))
+    li = table(spark, d, "lineitem").select("l_suppkey", F.expr(RECORD).alias("source_record_id"))
     return li.join(dim, F.col("l_suppkey") == F.col("s_suppkey")).select("source_record_id", F.col("s_name").alias("ref"), F.col("n_name").alias("nation"), F.col("r_name").alias("source_id"))
 
 
@@ -361,14 +363,14 @@ FOLD_SQL = "lower(strip_accents(replace(replace(replace(replace(replace(text, '
 LABEL_SQL = f"label AS (SELECT doc_id AS label_id, lang AS locale, text, {FOLD_SQL} AS norm FROM documents)"
 
 
-@query("SELECT lang AS locale, source, min(doc_id) AS doc_id, md5(arg_min(text, doc_id)) AS text_md5 FROM documents WHERE trim(text) <> '' GROUP BY ALL")
+@query("SELECT lang AS locale, source, min(doc_id) AS doc_id, md5(arg_min(text, (doc_id, text))) AS text_md5 FROM documents WHERE trim(text) <> '' GROUP BY ALL")
 def q_first_label_per_locale(spark, d):
     docs = table(spark, d, "documents").withColumnRenamed("lang", "locale")
     return labels.first_names(docs, ["locale", "source"], "text", "doc_id").select("locale", "source", "doc_id", F.md5("text").alias("text_md5"))
 
 
 @query("""WITH b AS (
-  SELECT 0 AS branch, d.doc_id::VARCHAR AS ref, lang AS locale, 'reviewed' AS status, text FROM documents d JOIN labels USING (doc_id) WHERE quality = 1 UNION ALL
+  SELECT 0 AS branch, d.doc_id::VARCHAR AS ref, lang AS locale, 'curated' AS status, text FROM documents d JOIN labels USING (doc_id) WHERE quality = 1 UNION ALL
   SELECT 1, doc_id::VARCHAR, lang, 'native', text FROM documents WHERE n_chars < 2000 UNION ALL
   SELECT 2, doc_id::VARCHAR, lang, 'mt_unreviewed', text FROM documents),
 r AS (SELECT *, row_number() OVER (PARTITION BY ref, locale ORDER BY branch, text) AS k FROM b)
@@ -381,13 +383,13 @@ def _branches(spark, d) -> DataFrame:
     docs = table(spark, d, "documents")
     good = docs.join(table(spark, d, "labels").where("quality = 1").select("doc_id"), "doc_id")
     form = lambda df, status: df.select(F.lit("concept").alias("ref_kind"), F.col("doc_id").cast("string").alias("ref"), F.col("lang").alias("locale"), F.lit(status).alias("status"), "text")
-    return labels.union_branches([form(good, "reviewed"), form(docs.where("n_chars < 2000"), "native"), form(docs, "mt_unreviewed")])
+    return labels.union_branches([form(good, "curated"), form(docs.where("n_chars < 2000"), "native"), form(docs, "mt_unreviewed")])
 
 
 @query("""WITH b AS (
-  SELECT lang AS locale, 'reviewed' AS status FROM documents JOIN labels USING (doc_id) WHERE quality = 1 UNION ALL
+  SELECT lang AS locale, 'curated' AS status FROM documents JOIN labels USING (doc_id) WHERE quality = 1 UNION ALL
   SELECT lang, 'native' FROM documents WHERE n_chars < 2000 UNION ALL SELECT lang, 'mt_unreviewed' FROM documents)
-SELECT locale, count(*) AS n, count(*) FILTER (status IN ('reviewed', 'native', 'official')) AS n_ok, count(*) FILTER (status IN ('reviewed', 'native', 'official')) / count(*) AS share FROM b GROUP BY ALL""")
+SELECT locale, count(*) AS n, count(*) FILTER (status IN ('native', 'official', 'curated')) AS n_ok, count(*) FILTER (status IN ('native', 'official', 'curated')) / count(*) AS share FROM b GROUP BY ALL""")
 def q_label_status_share(spark, d):
     return labels.status_share(_branches(spark, d))
 
@@ -399,8 +401,7 @@ def q_normalize_label(spark, d):
 
 @query(f"WITH {LABEL_SQL} SELECT label_id, locale FROM label WHERE (contains(lower(text), 'thand') OR contains(norm, 'thand')) AND (contains(lower(text), 'erea') OR contains(norm, 'erea'))")
 def q_search_substring(spark, d):
-    t = doc_labels(spark, d)
-    return search.matches(t, 'Thand* "erea"', search.trigram_index(t)).select("label_id", "locale")
+    return search.matches(doc_labels(spark, d), 'Thand* "erea"').select("label_id", "locale")
 
 
 @query(f"WITH {LABEL_SQL} SELECT label_id, locale FROM label WHERE regexp_matches(norm, '(^|[^\\p{{L}}\\p{{N}}])eu') AND regexp_matches(norm, '(^|[^\\p{{L}}\\p{{N}}])menta')")
@@ -414,7 +415,20 @@ def q_search_fallback(spark, d):
     return search.search(doc_labels(spark, d), "ingwh", "pt-PT", 50).select("label_id", "locale")
 
 
-@query()
+@query(f"""WITH {LABEL_SQL},
+word AS (SELECT label_id, locale, word, count(*) AS tf FROM (SELECT label_id, locale, unnest(regexp_extract_all(norm, '[\\p{{L}}\\p{{N}}]+')) AS word FROM label) GROUP BY ALL),
+len AS (SELECT label_id, locale, sum(tf) AS len FROM word GROUP BY ALL),
+stat AS (SELECT locale, count(*) AS n, avg(len) AS avg_len FROM len GROUP BY ALL),
+hit AS (SELECT * FROM word WHERE word IN ('thing', 'other')),
+df AS (SELECT locale, word, count(*) AS df FROM hit GROUP BY ALL),
+score AS (
+  SELECT label_id, sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len / avg_len))) AS score
+  FROM hit JOIN len USING (label_id, locale) JOIN df USING (locale, word) JOIN stat USING (locale) GROUP BY ALL),
+found AS (
+  SELECT label_id, locale, coalesce(score, 0) AS score FROM label LEFT JOIN score USING (label_id)
+  WHERE locale = 'en' AND (contains(lower(text), 'thing') OR contains(norm, 'thing')) AND (contains(lower(text), 'other') OR contains(norm, 'other'))),
+r AS (SELECT *, row_number() OVER (ORDER BY score DESC, label_id) AS k FROM found)
+SELECT label_id, locale, round(score, 6) AS score FROM r WHERE k <= 20""")
 def q_search_ranked(spark, d):
     t = doc_labels(spark, d)
     return search.search(t, "thing other", "it", 20, words=Scratch(spark).save(search.word_index(t))).select("label_id", "locale", F.round("score", 6).alias("score"))
@@ -423,9 +437,10 @@ def q_search_ranked(spark, d):
 # --------------------------------------------------------------------------- matching
 
 
-def _sides(spark, d) -> tuple[DataFrame, DataFrame]:
-    side = lambda name, key: table(spark, d, name).select(F.col(key).alias("id"), "text", F.array().cast("array<string>").alias("terms"), S.words_of(F.col("text")).alias("tokens"))
-    return side("documents", "doc_id"), side("benchmark", "item_id")
+def _sides(spark, d, save=lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """Documents and test items as the two sides; save keeps their words where they are used more than once."""
+    side = lambda name, key: table(spark, d, name).select(F.col(key).alias("id"), F.array().cast("array<string>").alias("terms"), S.words_of(F.col("text")).alias("tokens"))
+    return save(side("documents", "doc_id")), save(side("benchmark", "item_id"))
 
 
 TOKEN_SQL = f"""doc AS (SELECT doc_id AS id, regexp_extract_all({FOLD_SQL}, '[\\p{{L}}\\p{{N}}]+') AS tokens FROM documents),
@@ -447,21 +462,21 @@ def q_token_df(spark, d):
 
 @query(f"WITH {TOKEN_SQL} SELECT left_id, right_id FROM pair")
 def q_blocking_pairs(spark, d):
-    a, b = _sides(spark, d)
+    a, b = _sides(spark, d, Scratch(spark).save)
     return matching.blocking_pairs(a, b, matching.token_counts(a, b))
 
 
 def _scored(spark, d) -> DataFrame:
-    a, b = _sides(spark, d)
+    a, b = _sides(spark, d, Scratch(spark).save)
     pairs = matching.blocking_pairs(a, b, matching.token_counts(a, b))
     both = pairs.join(a.select(F.col("id").alias("left_id"), F.col("tokens").alias("x")), "left_id").join(b.select(F.col("id").alias("right_id"), F.col("tokens").alias("y")), "right_id")
-    return both.select("left_id", "right_id", matching.jaccard(F.col("x"), F.col("y")).alias("jaccard"))
+    return both.select("left_id", "right_id", "x", "y", matching.jaccard(F.col("x"), F.col("y")).alias("jaccard"))
 
 
 @query(f"WITH {TOKEN_SQL} SELECT left_id, right_id, jaccard, 0.55 * jaccard + 0.25 * 0.5 + 0.20 * (left_id % 2) AS score FROM scored")
 def q_jaccard_score(spark, d):
     s = _scored(spark, d)
-    return s.withColumn("score", K.TERM_WEIGHT * F.col("jaccard") + F.lit(K.NAME_WEIGHT) * 0.5 + K.GROUP_WEIGHT * (F.col("left_id") % 2))
+    return s.select("left_id", "right_id", "jaccard", matching.score(F.col("x"), F.col("y"), F.lit(0.5), F.col("left_id") % 2 == 1).alias("score"))
 
 
 @query(f"""WITH {TOKEN_SQL}, p AS (SELECT left_id, right_id, CASE WHEN jaccard >= 0.05 THEN 'automatic' ELSE 'review' END AS status FROM scored WHERE jaccard >= 0.02),
@@ -480,25 +495,34 @@ def q_match_evaluation(spark, d):
 
 @query()
 def q_name_similarity(spark, d):
-    n = table(spark, d, "part").select("p_name").distinct()
-    a, b = n.withColumn("w", F.explode(S.words_of(F.col("p_name")))), n.select(F.col("p_name").alias("other"), F.explode(S.words_of(F.col("p_name"))).alias("w"))
-    pairs = a.join(b, "w").where("p_name < other").select("p_name", "other").distinct()
-    return pairs.withColumn("similarity", T.name_similarity("p_name", "other"))
-
-
-@query()
+    """Similarity of the part names that share a rare word: no SQL (Ratcliff-Obershelp); tests hold it against the plain function."""
+    n = table(spark, d, "part").select(F.col("p_name").alias("id"), F.array().cast("array<string>").alias("terms"), S.words_of(F.col("p_name")).alias("tokens")).distinct()
+    pairs = matching.blocking_pairs(n, n, matching.token_counts(n)).where("left_id < right_id")
+    return pairs.select(F.col("left_id").alias("p_name"), F.col("right_id").alias("other"), T.name_similarity("left_id", "right_id").alias("similarity"))
+
+
+@query(f"""WITH RECURSIVE {TOKEN_SQL},
+rest(round, left_id, right_id, score) AS (
+  SELECT 0, left_id, right_id, jaccard FROM scored
+  UNION ALL
+  SELECT round + 1, left_id, right_id, score FROM (
+    SELECT *, max(taken) OVER (PARTITION BY left_id) AS l, max(taken) OVER (PARTITION BY right_id) AS r FROM (
+      SELECT *, CASE WHEN row_number() OVER (PARTITION BY left_id ORDER BY score DESC, left_id, right_id) = 1 AND row_number() OVER (PARTITION BY right_id ORDER BY score DESC, left_id, right_id) = 1 THEN 1 ELSE 0 END AS taken FROM rest))
+  WHERE l = 0 AND r = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY round, left_id ORDER BY score DESC, left_id, right_id) AS a, row_number() OVER (PARTITION BY round, right_id ORDER BY score DESC, left_id, right_id) AS b FROM rest)
+SELECT left_id, right_id, score, score AS similarity FROM ranked WHERE a = 1 AND b = 1""")
 def q_greedy_one_to_one(spark, d):
     s = _scored(spark, d).select("left_id", "right_id", F.col("jaccard").alias("score"), F.col("jaccard").alias("similarity"))
     return matching.one_to_one(s, Scratch(spark).save)
 
 
-@query(f"""WITH {CELL_SQL}, m AS (SELECT concept_id::BIGINT AS id, nutrient_id, source_id, arg_max(value, source_record_id) AS value FROM cell WHERE value IS NOT NULL GROUP BY ALL),
+@query(f"""WITH {CELL_SQL}, m AS (SELECT concept_id::BIGINT AS id, nutrient_id, source_id, arg_max(value, (source_record_id, value)) AS value FROM cell WHERE value IS NOT NULL GROUP BY ALL),
 p AS (SELECT DISTINCT a.id AS left_id, b.id AS right_id FROM m a JOIN m b ON b.id = a.id + 1 WHERE a.source_id = 'ASIA' AND b.source_id = 'EUROPE'),
 n AS (SELECT left_id, right_id, count(*) AS shared, count(*) FILTER (abs(a.value - b.value) / greatest(abs(a.value), abs(b.value)) > 0.65) AS divergent
   FROM p JOIN m a ON a.id = left_id AND a.source_id = 'ASIA' JOIN m b ON b.id = right_id AND b.source_id = 'EUROPE' AND a.nutrient_id = b.nutrient_id GROUP BY ALL)
 SELECT left_id, right_id, coalesce(shared, 0) AS shared, coalesce(divergent, 0) AS divergent, coalesce(shared, 0) >= 3 AND coalesce(divergent, 0) >= 2 AS vetoed FROM p LEFT JOIN n USING (left_id, right_id)""")
 def q_nutrient_veto(spark, d):
-    m = cells(spark, d).where("value is not null").groupBy(F.col("concept_id").cast("long").alias("id"), "nutrient_id", "source_id").agg(F.max_by("value", "source_record_id").alias("value"))
+    m = cells(spark, d).where("value is not null").groupBy(F.col("concept_id").cast("long").alias("id"), "nutrient_id", "source_id").agg(F.max_by("value", F.struct("source_record_id", "value")).alias("value"))
     a, b = m.where("source_id = 'ASIA'"), m.where("source_id = 'EUROPE'")
     pairs = a.select(F.col("id").alias("left_id")).distinct().withColumn("right_id", F.col("left_id") + 1).join(b.select(F.col("id").alias("right_id")).distinct(), "right_id", "left_semi")
     return matching.nutrient_veto(pairs, a, b, tuple(NUTRIENTS)).select("left_id", "right_id", "shared", "divergent", "vetoed")
@@ -540,7 +564,7 @@ def q_ledger_upsert(spark, d):
 
 
 @query(f"""WITH {CELL_SQL}, dens(food_group, x) AS (VALUES {', '.join(str(x) for x in DENSITIES)}),
-b AS (SELECT c.*, x, row_number() OVER (PARTITION BY concept_id, nutrient_id ORDER BY source_record_id) AS k FROM cell c JOIN concept USING (concept_id) JOIN dens USING (food_group)
+b AS (SELECT c.*, x, row_number() OVER (PARTITION BY concept_id, nutrient_id ORDER BY source_record_id, source_id, value) AS k FROM cell c JOIN concept USING (concept_id) JOIN dens USING (food_group)
   WHERE basis = 'per_100g_edible' AND value_type = 'measured' AND NOT EXISTS (SELECT 1 FROM cell v WHERE v.concept_id = c.concept_id AND v.nutrient_id = c.nutrient_id AND v.basis = 'per_100ml' AND v.source_id = 'ASIA'))
 SELECT concept_id, nutrient_id, value * x AS value, source_record_id, 'calculated' AS value_type, 'per_100ml' AS basis FROM b WHERE k = 1""")
 def q_derive_volume(spark, d):
@@ -596,12 +620,15 @@ EDGES = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("x", "y"),
 @query(f"""WITH RECURSIVE e(p, c) AS (VALUES {', '.join(str(x) for x in EDGES)}),
 w(start, node) AS (SELECT p, c FROM e UNION SELECT w.start, e.c FROM w JOIN e ON w.node = e.p) SELECT DISTINCT start AS node FROM w WHERE start = node""")
 def q_relation_cycle(spark, d):
-    return gates.cycles(spark.createDataFrame(EDGES, "parent string, child string"))
+    return gates.cycles(spark.createDataFrame(EDGES, "parent string, child string"), Scratch(spark).save)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import queries_build  # noqa: F401  registers its queries here
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_ORACLE)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
@@ -23,4 +24,5 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(root.rglob("*.py")):
             z.write(p, f"{root.name}/{p.relative_to(root)}")
     spark.sparkContext.addPyFile(path)
+    atexit.register(lambda: os.path.exists(path) and os.remove(path))  # executors may fetch it until the driver ends
     _DONE.add(app)

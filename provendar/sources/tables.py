@@ -7,7 +7,8 @@ import tomllib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import gates
+from ..functions import fixed as K
+from ..operators import gates, search
 
 CONTRACT = ("food", "food_group", "constituent", "value")
 
@@ -48,22 +49,77 @@ def toml(spark: SparkSession, path: str) -> dict:
     return tomllib.loads("\n".join(_lines(spark, path)))
 
 
-def registry(spark: SparkSession, path: str) -> DataFrame:
-    """Sources of a TOML registry ([[source]] or [source.<id>]) with checks on ids, hashes and profiles."""
-    data = toml(spark, path)
+def registry_entries(data: dict) -> list[dict]:
+    """Sources of a TOML registry ([[source]] or [source.<id>]), checked: hashes, files or a single file, profiles, licences that may not be distributed."""
     found = data.get("source", data.get("sources", {}))
     rows = list(found) if isinstance(found, list) else [{"id": k, **v} for k, v in found.items()]
     for r in rows:
-        for f in r.get("files", []):
-            sha = f.get("sha256", "")
-            if len(sha) != 64 or set(sha) - set("0123456789abcdef"):
+        files, profiles = r.get("files", []), r.get("artifacts", r.get("profiles", []))
+        for sha in [f.get("sha256", "") for f in files] + ([r["sha256"]] if "sha256" in r else []):
+            if len(sha) != 64 or set(sha.lower()) - set("0123456789abcdef"):
                 raise gates.ContractError(f"{r['id']}: bad sha256")
-        if r.get("license_id", "").startswith("ODbL") and r.get("profiles"):
+        if files and ("sha256" in r or "filename" in r):
+            raise gates.ContractError(f"{r['id']}: either files or a single file")
+        if files and not all(f.get("name") for f in files):
+            raise gates.ContractError(f"{r['id']}: a file has no name")
+        if unknown := sorted(set(profiles) - set(K.PROFILES)):
+            raise gates.ContractError(f"{r['id']}: unknown profiles {unknown}")
+        if r.get("license_id", "").lower().startswith("odbl") and profiles:
             raise gates.ContractError(f"{r['id']}: its licence keeps it out of every profile")
+    return rows
+
+
+def registry(spark: SparkSession, path: str) -> DataFrame:
+    """One row per source: source_id, name, version, license_id, license_url, url, attribution."""
+    rows = registry_entries(toml(spark, path))
     cols = ("id", "name", "version", "license_id", "license_url", "url", "attribution")
     return spark.createDataFrame([tuple(str(r[c]) if c in r else None for c in cols) for r in rows], ", ".join(f"{'source_id' if c == 'id' else c} string" for c in cols))
 
 
+def pinned_files(spark: SparkSession, path: str) -> DataFrame:
+    """(source_id, file, sha256) of all files the registry pins."""
+    rows = [(r["id"], f["name"], f["sha256"].lower()) for r in registry_entries(toml(spark, path)) for f in r.get("files", [])]
+    return spark.createDataFrame(rows, "source_id string, file string, sha256 string")
+
+
+def locales(spark: SparkSession, path: str) -> tuple[list[str], dict[str, list[str]]]:
+    """(active locales, fallback chains) of a TOML file; unknown hops and direct cycles stop it."""
+    data = toml(spark, path)
+    chains = {k: list(v.get("fallback", [])) for k, v in data.get("locale", {}).items()}
+    for locale in [*chains, *data.get("active", [])]:
+        search.chain_of(locale, chains)
+    return list(data.get("active", chains)), chains
+
+
+def factors(spark: SparkSession, path: str, columns: list[str], keys: list[str], numbers: list[str]) -> DataFrame:
+    """A table of factors: unique keys, numeric factors, and evidence (the last column) in every row."""
+    rows = dimension(spark, path, columns)
+    gates.unique(rows, keys, path)
+    number = lambda c: F.expr(f"try_cast(`{c}` as double)")
+    for c in numbers:
+        gates.holds(rows, number(c).isNotNull(), f"{path}: {c} is not a number")
+    return rows.select(*[number(c).alias(c) if c in numbers else F.col(c) for c in columns])
+
+
+def densities(spark: SparkSession, path: str) -> DataFrame:
+    return factors(spark, path, ["food_group", "density_g_per_ml", "evidence"], ["food_group"], ["density_g_per_ml"])
+
+
+def portions(spark: SparkSession, path: str) -> DataFrame:
+    return factors(spark, path, ["concept_id", "measure", "grams", "evidence"], ["concept_id", "measure"], ["grams"])
+
+
+def write_csv(df: DataFrame, folder: str, order: list[str]) -> None:
+    """One CSV file with a header, sorted, lines ended by a line feed: for links, ledgers and decisions, which people read."""
+    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("lineSep", "\n").option("emptyValue", "").csv(folder, header=True)
+
+
+def unmapped(spark: SparkSession, folder: str) -> DataFrame:
+    """(file): what lies in the folder of things still to be mapped, besides README.md and hidden files; none may be left."""
+    files = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    return files.where(~F.col("file").startswith(".") & (F.col("file") != "README.md"))
+
+
 def contract_table(spark: SparkSession, folder: str, name: str, known: DataFrame | None = None) -> DataFrame:
     """One contract table of all sources, folder/<source_id=...>/; every source must be registered."""
     df = spark.read.option("basePath", f"{folder}/{name}").parquet(f"{folder}/{name}")

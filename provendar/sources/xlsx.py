@@ -1,6 +1,7 @@
-"""Source B: one workbook. A Python data source yields its cells (sheet, row, col, text); the rest is DataFrame work.
+"""Source B: one workbook, as cells (sheet, row, col, text); the rest is DataFrame work.
 
-The file is fetched through Spark (binaryFile), so any store that Spark can read will do.
+The file is fetched through Spark (binaryFile), so any store that Spark can read will do, and unpacked in one task: a
+workbook's sheets share one string table, so it cannot be split. Several workbooks are as many tasks.
 """
 
 from __future__ import annotations

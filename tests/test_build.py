@@ -11,10 +11,10 @@ from provendar.plans import artifact, build
 from provendar.sources import tables, xlsx, xml
 
 FILES = {
-    "alim": "<T><ALIM><alim_code> 1000 </alim_code><alim_nom_fr> Lait </alim_nom_fr><alim_nom_eng>Milk</alim_nom_eng><alim_nom_sci missing=' '/><alim_grp_code>01</alim_grp_code><alim_ssgrp_code>0101</alim_ssgrp_code><alim_ssssgrp_code>000000</alim_ssssgrp_code><facteur_Jones>6,38</facteur_Jones></ALIM><ALIM><alim_code>1001</alim_code><alim_nom_fr>Pain</alim_nom_fr><alim_nom_eng>Bread</alim_nom_eng><alim_grp_code>02</alim_grp_code></ALIM></T>",
+    "alim": "<T><ALIM><alim_code> 7100 </alim_code><alim_nom_fr> Lait </alim_nom_fr><alim_nom_eng>Milk</alim_nom_eng><alim_nom_sci missing=' '/><alim_grp_code>01</alim_grp_code><alim_ssgrp_code>0101</alim_ssgrp_code><alim_ssssgrp_code>000000</alim_ssssgrp_code><facteur_Jones>6,38</facteur_Jones></ALIM><ALIM><alim_code>7101</alim_code><alim_nom_fr>Pain</alim_nom_fr><alim_nom_eng>Bread</alim_nom_eng><alim_grp_code>02</alim_grp_code></ALIM></T>",
     "grp": "<T><ALIM_GRP><alim_grp_code>01</alim_grp_code><alim_grp_nom_fr>laits</alim_grp_nom_fr><alim_ssgrp_code>0101</alim_ssgrp_code><alim_ssgrp_nom_fr>laits frais</alim_ssgrp_nom_fr><alim_ssssgrp_code>000000</alim_ssssgrp_code><alim_ssssgrp_nom_fr>-</alim_ssssgrp_nom_fr></ALIM_GRP><ALIM_GRP><alim_grp_code>02</alim_grp_code><alim_grp_nom_fr>pains</alim_grp_nom_fr></ALIM_GRP></T>",
     "const": "<T><CONST><const_code>400</const_code><const_nom_fr>Eau (g/100 g)</const_nom_fr></CONST><CONST><const_code>328</const_code><const_nom_fr>Energie (kcal/100 g)</const_nom_fr></CONST></T>",
-    "compo": "<T><COMPO><alim_code>1000</alim_code><const_code>400</const_code><teneur> 59,7 </teneur><min missing=' '/><max>60</max><code_confiance>A</code_confiance><source_code>1</source_code></COMPO><COMPO><alim_code>1000</alim_code><const_code>328</const_code><teneur>&lt; 1,5</teneur></COMPO><COMPO><alim_code>1001</alim_code><const_code>400</const_code><teneur>-</teneur></COMPO><COMPO><alim_code>1001</alim_code><const_code>328</const_code><teneur>traces</teneur></COMPO></T>",
+    "compo": "<T><COMPO><alim_code>7100</alim_code><const_code>400</const_code><teneur> 41,3 </teneur><min missing=' '/><max>44</max><code_confiance>A</code_confiance><source_code>1</source_code></COMPO><COMPO><alim_code>7100</alim_code><const_code>328</const_code><teneur>&lt; 2,5</teneur></COMPO><COMPO><alim_code>7101</alim_code><const_code>400</const_code><teneur>-</teneur></COMPO><COMPO><alim_code>7101</alim_code><const_code>328</const_code><teneur>traces</teneur></COMPO></T>",
     "sources": "<T><SOURCES><source_code>1</source_code><ref_citation/></SOURCES></T>",
 }
 
@@ -54,7 +54,7 @@ NAMES = {k: f"{k}.xml" for k in FILES}
 def test_source_a(spark, raw_a):
     t = xml.extract(spark, str(raw_a), NAMES)
     got = {(r.food_code, r.nutrient_code): (r.value, r.value_kind, r.threshold, r.max_value) for r in t["value"].collect()}
-    assert got == {("1000", "400"): (59.7, "number", None, 60.0), ("1000", "328"): (None, "below_loq", 1.5, None), ("1001", "400"): (None, "missing", None, None), ("1001", "328"): (None, "trace", None, None)}
+    assert got == {("7100", "400"): (41.3, "number", None, 44.0), ("7100", "328"): (None, "below_loq", 2.5, None), ("7101", "400"): (None, "missing", None, None), ("7101", "328"): (None, "trace", None, None)}
     assert {(r.level, r.code, r.name) for r in t["food_group"].collect()} == {("1", "01", "laits"), ("2", "0101", "laits frais"), ("1", "02", "pains")}
     assert {r.nutrient_code: r.unit for r in t["constituent"].collect()} == {"400": "g", "328": "kcal"}
 
@@ -65,7 +65,7 @@ def test_source_a_fails_high(spark, raw_a, tmp_path):
     (tmp_path / "compo.xml").write_text(FILES["compo"].replace("traces", "a lot"))
     with pytest.raises(Exception, match="unexpected cell"):
         xml.cells(spark, str(tmp_path / "compo.xml"), check=False).collect()
-    (tmp_path / "compo.xml").write_text(FILES["compo"].replace("<alim_code>1001</alim_code>", "<alim_code>9</alim_code>"))
+    (tmp_path / "compo.xml").write_text(FILES["compo"].replace("<alim_code>7101</alim_code>", "<alim_code>9</alim_code>"))
     with pytest.raises(gates.ContractError, match="food"):
         xml.extract(spark, str(tmp_path), NAMES)
 
@@ -103,11 +103,11 @@ def test_build_to_artifact(spark, raw_a, raw_b, tmp_path):
     again = build.transform(both, mapping, groups, c["ledger"])
     assert {r.state for r in again["ledger"].collect()} == {"same"}
     ids = {r.ref: r.concept_id for r in c["source_record"].where("kind = 'food'").join(c["concept_link"], "source_record_id").collect()}
-    links = spark.createDataFrame([(ids["100"], ids["1000"], "automatic")], "absorbed string, survivor string, status string")
+    links = spark.createDataFrame([(ids["100"], ids["7100"], "automatic")], "absorbed string, survivor string, status string")
     c = build.link(c, links)
     c = build.derive(c, spark.createDataFrame([("dairy", 1.03)], "food_group string, density_g_per_ml double"))
     vol = c["value"].where("basis = 'per_100ml' and value_type = 'calculated'").collect()
-    assert {(r.concept_id, r.nutrient_id): r.value for r in vol} == {(ids["1000"], "WATER"): 59.7 * 1.03, (ids["1000"], "ENERC"): 60 * 1.03}
+    assert {(r.concept_id, r.nutrient_id): r.value for r in vol} == {(ids["7100"], "WATER"): 41.3 * 1.03, (ids["7100"], "ENERC"): 60 * 1.03}
     glossary = spark.createDataFrame([("WATER", "en", "reviewed", "Water")], "tagname string, locale string, status string, label string")
     label = build.label_table(c["name"], glossary)
     rules = spark.createDataFrame([("en", "*", "*", "a>b"), ("fr", "*", "*", "a>b"), ("pt", "*", "*", "b>a")], "locale string, food_group string, nutrient string, source_order string")
@@ -116,10 +116,10 @@ def test_build_to_artifact(spark, raw_a, raw_b, tmp_path):
     n = artifact.write({"mv_food_value": model, "label": label, **{k: c[k] for k in ("value", "concept", "source_record", "derivation", "tombstone", "concept_link")}}, folder)
     assert n["value"] == 8
     with Engine(spark, folder) as e:
-        assert [(r.ref, r.display) for r in e.search("mil", "es").collect()] == [(ids["1000"], "Milk")]
+        assert [(r.ref, r.display) for r in e.search("mil", "es").collect()] == [(ids["7100"], "Milk")]
         top = e.foods_for_nutrient("ENERC", "en").collect()
-        assert top[0].concept_id == ids["1000"] and top[0].value == 60 * 1.03
-        assert {r.nutrient_id for r in e.food_values(ids["1000"], "en").collect()} == {"WATER", "ENERC"}
+        assert top[0].concept_id == ids["7100"] and top[0].value == 60 * 1.03
+        assert {r.nutrient_id for r in e.food_values(ids["7100"], "en").collect()} == {"WATER", "ENERC"}
         assert e.diff(e).where("status <> 'same'").count() == 0
         assert artifact.checks(e.tables).count() == 0
         assert {r[0] for r in e.available_locales().collect()} == {"en", "fr", "pt"}
@@ -128,3 +128,56 @@ def test_build_to_artifact(spark, raw_a, raw_b, tmp_path):
     assert len(nodes) == 4 and any('"replacedBy"' in r.node for r in nodes)
     artifact.jsonl(c["concept"], str(tmp_path / "x"))
     assert spark.read.text(str(tmp_path / "x")).count() == 4
+
+
+def test_workspace_from_raw_files_to_release(spark, raw_a, raw_b, tmp_path):
+    """Every stage of the build over files, twice: ids stay, and all but the time is the same."""
+    import json
+    import shutil
+
+    from provendar.__main__ import READ, work
+    from provendar.plans.workspace import Workspace
+
+    (tmp_path / "config").mkdir()
+    shutil.copytree(raw_a, tmp_path / "raw" / "a")
+    (tmp_path / "raw" / "b").mkdir()
+    shutil.copy(raw_b, tmp_path / "raw" / "b" / "b.xlsx")
+    entry = lambda k: f'[sources.{k}]\nname = "Source {k}"\nversion = "1"\nlicense_id = "free"\nartifacts = ["core"]\n'
+    files = {
+        "registry.toml": entry("a") + entry("b"), "locales.toml": 'active = ["en", "fr"]\n[locale.en]\nfallback = []\n[locale.fr]\nfallback = []\n',
+        "nutrients.csv": "tagname,group,name_en,unit\nWATER,m,Water,g\nENERC_KCAL,m,Energy,kcal\nENERC_KJ,m,Energy kJ,kJ\nVITE,m,Vitamin E,ug\n", "nutrient_groups.csv": "group\nm\n", "units.csv": "unit\ng\nkcal\nkJ\nug\n", "relations.csv": "parent,child\nENERC_KCAL,ENERC_KJ\n",
+        "value_types.csv": "id,is_absence\n" + "".join(f"{x},true\n" for x in ("not_measured", "not_detected", "below_loq", "trace", "not_applicable", "assumed_zero")),
+        "mapping.csv": "source_id,nutrient_code,tagname,factor,unit,energy_method,is_default\na,400,WATER,1,g,-,1\na,328,ENERC_KCAL,1,kcal,-,1\nb,energia_kcal,ENERC_KCAL,1,kcal,-,1\nb,a_tocoferol_mg,VITE,1000,ug,-,1\n",
+        "group_mapping.csv": "source_id,level,code,food_group\na,1,01,dairy\na,1,02,bread\nb,1,Lacteos,dairy\nb,1,Bebidas alcoólicas,drinks\n",
+        "rules.csv": "locale,food_group,nutrient,source_order\nen,*,*,a>b\nfr,*,*,a>b\npt,*,*,b>a\n", "densities.csv": "food_group,density_g_per_ml,evidence\ndairy,1.03,x\n", "glossary.csv": "tagname,locale,label\nWATER,fr,Eau\nENERC_KCAL,fr,Énergie\nENERC_KJ,fr,Énergie kJ\nVITE,fr,Vitamine E\n",
+        "licences.csv": "profile,license_id\ncore,free\n", "terms.csv": "term,pt,fr,en\n# note,,,\nmilk,leite,lait,milk\n",
+    }
+    for name, text in files.items():
+        (tmp_path / "config" / name).write_text(text)
+    w = Workspace(spark, str(tmp_path))
+    w.extract_xml("a", NAMES)
+    w.extract_xlsx("b", "b.xlsx", "data", "comp")
+    counts = w.build("core", "2000-01-01T00:00:00Z")
+    assert counts["concept"] == 4 and counts["nutrient"] == 4 and counts["density"] == 1
+    found = {(r.source, r.source_code): (r.concept_id, r.status) for r in w.match("b", "a", {"pt": "pt"}, {"fr": "fr", "en": "en"}).collect()}
+    assert found[("b", "100")][1] == found[("a", "7100")][1] == "automatic" and found[("b", "100")][0] == found[("a", "7100")][0]
+    queue = spark.createDataFrame([(found[("b", "100")][0], "a", "7100", "review"), (found[("b", "100")][0], "b", "100", "review")], "concept_id string, source string, source_code string, status string")
+    tables.write_csv(queue, str(tmp_path / "work" / "links"), ["source"])
+    (tmp_path / "dec.csv").write_text("left_code,right_code,decision,justification\n7100,100,accepted,same food\n")
+    done = work(spark, type("A", (), {"command": "review", "workspace": str(tmp_path), "decisions": str(tmp_path / "dec.csv")})())
+    assert {(r.side, r.code, r.status) for r in done.collect()} == {("left", "7100", "adjudicated"), ("right", "100", "adjudicated")}
+    survivor = found[("b", "100")][0]
+    (tmp_path / "config" / "links.csv").write_text(f"concept_id,source,source_code,status\n{survivor},a,7100,adjudicated\n{survivor},b,100,adjudicated\n")
+    before = {r.concept_id for r in w.load("canonical", "concept").collect()}
+    w.build("core", "2000-01-01T00:00:00Z")
+    assert {r.concept_id for r in w.load("canonical", "concept").collect()} == before
+    assert {r.state for r in w.load("canonical", "ledger").collect()} == {"same"}
+    assert {r.successor_id for r in w.load("canonical", "tombstone").collect()} == {survivor}
+    assert survivor in {r.concept_id for r in w.load("canonical", "value").where("source_id = 'a'").collect()} & {r.concept_id for r in w.load("canonical", "value").where("source_id = 'b'").collect()}
+    with Engine(spark, str(tmp_path / "out" / "core")) as e:
+        assert {r.display for r in e.search("lait", "fr").collect()} == {"Lait"}
+        assert {r.key for r in e.tables["build_metadata"].collect()} >= {"built_at", "profile", "engine_version"}
+    assert json.loads(w.release())["profile"] == "core" and "search" in READ
+    (tmp_path / "config" / "licences.csv").write_text("profile,license_id\ncore,other\n")
+    with pytest.raises(gates.ContractError, match="licences"):
+        w.package()

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from provendar.functions import fixed as K
 from provendar.operators import gates, labels, matching, quality, records, search, selection
 from provendar.plans.store import Scratch
 
@@ -14,9 +15,11 @@ def rules(spark, rows=RULES):
 
 
 def test_most_specific_rule(spark):
-    cells = spark.createDataFrame([("en", "veg", "FAT"), ("en", "veg", "ASH"), ("en", "nut", "FAT"), ("en", "nut", "ASH"), ("fr", "veg", "FAT")], "locale string, food_group string, nutrient_id string")
+    cells = spark.createDataFrame([("en", "veg", "FAT"), ("en", "veg", "ASH"), ("en", "nut", "FAT"), ("en", "nut", "ASH")], "locale string, food_group string, nutrient_id string")
     got = {(r[0], r[1], r[2]): r[3] for r in selection.resolve_rules(cells, rules(spark)).collect()}
-    assert got == {("en", "veg", "FAT"): ["a", "c"], ("en", "veg", "ASH"): ["b", "a"], ("en", "nut", "FAT"): ["c", "a"], ("en", "nut", "ASH"): ["a", "b"], ("fr", "veg", "FAT"): None}
+    assert got == {("en", "veg", "FAT"): ["a", "c"], ("en", "veg", "ASH"): ["b", "a"], ("en", "nut", "FAT"): ["c", "a"], ("en", "nut", "ASH"): ["a", "b"]}
+    with pytest.raises(Exception, match="no source rule for fr veg FAT"):
+        selection.resolve_rules(spark.createDataFrame([("fr", "veg", "FAT")], cells.schema), rules(spark)).collect()
 
 
 def test_preferred_value_is_selected_not_averaged(spark):
@@ -61,11 +64,112 @@ def test_status_table(spark):
     assert got == [None, "review", "automatic", "review", None, "automatic", "review"]
 
 
-def test_review_decisions(spark):
-    links = spark.createDataFrame([("k", "left", "1", "review"), ("k", "right", "2", "review"), ("k", "right", "3", "review"), ("z", "left", "9", "automatic")], "concept_id string, side string, code string, status string")
-    dec = spark.createDataFrame([("1", "2", "accepted", "same"), ("1", "3", "rejected", "")], "left_code string, right_code string, decision string, justification string")
-    got = {(r.side, r.code): r.status for r in matching.apply_decisions(links, dec).collect()}
-    assert got == {("left", "1"): "adjudicated", ("right", "2"): "adjudicated", ("left", "9"): "automatic"}
+LINKS = [("k", "left", "1", "review"), ("k", "right", "2", "review"), ("k", "right", "3", "review"), ("z", "left", "9", "automatic")]
+DECISION = "left_code string, right_code string, decision string, justification string"
+
+
+def test_a_review_row_stays_until_all_its_pairs_are_decided(spark):
+    links = spark.createDataFrame(LINKS, "concept_id string, side string, code string, status string")
+    once = matching.apply_decisions(links, spark.createDataFrame([("1", "3", "accepted", "same")], DECISION))
+    assert {(r.side, r.code, r.status) for r in once.collect()} == {("left", "1", "review"), ("right", "2", "review"), ("left", "1", "adjudicated"), ("right", "3", "adjudicated"), ("left", "9", "automatic")}
+    assert [tuple(r)[1:] for r in matching.review_pairs(once).collect()] == [("1", "2")]
+    twice = matching.apply_decisions(once, spark.createDataFrame([("1", "2", "rejected", "")], DECISION))
+    assert {(r.side, r.code, r.status) for r in twice.collect()} == {("left", "1", "adjudicated"), ("right", "3", "adjudicated"), ("left", "9", "automatic")}
+
+
+@pytest.mark.parametrize("rows", [[("1", "8", "accepted", "x")], [("1", "2", "accepted", "x"), ("1", "2", "rejected", "")], [("1", "2", "perhaps", "")], [("1", "2", "accepted", " ")]])
+def test_wrong_decisions_stop_the_review(spark, rows):
+    links = spark.createDataFrame(LINKS, "concept_id string, side string, code string, status string")
+    with pytest.raises(gates.ContractError):
+        matching.apply_decisions(links, spark.createDataFrame(rows, DECISION))
+
+
+def test_the_matcher_equals_plain_loops(spark):
+    """Dictionary, blocking, signals, veto, status and one-to-one choice as a whole, on generated names."""
+    import re
+    from difflib import SequenceMatcher
+
+    from provendar.functions.text import split_words
+
+    rng = random.Random(4)
+    words = ["ring", "cheese", "raw", "small", "green", "rare", "anneau", "blé", "x7", "de", "pain", "loaf"]
+    name = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
+    terms = [(1, "ring", "ring|cheese ring", "anneau", "ring"), (2, "cheese", "cheese", "fromage", "cheese"), (3, "raw", "raw", "raw", "raw"), (4, "green", "green", "green", "green"), (5, "bread", "pain|loaf", "pain", "loaf"), (6, "loop", "ring", "", "")]
+    left = [(f"l{i}", f"g{i % 2}", name()) for i in range(14)]
+    right = [(f"r{i}", f"g{i % 2}", rng.choice(["", name()]), name()) for i in range(14)]
+    core = ("FAT", "WATER", "PROCNT")
+    lv, rv = ([(f"{p}{i}", n, float(rng.choice([1, 1, 9]))) for i in range(14) for n in core] for p in "lr")
+    index, explained = {x: {} for x in ("pt", "fr", "en")}, {x: set() for x in ("pt", "fr", "en")}
+    for _, term, *cells in terms:
+        for lang, cell in zip(("pt", "fr", "en"), cells, strict=True):
+            for part in cell.split("|"):
+                key = split_words(part)
+                explained[lang] |= set(key)
+                if len(key) > 1 or key and len(key[0]) > 1:
+                    index[lang][" ".join(key)] = term
+
+    def keys(text, lang):
+        w, out, i = split_words(text), set(), 0
+        while i < len(w):
+            k = max((k for k in range(1, len(w) - i + 1) if " ".join(w[i : i + k]) in index[lang]), default=1)
+            out |= {index[lang][" ".join(w[i : i + k])]} if " ".join(w[i : i + k]) in index[lang] else set()
+            i += k
+        return out
+
+    df = {}
+    for t in [n for *_, n in left] + [x for *_, fr, en in right for x in (fr, en)]:
+        for w in split_words(t):
+            df[w] = df.get(w, 0) + 1
+    want = {}
+    own = lambda text, lang: {w for w in split_words(text) if w not in explained[lang] and w not in K.STOP_WORDS and not re.search(r"\d", w)}
+    for li, lg, lt in left:
+        for ri, rg, fr, en in right:
+            a, b = keys(lt, "pt"), keys(fr, "fr") | keys(en, "en")
+            rare = {w for w in set(split_words(lt)) & set(split_words(fr) + split_words(en)) if df[w] <= K.RARE_TOKEN}
+            if not (a & b - set(K.GENERIC_TERMS)) and not rare:
+                continue
+            sim = max(SequenceMatcher(None, " ".join(split_words(lt)), " ".join(split_words(x))).ratio() for x in (fr, en))
+            score = 0.55 * (len(a & b) / len(a | b) if a | b else 0) + 0.25 * min(sim, 1) + 0.2 * (lg == rg)
+            x, y = ({n: v for i, n, v in t if i == k} for t, k in ((lv, li), (rv, ri)))
+            veto = sum(abs(x[n] - y[n]) / max(abs(x[n]), abs(y[n])) > 0.65 for n in core) >= 2
+            p = (a - b - set(K.GENERIC_TERMS)) | own(lt, "pt")
+            q = (b - a - (set(K.GENERIC_TERMS) - set(K.COLOR_TERMS))) | own(fr, "fr") | own(en, "en")
+            n1, n2 = ({*re.findall(r"\d+(?:[.,]\d+)?", z)} for z in (lt, fr or en))
+            conflict = bool(p and q) or bool(n1 and n2 and n1 != n2)
+            single = len(a) == 1 and len(b) == 1 and bool(a & b)
+            status = None if veto or score < 0.5 else "review" if conflict else ("automatic" if sim >= 0.65 else "review") if single else "automatic" if score >= 0.84 else "review"
+            want[li, ri] = (round(score, 9), round(sim, 9), veto, conflict, status)
+    dic = matching.dictionary(spark.createDataFrame(terms, "row int, term string, pt string, fr string, en string"), ("pt", "fr", "en"))
+    v = "id string, nutrient_id string, value double"
+    save = Scratch(spark).save
+    got = save(matching.match_foods(spark.createDataFrame(left, "id string, food_group string, pt string"), spark.createDataFrame(right, "id string, food_group string, fr string, en string"), dic, spark.createDataFrame(lv, v), spark.createDataFrame(rv, v), {"pt": "pt"}, {"fr": "fr", "en": "en"}, save))
+    assert {(r.left_id, r.right_id): (round(r.score, 9), round(r.similarity, 9), r.vetoed, r.conflict, r.status) for r in got.collect()} == want
+    links: set = set()
+    for (li, ri), w in sorted(want.items(), key=lambda x: (-x[1][0], -x[1][1], x[0])):
+        if w[4] == "automatic" and not {li, ri} & {x for p in links for x in p}:
+            links.add((li, ri))
+    kept = spark.createDataFrame([("c", "left", "l99", "adjudicated"), ("c", "left", "l98", "review")], "concept_id string, side string, code string, status string")
+    rows = matching.links(got, "a", "b", save, kept).collect()
+    assert {r.code for r in rows if r.status == "automatic"} == {x for p in links for x in p}
+    assert {r.code for r in rows if r.status == "review"} == {x for p, w in want.items() if w[4] == "review" for x in p}
+    assert [(r.concept_id, r.code) for r in rows if r.status == "adjudicated"] == [("c", "l99")]
+    for li, ri in links:
+        assert len({r.concept_id for r in rows if r.status == "automatic" and r.code in (li, ri)}) == 1
+
+
+def test_repeated_record_ids_have_one_winner(spark):
+    """Ties on the record id go to a stated value, whatever the order of the rows."""
+    rows = [("c", "FAT", "A", "r", v, "measured") for v in (3.0, 1.0, 2.0)]
+    v = spark.createDataFrame(rows, "concept_id string, nutrient_id string, source_id string, source_record_id string, value double, value_type string").withColumn("basis", F.lit(K.PER_100G)).withColumn("unit", F.lit("g")).withColumn("derivation_id", F.lit(None).cast("string"))
+    for n in (1, 3):
+        df = v.repartition(n)
+        assert quality.profile(df, ["FAT"]).first()["FAT"] == 3.0
+        cells = df.withColumn("locale", F.lit("en")).withColumn("source_order", F.array(F.lit("A")))
+        assert selection.preferred_values(cells).first()["value"] == 1.0
+        assert [r.value for r in selection.alternatives(cells).orderBy("alternative").collect()] == [2.0, 3.0]
+        dens = spark.createDataFrame([("g", 2.0)], "food_group string, density_g_per_ml double")
+        got, _ = records.derive_volume(df, spark.createDataFrame([("c", "g")], "concept_id string, food_group string"), dens)
+        assert [r.value for r in got.collect()] == [2.0]
 
 
 def test_conflicts(spark):
@@ -125,7 +229,7 @@ def test_diff_samples(spark):
 
 
 def test_label_gates(spark):
-    rows = [("nutrient", "FAT", "en", "reviewed", "Fat", 0), ("nutrient", "FAT", "pt", "mt_unreviewed", "Gordura", 0), ("nutrient", "ASH", "pt-PT", "reviewed", "Cinza", 0)]
+    rows = [("nutrient", "FAT", "en", "official", "Fat", 0), ("nutrient", "FAT", "pt", "mt_unreviewed", "Gordura", 0), ("nutrient", "ASH", "pt-PT", "curated", "Cinza", 0)]
     t = spark.createDataFrame(rows, "ref_kind string, ref string, locale string, status string, text string, branch int")
     tags = spark.createDataFrame([("FAT",), ("ASH",)], "tagname string")
     div = spark.createDataFrame([("ASH",)], "ref string")
@@ -133,6 +237,21 @@ def test_label_gates(spark):
     assert got == {("unreviewed", "pt", "FAT"), ("missing", "en", "ASH"), ("share", "pt", None), ("divergent_variant", "pt-BR", "ASH")}
 
 
+def test_energy_declared_as_zero_is_no_offender(spark):
+    p = spark.createDataFrame([("a", "s", 10.0, 0.0, 0.0, 0.0, 0.0, None), ("b", "s", 10.0, 0.0, 0.0, 0.0, 0.0, None)], "concept_id string, source_id string, PROCNT double, FAT double, CHOAVL double, FIBTG double, ALC double, POLYL double")
+    kcal = spark.createDataFrame([("a", "s", 0.0), ("b", "s", 20.0)], "concept_id string, source_id string, kcal double")
+    assert [r.ref for r in quality.energy(p, kcal).collect()] == ["b|s"]
+    assert quality.energy_skipped(p, kcal.where("concept_id = 'a'")).first()[0] == 1
+
+
+def test_search_finds_any_script(spark):
+    texts = ["brânză și țuică", "Đà Nẵng", "ΆΛΦΑ ένα", "Ｆｕｌｌ width", "한국 빵"]
+    rows = labels.union_branches([spark.createDataFrame([("concept", str(k), "en", "native", t) for k, t in enumerate(texts)], "ref_kind string, ref string, locale string, status string, text string")]).withColumn("label_id", F.col("ref").cast("long"))
+    for query, ref in (("țuică", "0"), ("tuica", "0"), ("branza", "0"), ("nang", "1"), ("αλφα", "2"), ("full", "3"), ("한국", "4")):
+        for grams in (None, search.trigram_index(rows)):
+            assert [r.ref for r in search.matches(rows, query, grams).collect()] == [ref], query
+
+
 def test_gates(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     with pytest.raises(gates.ContractError):
@@ -140,4 +259,4 @@ def test_gates(spark):
     with pytest.raises(gates.ContractError):
         gates.covered(df, df.where("k = 1"), ["k"], "t")
     gates.covered(df, df, ["k"], "t")
-    assert {r.node for r in gates.cycles(spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c")], "parent string, child string")).collect()} == {"a", "b"}
+    assert {r.node for r in gates.cycles(spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c")], "parent string, child string"), Scratch(spark).save).collect()} == {"a", "b"}

@@ -1,13 +1,17 @@
+from provendar.functions import fixed as K
 from provendar.operators import vocabulary as V
 from provendar.plans import factors
+from provendar.plans.store import Scratch
 
 
 def test_vocabulary(spark):
     n = spark.createDataFrame([("FAT", "m", "g"), ("FAT", "m", "g"), ("bad", "m", "g"), ("ASH", "x", "g"), ("NA", "m", "kg")], "tagname string, `group` string, unit string")
     g, u = spark.createDataFrame([("m",)], "`group` string"), spark.createDataFrame([("g",)], "unit string")
     r = spark.createDataFrame([("FAT", "ASH"), ("FAT", "ASH"), ("ASH", "FAT"), ("NA", "NA"), ("FAT", "NONE")], "parent string, child string")
-    got = {tuple(x) for x in V.vocabulary(n, g, u, r).collect()}
-    assert got == {("tag_form", "bad"), ("tag_unique", "FAT"), ("group_known", "ASH"), ("unit_known", "NA"), ("relation_known", "NONE"), ("relation_self", "NA"), ("relation_twice", "FAT>ASH"), ("relation_cycle", "FAT"), ("relation_cycle", "ASH"), ("relation_cycle", "NA")}
+    n = n.unionAll(spark.createDataFrame([(t, "m", "g") for t in K.ENERGY_TAGS[:1]], n.schema))
+    v = spark.createDataFrame([(t, "true") for t in K.ABSENCE_TYPES[1:]] + [("odd", "maybe")], "id string, is_absence string")
+    got = {tuple(x) for x in V.vocabulary(n, g, u, r, v, Scratch(spark).save).collect()}
+    assert got == {("energy_tag", K.ENERGY_TAGS[1]), ("absence_type", K.ABSENCE_TYPES[0]), ("absence_flag", "odd"), ("tag_form", "bad"), ("tag_unique", "FAT"), ("group_known", "ASH"), ("unit_known", "NA"), ("relation_known", "NONE"), ("relation_self", "NA"), ("relation_twice", "FAT>ASH"), ("relation_cycle", "FAT"), ("relation_cycle", "ASH"), ("relation_cycle", "NA")}
 
 
 def test_release_rules(spark):
