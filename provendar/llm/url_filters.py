@@ -8,7 +8,7 @@ candidate rules, and only those run their regular expression.
 
 Defined cases: a null url or one without `://` has empty host and path and
 gets no host rule; its verdict is the default. Repeated rows and ids are
-judged row by row. An empty table gives an empty result. Extra columns are
+judged row by row. A line feed is a character like any other. An empty table gives an empty result. Extra columns are
 ignored. Rules without any literal token are tried on every url.
 """
 
@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common as C
+
 TOKEN = re.compile(r"[a-z0-9]+")
 _SPLIT = re.compile(r"://([^/?#]*)([^?#]*)")
 
@@ -31,7 +33,7 @@ _SPLIT = re.compile(r"://([^/?#]*)([^?#]*)")
 class Rule:
     text: str  # what is reported
     action: str  # allow or block
-    regex: str  # searched in "\n" + host + path + rest
+    regex: str  # searched in host + path + rest
     tokens: tuple[str, ...]  # literal tokens that stand whole in any matching url
     host_rule: bool = True
 
@@ -43,7 +45,7 @@ def host_rule(action: str, text: str) -> Rule:
     whole = TOKEN.findall(host.lower())
     # the last token of a path prefix is whole only where a delimiter follows it
     whole += TOKEN.findall(re.sub(r"[A-Za-z0-9]+$", "", path).lower())
-    return Rule(text, action, r"\n(?:[^/?#\n]*\.)?" + re.escape(host) + r"(?=[/?#]|\Z)" + re.escape(path), tuple(dict.fromkeys(whole)))
+    return Rule(text, action, r"\A(?:[^/?#]*\.)?" + re.escape(host) + r"(?=[/?#]|\Z)" + re.escape(path), tuple(dict.fromkeys(whole)))
 
 
 def pattern_rule(action: str, name: str, regex: str, tokens: Iterable[str]) -> Rule:
@@ -110,7 +112,7 @@ class Matcher:
         host, path, tail = split_url(url)
         if not _SPLIT.search(url or ""):
             return "", "", None, self.default, None
-        text = f"\n{host}{path}{tail}"
+        text = host + path + tail
         asked = set(self.rest)
         for t in set(TOKEN.findall(text.lower())):
             asked.update(self.index.get(t, ()))
@@ -133,5 +135,6 @@ def filter_urls(pages: DataFrame, rules: list[Rule] | None = None, id_col: str =
             got = list(zip(*map(m.judge, b.column(1).to_pylist()), strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.string()) for x in got)], ["_id", "host", "path", "rule", "verdict", "pattern"])
 
-    out = pages.select(F.col(id_col).alias("_id"), F.col(url).alias("_url")).mapInArrow(judge, f"_id {kind}, host string, path string, rule string, verdict string, pattern string")
+    out = pages.select(F.col(id_col).alias("_id"), F.col(url).alias("_url"))
+    out = C.arrow(out, judge, f"_id {kind}, host string, path string, rule string, verdict string, pattern string")
     return out.withColumnRenamed("_id", id_col)
