@@ -1,11 +1,12 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Training takes a bounded sample of labelled texts (SAMPLE_ROWS, by id hash).
+Training takes a bounded sample of labelled texts (SAMPLE_ROWS, by id hash, of at most SAMPLE_TEXT_BYTES each).
 For each hashed n-gram the log ratio of its smoothed document frequencies in
 toxic and other texts is taken; a logistic regression is then fitted on the
 n-gram frequencies of a text multiplied by those ratios. Folding ratios into
 weights leaves one number per n-gram, so a text's score is the mean weight of
-its n-grams, found over the whole text with one gather and one running sum.
+its n-grams, found over the whole text with one gather and one running sum. A
+text of more than two blocks is read in overlapping windows; its sums are the same.
 
 Defined cases: a null or empty text, or one shorter than the smallest n-gram,
 has no features and scores as the intercept alone. Without labels of both
@@ -41,6 +42,21 @@ def code_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return chars, lead[off]
 
 
+def windows(data: np.ndarray, step: int, ahead: int) -> Iterator[tuple[np.ndarray, int]]:
+    """(bytes, bytes of its own) of windows over one text, cut between characters; each reaches `ahead` characters into the next."""
+
+    def whole(at: int) -> int:
+        while at < len(data) and data[at] & 0xC0 == 0x80:
+            at += 1
+        return min(at, len(data))
+
+    at = 0
+    while at < len(data):
+        to = whole(at + step)
+        yield data[at : whole(to + 4 * ahead)], to - at
+        at = to
+
+
 def grams(chars: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each order: hashed n-gram by start position, and which starts keep inside their row."""
     c = chars.astype(np.uint64)
@@ -58,15 +74,30 @@ class Model:
     weights: np.ndarray  # per n-gram, float32
     bias: float
 
-    def scores(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        chars, at = code_points(data, off)
+    def sums(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per row the sum of its n-grams' weights and its characters. Sums of integers: the same wherever a text stands in a block."""
+        if len(off) == 2 and len(data) > 2 * C.BLOCK_BYTES:
+            total = chars = 0
+            for part, own in windows(data, C.BLOCK_BYTES, max(ORDERS) - 1):
+                run, at = self._running(part, np.array([0, own, len(part)]), np.array([0, len(part)]))
+                total, chars = total + run[at[1]], chars + at[1]
+            return np.array([total]), np.array([chars])
+        run, at = self._running(data, off, off)
+        return run[at[1:]] - run[at[:-1]], np.diff(at)
+
+    def _running(self, data: np.ndarray, marks: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Running sums of the weights by start position, and the marks as character positions."""
+        chars, at = code_points(data, np.concatenate([marks, off]))
+        marks, off = at[: len(marks)], at[len(marks) :]
         run = np.zeros(len(chars) + 1)
-        for idx, ok in grams(chars, at):
+        for idx, ok in grams(chars, off):
             run[1:] += np.where(ok, self.weights[idx], 0)
-        # integer sums: the same score for a text wherever it stands in a block
         np.cumsum(np.rint(run * 2.0**24).astype(np.int64), out=(acc := np.zeros(len(run), np.int64)))
-        total = (acc[at[1:]] - acc[at[:-1]]) / 2.0**24
-        z = self.bias + SCALE * total / np.maximum(np.diff(at) - min(ORDERS) + 1, 1)
+        return acc, marks
+
+    def scores(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        total, chars = self.sums(data, off)
+        z = self.bias + SCALE * (total / 2.0**24) / np.maximum(chars - min(ORDERS) + 1, 1)
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
@@ -130,7 +161,7 @@ def apply_scores(docs: DataFrame, model, threshold: float, key: str = "doc_id",
                 s = model.scores(data, off)
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], ["_k", "score", "predicted"])
 
-    out = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).mapInArrow(run, f"_k {kind}, score double, predicted int")
+    out = C.arrow(docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")), run, f"_k {kind}, score double, predicted int")
     return out.withColumnRenamed("_k", key)
 
 
