@@ -5,10 +5,15 @@ over the text in steps of STRIDE; responses (rectified) are max-pooled within
 overlapping chunks of two half-chunks, and the chunks cover the whole text.
 Per filter, the greatest and the mean chunk value go into one logistic unit.
 Texts are padded with zero bytes to whole half-chunks, and beyond their end
-for the last filter positions, so a score depends on the text alone.
+for the last filter positions.
+
+Scores come from the network with embeddings and filters rounded to 8 bits:
+all products and sums are then whole numbers that float32 holds exactly, so a
+score depends on the text alone, not on the block it stands in. A text of more
+than two blocks is read in windows, with the last half-chunk carried over.
 
 Training: stochastic gradient steps (Adam) on a bounded sample of labelled
-texts (SAMPLE_ROWS, by id hash), gradients worked out by hand; only the
+texts (SAMPLE_ROWS, by id hash, of at most SAMPLE_TEXT_BYTES each), gradients worked out by hand; only the
 positions that won a pooling carry a gradient, so a step is cheap.
 
 Defined cases: a null or empty text is one half-chunk of padding. Without
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +40,8 @@ EMBED, FILTERS, STRIDE, TAPS = 8, 24, 4, 2
 WIDTH = STRIDE * TAPS
 #: Filter positions in a half-chunk; a chunk is two neighbouring half-chunks: 256 bytes, overlapping by 128.
 HALF = 32
+#: Embeddings and filters are rounded to whole numbers up to this: sums stay far below 2**24.
+LEVELS = 127
 SAMPLE_ROWS, EPOCHS, BATCH, RATE, DECAY = 3000, 6, 32, 4e-3, 1e-4
 
 
@@ -47,8 +55,16 @@ class Net:
     shift: float = field(default=0.0)
 
     def scores(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        z = self.forward(data, off)[0] + self.shift
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        return self.rounded.scores(data, off)
+
+    @cached_property
+    def rounded(self) -> Rounded:
+        """The network that scores: call it once training is over."""
+        unit = max(float(np.abs(self.emb).max()), 1e-12) / LEVELS
+        units = np.maximum(np.abs(self.conv).max((0, 1)), 1e-12) / LEVELS
+        whole = lambda x: np.rint(x).astype(np.float32)
+        bias = np.clip(whole(self.bias / (unit * units)), -(1 << 22), 1 << 22)
+        return Rounded(whole(self.emb / unit), whole(self.conv / units), bias, (unit * units).astype(np.float64), self.out.astype(np.float64), float(self.out_bias) + self.shift)
 
     def forward(self, data: np.ndarray, off: np.ndarray, train: bool = False):
         size = np.diff(off)
@@ -84,6 +100,74 @@ class Net:
         return z.astype(np.float64), (buf, a, at, h, nxt, chunk, whole, count, mx, mean, top)
 
 
+@dataclass
+class Rounded:
+    """The network in whole numbers; unit turns a filter's response into its size."""
+
+    emb: np.ndarray
+    conv: np.ndarray
+    bias: np.ndarray
+    unit: np.ndarray
+    out: np.ndarray
+    out_bias: float
+
+    def halves(self, buf: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Greatest responses per half-chunk and filter. buf: half-chunks and TAPS - 1 further steps; at ends (step numbers) texts end, and what follows counts as padding."""
+        a = self.emb[buf].reshape(-1, STRIDE * EMBED)
+        n = len(a) - (TAPS - 1)
+        none = np.tile(self.emb[0], STRIDE)
+        r = a[:n] @ self.conv[0]
+        for t in range(1, TAPS):
+            x = a[t : t + n] @ self.conv[t]
+            x[(ends[:, None] - np.arange(1, t + 1)).ravel()] = none @ self.conv[t]
+            r += x
+        return np.maximum(r.reshape(-1, HALF, FILTERS).max(1) + self.bias, 0)
+
+    def pooled(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per row and filter the greatest and the summed chunk value, and per row the number of chunks."""
+        if len(off) == 2 and len(data) > 2 * C.BLOCK_BYTES:
+            return self._long(data)
+        size = np.diff(off)
+        count = np.maximum(1, -(-size // (HALF * STRIDE)))
+        at = np.concatenate([[0], np.cumsum(count)])
+        buf = np.zeros((at[-1] * HALF + TAPS - 1) * STRIDE, np.uint8)
+        buf[np.repeat(at[:-1] * HALF * STRIDE - off[:-1], size) + np.arange(len(data))] = data
+        h = self.halves(buf, at[1:] * HALF)
+        # chunk k is halves k and k + 1 of one text; a text of one half is its own chunk
+        chunk = h.copy()
+        np.maximum(chunk[:-1], h[1:], out=chunk[:-1])
+        last = at[1:] - 1
+        chunk[last] = np.where((count == 1)[:, None], h[last], 0)
+        return np.maximum.reduceat(chunk, at[:-1]), np.add.reduceat(chunk.astype(np.float64), at[:-1]), np.maximum(count - 1, 1)
+
+    def _long(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        width = HALF * STRIDE
+        most, total, chunks, before = np.zeros(FILTERS, np.float32), np.zeros(FILTERS), 0, None
+        step = C.BLOCK_BYTES // width * width
+        for at in range(0, len(data), step):
+            n = -(-min(step, len(data) - at) // width) * width
+            buf = np.zeros(n + (TAPS - 1) * STRIDE, np.uint8)
+            own = data[at : at + len(buf)]
+            buf[: len(own)] = own
+            ends = np.array([n // STRIDE]) if at + step >= len(data) else np.zeros(0, np.int64)
+            h = self.halves(buf, ends)
+            if before is not None:
+                h = np.vstack([before, h])
+            chunk = np.maximum(h[:-1], h[1:])
+            if len(chunk):
+                most, total, chunks = np.maximum(most, chunk.max(0)), total + chunk.sum(0, dtype=np.float64), chunks + len(chunk)
+            before = h[-1:]
+        return most[None], total[None], np.array([chunks])
+
+    def scores(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        most, total, chunks = self.pooled(data, off)
+        z = np.full(len(chunks), self.out_bias)
+        for k in range(FILTERS):  # one after the other: the same sum for a text in any block
+            z += most[:, k] * self.unit[k] * self.out[k]
+            z += total[:, k] / chunks * self.unit[k] * self.out[FILTERS + k]
+        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
 def _gradient(net: Net, data: np.ndarray, off: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     z, (buf, a, at, h, nxt, chunk, whole, count, mx, mean, top) = net.forward(data, off, True)
     p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -158,7 +242,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, text: str = "text") -> DataFrame:
-    """The rows of docs whose text scores at least threshold, with all their columns, in one pass."""
+    """The rows of docs whose text scores at least threshold, with all their columns, in one pass. Null and empty texts are judged by their score like all others."""
     net = train(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,4 +251,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, text:
             if ok:
                 yield b.filter(pa.array(np.concatenate(ok)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return C.arrow(docs, run, docs.schema)
