@@ -4,15 +4,25 @@ A word is a maximal run of letters, lower-cased. Its emission score for a
 language is a sum of learned weights of hashed features: prefixes and suffixes
 (affixes), character n-grams inside the word, the word itself (the lexicon:
 only words seen at least LEXICON_MIN times in training have a weight), and a
-bias. Learned transition weights tie neighbouring words. Texts are handled in
-chains of up to CHAIN consecutive words; forward-backward gives each word its
-language probabilities, so code-switched text is labelled word by word. A
-document's language is the one with the greatest mean probability over all its
-words; that mean is its score.
-
-Training maximises the conditional likelihood of the words' languages (all
-words of a training text carry the text's language) with mini-batch gradient
-steps on a bounded sample (SAMPLE_PER_LANG texts of each language, by id hash).
+bias. Learned transition weights tie neighbouring words. A text is one chain,
+however long: forward-backward gives each word its language probabilities, so
+code-switched text is labelled word by word (`identify` with spans=True returns
+the runs of words of one language). A document's language is the one with the
+greatest mean probability over all its words; that mean is its score.
+
+Long chains: a chain is cut into segments of SEGMENT words whose transfer
+matrices are worked out side by side; multiplying them one after the other
+gives the exact forward and backward vectors at all borders, from which the
+segments are filled in, again side by side. A text of more than two blocks is
+read in windows twice - once for the matrices, once for the words - so that
+beyond the text itself memory holds one window and a matrix per segment.
+
+Training maximises the conditional likelihood of the words' languages with
+mini-batch gradient steps on a bounded sample (SAMPLE_PER_LANG texts of each
+language by id hash, none over common.SAMPLE_TEXT_BYTES, and SAMPLE_LANG_BYTES
+in all). A training text has one language; so that switches are learnt and not
+assumed, the texts are cut into pieces of PIECE_WORDS words, which are shuffled
+across languages and joined to the sequences of the training.
 
 Defined cases: a text that is null or has no letter gets `und` with score 0;
 without any training text every document gets `und`. A null language is not
@@ -33,12 +43,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
+from .toxicity import windows
 
 BITS = 16
-CHAIN = 64
+SEGMENT = 32
 PREFIXES, SUFFIXES, GRAMS = (1, 2, 3), (1, 2, 3, 4), (2, 3)
 LEXICON_MIN = 3
-SAMPLE_PER_LANG, EPOCHS, BATCH_CHAINS, RATE = 150, 3, 128, 0.03
+SAMPLE_PER_LANG, SAMPLE_LANG_BYTES, EPOCHS, BATCH_CHAINS, RATE = 150, 512 << 10, 3, 128, 0.03
+#: Words of a training sequence, and least and most words of its one-language pieces.
+SEQUENCE, PIECE_WORDS = 64, (4, 28)
+#: Probabilities are summed as whole numbers of this fraction, so that sums don't depend on windows.
+UNITS = 2.0**36
 UNKNOWN = "und"
 
 
@@ -73,6 +88,9 @@ class Words:
     fixed: np.ndarray
     gram: list[tuple[np.ndarray, np.ndarray]]  # (feature, word of it)
     first: np.ndarray  # per row: index of its first word (rows + 1)
+    start: np.ndarray  # places of all words in the text, in characters of the block
+    end: np.ndarray
+    chars: np.ndarray  # per row: its first character (rows + 1)
     which: np.ndarray | None = None  # position in the text -> word form, where equal words share one form
 
     @property
@@ -85,7 +103,21 @@ def analyse(data: np.ndarray, off: np.ndarray, forms: bool = False) -> Words:
     chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     lead = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
-    at = lead[off]
+    return analyse_chars(chars, lead[off], forms)
+
+
+def gram_features(chars: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(feature, place) of all n-grams of a stretch of letters."""
+    low, _, rnd = _tables()
+    p = np.zeros(len(chars) + 1, np.uint64)
+    up, down = C.powers(len(chars) + 1)
+    np.cumsum(rnd[low[np.minimum(chars, 65535)]] * up[: len(chars)], out=p[1:])
+    for kind, k in enumerate(GRAMS, 1 + len(PREFIXES) + len(SUFFIXES)):
+        place = np.arange(max(len(chars) - k + 1, 0))
+        yield _index((p[place + k] - p[place]) * down[place], kind), place
+
+
+def analyse_chars(chars: np.ndarray, at: np.ndarray, forms: bool = False) -> Words:
     low, _, rnd = _tables()
     ink = _letters(chars)
     c = low[np.minimum(chars, 65535)]
@@ -103,7 +135,7 @@ def analyse(data: np.ndarray, off: np.ndarray, forms: bool = False) -> Words:
     up, down = C.powers(len(c) + 1)
     np.cumsum(rnd[c] * up[: len(c)], out=p[1:])
     span = lambda a, b: (p[b] - p[a]) * down[a]
-    whole, which = span(s, e), None
+    whole, which, places = span(s, e), None, (s, e)
     if forms:
         _, one, which = np.unique(whole, return_index=True, return_inverse=True)
         s, e, whole = s[one], e[one], whole[one]
@@ -122,7 +154,7 @@ def analyse(data: np.ndarray, off: np.ndarray, forms: bool = False) -> Words:
         start = np.repeat(s - np.concatenate([[0], np.cumsum(many)[:-1]]) if len(s) else s, many) + np.arange(len(word))
         gram.append((_index(span(start, start + k), kind), word))
         kind += 1
-    return Words(np.stack(cols, 1) if len(s) else np.zeros((0, len(cols)), np.int32), gram, fr, which)
+    return Words(np.stack(cols, 1) if len(s) else np.zeros((0, len(cols)), np.int32), gram, fr, *places, at, which)
 
 
 @dataclass
@@ -182,23 +214,195 @@ class Crf:
         m = fwd * bwd
         return m / m.sum(1, keepdims=True), expected
 
-    def label(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per row: index of the language (-1: no letter) and its mean word probability."""
+    # ---- unbroken chains, segment by segment
+
+    def _step(self, a: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """a @ t, added up in a fixed order (a row's result does not depend on the others)."""
+        out = a[..., :1] * t[0]
+        for k in range(1, len(t)):
+            out += a[..., k : k + 1] * t[k]
+        return out
+
+    def _weights(self, em: np.ndarray) -> np.ndarray:
+        return np.exp(np.clip(em - em.max(1, keepdims=True), -60, 0)) if len(em) else em
+
+    def transfers(self, x: np.ndarray, start: np.ndarray, size: np.ndarray, head: np.ndarray) -> np.ndarray:
+        """Per segment the matrix that takes the forward vector before it to that at its end. head: the segment begins a chain (nothing leads to its first word)."""
+        t, L = np.exp(self.trans - self.trans.max()), x.shape[1]
+        out = np.where(head[:, None, None], np.eye(L), t) * x[start][:, None, :]
+        for k in range(1, int(size.max(initial=0))):
+            on = np.flatnonzero(size > k)
+            step = self._step(out[on], t) * x[start[on] + k][:, None, :]
+            out[on] = step / step.max((1, 2), keepdims=True)
+        return out
+
+    def borders(self, moves: np.ndarray, chains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward vectors before and backward vectors after each segment. chains: first segment of each chain, one more than chains."""
+        L = self.trans.shape[0]
+        ahead, back = np.ones((len(moves), L)), np.ones((len(moves), L))
+        many = np.diff(chains)
+        for k in range(1, int(many.max(initial=0))):
+            at = chains[:-1][many > k] + k
+            v = (ahead[at - 1][:, :, None] * moves[at - 1]).sum(1)
+            ahead[at] = v / v.sum(1, keepdims=True)
+            at = chains[1:][many > k] - k
+            v = (moves[at] * back[at][:, None, :]).sum(2)
+            back[at - 1] = v / v.sum(1, keepdims=True)
+        return ahead, back
+
+    def inside(self, x: np.ndarray, start: np.ndarray, size: np.ndarray, head: np.ndarray, ahead: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """The words' probabilities, from the vectors at their segments' borders."""
+        t = np.exp(self.trans - self.trans.max())
+        fwd, bwd = np.empty_like(x), np.empty_like(x)
+        longest = int(size.max(initial=0))
+        a = np.where(head[:, None], 1.0, self._step(ahead, t)) * x[start]
+        fwd[start] = a / a.sum(1, keepdims=True)
+        for k in range(1, longest):
+            at = start[size > k] + k
+            a = self._step(fwd[at - 1], t) * x[at]
+            fwd[at] = a / a.sum(1, keepdims=True)
+        bwd[start + size - 1] = back
+        turned = np.ascontiguousarray(t.T)
+        for k in range(longest - 1, 0, -1):
+            at = start[size > k] + k
+            b = self._step(bwd[at] * x[at], turned)
+            bwd[at - 1] = b / b.sum(1, keepdims=True)
+        m = fwd * bwd
+        return m / m.sum(1, keepdims=True)
+
+    def smooth(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Probabilities of the words of whole rows (first: each row's first word, rows + 1)."""
+        many = -(-np.diff(first) // SEGMENT)
+        chains = np.concatenate([[0], np.cumsum(many)])
+        row = np.repeat(np.arange(len(many)), many)
+        nth = np.arange(chains[-1]) - chains[:-1][row]
+        start = first[:-1][row] + nth * SEGMENT
+        size = np.minimum(first[1:][row] - start, SEGMENT)
+        head = nth == 0
+        moves = self.transfers(x, start, size, head) if (many > 1).any() else np.zeros((len(start), x.shape[1], x.shape[1]))
+        return self.inside(x, start, size, head, *self.borders(moves, chains))
+
+    def _windowed(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(weights, places, ends) of the words of one long text, in lots of whole segments (but for the last lot)."""
+        held = [np.zeros((0, len(self.langs))), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        for em, start, end in self._pieces(data):
+            held = [np.concatenate(p) for p in zip(held, (self._weights(em), start, end), strict=True)]
+            cut = len(held[0]) // SEGMENT * SEGMENT
+            if cut:
+                yield tuple(h[:cut] for h in held)
+                held = [h[cut:] for h in held]
+        if len(held[0]):
+            yield tuple(held)
+
+    def _pieces(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(emissions, places, ends) of the words of one text, window by window; no window ends inside a word."""
+        done = 0  # characters
+        held: list[np.ndarray] = []  # windows of a word that is longer than a window
+        for part, own in windows(data, C.BLOCK_BYTES, 0):
+            part = part[:own]
+            chars = np.frombuffer(part.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+            gap = np.flatnonzero(~_letters(chars))
+            if not len(gap):
+                held.append(chars)
+                continue
+            lead, cut = np.concatenate([*held, chars[: gap[0]]]), int(gap[-1]) + 1
+            if len(lead):
+                yield self.giant(lead)[None], np.array([done]), np.array([done + len(lead)])
+            done += len(lead)
+            body = chars[gap[0] : cut].tobytes().decode("utf-32-le").encode()
+            w = analyse(np.frombuffer(body, np.uint8), np.array([0, len(body)]), forms=True)
+            yield self.emissions(w), w.start + done, w.end + done
+            done += cut - int(gap[0])
+            held = [chars[cut:]] if cut < len(chars) else []
+        if held:
+            lead = np.concatenate(held)
+            yield self.giant(lead)[None], np.array([done]), np.array([done + len(lead)])
+
+    def giant(self, chars: np.ndarray) -> np.ndarray:
+        """Emissions of one word of any length: of a long one, the n-grams window by window."""
+        whole = lambda c: analyse_chars(c, np.array([0, len(c)]))
+        if len(chars) <= C.BLOCK_BYTES:
+            return self.emissions(whole(chars))[0]
+        low, _, rnd = _tables()
+        out, total, power = self.bias.copy(), 0, 1
+        ahead = max(GRAMS) - 1
+        for at in range(0, len(chars), C.BLOCK_BYTES):
+            part = chars[at : at + C.BLOCK_BYTES + ahead]
+            own = min(C.BLOCK_BYTES, len(chars) - at)
+            for idx, place in gram_features(part):
+                out += self.emit[idx[place < own]].sum(0)
+            up = C.powers(own)[0][:own]
+            total += power * int((rnd[low[np.minimum(part[:own], 65535)]] * up).sum(dtype=np.uint64))
+            power = power * pow(C._R, own, 1 << 64) % (1 << 64)
+        out += self.emit[_index(np.array([total % (1 << 64)], np.uint64), 0)[0]]
+        # affixes: those of the first and of the last letters (the middle of these words is left out)
+        ends = whole(np.concatenate([chars[:8], chars[-8:]]))
+        return out + self.emit[ends.fixed[0, 1:]].sum(0)
+
+    def label(self, data: np.ndarray, off: np.ndarray, spans: bool = False):
+        """Per row: index of the language (-1: no letter) and its mean word probability; with spans also (first run of each row, rows + 1; runs' starts, ends and languages)."""
+        if len(off) == 2 and len(data) > 2 * C.BLOCK_BYTES:
+            return self._label_long(data, spans)
         w = analyse(data, off, forms=True)
-        m, _ = self.marginals(self.emissions(w), chain_starts(w.first))
+        m = self.smooth(self._weights(self.emissions(w)), w.first)
         count = np.diff(w.first)
-        mean = np.zeros((len(count), len(self.langs)))
+        total = np.zeros((len(count), len(self.langs)))
         has = count > 0
         if has.any():
-            mean[has] = np.add.reduceat(m, w.first[:-1][has]) / count[has, None]
-        best = np.where(has, mean.argmax(1), -1)
-        return best, np.where(has, np.minimum(mean.max(1), 1.0), 0.0)
+            total[has] = np.add.reduceat(np.rint(m * UNITS).astype(np.int64), w.first[:-1][has])
+        out = self._best(total, count)
+        if not spans:
+            return out
+        row = np.repeat(np.arange(len(count)), count)
+        s, e, best, edge = _runs(row, w.start - w.chars[row], w.end - w.chars[row], m.argmax(1))
+        return *out, np.searchsorted(row[edge], np.arange(len(count) + 1)), s, e, best
+
+    def _best(self, total: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mean = total / UNITS / np.maximum(count, 1)[:, None]
+        return np.where(count > 0, mean.argmax(1), -1), np.where(count > 0, np.minimum(mean.max(1), 1.0), 0.0)
+
+    def _label_long(self, data: np.ndarray, spans: bool):
+        lots, n = [], 0
+
+        def cut(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            start = np.arange(0, len(x), SEGMENT)
+            return start, np.minimum(len(x) - start, SEGMENT), (start + n) == 0
+
+        for x, _, _ in self._windowed(data):
+            lots.append(self.transfers(x, *cut(x)))
+            n += len(x)
+        total, count, at, runs = np.zeros(len(self.langs), np.int64), n, 0, []
+        if n:
+            moves = np.concatenate(lots)
+            ahead, back = self.borders(moves, np.array([0, len(moves)]))
+            n = 0
+            for x, s, e in self._windowed(data):
+                part = cut(x)
+                z = slice(at, at + len(part[0]))
+                m = self.inside(x, *part, ahead[z], back[z])
+                total += np.rint(m * UNITS).astype(np.int64).sum(0)
+                if spans:
+                    runs.append(_runs(np.zeros(len(x), np.int64), s, e, m.argmax(1))[:3])
+                at, n = z.stop, n + len(x)
+        out = self._best(total[None].astype(np.float64), np.array([count]))
+        if not spans:
+            return out
+        s, e, best = (np.concatenate([r[k] for r in runs]) if runs else np.zeros(0, np.int64) for k in range(3))
+        s, e, best, _ = _runs(np.zeros(len(s), np.int64), s, e, best)
+        return *out, np.array([0, len(s)]), s, e, best
+
+
+def _runs(row: np.ndarray, start: np.ndarray, end: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(starts, ends, languages, first words) of the runs of words of one row and language."""
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (best[1:] != best[:-1])
+    f = np.flatnonzero(new)
+    return start[f], end[np.append(f[1:], len(row)) - 1] if len(f) else end[:0], best[f], f
 
 
 def chain_starts(first: np.ndarray) -> np.ndarray:
-    """Chains of at most CHAIN words that do not cross rows."""
-    parts = [np.arange(a, b, CHAIN) for a, b in zip(first[:-1], first[1:], strict=True) if b > a]
-    return np.concatenate([*parts, first[-1:]]) if parts else np.zeros(1, np.int64)
+    """One chain for each row that has words."""
+    return np.append(first[:-1][np.diff(first) > 0], first[-1])
 
 
 def fit(texts: list[str], langs: list[str], seed: int = 3) -> Crf | None:
@@ -216,7 +420,7 @@ def fit(texts: list[str], langs: list[str], seed: int = 3) -> Crf | None:
     model = Crf(names, np.zeros(((1 << BITS) + 1, L)), np.zeros(L), np.zeros((L, L)))
     if not w.n or L == 1:
         return model
-    chains = chain_starts(w.first)
+    chains, order_of = sequences(w.first, rng)
     drop = np.isin(w.fixed[:, 0], rare)
     fixed = w.fixed.copy()
     fixed[drop, 0] = -1
@@ -232,7 +436,7 @@ def fit(texts: list[str], langs: list[str], seed: int = 3) -> Crf | None:
         for i in range(0, len(picked), BATCH_CHAINS):
             some = np.sort(picked[i : i + BATCH_CHAINS])
             size = chains[some + 1] - chains[some]
-            words_at = np.repeat(chains[some] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+            words_at = order_of[np.repeat(chains[some] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())]
             start = np.concatenate([[0], np.cumsum(size)])
             many = edge[words_at + 1] - edge[words_at]
             f = col[np.repeat(edge[words_at] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())]
@@ -254,34 +458,56 @@ def fit(texts: list[str], langs: list[str], seed: int = 3) -> Crf | None:
             t_square += g * g
             model.trans += RATE * g / np.sqrt(t_square)
             model.bias += RATE * d.sum(0)
-    # a monolingual sample never switches; keep switching possible in mixed text
-    model.trans = np.clip(model.trans, -2.5, 2.5)
     return model
 
 
+def sequences(first: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Training sequences that switch: (their borders, the words in their order). Texts are cut into pieces, and the pieces of all texts shuffled."""
+    pieces = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        while a < b:
+            n = int(rng.integers(PIECE_WORDS[0], PIECE_WORDS[1] + 1))
+            pieces.append(np.arange(a, min(a + n, b)))
+            a += n
+    order = np.concatenate([pieces[k] for k in rng.permutation(len(pieces))])
+    return np.append(np.arange(0, len(order), SEQUENCE), len(order)), order
+
+
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, seed: int = 23) -> Crf | None:
     """Fits on at most per_lang texts of each language, chosen by id hash among rows that are not held out."""
-    ok = docs.select("doc_id", "lang", F.length("text").alias("n")).where(C.trainable() & F.col("lang").isNotNull() & (F.col("n") > 0))
-    h = F.xxhash64(F.lit(seed), "doc_id")
-    # rows are thinned in buckets of the hash first, so that no window holds a whole language
-    ok = ok.select("doc_id", "lang", h.alias("h")).withColumn("b", F.pmod("h", F.lit(997)))
-    ok = ok.withColumn("r", F.row_number().over(Window.partitionBy("lang", "b").orderBy("h", "doc_id"))).where(F.col("r") <= per_lang)
-    ok = ok.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("r", "h", "doc_id"))).where(F.col("r") <= per_lang).select("doc_id", "lang")
-    got = docs.select("doc_id", "text", "lang").join(F.broadcast(ok.distinct()), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
-    rows = got.toPandas().sort_values(["doc_id", "lang"])
-    return fit(list(rows["text"].fillna("")), list(rows["lang"]))
-
-
-def identify(docs: DataFrame, model: Crf | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score) for every row."""
+    fits = F.octet_length("text").between(1, C.SAMPLE_TEXT_BYTES)
+    ok = docs.select("doc_id", "lang", fits.alias("_fits"), F.xxhash64(F.lit(seed), "doc_id").alias("_h")).where(C.trainable() & F.col("lang").isNotNull() & F.col("_fits"))
+    # a language's rows are thinned to some three times per_lang by a threshold on the hash before they are ranked
+    share = F.least(F.lit(1.0), 3.0 * per_lang / F.col("_n"))
+    some = ok.join(ok.groupBy("lang").agg(F.count("*").alias("_n")), "lang")
+    some = some.where(F.pmod("_h", F.lit(1 << 30)) < share * (1 << 30))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id"))
+    some = some.withColumn("_r", rank).where(F.col("_r") <= per_lang).select("doc_id", "lang").distinct()
+    got = docs.select("doc_id", "text", "lang").where(fits).join(F.broadcast(some), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    rows = got.toPandas().sort_values(["lang", "doc_id"])
+    if rows.empty:
+        return None
+    size = rows["text"].str.encode("utf-8").str.len()
+    rows = rows[size.groupby(rows["lang"]).cumsum() <= SAMPLE_LANG_BYTES]
+    return fit(list(rows["text"]), list(rows["lang"]))
+
+
+def identify(docs: DataFrame, model: Crf | None, key: str = "doc_id", text: str = "text", spans: bool = False) -> DataFrame:
+    """(key, lang_pred, score[, spans]) for every row; spans: the runs of words of one language as (start, end, lang), in characters of the text."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*(model.langs if model else []), UNKNOWN], object)
         for b in batches:
             for i, j, data, off in C.text_blocks(b, "_t"):
-                best, score = model.label(data, off) if model else (np.full(j - i, -1), np.zeros(j - i))
-                yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(list(names[best]), pa.string()), pa.array(score)], ["_k", "lang_pred", "score"])
-
-    out = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).mapInArrow(run, f"_k {kind}, lang_pred string, score double")
-    return out.withColumnRenamed("_k", key)
+                none = (np.full(j - i, -1), np.zeros(j - i), np.zeros(j - i + 1, np.int64), *[np.zeros(0, np.int64)] * 3)
+                best, score, *runs = model.label(data, off, spans) if model else none
+                cols = [b.column(0)[i:j], pa.array(list(names[best]), pa.string()), pa.array(score)]
+                if spans:
+                    at, s, e, lang = runs
+                    items = pa.StructArray.from_arrays([pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(list(names[lang]), pa.string())], ["start", "end", "lang"])
+                    cols.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), items))
+                yield pa.RecordBatch.from_arrays(cols, ["_k", "lang_pred", "score", "spans"][: len(cols)])
+
+    schema = f"_k {kind}, lang_pred string, score double" + (", spans array<struct<start:bigint,end:bigint,lang:string>>" if spans else "")
+    return C.arrow(docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")), run, schema).withColumnRenamed("_k", key)
