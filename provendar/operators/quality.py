@@ -46,14 +46,28 @@ def _sum(names, all_needed: bool) -> Column:
     return reduce(lambda a, b: a + b, [F.col(n) if all_needed else F.coalesce(n, F.lit(0.0)) for n in names])
 
 
-def proximates(p: DataFrame) -> DataFrame:
+def _spec(check: str, severity: str, condition: Column, metric: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"), metric.cast("double").alias("metric"), F.coalesce(condition, F.lit(False)).alias("hit"))
+
+
+def offenders_of(p: DataFrame, specs: list[Column]) -> DataFrame:
+    """Offenders of several checks over one profile, in one pass over it."""
+    hits = F.filter(F.array(*specs), lambda x: x["hit"])
+    return p.select(_ref().alias("ref"), F.explode(hits).alias("x")).select("x.check", "x.severity", "ref", "x.metric")
+
+
+def proximates_spec() -> list[Column]:
     total = _sum(K.PROXIMATES, True)
-    return _offenders(p, "proximates", "warning", ~total.between(*K.PROXIMATES_RANGE), total)
+    return [_spec("proximates", "warning", ~total.between(*K.PROXIMATES_RANGE), total)]
+
+
+def proximates(p: DataFrame) -> DataFrame:
+    return offenders_of(p, proximates_spec())
 
 
 def energy(p: DataFrame, declared: DataFrame) -> DataFrame:
     """declared: concept_id, source_id, kcal for rows with the registered method."""
-    terms = [F.coalesce(F.col(n), F.lit(0.0)) * f if n in K.ENERGY_OPTIONAL else F.col(n) * f for n, f in K.ENERGY.items()]
+    terms = [F.coalesce(F.col(n), F.lit(0.0)) * f if n in K.ENERGY_OPTIONAL else F.col(n) * f for n, f in K.ENERGY.items() if n in p.columns or n not in K.ENERGY_OPTIONAL]
     expected = reduce(lambda a, b: a + b, terms)
     both = p.join(declared, ["concept_id", "source_id"]).withColumn("_e", expected)
     off = F.abs(F.col("kcal") - F.col("_e"))
@@ -66,30 +80,59 @@ def energy_skipped(p: DataFrame, declared: DataFrame) -> DataFrame:
     return p.join(declared, ["concept_id", "source_id"], "left_anti").agg(F.count("*").alias("n_skipped"))
 
 
+def _present(p: DataFrame, names) -> list[str]:
+    return [n for n in names if n in p.columns]
+
+
+def fatty_acids_spec(p: DataFrame) -> list[Column]:
+    total = _sum(_present(p, K.FATTY_ACIDS), False)
+    return [_spec("fatty_acids", "warning", F.col("FAT").isNotNull() & (total > F.col("FAT") * K.SUM_TOLERANCE), total)]
+
+
+def sugars_spec(p: DataFrame) -> list[Column]:
+    total = _sum(_present(p, K.SUGARS), False)
+    one = _spec("sugars_parts", "warning", F.col("SUGAR").isNotNull() & (total > F.col("SUGAR") * K.SUM_TOLERANCE), total)
+    return [one, _spec("sugars_total", "warning", F.col("SUGAR") > F.col("CHOAVL") * K.SUM_TOLERANCE, F.col("SUGAR"))]
+
+
+def amino_acids_spec() -> list[Column]:
+    ratio = F.coalesce(F.try_divide(_sum(K.AMINO_ACIDS, True), F.col("PROCNT")), F.when(F.col("PROCNT") == 0, 0.0))
+    return [_spec("amino_acids", "warning", ~ratio.between(*K.AMINO_RANGE), ratio)]
+
+
+def salt_spec() -> list[Column]:
+    expected = F.col("NA") * K.SALT_FACTOR
+    rel = F.when(expected == 0, 0.0).otherwise(F.try_divide(F.abs(F.col("NACL") - expected), expected))
+    return [_spec("salt", "warning", rel > K.SALT_TOLERANCE, rel)]
+
+
+def retinol_spec() -> list[Column]:
+    return [_spec("vitamin_a", "warning", F.col("VITA_RAE") < F.col("RETOL") * K.RETINOL_SHARE, F.col("VITA_RAE"))]
+
+
+def ratio_specs(p: DataFrame) -> list[Column]:
+    """The checks of sums and ratios; nutrients of a sum that the profile has no column for count as absent."""
+    return [*fatty_acids_spec(p), *sugars_spec(p), *salt_spec(), *retinol_spec()]
+
+
 def fatty_acids(p: DataFrame) -> DataFrame:
-    total = _sum(K.FATTY_ACIDS, False)
-    return _offenders(p, "fatty_acids", "warning", F.col("FAT").isNotNull() & (total > F.col("FAT") * K.SUM_TOLERANCE), total)
+    return offenders_of(p, fatty_acids_spec(p))
 
 
 def sugars(p: DataFrame) -> DataFrame:
-    total = _sum(K.SUGARS, False)
-    one = _offenders(p, "sugars_parts", "warning", F.col("SUGAR").isNotNull() & (total > F.col("SUGAR") * K.SUM_TOLERANCE), total)
-    return one.unionAll(_offenders(p, "sugars_total", "warning", F.col("SUGAR") > F.col("CHOAVL") * K.SUM_TOLERANCE, F.col("SUGAR")))
+    return offenders_of(p, sugars_spec(p))
 
 
 def amino_acids(p: DataFrame) -> DataFrame:
-    ratio = F.coalesce(F.try_divide(_sum(K.AMINO_ACIDS, True), F.col("PROCNT")), F.when(F.col("PROCNT") == 0, 0.0))
-    return _offenders(p, "amino_acids", "warning", ~ratio.between(*K.AMINO_RANGE), ratio)
+    return offenders_of(p, amino_acids_spec())
 
 
 def salt(p: DataFrame) -> DataFrame:
-    expected = F.col("NA") * K.SALT_FACTOR
-    rel = F.when(expected == 0, 0.0).otherwise(F.try_divide(F.abs(F.col("NACL") - expected), expected))
-    return _offenders(p, "salt", "warning", rel > K.SALT_TOLERANCE, rel)
+    return offenders_of(p, salt_spec())
 
 
 def retinol(p: DataFrame) -> DataFrame:
-    return _offenders(p, "vitamin_a", "warning", F.col("VITA_RAE") < F.col("RETOL") * K.RETINOL_SHARE, F.col("VITA_RAE"))
+    return offenders_of(p, retinol_spec())
 
 
 def domain(values: DataFrame, units: DataFrame) -> DataFrame:
@@ -151,5 +194,5 @@ def suite(values: DataFrame, concepts: DataFrame, units: DataFrame, declared_ene
     m = measured(values)
     names = sorted({*K.PROXIMATES, *K.ENERGY, *K.FATTY_ACIDS, *K.SUGARS, *K.AMINO_ACIDS, "SUGAR", "CHOAVL", "NACL", "NA", "VITA_RAE", "RETOL", "FAT", "PROCNT"})
     p = profile(m, names)
-    parts = [proximates(p), energy(p, declared_energy), fatty_acids(p), sugars(p), amino_acids(p), salt(p), retinol(p), domain(m, units), outliers(m.join(concepts.select("concept_id", "food_group"), "concept_id")), cross_source(m)]
+    parts = [offenders_of(p, [*proximates_spec(), *ratio_specs(p), *amino_acids_spec()]), energy(p, declared_energy), domain(m, units), outliers(m.join(concepts.select("concept_id", "food_group"), "concept_id")), cross_source(m)]
     return reduce(lambda a, b: a.unionByName(b), parts)

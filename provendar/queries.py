@@ -157,9 +157,10 @@ FOOD_SQL = f"""src AS (SELECT s_suppkey AS l_suppkey, r_name AS source_id FROM s
 food AS (SELECT {RECORD_SQL} AS concept_id, source_id, {", ".join(f"({x.replace('D', '')})::DOUBLE AS {n}" for n, x in FOOD_COLUMNS.items())}, ({KCAL})::DOUBLE AS kcal FROM lineitem JOIN src USING (l_suppkey))"""
 
 
-def food_profile(spark: SparkSession, d: str) -> DataFrame:
-    names = [*FOOD_COLUMNS, *(n for n in (*K.ENERGY, *K.FATTY_ACIDS, *K.SUGARS) if n not in FOOD_COLUMNS)]
-    return quality.profile(foods(spark, d), list(dict.fromkeys(names)))
+def food_profile(spark: SparkSession, d: str, nutrients=None) -> DataFrame:
+    """The profile of each food, of the nutrients asked for (that are there)."""
+    names = list(FOOD_COLUMNS) if nutrients is None else [n for n in dict.fromkeys(nutrients) if n in FOOD_COLUMNS]
+    return quality.profile(foods(spark, d), names)
 
 
 # --------------------------------------------------------------------------- scans, filters, joins
@@ -264,14 +265,14 @@ def q_group_zscore(spark, d):
 
 @query(f"WITH {FOOD_SQL} SELECT concept_id || '|' || source_id AS ref, round(WATER + PROCNT + FAT + CHOAVL + FIBTG + ASH + ALC, 6) AS metric FROM food WHERE (WATER + PROCNT + FAT + CHOAVL + FIBTG + ASH + ALC) NOT BETWEEN 97 AND 103")
 def q_pivot_profile_sum(spark, d):
-    return quality.proximates(food_profile(spark, d)).select("ref", F.round("metric", 6).alias("metric"))
+    return quality.proximates(food_profile(spark, d, K.PROXIMATES)).select("ref", F.round("metric", 6).alias("metric"))
 
 
 @query(f"""WITH {FOOD_SQL}, e AS (SELECT *, abs(kcal - (4 * PROCNT + 9 * FAT + 4 * CHOAVL + 2 * FIBTG + 7 * ALC)) AS off FROM food)
 SELECT concept_id || '|' || source_id AS ref, round(off, 6) AS metric FROM e WHERE off > 5 AND kcal <> 0 AND off / abs(kcal) > 0.05""")
 def q_energy_recalc(spark, d):
     kcal = table(spark, d, "lineitem").join(sources(spark, d), "l_suppkey").select(F.expr(RECORD).alias("concept_id"), "source_id", F.expr(KCAL).alias("kcal"))
-    return quality.energy(food_profile(spark, d), kcal).select("ref", F.round("metric", 6).alias("metric"))
+    return quality.energy(food_profile(spark, d, K.ENERGY), kcal).select("ref", F.round("metric", 6).alias("metric"))
 
 
 @query(f"""WITH {FOOD_SQL}, o AS (
@@ -282,9 +283,8 @@ SELECT 'salt', concept_id || '|' || source_id, CASE WHEN NA * 2.5 = 0 THEN 0 ELS
 SELECT 'vitamin_a', concept_id || '|' || source_id, VITA_RAE FROM food WHERE VITA_RAE < RETOL * 0.95)
 SELECT "check", count(*) AS n, round(sum(metric), 3) AS total FROM o GROUP BY ALL""")
 def q_ratio_checks(spark, d):
-    p = food_profile(spark, d)
-    parts = quality.fatty_acids(p).unionAll(quality.sugars(p)).unionAll(quality.salt(p)).unionAll(quality.retinol(p))
-    return parts.groupBy("check").agg(F.count("*").alias("n"), F.round(F.sum("metric"), 3).alias("total"))
+    p = food_profile(spark, d, (*K.FATTY_ACIDS, "FAT", *K.SUGARS, "SUGAR", "CHOAVL", "NA", "NACL", "VITA_RAE", "RETOL"))
+    return quality.offenders_of(p, quality.ratio_specs(p)).groupBy("check").agg(F.count("*").alias("n"), F.round(F.sum("metric"), 3).alias("total"))
 
 
 @query(f"""WITH {CELL_SQL}, m AS (SELECT * FROM cell WHERE value_type = 'measured' AND value IS NOT NULL AND basis = 'per_100g_edible'),

@@ -21,19 +21,62 @@ def test_query(spark, con, name):
         assert df.count() > 0
 
 
-def test_entry_points_work_without_the_corpus_operators():
-    import __spark_entry__ as e
+def test_entry_points_work_without_the_corpus_operators(tmp_path):
+    """A copy without provendar/llm, corpus_pipeline.py and their tests still imports, lists its queries and answers one."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    from shutil import copytree, ignore_patterns, rmtree
 
-    assert set(Q) <= set(e.queries())
-    assert set(O) <= set(e.oracle_sql())
+    root = Path(__file__).resolve().parents[1]
+    copytree(root, tmp_path / "copy", ignore=ignore_patterns(".git", "__pycache__", "corpus_pipeline.py"))
+    rmtree(tmp_path / "copy" / "provendar" / "llm")
+    code = f"""
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+q = e.queries()
+assert not [n for n in q if n.startswith("op") or n == "pipeline"], q
+assert set(e.oracle_sql()) <= set(q)
+s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/scratch").getOrCreate()
+print(len(q), q["unpivot_cells"](s, "{SF}").count())
+"""
+    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", env=env, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.split()[-2:] == [str(len(Q)), "24000"]
 
 
 def test_every_record_has_its_provenance(spark):
+    import datetime
+
     import pyarrow.parquet as pq
 
     rows = lambda name: pq.read_table(f"{SF}/{name}.parquet").to_pylist()
     regions = {r["r_regionkey"]: r["r_name"] for r in rows("region")}
     nations = {n["n_nationkey"]: (n["n_name"], regions[n["n_regionkey"]]) for n in rows("nation")}
     suppliers = {s["s_suppkey"]: (s["s_name"], *nations[s["s_nationkey"]]) for s in rows("supplier")}
-    want = [("-".join(str(x[c]) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")), *suppliers[x["l_suppkey"]]) for x in rows("lineitem")]
-    assert sorted(tuple(r) for r in Q["provenance_walk_all"](spark, SF).collect()) == sorted(want)
+    day = lambda x: (x["l_shipdate"].date() - datetime.date(1970, 1, 1)).days
+    want = [("-".join(str(v) for v in (*(x[c] for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")), day(x), round(x["l_quantity"] * 100))), *suppliers[x["l_suppkey"]]) for x in rows("lineitem")]
+    assert len({w[0] for w in want}) == len(want)
+    assert sorted(tuple(r) for r in Q["provenance_walk"](spark, SF).collect()) == sorted(want)
+
+
+def test_greedy_choice_equals_the_sequential_loop(spark):
+    """On the registered input: edges in falling order, each taken if both its ends are free."""
+    from provendar.queries import _scored
+
+    edges = sorted(((-r.jaccard, r.left_id, r.right_id) for r in _scored(spark, SF).collect()))
+    left, right, want = set(), set(), set()
+    for _, a, b in edges:
+        if a not in left and b not in right:
+            left.add(a)
+            right.add(b)
+            want.add((a, b))
+    assert {(r.left_id, r.right_id) for r in Q["greedy_one_to_one"](spark, SF).collect()} == want
+
+
+def test_name_similarity_equals_the_plain_ratio(spark):
+    from difflib import SequenceMatcher
+
+    got = Q["name_similarity"](spark, SF).collect()
+    assert got and all(abs(r.similarity - SequenceMatcher(None, r.p_name, r.other).ratio()) < 1e-12 for r in got)
