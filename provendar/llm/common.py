@@ -90,10 +90,14 @@ def drop(*frames: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+def few(ids: DataFrame) -> bool:
+    """Whether a table of ids is small enough to be broadcast."""
+    return ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def semi_join(big: DataFrame, ids: DataFrame, key: str, anti: bool = False) -> DataFrame:
     """Rows of big whose key is (anti: is not) in ids, distinct. The id list is broadcast only when counted to be small."""
-    small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return big.join(F.broadcast(ids) if small else ids, key, "left_anti" if anti else "left_semi")
+    return big.join(F.broadcast(ids) if few(ids) else ids, key, "left_anti" if anti else "left_semi")
 
 
 def salted_join(many: DataFrame, one: DataFrame, key: str, spread: str, salts: int = 32) -> DataFrame:

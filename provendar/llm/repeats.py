@@ -9,19 +9,29 @@ anchor, the GRAM-byte string inside it with the least hash (the first of
 equals), so equal windows have equal anchors at equal places. The windows of
 one anchor form a run, about 40 of them, and their bytes an island. Anchors
 that occur once in the corpus cannot be in a repeated window; only the islands
-of the others go on. A shard is a set of anchor hashes. Of byte-identical islands
+of the others go on. A shard is a set of anchor hashes. Of identical islands
 only the first owner can keep anything: tasks already leave out all but their own
 first before anything is sent, and the shard leaves out the rest, so a passage
-in a third of all rows stays small. Anchors that a sample shows to be frequent
+in a third of all rows stays small. Identical here means two independent 64-bit
+hashes of all bytes, the place of the anchor and the anchor's own hash; the
+bytes of such islands are not compared. Anchors that a sample shows to be frequent
 enough to burden one task (say, inside a very common line) do not gather their
 islands; their windows are islands of their own, sent by the hash of all
 WINDOW bytes. The sample only steers this; results don't depend on it.
 
-Sorting. A shard's different islands, parted by a byte that UTF-8 never
+What need not be sorted. No two windows of one island are equal (they hold the
+anchor at different places), so an anchor with one different island is done. A
+window holds SIDE bytes more on one side of its anchor at least; so an island
+stays only if its anchor with SIDE bytes before it, or with SIDE bytes behind,
+occurs in another different island of that anchor (told by one byte of hash
+each, so some stay for nothing; none is lost).
+
+Sorting. The other islands of a shard, parted by a byte that UTF-8 never
 uses, go through the external induced sorting of suffix_sort, in lots of about
 SORT_BYTES that keep anchors whole and arrive in anchor order through Spark's own
-spilling sort, so a shard may be far larger than memory; the sorter's queues
-spill to disk as well. Where the common prefix of neighbours reaches WINDOW,
+spilling sort, so a shard may be far larger than memory. A lot that one anchor
+makes larger is sorted within SORT_LIMIT bytes of memory: the sorter's queues,
+names and strings go to files on every level of its recursion. Where the common prefix of neighbours reaches WINDOW,
 windows are equal: each such group has one first occurrence, and all others are
 removed.
 
@@ -45,13 +55,17 @@ from . import common as C
 from .suffix_sort import sort_suffixes
 
 WINDOW, GRAM = 100, 24
+#: Of a window, one side of its anchor holds at least so many bytes.
+SIDE = (WINDOW - GRAM) // 2
 _PER = WINDOW - GRAM + 1  # places of a gram in a window
 _U = np.uint64
-#: One island: its anchor's name, its own name, where it lies, and how many windows it has.
-ISLAND = np.dtype([("anchor", "<u4"), ("top", "u1"), ("name", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("count", "u1")])
+#: One island: its anchor's name, its own two names, where it lies, how many windows it has, and what stands on either side of the anchor.
+ISLAND = np.dtype([("anchor", "<u4"), ("top", "u1"), ("name", "<u8"), ("other", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("count", "u1"), ("left", "u1"), ("right", "u1")])
 SPAN = np.dtype([("doc", "<i8"), ("start", "<u4"), ("end", "<u4")])
-#: Bytes of islands sorted at once.
-SORT_BYTES = 2 << 20
+#: Bytes of islands sorted at once, and bytes of memory that the sorter's queues and arrays may take.
+SORT_BYTES, SORT_LIMIT = 1 << 20, 128 << 20
+#: Bytes of text whose islands a shard holds.
+SHARD_BYTES = 32 << 20
 #: Islands of a task that are gathered before equal ones are left out and the rest is sent.
 HELD = 200_000
 #: Documents in the sample that finds burdensome anchors, and the least count that tells.
@@ -59,12 +73,12 @@ SAMPLE_DOCS, SAMPLE_LEAST = 5000, 5
 
 
 def islands(data: np.ndarray, off: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(anchor hash, island hash, row, start in the row, windows) of all islands of a block; hot: sorted anchors to take apart."""
+    """(anchor hash, two island hashes, row, start in the row, windows, left and right tag) of all islands of a block; hot: sorted anchors to take apart."""
     n = len(data)
-    none = np.zeros(0, _U), np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    none = *(np.zeros(0, _U) for _ in range(3)), *(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, np.uint8) for _ in range(2))
     if n < WINDOW:
         return none
-    p = C.prefix_hash(data)
+    p, p2 = C.prefix_hash(data), C.prefix_hash(data, C.OTHER)
     down = C.powers(n + 1)[1]
     grams = C.mix((p[GRAM:] - p[:-GRAM]) * down[: n - GRAM + 1])
     bits = _U(int(n).bit_length())
@@ -89,46 +103,66 @@ def islands(data: np.ndarray, off: np.ndarray, hot: np.ndarray) -> tuple[np.ndar
     place = a[first]
     anchor = grams[place]
 
-    def body(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def body(x: np.ndarray, y: np.ndarray, p: np.ndarray = p) -> np.ndarray:
         return C.mix((p[y] - p[x]) * down[x] + (y - x).astype(_U))
 
-    # the place of the anchor is part of the name
-    name = C.mix(body(start, start + count + WINDOW - 1) + (place - start).astype(_U))
+    # the place of the anchor is part of the names
+    end = start + count + WINDOW - 1
+    name, other = (C.mix(body(start, end, q) + (place - start).astype(_U)) for q in (p, p2))
+    tag = lambda x, y, inside: np.where(inside, body(np.maximum(x, 0), np.minimum(y, n)) % _U(255) + _U(1), 0).astype(np.uint8)
+    left = tag(place - SIDE, place + GRAM, place - start >= SIDE)
+    right = tag(place, place + GRAM + SIDE, end - place - GRAM >= SIDE)
     if len(hot):
         many = np.isin(anchor, hot)
         n_of = count[many]
         one = np.repeat(start[many] - np.concatenate([[0], np.cumsum(n_of)[:-1]]), n_of) + np.arange(n_of.sum()) if many.any() else start[many]
-        whole = body(one, one + WINDOW)
-        anchor, name = np.concatenate([anchor[~many], C.mix(whole)]), np.concatenate([name[~many], whole])
+        whole, none = body(one, one + WINDOW), np.zeros(len(one), np.uint8)
+        anchor, name, other = np.concatenate([anchor[~many], C.mix(whole)]), np.concatenate([name[~many], whole]), np.concatenate([other[~many], body(one, one + WINDOW, p2)])
+        left, right = np.concatenate([left[~many], none]), np.concatenate([right[~many], none])
         start, count = np.concatenate([start[~many], one]), np.concatenate([count[~many], np.ones(len(one), np.int64)])
     row = np.searchsorted(off, start, "right") - 1
-    return anchor, name, row, start - off[row], count
+    return anchor, name, other, row, start - off[row], count, left, right
+
 
+def island_blocks(batch: pa.RecordBatch, hot: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
+    """(first row, islands) of the blocks of a batch. A long text is read in windows: an island across their border becomes two of one anchor."""
+    for i, _, data, off in C.text_blocks(batch, "_t"):
+        if len(off) == 2 and len(data) > 2 * C.BLOCK_BYTES:
+            for at in range(0, len(data) - WINDOW + 1, C.BLOCK_BYTES):
+                part = data[at : at + C.BLOCK_BYTES + WINDOW - 1]
+                anchor, name, other, row, start, *rest = islands(part, np.array([0, len(part)]), hot)
+                yield i, (anchor, name, other, row, start + at, *rest)
+        else:
+            yield i, islands(data, off, hot)
 
-def hot_anchors(rows: DataFrame, parts: int) -> np.ndarray:
-    """Anchors that hold over a quarter of a task's fair share of islands in a sample: at most 4 * parts of them."""
-    total = rows.count()
+
+def hot_anchors(rows: DataFrame, total: int, parts: int) -> np.ndarray:
+    """Anchors that hold over a quarter of a task's fair share of islands in a sample of the rows (total of them): at most 4 * parts."""
     some = rows.sample(min(1.0, max(0.005, SAMPLE_DOCS / max(total, 1))), seed=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, _, data, off in C.text_blocks(b, "_t"):
-                h, n = np.unique(islands(data, off, np.zeros(0, _U))[0], return_counts=True)
+            for _, found in island_blocks(b, np.zeros(0, _U)):
+                h, n = np.unique(found[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    counts = some.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    counts = C.save(counts, "repeats-sample")
+    counts = C.arrow(some, run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = C.save(counts, "repeats-sample", True)
     all_of = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     got = counts.where(F.col("n") >= max(SAMPLE_LEAST, all_of / (4 * parts))).select("h").toPandas()
     C.drop(counts)
     return np.sort(got["h"].to_numpy(np.int64).view(_U))
 
 
+def _anchor(x: np.ndarray) -> np.ndarray:
+    return x["anchor"].astype(_U) | (x["top"].astype(_U) << _U(32))
+
+
 def _split_owners(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first owner of each different island, removed spans of all other owners)."""
-    x = x[np.lexsort((x["start"], x["doc"], x["name"]))]
+    x = x[np.lexsort((x["start"], x["doc"], x["other"], x["name"], _anchor(x)))]
     head = np.ones(len(x), bool)
-    head[1:] = (x["name"][1:] != x["name"][:-1]) | (x["anchor"][1:] != x["anchor"][:-1])
+    head[1:] = (x["name"][1:] != x["name"][:-1]) | (x["other"][1:] != x["other"][:-1]) | (x["anchor"][1:] != x["anchor"][:-1]) | (x["top"][1:] != x["top"][:-1])
     rest = x[~head]
     out = np.empty(len(rest), SPAN)
     out["doc"], out["start"] = rest["doc"], rest["start"]
@@ -136,6 +170,21 @@ def _split_owners(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[head], out
 
 
+def _open(first: np.ndarray) -> np.ndarray:
+    """Which different islands (by anchor) may share a window with another one of their anchor."""
+    anchor = _anchor(first)
+    out = np.zeros(len(first), bool)
+    for side in ("left", "right"):
+        some = np.flatnonzero(first[side])
+        if not len(some):
+            continue
+        key = (anchor[some] << _U(8)) | first[side][some]
+        order = np.argsort(key, kind="stable")
+        same = key[order][1:] == key[order][:-1]
+        out[some[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]]] = True
+    return out
+
+
 def _tagged(kind: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, kind, np.int32)), *b.columns], ["kind", "part", "blob"])
@@ -149,19 +198,17 @@ def _find(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
 
         def send():
             first, rest = _split_owners(np.concatenate(held))
-            anchor = first["anchor"].astype(_U) | (first["top"].astype(_U) << _U(32))
             box = C.Packer(parts, ISLAND)
-            box.held, box.size = [(first, (C.mix(anchor) % _U(parts)).astype(np.int32))], first.nbytes
+            box.held, box.size = [(first, (C.mix(_anchor(first)) % _U(parts)).astype(np.int32))], first.nbytes
             yield from _tagged(0, box.flush())
             yield from _tagged(1, spans.add(rest, _part_of(rest["doc"], parts)))
 
         for b in batches:
             ids = b.column(0).to_numpy()
-            for i, _, data, off in C.text_blocks(b, "_t"):
-                g, name, row, start, count = islands(data, off, hot)
+            for i, (g, name, other, row, start, count, left, right) in island_blocks(b, hot):
                 rec = np.empty(len(g), ISLAND)
                 rec["anchor"], rec["top"] = (g & _U(0xFFFFFFFF)).astype(np.uint32), ((g >> _U(32)) & _U(0xFF)).astype(np.uint8)
-                rec["name"], rec["doc"], rec["start"], rec["count"] = name, ids[i + row], start, count
+                rec["name"], rec["other"], rec["doc"], rec["start"], rec["count"], rec["left"], rec["right"] = name, other, ids[i + row], start, count, left, right
                 held.append(rec)
                 size += len(rec)
                 if size >= HELD:
@@ -171,12 +218,12 @@ def _find(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
             yield from send()
         yield from _tagged(1, spans.flush())
 
-    return docs.mapInArrow(run, "kind int, " + C.Packer.schema)
+    return C.arrow(docs, run, "kind int, " + C.Packer.schema)
 
 
 def _repeated(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Leaves the different islands whose anchor occurs more than once (anchor, doc, start, count: their bytes are wanted) and spans (part, blob)."""
+        """Leaves the different islands that may share a window (anchor, doc, start, count: their bytes are wanted) and spans (part, blob)."""
         names = ["part", "anchor", "doc", "start", "count", "blob"]
         got = []
 
@@ -193,7 +240,7 @@ def _repeated(parts: int):
         if not got:
             return
         got = np.concatenate(got)
-        anchor = got["anchor"].astype(_U) | (got["top"].astype(_U) << _U(32))
+        anchor = _anchor(got)
         order = np.argsort(anchor, kind="stable")
         anchor = anchor[order]
         same = anchor[1:] == anchor[:-1]
@@ -203,7 +250,8 @@ def _repeated(parts: int):
         first, rest = _split_owners(got)
         for b in C.Packer(parts, SPAN).add_all(rest, _part_of(rest["doc"], parts)):
             yield spans(b.column(0), b.column(1))
-        anchor = (first["anchor"].astype(_U) | (first["top"].astype(_U) << _U(32))).view(np.int64)
+        first = first[_open(first)]
+        anchor = _anchor(first).view(np.int64)
         part = (C.mix(anchor.view(_U)) % _U(parts)).astype(np.int32)
         step = 1 << 15
         for k in range(0, len(first), step):
@@ -236,8 +284,8 @@ def _judge(part_rows: list[tuple[np.ndarray, ...]]) -> Iterator[np.ndarray]:
     at = np.concatenate([[0], np.cumsum(size)])
     text = np.frombuffer(b"\xff".join(bodies) + b"\xff", np.uint8)
     # islands by first owner: windows of an equal group then compare by (island order, offset)
-    near = np.repeat(count, size) - (np.arange(len(text)) - np.repeat(at[:-1], size))  # > 0 where a whole window starts
-    island = np.repeat(np.arange(len(count)), size)
+    near = np.repeat((count + at[:-1]).astype(np.int32), size) - np.arange(len(text), dtype=np.int32)  # > 0 where a whole window starts
+    island = np.repeat(np.arange(len(count), dtype=np.int32), size)
     removed = np.zeros(len(text), bool)
     held_pos, held_lcp = [], []
 
@@ -257,7 +305,7 @@ def _judge(part_rows: list[tuple[np.ndarray, ...]]) -> Iterator[np.ndarray]:
         removed[pos[order[later]]] = True
 
     total = 0
-    for pos, lcp in sort_suffixes(text, WINDOW):
+    for pos, lcp in sort_suffixes(text, WINDOW, SORT_LIMIT):
         held_pos.append(pos)
         held_lcp.append(lcp)
         total += len(pos)
@@ -356,35 +404,43 @@ def _keyed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame |
 def removed_spans(rows: DataFrame) -> DataFrame:
     """(_k, spans, n_removed, n_spans) for the documents of rows (_k, _t; unique ids) that lose something."""
     spark = rows.sparkSession
-    parts = C.shuffle_parts(spark)
     long = rows.where(F.octet_length("_t") >= WINDOW)
-    sent = C.exchange(_find(long, parts, hot_anchors(long, parts)), parts)
-    found = C.save(sent.mapInArrow(_repeated(parts), "part int, anchor long, doc long, start long, count int, blob binary"), "repeats-islands")
-    C.forget(spark)
+    total, size = long.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("_t").cast("long")), F.lit(0))).first()
+    # a shard holds the islands of SHARD_BYTES of text (about as many bytes themselves)
+    parts = max(C.shuffle_parts(spark), -(-size // SHARD_BYTES))
+    sent = C.exchange(_find(long, parts, hot_anchors(long, total, parts)), parts)
+    found = C.save(C.arrow(sent, _repeated(parts), "part int, anchor long, doc long, start long, count int, blob binary"), "repeats-islands")
     wanted = found.where("doc is not null")
     asked = wanted.groupBy(F.col("doc").alias("_k")).agg(F.collect_list(F.struct("part", "anchor", "start", "count")).alias("wanted"))
-    ids = C.save(wanted.select(F.col("doc").alias("_k")).distinct(), "repeats-ids")
+    ids = C.save(wanted.select(F.col("doc").alias("_k")).distinct(), "repeats-ids", True)
     cut = C.semi_join(long, ids, "_k").join(asked, "_k").select("_k", "_t", "wanted")
-    cut = cut.mapInArrow(_fetch, "part int, anchor long, doc long, start long, count int, body binary")
+    cut = C.arrow(cut, _fetch, "part int, anchor long, doc long, start long, count int, body binary")
     shards = C.exchange(cut, parts).sortWithinPartitions("anchor", "doc", "start")
-    spans = shards.mapInArrow(_sort_shard(parts), C.Packer.schema).unionAll(found.where("doc is null").select("part", "blob"))
+    spans = C.arrow(shards, _sort_shard(parts), C.Packer.schema).unionAll(found.where("doc is null").select("part", "blob"))
     spans = C.exchange(spans, parts)
-    out = C.save(spans.mapInArrow(_merge, "_k long, spans binary, n_removed long, n_spans long"), "repeats-spans")
+    out = C.save(C.arrow(spans, _merge, "_k long, spans binary, n_removed long, n_spans long"), "repeats-spans", True)
     C.drop(found, ids)
-    C.forget(spark)
     return out
 
 
+def _left(texts: pa.Array, spans: pa.Array) -> Iterator[bytes]:
+    """Each text's bytes without its spans (null: none)."""
+    data, off = C.utf8(texts)
+    for i, x in enumerate(spans):
+        own = data[off[i] : off[i + 1]]
+        if x.is_valid:
+            keep = np.ones(len(own), bool)
+            for s, e in np.frombuffer(x.as_buffer(), np.uint32).reshape(-1, 2).tolist():
+                keep[s:e] = False
+            own = own[keep]
+        yield own.tobytes()
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of each text, as bytes."""
     for b in batches:
-        data, off = C.utf8(b.column(1))
-        kept = []
-        for i, x in enumerate(b.column(2)):
-            keep = np.ones(off[i + 1] - off[i], bool)
-            for s, e in np.frombuffer(x.as_buffer(), np.uint32).reshape(-1, 2).tolist():
-                keep[s:e] = False
-            kept.append(data[off[i] : off[i + 1]][keep].tobytes())
+        kept = list(_left(b.column(1), b.column(2)))
+        off = C.utf8(b.column(1))[1]
         sums = [hashlib.sha256(x).hexdigest() for x in kept]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(off)), b.column(3), b.column(4), pa.array(sums), pa.array(kept, pa.binary())], ["_k", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
@@ -396,11 +452,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     """
     rows, names = _keyed(docs, key, text)
     spans = removed_spans(rows)
-    ids = spans.select("_k")
-    some = C.semi_join(rows, ids, "_k").join(spans, "_k").select("_k", "_t", "spans", "n_removed", "n_spans")
-    some = some.mapInArrow(_cut, "_k long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    rest = C.semi_join(rows, ids, "_k", anti=True)
     zero = F.lit(0).cast("long")
+    few = C.few(spans)
+    some = C.semi_join(rows, spans.select("_k"), "_k").join(spans, "_k") if few else rows.join(spans, "_k", "left")
+    some = some.select("_k", "_t", "spans", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"))
+    some = C.arrow(some, _cut, "_k long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    # where few texts lose something the others stay where they are; else all meet their spans in one join
+    rest = C.semi_join(rows, spans.select("_k"), "_k", anti=True) if few else rows.limit(0)
     rest = rest.select("_k", F.octet_length("_t").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2("_t", 256).alias("kept_sha256"), F.encode("_t", "UTF-8").alias("kept"))
     out = some.unionAll(rest)
     if not keep_text:
@@ -416,35 +474,32 @@ def cut_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
     """docs with repeated passages cut out of the text, all other columns as they are (length: set to the characters left).
 
     A character of which only a part is left goes. Texts that lose nothing pass unchanged, nulls too; a text may
-    become empty, its row stays.
+    become empty, its row stays. Columns may have any names. Repeated ids cost a sort of the whole table by id and text.
     """
     rows, names = _keyed(docs, key, text)
-    spans = removed_spans(rows).select("_k", "spans")
+    k, cuts, by_id, by_text = C.fresh(docs, "_k", "_spans", "_id", "_text")
+    spans = removed_spans(rows).select(F.col("_k").alias(k), F.col("spans").alias(cuts))
     if names is None:
-        named = docs.withColumn("_k", F.col(key).cast("long"))
+        named = docs.withColumn(k, F.col(key).cast("long"))
     else:
-        by = names.select(F.col("_k").alias("_id"), F.col("_t").alias("_text"), F.col("_n"))
-        named = docs.join(by, F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.coalesce(F.col(text), F.lit("")) == F.col("_text"))).drop("_id", "_text").withColumnRenamed("_n", "_k")
-    ids = spans.select("_k")
-    rest = C.semi_join(named, ids, "_k", anti=True)
-    some = C.semi_join(named, ids, "_k").join(spans, "_k").select(*named.columns, "spans")
+        by = names.select(F.col("_k").alias(by_id), F.col("_t").alias(by_text), F.col("_n").alias(k))
+        named = docs.join(by, F.col(key).cast("long").eqNullSafe(F.col(by_id)) & (F.coalesce(F.col(text), F.lit("")) == F.col(by_text))).drop(by_id, by_text)
+    few = C.few(spans)
+    rest = C.semi_join(named, spans.select(k), k, anti=True) if few else named.limit(0)
+    some = (C.semi_join(named, spans.select(k), k).join(spans, k) if few else named.join(spans, k, "left")).select(*C.cols(named.columns), cuts)
     place = some.columns.index(text)
+    counted = docs.columns.index(length) if length in docs.columns else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = C.utf8(b.column(place))
-            out = []
-            for i, x in enumerate(b.column(b.num_columns - 1)):
-                keep = np.ones(off[i + 1] - off[i], bool)
-                for s, e in np.frombuffer(x.as_buffer(), np.uint32).reshape(-1, 2).tolist():
-                    keep[s:e] = False
-                out.append(data[off[i] : off[i + 1]][keep].tobytes().decode("utf-8", "ignore"))
+            left = _left(b.column(place), b.column(b.num_columns - 1))
+            out = [x.decode("utf-8", "ignore") if here else None for x, here in zip(left, b.column(place).is_valid().to_pylist(), strict=True)]
             cols = list(b.columns)[:-1]
             cols[place] = pa.array(out, cols[place].type)
+            if counted is not None:  # of the texts that lost something
+                lost = b.column(b.num_columns - 1).is_valid().to_pylist()
+                cols[counted] = pa.array([len(t) if x else old for t, x, old in zip(out, lost, cols[counted].to_pylist(), strict=True)], cols[counted].type)
             yield pa.RecordBatch.from_arrays(cols, b.schema.names[:-1])
 
-    some = some.mapInArrow(cut, named.schema)
-    if length in docs.columns:
-        kind = docs.schema[length].dataType
-        some = some.withColumn(length, F.length(text).cast(kind))
-    return rest.select(docs.columns).unionAll(some.select(docs.columns))
+    some = C.arrow(some, cut, named.schema)
+    return rest.select(*C.cols(docs.columns)).unionAll(some.select(*C.cols(docs.columns)))
