@@ -27,7 +27,7 @@ across languages and joined to the sequences of the training.
 Defined cases: a text that is null or has no letter gets `und` with score 0;
 without any training text every document gets `und`. A null language is not
 learnt. Repeated ids are labelled row by row; an empty table gives an empty
-result; extra columns are ignored.
+result; extra columns are ignored. More than MAX_LANGS languages are an error.
 """
 
 from __future__ import annotations
@@ -50,6 +50,8 @@ SEGMENT = 32
 PREFIXES, SUFFIXES, GRAMS = (1, 2, 3), (1, 2, 3, 4), (2, 3)
 LEXICON_MIN = 3
 SAMPLE_PER_LANG, SAMPLE_LANG_BYTES, EPOCHS, BATCH_CHAINS, RATE = 150, 512 << 10, 3, 128, 0.03
+#: Languages that a model can have: this bounds what is broadcast and what the driver fits on.
+MAX_LANGS = 1000
 #: Words of a training sequence, and least and most words of its one-language pieces.
 SEQUENCE, PIECE_WORDS = 64, (4, 28)
 #: Probabilities are summed as whole numbers of this fraction, so that sums don't depend on windows.
@@ -476,17 +478,21 @@ def sequences(first: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray,
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, seed: int = 23) -> Crf | None:
     """Fits on at most per_lang texts of each language, chosen by id hash among rows that are not held out."""
     fits = F.octet_length("text").between(1, C.SAMPLE_TEXT_BYTES)
-    ok = docs.select("doc_id", "lang", fits.alias("_fits"), F.xxhash64(F.lit(seed), "doc_id").alias("_h")).where(C.trainable() & F.col("lang").isNotNull() & F.col("_fits"))
-    # a language's rows are thinned to some three times per_lang by a threshold on the hash before they are ranked
-    share = F.least(F.lit(1.0), 3.0 * per_lang / F.col("_n"))
-    some = ok.join(ok.groupBy("lang").agg(F.count("*").alias("_n")), "lang")
-    some = some.where(F.pmod("_h", F.lit(1 << 30)) < share * (1 << 30))
+    ok = docs.select("doc_id", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("_h")).where(C.trainable() & F.col("lang").isNotNull())
+    # ids are thinned by a threshold on the hash before they are ranked, so no task sees a whole language; twice as many as
+    # wanted are fetched, as some of their texts may be empty or too long
+    counts = ok.groupBy("lang").agg(F.count("*").alias("_n"))
+    share = F.least(F.lit(1.0), 6.0 * per_lang / F.col("_n"))
+    if counts.limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    some = ok.join(F.broadcast(counts), "lang").where(F.pmod("_h", F.lit(1 << 30)) < share * (1 << 30))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id"))
-    some = some.withColumn("_r", rank).where(F.col("_r") <= per_lang).select("doc_id", "lang").distinct()
-    got = docs.select("doc_id", "text", "lang").where(fits).join(F.broadcast(some), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
-    rows = got.toPandas().sort_values(["lang", "doc_id"])
+    some = some.withColumn("_r", rank).where(F.col("_r") <= 2 * per_lang).select("doc_id", "lang", "_h").distinct()
+    got = docs.select("doc_id", "text", "lang").where(fits).join(F.broadcast(some), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"), F.first("_h").alias("_h"))
+    rows = got.toPandas().sort_values(["lang", "_h", "doc_id"])
     if rows.empty:
         return None
+    rows = rows[rows.groupby("lang").cumcount() < per_lang]
     size = rows["text"].str.encode("utf-8").str.len()
     rows = rows[size.groupby(rows["lang"]).cumsum() <= SAMPLE_LANG_BYTES]
     return fit(list(rows["text"]), list(rows["lang"]))
