@@ -100,11 +100,11 @@ def semi_join(big: DataFrame, ids: DataFrame, key: str, anti: bool = False) -> D
     return big.join(F.broadcast(ids) if few(ids) else ids, key, "left_anti" if anti else "left_semi")
 
 
-def salted_join(many: DataFrame, one: DataFrame, key: str, spread: str, salts: int = 32) -> DataFrame:
-    """many joined with one (a row per key) on key; a key with very many rows is dealt over `salts` tasks by the column spread."""
+def salted_join(many: DataFrame, one: DataFrame, key: str, spread: str, salts: int = 32, how: str = "inner") -> DataFrame:
+    """many joined (how: inner or left) with one (a row per key) on key; a key with very many rows is dealt over `salts` tasks by the column spread."""
     left = many.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
     right = one.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate, jaccard_join, language, neighbours, quality, repeats, sentencepiece_codec, sharding, toxicity, url_filters
+from . import alignment, conversations, decontaminate, jaccard_join, language, neighbours, quality, repeats, sentencepiece_codec, sharding, token_files, toxicity, url_filters
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +56,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(C.table(spark, sf_dir, "documents"))[0]
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(C.table(spark, sf_dir, "conversations")))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(C.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_quality, op4_jaccard_join, op5_language, op6_repeats, op7_sentencepiece, op8_neighbours, op9_sharding, op10_decontaminate)
+    f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_quality, op4_jaccard_join, op5_language, op6_repeats, op7_sentencepiece, op8_neighbours, op9_sharding, op10_decontaminate, op11_alignment, op12_conversations, op13_token_files)
 }
 
 ORACLE: dict[str, str] = {}
