@@ -246,7 +246,7 @@ def _segments(faults: DataFrame, kind: str) -> DataFrame:
             close(True)
             yield batch()
 
-    return C.save(C.arrow(placed, run, schema), "conversation-segments", small=True)
+    return C.save(C.arrow(placed, run, schema), "conversation-segments")  # one task a range: its number orders the segments
 
 
 def _join_segments(edges: DataFrame, kind: str) -> DataFrame:

@@ -68,84 +68,86 @@ class _Prior:
 
 
 class _Models:
-    """The models of n blocks; coding and decoding share every step."""
+    """The models of n blocks; coding and decoding share every step. Arrays of two rows hold order 1 and order 2, or the odds of order 2 and order 1."""
 
     def __init__(self, n: int):
         lane = np.arange(n)
-        self.t1 = np.full(n << BITS, 0xFFFFFFFC, np.uint32)  # place of the named id << 2 | confidence
-        self.t2 = self.t1.copy()
-        self.base, self.lanes = lane << BITS, lane << 5
-        self.odds = np.full(n << 5, 16384 << 16 | 16384, np.uint32)
+        self.table = np.full(2 * n << BITS, 0xFFFFFFFC, np.uint32)  # place of the named id << 2 | confidence; order 1's half, then order 2's
+        self.base, self.lanes = np.stack([lane, lane + n]) << BITS, np.stack([lane, lane + n]) << 5
+        self.odds = np.full(2 * n << 5, 16384, np.int32)
         self.q0 = np.full(n, 32768, np.int32)
         self.c1 = np.zeros(n, np.uint32)
         self.c2 = np.zeros(n, np.uint32)
+        self._room(n)
+
+    def _room(self, n: int) -> None:
         self.bounds = np.zeros((5, n), np.int32)
         self.bounds[4] = 65536
+        self.keys, self.hits = np.zeros((2, n), np.uint32), np.zeros((2, n), bool)
 
     def fewer(self, n: int) -> None:
         """Blocks that have ended are the last ones; the others go on."""
-        for name in ("base", "lanes", "q0", "c1", "c2"):
-            setattr(self, name, getattr(self, name)[:n])
-        self.bounds = np.ascontiguousarray(self.bounds[:, :n])
+        self.base, self.lanes = self.base[:, :n].copy(), self.lanes[:, :n].copy()
+        self.q0, self.c1, self.c2 = self.q0[:n].copy(), self.c1[:n], self.c2[:n]
+        self._room(n)
 
     def predict(self) -> None:
-        """p2, p1: the places that orders 2 and 1 name; bounds: where the shares of order 2, order 1 and order 0's halves end."""
-        a = self.c1 * np.uint32(0x9E3779B1)
-        self.i1 = (a >> np.uint32(32 - BITS)) + self.base
-        a ^= a >> np.uint32(15)
-        a += self.c2
-        a *= np.uint32(0x85EBCA6B)
-        self.i2 = (a >> np.uint32(32 - BITS)) + self.base
-        self.e1, self.e2 = self.t1[self.i1], self.t2[self.i2]
-        self.p1, self.p2 = (self.e1 >> np.uint32(2)).view(np.int32), (self.e2 >> np.uint32(2)).view(np.int32)
-        self.f1, self.f2 = self.e1 & np.uint32(3), self.e2 & np.uint32(3)
-        self.other = self.p1 != self.p2
-        k = self.f2 << np.uint32(3)
-        k |= self.f1 << np.uint32(1)
-        k |= self.other
-        self.k = self.lanes + k
-        odds = self.odds[self.k]
-        self.q2 = (odds & np.uint32(0xFFFF)).view(np.int32)
-        self.q1 = (odds >> np.uint32(16)).view(np.int32)
+        """named: the places that orders 1 and 2 name; bounds: where the shares of order 2, order 1 and order 0's halves end."""
+        one, two = self.keys
+        np.multiply(self.c1, np.uint32(0x9E3779B1), out=one)
+        np.right_shift(one, np.uint32(15), out=two)
+        two ^= one
+        two += self.c2
+        two *= np.uint32(0x85EBCA6B)
+        self.keys >>= np.uint32(32 - BITS)
+        self.at = self.base + self.keys
+        self.entry = self.table[self.at]
+        self.named = (self.entry >> np.uint32(2)).view(np.int32)
+        self.sure = self.entry & np.uint32(3)
+        self.other = self.named[0] != self.named[1]
+        k = self.sure[1] << np.uint32(3)
+        k += self.sure[0] << np.uint32(1)
+        k += self.other
+        self.place = self.lanes + k
+        self.q = self.odds[self.place]
         _, b1, b2, b3, _ = self.bounds
-        b1[:] = self.q2
-        rest = 65536 - self.q2
-        np.multiply(((rest >> 1) * self.q1 >> 15), self.other, out=b2)
+        b1[:] = self.q[0]
+        rest = 65536 - b1
+        rest >>= 1
+        np.multiply(rest, self.q[1], out=b2)
+        b2 >>= 15
+        b2 *= self.other
         b2 += b1
         np.subtract(65536, b2, out=rest)
-        np.right_shift((rest >> 1) * self.q0, 15, out=b3)
+        rest >>= 1
+        np.multiply(rest, self.q0, out=b3)
+        b3 >>= 15
         b3 += b2
 
     def learn(self, place: np.ndarray, not2: np.ndarray, neither: np.ndarray, rare: np.ndarray) -> None:
         """place: what came. not2: order 2 had not named it; neither: nor had order 1; rare: it is of the rare half."""
-        aim = not2 * np.int32(LEAST - MOST)
-        aim += MOST
-        aim -= self.q2
-        aim >>= 4
-        self.q2 += aim
-        one = not2 ^ neither
-        np.multiply(one, np.int32(MOST - LEAST), out=aim)
+        hits = self.hits
+        np.logical_not(not2, out=hits[0])
+        np.logical_xor(not2, neither, out=hits[1])
+        aim = hits * np.int32(MOST - LEAST)
         aim += LEAST
-        aim -= self.q1
+        aim -= self.q
         aim >>= 4
-        aim *= not2 & self.other
-        self.q1 += aim
-        odds = self.q1.view(np.uint32) << np.uint32(16)
-        odds |= self.q2.view(np.uint32)
-        self.odds[self.k] = odds
-        np.multiply(rare, np.int32(LEAST - MOST), out=aim)
+        aim[1] *= not2 & self.other
+        self.q += aim
+        self.odds[self.place] = self.q
+        aim = rare * np.int32(LEAST - MOST)
         aim += MOST
         aim -= self.q0
         aim >>= 5
         aim *= neither
         self.q0 += aim
-        new = place.view(np.uint32) << np.uint32(2)
-        for table, i, e, p, f in ((self.t1, self.i1, self.e1, self.p1, self.f1), (self.t2, self.i2, self.e2, self.p2, self.f2)):
-            kept = np.where(f > 1, e - np.uint32(2), new)
-            e += f < 3
-            table[i] = np.where(p == place, e, kept)
+        come = place.view(np.uint32)
+        kept = np.where(self.sure > 1, self.entry - np.uint32(2), come << np.uint32(2))
+        self.entry += self.sure < 3
+        self.table[self.at] = np.where(self.named == place, self.entry, kept)
         self.c2 = self.c1
-        self.c1 = place.view(np.uint32) + np.uint32(1)
+        self.c1 = come + np.uint32(1)
 
 
 def _steps(size: np.ndarray):
@@ -170,8 +172,8 @@ def _encode_lanes(place: np.ndarray, size: np.ndarray, prior: _Prior) -> list[np
             low, span, at, lane = low[:k].copy(), span[:k].copy(), at[:k], lane[:k]
         x = place[t, :k]
         m.predict()
-        not2 = m.p2 != x
-        neither = not2 & (m.p1 != x)
+        not2 = m.named[1] != x
+        neither = not2 & (m.named[0] != x)
         rare = neither & (x >= prior.half)
         kind = not2.astype(np.int64)
         kind += neither
@@ -205,19 +207,12 @@ def _encode_lanes(place: np.ndarray, size: np.ndarray, prior: _Prior) -> list[np
         at += give
         m.learn(x, not2, neither, rare)
     lows = low if len(low) == n else np.concatenate([low, done[0]])
-    words = []
-    for k in range(n):
-        s, e = k * room, int(end[k])
-        w = np.zeros(e - s + 2, U)
-        w[: e - s] = out[s:e]
-        w[-2], w[-1] = lows[k] >> _32, lows[k] & U(0xFFFFFFFF)
-        c = np.flatnonzero(carry[s : e + 1])
-        w[c[c > 0] - 1] += U(1)  # a carry goes into the word given off before
-        while len(up := np.flatnonzero(w >> _32)):
-            w[up] &= U(0xFFFFFFFF)
-            w[up[up > 0] - 1] += U(1)
-        words.append(w.astype("<u4"))
-    return words
+    out[end], out[end + 1] = lows >> _32, lows & U(0xFFFFFFFF)
+    up = np.flatnonzero(carry) - 1  # a carry goes into the word given off before, and on where that is full
+    while len(up):
+        out[up] += np.uint32(1)
+        up = up[out[up] == 0] - 1
+    return [out[k * room : int(e) + 2] for k, e in enumerate(end)]
 
 
 def _decode_lanes(words: np.ndarray, at: np.ndarray, size: np.ndarray, prior: _Prior) -> np.ndarray:
@@ -261,7 +256,7 @@ def _decode_lanes(words: np.ndarray, at: np.ndarray, size: np.ndarray, prior: _P
         width += 65536
         code -= span * below.view(U)
         span *= width.view(U)
-        x = np.where(neither, x, np.where(not2, m.p1, m.p2))
+        x = np.where(neither, x, np.where(not2, m.named[0], m.named[1]))
         give = span < U(1 << 32)
         shift = give.astype(U)
         nxt = words[at] * give
@@ -308,7 +303,7 @@ def encode(ids: np.ndarray) -> bytes:
         lanes[: len(some)] = some
         lanes = np.ascontiguousarray(lanes.reshape(j - i, int(size[0])).T)
         for k, w in enumerate(_encode_lanes(lanes, size, prior)):
-            raw = w.tobytes()
+            raw = w.astype("<u4").tobytes()
             at = (i + k) * BLOCK
             table.append((len(raw), zlib.crc32(ids[at : at + BLOCK].astype("<u4").tobytes())))
             body.append(raw)

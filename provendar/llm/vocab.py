@@ -28,9 +28,9 @@ FOLDER = "/opt/tokenizers"
 BYTE_LEVEL = f"{FOLDER}/byte_bpe_50k.json"
 PIECES = f"{FOLDER}/piece_bpe_32k.model"
 #: Distinct stretches that a worker remembers; the half not used for the longest time goes when it is full.
-CACHE = 1_000_000
+CACHE = 1_800_000
 #: Bytes of a long text handled at once.
-PART = 4 << 20
+PART = 8 << 20
 #: Words of a call to the tokenizer's library.
 CALL = 500
 
