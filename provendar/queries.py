@@ -479,18 +479,30 @@ def q_jaccard_score(spark, d):
     return s.select("left_id", "right_id", "jaccard", matching.score(F.col("x"), F.col("y"), F.lit(0.5), F.col("left_id") % 2 == 1).alias("score"))
 
 
-@query(f"""WITH {TOKEN_SQL}, p AS (SELECT left_id, right_id, CASE WHEN jaccard >= 0.05 THEN 'automatic' ELSE 'review' END AS status FROM scored WHERE jaccard >= 0.02),
-g AS (SELECT s.left_id, s.right_id, (s.left_id + s.right_id) % 3 = 0 AS label, p.status FROM scored s LEFT JOIN p USING (left_id, right_id)),
-f AS (SELECT DISTINCT left_id FROM p)
-SELECT coalesce(count(*) FILTER (label AND status = 'automatic') / nullif(count(*) FILTER (status = 'automatic'), 0), 0) AS precision,
-       coalesce(count(*) FILTER (label AND status IS NOT NULL) / nullif(count(*) FILTER (label), 0), 0) AS recall,
-       coalesce(count(*) FILTER (label AND status = 'automatic') / nullif(count(*) FILTER (label), 0), 0) AS confirmed_recall,
-       coalesce(count(DISTINCT CASE WHEN label AND f.left_id IS NOT NULL THEN g.left_id END) / nullif(count(DISTINCT CASE WHEN label THEN g.left_id END), 0), 0) AS food_recall
-FROM g LEFT JOIN f USING (left_id)""")
+GREEDY_SQL = """rest(round, left_id, right_id, score) AS (
+  SELECT 0, left_id, right_id, jaccard FROM {edges}
+  UNION ALL
+  SELECT round + 1, left_id, right_id, score FROM (
+    SELECT *, max(taken) OVER (PARTITION BY left_id) AS l, max(taken) OVER (PARTITION BY right_id) AS r FROM (
+      SELECT *, CASE WHEN row_number() OVER (PARTITION BY left_id ORDER BY score DESC, left_id, right_id) = 1 AND row_number() OVER (PARTITION BY right_id ORDER BY score DESC, left_id, right_id) = 1 THEN 1 ELSE 0 END AS taken FROM rest))
+  WHERE l = 0 AND r = 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY round, left_id ORDER BY score DESC, left_id, right_id) AS a, row_number() OVER (PARTITION BY round, right_id ORDER BY score DESC, left_id, right_id) AS b FROM rest),
+final AS (SELECT left_id, right_id, score FROM placed WHERE a = 1 AND b = 1)"""
+
+
+@query(f"""WITH RECURSIVE {TOKEN_SQL}, auto AS (SELECT * FROM scored WHERE jaccard >= 0.05), {GREEDY_SQL.format(edges="auto")},
+g AS (SELECT s.left_id, (s.left_id + s.right_id) % 3 = 0 AS t, f.left_id IS NOT NULL AS final, jaccard >= 0.02 AND jaccard < 0.05 AS review FROM scored s LEFT JOIN final f USING (left_id, right_id)),
+n AS (SELECT count(*) FILTER (t) AS golden_true, count(*) FILTER (NOT t) AS golden_false, count(*) FILTER (t AND final) AS true_positives, count(*) FILTER (NOT t AND final) AS false_positives,
+  count(*) FILTER (t AND NOT final AND NOT review) AS false_negatives, count(*) FILTER (t AND review) AS review_golden_true,
+  count(DISTINCT CASE WHEN t THEN left_id END) AS golden_foods, count(DISTINCT CASE WHEN t AND (final OR review) THEN left_id END) AS covered_foods, (SELECT count(*) FROM final) AS auto_finals FROM g)
+SELECT *, coalesce(true_positives / nullif(true_positives + false_positives, 0), 0) AS precision, coalesce((true_positives + review_golden_true) / nullif(golden_true, 0), 0) AS recall,
+       coalesce(true_positives / nullif(golden_true, 0), 0) AS confirmed_recall, coalesce(covered_foods / nullif(golden_foods, 0), 0) AS food_recall FROM n""")
 def q_match_evaluation(spark, d):
-    s = _scored(spark, d)
-    p = s.where("jaccard >= 0.02").select("left_id", "right_id", F.when(F.col("jaccard") >= 0.05, "automatic").otherwise("review").alias("status"))
-    return matching.evaluate(s.select("left_id", "right_id", ((F.col("left_id") + F.col("right_id")) % 3 == 0).alias("label")), p)
+    save = Scratch(spark).save
+    s = save(_scored(spark, d).drop("x", "y"))
+    status = F.when(F.col("jaccard") >= 0.05, "automatic").when(F.col("jaccard") >= 0.02, "review")
+    p = s.select("left_id", "right_id", F.col("jaccard").alias("score"), F.lit(0.0).alias("similarity"), status.alias("status"))
+    return matching.evaluate(s.select("left_id", "right_id", ((F.col("left_id") + F.col("right_id")) % 3 == 0).alias("label")), p, save)
 
 
 @query()
@@ -501,16 +513,7 @@ def q_name_similarity(spark, d):
     return pairs.select(F.col("left_id").alias("p_name"), F.col("right_id").alias("other"), T.name_similarity("left_id", "right_id").alias("similarity"))
 
 
-@query(f"""WITH RECURSIVE {TOKEN_SQL},
-rest(round, left_id, right_id, score) AS (
-  SELECT 0, left_id, right_id, jaccard FROM scored
-  UNION ALL
-  SELECT round + 1, left_id, right_id, score FROM (
-    SELECT *, max(taken) OVER (PARTITION BY left_id) AS l, max(taken) OVER (PARTITION BY right_id) AS r FROM (
-      SELECT *, CASE WHEN row_number() OVER (PARTITION BY left_id ORDER BY score DESC, left_id, right_id) = 1 AND row_number() OVER (PARTITION BY right_id ORDER BY score DESC, left_id, right_id) = 1 THEN 1 ELSE 0 END AS taken FROM rest))
-  WHERE l = 0 AND r = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY round, left_id ORDER BY score DESC, left_id, right_id) AS a, row_number() OVER (PARTITION BY round, right_id ORDER BY score DESC, left_id, right_id) AS b FROM rest)
-SELECT left_id, right_id, score, score AS similarity FROM ranked WHERE a = 1 AND b = 1""")
+@query(f"WITH RECURSIVE {TOKEN_SQL}, {GREEDY_SQL.format(edges='scored')} SELECT left_id, right_id, score, score AS similarity FROM final")
 def q_greedy_one_to_one(spark, d):
     s = _scored(spark, d).select("left_id", "right_id", F.col("jaccard").alias("score"), F.col("jaccard").alias("similarity"))
     return matching.one_to_one(s, Scratch(spark).save)

@@ -188,14 +188,15 @@ def q_registry_sources(spark, d):
     return tables.registry(spark, _registry(spark, d)[0]).select("source_id", "name", "version", "license_id")
 
 
-@query("SELECT 'f' || r_regionkey AS file, sha256(r_name) AS sha256, CASE WHEN r_regionkey = 3 THEN sha256('other') ELSE sha256(r_name) END AS expected, r_regionkey <> 3 AS ok FROM region")
+@query("SELECT 's' || r_regionkey AS source_id, CASE WHEN r_regionkey < 3 THEN 'data.csv' ELSE 'in/data.csv' END AS file, sha256(r_name) AS sha256, CASE WHEN r_regionkey = 3 THEN sha256('other') ELSE sha256(r_name) END AS expected, r_regionkey <> 3 AS ok FROM region")
 def q_checksum_verify(spark, d):
-    """Files against the registry's pinned hashes; one of them is pinned wrongly."""
+    """Files of sources that use the same names, against the registry's pinned hashes; one of them is pinned wrongly."""
     store, path = Scratch(spark), _registry(spark, d)[0]
     for r in table(spark, d, "region").collect():
-        store.put(f"files/f{r['r_regionkey']}", r["r_name"].encode())
-    pinned = tables.pinned_files(spark, path).withColumn("sha256", F.when(F.col("file") == "f3", F.sha2(F.lit("other"), 256)).otherwise(F.col("sha256")))
-    return tables.verify_checksums(spark, store.path("files"), pinned).select("file", "sha256", "expected", "ok")
+        store.put(f"files/s{r['r_regionkey']}/{'' if r['r_regionkey'] < 3 else 'in/'}data.csv", r["r_name"].encode())
+    name = F.when(F.col("source_id") < "s3", "data.csv").otherwise("in/data.csv")
+    pinned = tables.pinned_files(spark, path).withColumn("file", name).withColumn("sha256", F.when(F.col("source_id") == "s3", F.sha2(F.lit("other"), 256)).otherwise(F.col("sha256")))
+    return tables.verify_checksums(spark, store.path("files"), pinned).select("source_id", "file", "sha256", "expected", "ok")
 
 
 CHAIN_SQL = "chain(locale, hop, pos) AS (VALUES " + ", ".join(str((x, hop, k)) for x in K.CHAINS for k, hop in enumerate([x, *K.CHAINS[x]])) + ")"

@@ -136,6 +136,10 @@ def write_contract(tables: dict[str, DataFrame], folder: str, source_id: str) ->
 
 
 def verify_checksums(spark: SparkSession, folder: str, expected: DataFrame) -> DataFrame:
-    """(file, sha256, expected, ok) of files under folder against expected (file, sha256)."""
-    got = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256"))
-    return expected.withColumnRenamed("sha256", "expected").join(got, "file", "left").withColumn("ok", F.coalesce(F.col("sha256") == F.col("expected"), F.lit(False)))
+    """(source_id, file, expected, sha256, ok) of the files under folder/<source_id>/ against expected (source_id, file, sha256); file is the path inside its source's folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    root = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(p).toString()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    inner = F.substring("path", len(root) + 2, 1 << 20)
+    got = files.select(F.substring_index(inner, "/", 1).alias("source_id"), F.regexp_extract(inner, "^[^/]*/(.*)$", 1).alias("file"), F.sha2("content", 256).alias("sha256"))
+    return expected.withColumnRenamed("sha256", "expected").join(got, ["source_id", "file"], "left").withColumn("ok", F.coalesce(F.col("sha256") == F.col("expected"), F.lit(False)))

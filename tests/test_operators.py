@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from provendar.functions import fixed as K
-from provendar.operators import gates, labels, matching, quality, records, search, selection
+from provendar.operators import components, gates, labels, matching, quality, records, search, selection
 from provendar.plans.store import Scratch
 
 RULES = [("en", "*", "*", "a>b"), ("en", "veg", "*", "b>a"), ("en", "*", "FAT", "c>a"), ("en", "veg", "FAT", "a>c")]
@@ -50,11 +50,72 @@ def test_greedy_equals_sequential(spark):
     assert {(r.left_id, r.right_id) for r in matching.one_to_one(df, Scratch(spark).save).collect()} == want
 
 
+def test_greedy_by_component_equals_sequential(spark):
+    """With a small limit, components are solved side by side and larger ones taken apart first."""
+    rng = random.Random(9)
+    edges = {(10 * g + rng.randrange(9), 10 * g + rng.randrange(9)) for g in range(12) for _ in range(20)} | {(500 + k, 500 + k + s) for k in range(80) for s in (0, 1)}
+    edges = [(a, b, float(1000 - a - b) if a >= 500 else float(rng.randrange(4)), 0.0) for a, b in sorted(edges)]
+    left, right, want = set(), set(), set()
+    for a, b, s, m in sorted(edges, key=lambda e: (-e[2], -e[3], e[0], e[1])):
+        if a not in left and b not in right:
+            left.add(a), right.add(b), want.add((a, b))
+    df = spark.createDataFrame(edges, "left_id int, right_id int, score double, similarity double")
+    got = [(r.left_id, r.right_id) for r in matching.one_to_one(df, Scratch(spark).save, limit=60).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_long_falling_chain_takes_few_jobs(spark):
+    n = 10_000
+    df = spark.range(n).selectExpr("(id + 1) div 2 as left_id", "id div 2 as right_id", f"double({n} - id) as score", "0.0D as similarity")
+    sc = spark.sparkContext
+    sc.setJobGroup("chain", "chain")
+    got = {(r.left_id, r.right_id) for r in matching.one_to_one(df, Scratch(spark).save).collect()}
+    jobs = len(sc.statusTracker().getJobIdsForGroup("chain"))
+    sc.setJobGroup("other", "other")
+    assert got == {(k, k) for k in range(n // 2)} and jobs < 15, jobs
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + k, 1001 + k) for k in range(200)] + [(2000, 2001 + k) for k in range(50)]
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            top[max(x, y)] = min(x, y)
+    got = components.components(spark.createDataFrame(edges, "a int, b int"), Scratch(spark).save).collect()
+    assert {r.node: r.component for r in got} == {x: find(x) for x in top} and len(got) == len(top)
+
+
+GOLD, PROPOSED = "left_id string, right_id string, label boolean", "left_id string, right_id string, status string, score double, similarity double"
+
+
+def evaluated(spark, gold, props):
+    return matching.evaluate(spark.createDataFrame(gold, GOLD), spark.createDataFrame([(*p, 0.5) for p in props], PROPOSED), Scratch(spark).save).first().asDict()
+
+
 def test_evaluation(spark):
-    gold = [("i1", "c1", True), ("i2", "c2", True), ("i3", "c3", True), ("i4", "c4", True), ("i4", "c5", True), ("i1", "c9", False), ("i2", "c9", False)]
-    props = [("i1", "c1", "automatic"), ("i1", "c9", "automatic"), ("i2", "c2", "review"), ("i3", "c3", "review"), ("i9", "c1", "review"), ("i2", "c7", "review")]
-    r = matching.evaluate(spark.createDataFrame(gold, "left_id string, right_id string, label boolean"), spark.createDataFrame(props, "left_id string, right_id string, status string")).first()
-    assert tuple(r) == (0.5, 0.6, 0.2, 0.75)
+    gold = [("1", "11", True), ("1", "12", False), ("2", "21", True), ("2", "22", True), ("3", "31", False), ("4", "41", True), ("5", "51", True)]
+    props = [("1", "11", "automatic", 0.9), ("1", "12", "review", 0.7), ("2", "22", "review", 0.7), ("2", "23", "automatic", 0.95), ("3", "31", "automatic", 0.9), ("5", "51", "review", 0.6)]
+    r = evaluated(spark, gold, props)
+    assert (r["precision"], r["recall"], r["confirmed_recall"], r["food_recall"]) == (0.5, 0.6, 0.2, 0.75)
+    assert (r["auto_finals"], r["review_golden_true"], r["golden_foods"], r["covered_foods"], r["golden_true"], r["golden_false"], r["false_negatives"]) == (3, 2, 4, 3, 5, 2, 2)
+
+
+def test_evaluation_judges_final_links_only(spark):
+    """A food with a wrong automatic pair is not covered; of two automatic pairs of one food only the better one is final; a pair without a status counts for nothing."""
+    assert evaluated(spark, [("a", "x", True)], [("a", "y", "automatic", 0.9)])["food_recall"] == 0.0
+    two = evaluated(spark, [("a", "x", True), ("a", "y", False)], [("a", "x", "automatic", 0.9), ("a", "y", "automatic", 0.8)])
+    assert (two["precision"], two["auto_finals"]) == (1.0, 1)
+    none = evaluated(spark, [("a", "x", True)], [("a", "x", None, 0.1)])
+    assert (none["recall"], none["food_recall"], none["false_negatives"]) == (0.0, 0.0, 1)
+    assert evaluated(spark, [("a", "x", False)], [])["precision"] == 0.0
 
 
 def test_status_table(spark):
