@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import records, search, selection, views
+from .operators import search, views
 from .plans import artifact
 
 
@@ -20,7 +21,8 @@ class Engine:
 
     def search(self, query: str, locale: str, limit: int = 20, kind: str | None = None, food_group: str | None = None) -> DataFrame:
         t = self.tables
-        found = search.search(t["label"], query, locale, limit, kind, t.get("concept"), food_group, t["label_word"], t["label_trigram"])
+        index = search.Index(**{field: t[name] for name, field in search.INDEX_TABLES.items()})
+        found = search.search(t["label"], query, locale, limit, kind, t.get("concept"), food_group, index)
         return search.display_labels(found, t["label"], locale)
 
     def food_values(self, concept_id: str, locale: str) -> DataFrame:
@@ -30,7 +32,20 @@ class Engine:
         return views.foods_for_nutrient(self.tables["mv_food_value"], nutrient_id, locale, limit, food_group)
 
     def provenance(self, source_record_id: str) -> DataFrame:
-        return self.tables["source_record"].where(self.tables["source_record"].source_record_id == source_record_id)
+        """The record with its source."""
+        record = self.tables["source_record"].where(F.col("source_record_id") == source_record_id)
+        if "source" not in self.tables:
+            return record
+        source = self.tables["source"]
+        return record.join(F.broadcast(source.select("source_id", *[F.col(c).alias(f"source_{c}") for c in source.columns if c != "source_id"])), "source_id", "left")  # a row per registered source
+
+    def nutrients(self) -> DataFrame:
+        """The nutrients, by group and tag."""
+        return self.tables["nutrient"].orderBy("group", "tagname")
+
+    def metadata(self) -> DataFrame:
+        """When, by what and as which profile the artifact was built: (key, value)."""
+        return self.tables["build_metadata"].orderBy("key")
 
     def coverage(self) -> DataFrame:
         return views.coverage_by_source(self.tables["value"])
@@ -46,6 +61,3 @@ class Engine:
 
     def diff(self, other: Engine) -> DataFrame:
         return artifact.diff(self.tables["mv_food_value"], other.tables["mv_food_value"])
-
-
-__all__ = ["Engine", "records", "selection"]

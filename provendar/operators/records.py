@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as K
 from ..functions import scalar as S
+from . import ranks
 
 
 def level_fallback(df: DataFrame, mapping: DataFrame, codes: list[str], out: str = "food_group") -> DataFrame:
@@ -82,6 +83,7 @@ def append_derived(values: DataFrame, derived: DataFrame) -> DataFrame:
     return values.unionByName(derived, allowMissingColumns=True)
 
 
-def median_factors(rows: DataFrame, keys: list[str], value: str, scale: float = 100.0) -> DataFrame:
+def median_factors(rows: DataFrame, keys: list[str], value: str, save, scale: float = 100.0) -> DataFrame:
     """Median, count, minimum and maximum per key, divided by scale."""
-    return rows.groupBy(*keys).agg(F.round(F.median(value) / scale, 4).alias("factor"), F.count("*").alias("n"), (F.min(value) / scale).alias("low"), (F.max(value) / scale).alias("high"))
+    m = ranks.medians(rows, keys, value, save)
+    return m.select(*keys, F.round(F.col("median") / scale, 4).alias("factor"), "n", (F.col("low") / scale).alias("low"), (F.col("high") / scale).alias("high"))

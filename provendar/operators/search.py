@@ -1,13 +1,17 @@
 """Search over labels: substring and prefix matching with locale fallback, ranked.
 
-The index tables are built once per label table: one row per (label, trigram) and one per (label, word),
-partitioned by locale when written. A query fetches candidates by equi-join on its rarest trigrams' rows
-and verifies them; nothing scans all labels.
+The index of a label table is written once: postings of trigrams and of words, range-sorted by (gram or word, locale, label)
+in small pages, so that a lookup reads the pages that hold its terms and skips all others by their least and greatest entry.
+Beside them lie the number of labels per gram, the length of its label with each word posting, and a row of totals per
+locale. A lookup reads the counts of its grams, then the postings of the rarest ones, and verifies the texts of
+those labels; scores need the postings of the query's words alone. Without an index, all labels are looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed as K
@@ -16,6 +20,10 @@ from ..functions.text import fold_exact
 
 TRIGRAM = 3
 BM25_K1, BM25_B = 1.2, 0.75
+#: Rows of a page and bytes of a row group of the postings: what a lookup skips or reads whole.
+PAGE_ROWS, GROUP_BYTES = 1000, 1 << 20
+#: Of a query's grams, the postings of so many are read; the texts of their labels decide.
+RAREST = 3
 
 
 class SearchError(ValueError):
@@ -57,17 +65,78 @@ def word_index(labels: DataFrame) -> DataFrame:
     return out.groupBy("label_id", "locale", "word").agg(F.count("*").alias("tf"))
 
 
-def matches(labels: DataFrame, query: str, grams: DataFrame | None = None) -> DataFrame:
+def postings(labels: DataFrame) -> DataFrame:
+    """(word, locale, label_id, tf, len): folded words with their counts and their label's number of words."""
+    ws = labels.select("label_id", "locale", S.words_of(F.col("text_normalized")).alias("_w"))
+    out = ws.select("label_id", "locale", F.size("_w").cast("long").alias("len"), F.explode("_w").alias("word"))
+    return out.groupBy("word", "locale", "label_id", "len").agg(F.count("*").alias("tf")).select("word", "locale", "label_id", "tf", "len")
+
+
+@dataclass
+class Index:
+    """The written index: grams (gram, locale, label_id), counts (gram, locale, df), words (word, locale, label_id, tf, len), totals (locale, n, avg_len)."""
+
+    grams: DataFrame
+    counts: DataFrame
+    words: DataFrame
+    totals: DataFrame
+
+
+INDEX_TABLES = {"label_trigram": "grams", "label_trigram_count": "counts", "label_word": "words", "label_totals": "totals"}
+
+
+def write_index(labels: DataFrame, folder: str) -> Index:
+    """Writes the four tables of an index under folder."""
+    spark = labels.sparkSession
+
+    def put(name: str, df: DataFrame, *order: str) -> DataFrame:
+        placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        placed.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS).option("parquet.block.size", GROUP_BYTES).parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    grams = put("label_trigram", trigram_index(labels).select("gram", "locale", "label_id"), "gram", "locale", "label_id")
+    put("label_trigram_count", grams.groupBy("gram", "locale").agg(F.count("*").alias("df")), "gram", "locale")
+    put("label_word", postings(labels), "word", "locale", "label_id")
+    sizes = labels.select("locale", F.size(S.words_of(F.col("text_normalized"))).alias("len")).where("len > 0")
+    put("label_totals", sizes.groupBy("locale").agg(F.count("*").alias("n"), F.avg("len").alias("avg_len")), "locale")
+    return open_index(spark, folder)
+
+
+def open_index(spark: SparkSession, folder: str) -> Index:
+    return Index(**{field: spark.read.parquet(f"{folder}/{name}") for name, field in INDEX_TABLES.items()})
+
+
+def candidates(index: Index, terms: list[str], locales: list[str]) -> DataFrame | None:
+    """(label_id): labels that may hold every term. None: a gram occurs nowhere. One small job asks for the counts of the query's grams."""
+    here = F.col("locale").isin(*locales)
+    if all(len(t) >= TRIGRAM for t in terms):
+        wanted = sorted({t[i : i + TRIGRAM] for t in terms for i in range(len(t) - TRIGRAM + 1)})
+        df = {r["gram"]: r["df"] for r in index.counts.where(F.col("gram").isin(*wanted) & here).groupBy("gram").agg(F.sum("df").alias("df")).collect()}
+        if len(df) < len(wanted):
+            return None
+        rare = sorted(wanted, key=lambda g: (df[g], g))[:RAREST]
+        # a term may lie in either text column, but then each of its grams lies in one of them too
+        hits = index.grams.where(F.col("gram").isin(*rare) & here).groupBy("label_id").agg(F.count("*").alias("n"))
+        return hits.where(F.col("n") == len(rare)).select("label_id")
+    out = None
+    for t in terms:
+        part = index.words.where(F.col("word").startswith(t) & here).select("label_id")
+        out = part.distinct() if out is None else out.join(part, "label_id", "left_semi")
+    return out
+
+
+def matches(labels: DataFrame, query: str, index: Index | None = None, locales: list[str] | None = None) -> DataFrame:
     """Labels that hold every term: as substrings if all terms have three characters or more, else each as the start of a word."""
     terms = terms_of(query)
     if not terms:
         return labels.where(F.lit(False))
+    if index is not None:
+        chain = locales or [r["locale"] for r in index.totals.select("locale").collect()]
+        found = candidates(index, terms, chain)
+        if found is None:
+            return labels.where(F.lit(False))
+        labels = labels.join(found, "label_id", "left_semi")
     if all(len(t) >= TRIGRAM for t in terms):
-        if grams is not None:
-            wanted = sorted({t[i : i + TRIGRAM] for t in terms for i in range(len(t) - TRIGRAM + 1)})
-            # a term may lie in either text column, but then each of its grams lies in one of them too
-            hits = grams.where(F.col("gram").isin(*wanted)).groupBy("label_id").agg(F.count("*").alias("n")).where(F.col("n") == len(wanted))
-            labels = labels.join(hits.select("label_id"), "label_id", "left_semi")
         for t in terms:
             labels = labels.where(F.lower("text").contains(t) | F.col("text_normalized").contains(t))
         return labels
@@ -80,19 +149,17 @@ def _starts(term: str):
     return lambda word: word.startswith(term)
 
 
-def bm25(words: DataFrame, terms: list[str]) -> DataFrame:
-    """(label_id, score) of whole-word matches, with per-locale statistics."""
-    docs = words.groupBy("label_id", "locale").agg(F.sum("tf").alias("len"))
-    stats = docs.groupBy("locale").agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))
-    hit = words.where(F.col("word").isin(*terms))
+def bm25(index: Index, terms: list[str]) -> DataFrame:
+    """(label_id, score) of whole-word matches, with per-locale statistics. Reads the postings of the terms alone."""
+    hit = index.words.where(F.col("word").isin(*terms))
     df = hit.groupBy("locale", "word").agg(F.count("*").alias("df"))
-    both = hit.join(docs, ["label_id", "locale"]).join(F.broadcast(df), ["locale", "word"]).join(F.broadcast(stats), "locale")
+    both = hit.join(F.broadcast(df), ["locale", "word"]).join(F.broadcast(index.totals), "locale")  # a row per locale and term, or per locale
     idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
     part = idf * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("len") / F.col("avg_len")))
     return both.groupBy("label_id").agg(F.sum(part).alias("score"))
 
 
-def search(labels: DataFrame, query: str, locale: str, limit: int = 20, kind: str | None = None, groups: DataFrame | None = None, food_group: str | None = None, words: DataFrame | None = None, grams: DataFrame | None = None, chains: dict[str, list[str]] | None = None) -> DataFrame:
+def search(labels: DataFrame, query: str, locale: str, limit: int = 20, kind: str | None = None, groups: DataFrame | None = None, food_group: str | None = None, index: Index | None = None, chains: dict[str, list[str]] | None = None) -> DataFrame:
     """The best labels in the first locale of the chain that has any hit: label_id, kind, ref, locale, text, score.
 
     labels: label_id, ref_kind, ref, locale, text, text_normalized. food_group keeps concepts of that group (groups: concept_id, food_group).
@@ -108,11 +175,11 @@ def search(labels: DataFrame, query: str, locale: str, limit: int = 20, kind: st
         some = some.where(F.col("ref_kind") == ("concept" if kind == "food" else "nutrient"))
     if food_group is not None and groups is not None:
         some = some.join(groups.where(F.col("food_group") == food_group).select(F.col("concept_id").alias("ref")), "ref", "left_semi")
-    found = matches(some, query, grams).withColumn("hop", hop)
+    found = matches(some, query, index, chain).withColumn("hop", hop)
     first = found.agg(F.min("hop").alias("hop"))
     found = found.join(F.broadcast(first), "hop", "left_semi")
-    if words is not None:
-        found = found.join(bm25(words, terms_of(query)), "label_id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    if index is not None and terms_of(query):
+        found = found.join(bm25(index, terms_of(query)), "label_id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     else:
         found = found.withColumn("score", F.lit(0.0))
     best = found.withColumn("_r", F.row_number().over(Window.partitionBy("ref_kind", "ref").orderBy(F.desc("score"), "label_id"))).where("_r = 1")

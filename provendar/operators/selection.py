@@ -99,22 +99,36 @@ def divergences(cells: DataFrame, preferred: DataFrame) -> DataFrame:
 def merge_cells(cells: DataFrame, locales: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per cell: the preferred candidate, `alternatives` (ordered array), n_alternatives, divergence_max and divergence_flag.
 
-    cells: candidates with food_group; locales: concept_id, locale and what goes with them. Candidates are gathered once
-    per (concept, nutrient, basis) - the array is part of the result -, and ordered for each locale in place.
+    cells: candidates with food_group; locales: concept_id, locale and what goes with them. The candidates of each source
+    are sorted once, as one run per (concept, nutrient, basis) and source. A locale only puts the sources in its order and joins their
+    runs; sources that its rule does not name share the last place, and their runs alone are sorted together. The
+    divergence needs the least and the greatest value (cells with negative values look at all of theirs).
     """
     own = [c for c in cells.columns if c not in (*KEY, "food_group")]
-    first = ["source_record_id", "value"]
-    one = F.struct(_type_rank().alias("_t"), *first, *[c for c in own if c not in first])
-    some = cells.groupBy(*KEY, "food_group").agg(F.collect_list(one).alias("_c"))
+    shown = [c for c in PAYLOAD if c in own]
+    more = [c for c in own if c not in shown]
+    by = [*KEY, "food_group"]
+    sortable = F.struct(_type_rank().alias("_t"), "source_record_id", "value", F.struct(*shown, *more).alias("_x"))
+    here = F.when(F.col("value_type") == "measured", F.col("value"))
+    placed = cells.repartition(*by)  # both groupings below follow it
+    runs = placed.groupBy(*by, "source_id").agg(F.transform(F.array_sort(F.collect_list(sortable)), lambda x: x["_x"]).alias("_r"), F.min(here).alias("_lo"), F.max(here).alias("_hi"))
+    some = runs.groupBy(*by).agg(F.collect_list(F.struct("source_id", "_r")).alias("_runs"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     some = resolve_rules(some.join(locales, "concept_id"), rules)
-    ranked = F.array_sort(F.transform("_c", lambda x: F.struct(S.rank_in(F.col("source_order"), x["source_id"]).alias("_s"), x.alias("_x"))))
-    some = some.withColumn("_c", F.transform(ranked, lambda x: x["_x"])).withColumn("_p", F.element_at("_c", 1)).withColumn("_a", F.slice("_c", F.lit(2), F.size("_c")))
+    order = F.col("source_order")
+    listed = F.filter(F.transform(order, lambda o: F.try_element_at(F.filter("_runs", lambda x: x["source_id"] == o), F.lit(1))["_r"]), lambda x: x.isNotNull())
+    other = F.transform(F.filter("_runs", lambda x: ~F.array_contains(order, x["source_id"])), lambda x: x["_r"])
+    ranked = F.array_sort(F.transform(F.flatten(other), lambda x: F.struct(S.lookup(K.TYPE_RANK, x["value_type"], 3).alias("_t"), x["source_record_id"].alias("r"), x["value"].alias("v"), x.alias("_x"))))
+    joined = F.concat(F.flatten(listed), F.when(F.size(other) > 1, F.transform(ranked, lambda x: x["_x"])).otherwise(F.flatten(other)))
+    some = some.withColumn("_c", joined).withColumn("_p", F.element_at("_c", 1)).withColumn("_a", F.slice("_c", F.lit(2), F.size("_c")))
+    mine = F.col("_p.value")
+    plain = F.greatest(S.relative_difference(F.col("_lo"), mine), S.relative_difference(F.col("_hi"), mine))
     far = F.aggregate("_a", F.lit(0.0), lambda m, x: F.greatest(m, F.when(x["value_type"] == "measured", S.relative_difference(x["value"], F.col("_p.value")))))
+    apart = F.when(F.col("_p.value_type") == "measured", F.when(F.col("_lo") < 0, far).otherwise(plain))
     extra = [c for c in locales.columns if c not in ("concept_id", "locale")]
     out = some.select(
         *CELL, "food_group", *extra, *[F.col(f"_p.{c}").alias(c) for c in own],
-        F.transform("_a", lambda x: F.struct(*[x[c].alias(c) for c in PAYLOAD if c in own])).alias("alternatives"), F.size("_a").cast("long").alias("n_alternatives"),
-        F.when(F.col("_p.value_type") == "measured", far).otherwise(0.0).alias("divergence_max"),
+        (F.transform("_a", lambda x: F.struct(*[x[c].alias(c) for c in shown])) if more else F.col("_a")).alias("alternatives"), F.size("_a").cast("long").alias("n_alternatives"),
+        F.coalesce(apart, F.lit(0.0)).alias("divergence_max"),
     )
     return out.withColumn("divergence_flag", F.col("divergence_max") >= K.DIVERGENCE)
 

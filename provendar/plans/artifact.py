@@ -59,9 +59,8 @@ def write(tables: dict[str, DataFrame], folder: str, profile: str = "full", lite
         w = in_order(df, name).write.mode("overwrite")
         (w.partitionBy("locale") if name == "mv_food_value" else w).parquet(f"{folder}/{name}")
     saved = spark.read.parquet(f"{folder}/label")
-    search.trigram_index(saved).write.mode("overwrite").partitionBy("locale").parquet(f"{folder}/label_trigram")
-    search.word_index(saved).write.mode("overwrite").partitionBy("locale").parquet(f"{folder}/label_word")
-    for name in (*out, "label_trigram", "label_word"):
+    search.write_index(saved, folder)
+    for name in (*out, *search.INDEX_TABLES):
         counts[name] = spark.read.parquet(f"{folder}/{name}").count()
     manifest = json.dumps({"profile": profile, "rows": counts}, sort_keys=True)
     spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/_manifest")

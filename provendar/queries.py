@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .functions import fixed as K
 from .functions import scalar as S
 from .functions import text as T
-from .operators import gates, labels, matching, quality, records, search, selection, views
+from .operators import gates, labels, matching, quality, ranks, records, search, selection, views
 from .plans.store import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -409,6 +409,13 @@ def q_search_prefix(spark, d):
     return search.matches(doc_labels(spark, d), "éu menta").select("label_id", "locale")
 
 
+@query(f"WITH {LABEL_SQL} SELECT label_id, locale FROM label WHERE regexp_matches(norm, '(^|[^\\p{{L}}\\p{{N}}])eu') AND regexp_matches(norm, '(^|[^\\p{{L}}\\p{{N}}])menta')")
+def q_search_postings(spark, d):
+    """Starts of words, answered from the postings; the labels found are verified."""
+    t = doc_labels(spark, d)
+    return search.matches(t, "éu menta", search.write_index(t, Scratch(spark).path("index"))).select("label_id", "locale")
+
+
 @query(f"""WITH {LABEL_SQL}, h AS (SELECT label_id, locale, row_number() OVER (ORDER BY label_id) AS k FROM label WHERE locale = 'en' AND (contains(lower(text), 'ingwh') OR contains(norm, 'ingwh')))
 SELECT label_id, locale FROM h WHERE k <= 50""")
 def q_search_fallback(spark, d):
@@ -431,7 +438,7 @@ r AS (SELECT *, row_number() OVER (ORDER BY score DESC, label_id) AS k FROM foun
 SELECT label_id, locale, round(score, 6) AS score FROM r WHERE k <= 20""")
 def q_search_ranked(spark, d):
     t = doc_labels(spark, d)
-    return search.search(t, "thing other", "it", 20, words=Scratch(spark).save(search.word_index(t))).select("label_id", "locale", F.round("score", 6).alias("score"))
+    return search.search(t, "thing other", "it", 20, index=search.write_index(t, Scratch(spark).path("index"))).select("label_id", "locale", F.round("score", 6).alias("score"))
 
 
 # --------------------------------------------------------------------------- matching
@@ -580,7 +587,14 @@ def q_derive_volume(spark, d):
 def q_median_factors(spark, d):
     both = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     rows = both.select(F.col("o_orderpriority").alias("nutrient"), F.col("o_orderstatus").alias("method"), "l_quantity")
-    return records.median_factors(rows, ["nutrient", "method"], "l_quantity")
+    return records.median_factors(rows, ["nutrient", "method"], "l_quantity", Scratch(spark).save)
+
+
+@query("SELECT CASE WHEN l_orderkey % 10 < 8 THEN 'hot' ELSE l_returnflag END AS grp, round(median(l_extendedprice), 4) AS median, count(*) AS n, min(l_extendedprice) AS low, max(l_extendedprice) AS high FROM lineitem GROUP BY ALL")
+def q_median_by_rank(spark, d):
+    """Exact medians of groups of which one holds most rows: larger groups than 1024 different values are narrowed down by histograms."""
+    li = table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 10 < 8, "hot").otherwise(F.col("l_returnflag")).alias("grp"), "l_extendedprice")
+    return ranks.medians(li, ["grp"], "l_extendedprice", Scratch(spark).save, limit=1024).withColumn("median", F.round("median", 4))
 
 
 RAW_CELLS = ["59,7", "traces", "-", "< 1,5", "0", "1e-3", "-2.5", "<0.2"]

@@ -727,10 +727,11 @@ def _small_artifact(spark, d) -> str:
     return folder
 
 
-@query("""WITH n AS (SELECT count(*) AS c FROM nation), t AS (SELECT 'en ñame ' || lower(n_name) AS a, 'en name ' || lower(n_name) AS b, n_nationkey FROM nation),
-g AS (SELECT DISTINCT n_nationkey, substr(x, i, 3) AS gram FROM (SELECT n_nationkey, unnest([a, b]) AS x FROM t), generate_series(1, 100) s(i) WHERE i <= length(x) - 2)
-SELECT name, CASE name WHEN 'mv_food_value' THEN 2 * c WHEN 'label' THEN 2 * c WHEN 'label_trigram' THEN 2 * (SELECT count(*) FROM g) WHEN 'label_word' THEN 8 * c WHEN 'build_metadata' THEN 5 ELSE c END AS n
-FROM n, (VALUES ('mv_food_value'), ('label'), ('concept'), ('value'), ('source_record'), ('label_trigram'), ('label_word'), ('build_metadata')) v(name)""")
+@query("""WITH n AS (SELECT count(*) AS c FROM nation), t AS (SELECT l || ' ñame ' || lower(n_name) AS a, l || ' name ' || lower(n_name) AS b, l, n_nationkey FROM nation, (VALUES ('en'), ('fr')) v(l)),
+g AS (SELECT DISTINCT n_nationkey, l, substr(x, i, 3) AS gram FROM (SELECT n_nationkey, l, unnest([a, b]) AS x FROM t), generate_series(1, 100) s(i) WHERE i <= length(x) - 2)
+SELECT name, CASE name WHEN 'mv_food_value' THEN 2 * c WHEN 'label' THEN 2 * c WHEN 'label_trigram' THEN (SELECT count(*) FROM g) WHEN 'label_trigram_count' THEN (SELECT count(DISTINCT (l, gram)) FROM g)
+  WHEN 'label_totals' THEN 2 WHEN 'label_word' THEN (SELECT sum(len(list_distinct(regexp_extract_all(b, '[a-z0-9]+')))) FROM t)::BIGINT WHEN 'build_metadata' THEN 5 ELSE c END AS n
+FROM n, (VALUES ('mv_food_value'), ('label'), ('concept'), ('value'), ('source_record'), ('label_trigram'), ('label_trigram_count'), ('label_word'), ('label_totals'), ('build_metadata')) v(name)""")
 def q_artifact_tables(spark, d):
     """Every table of a written artifact, with its rows."""
     parts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name, df in artifact.open_artifact(spark, _small_artifact(spark, d)).items()]

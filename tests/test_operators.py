@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from provendar.functions import fixed as K
-from provendar.operators import components, gates, labels, matching, quality, records, search, selection
+from provendar.operators import components, gates, labels, matching, quality, ranks, records, search, selection
 from provendar.plans.store import Scratch
 
 RULES = [("en", "*", "*", "a>b"), ("en", "veg", "*", "b>a"), ("en", "*", "FAT", "c>a"), ("en", "veg", "FAT", "a>c")]
@@ -75,6 +75,22 @@ def test_a_long_falling_chain_takes_few_jobs(spark):
     assert got == {(k, k) for k in range(n // 2)} and jobs < 15, jobs
 
 
+def test_medians_by_rank(spark):
+    """Against a sort, in buckets of every size; the values of a group that one task orders stay within the limit."""
+    import statistics
+
+    rng = random.Random(12)
+    draws = {"even": lambda: rng.uniform(-5, 5), "wide": lambda: rng.choice((-1, 1)) * 10 ** rng.uniform(-200, 200), "ties": lambda: float(rng.randrange(3)), None: lambda: rng.gauss(0, 1), "lone": lambda: 7.5}
+    rows = [(g, None if rng.random() < 0.02 else f()) for g, f in draws.items() for _ in range(1 if g == "lone" else 400 + len(str(g)) % 2)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    want = {g: [x for h, x in rows if h == g and x is not None] for g in draws}
+    for limit in (1 << 16, 32):
+        got = {r.g: r for r in ranks.medians(df, ["g"], "v", Scratch(spark).save, limit).collect()}
+        assert set(got) == {g for g in want if want[g]}
+        for g, r in got.items():
+            assert (r.n, r.low, r.high) == (len(want[g]), min(want[g]), max(want[g])) and r.median == pytest.approx(statistics.median(want[g]), rel=1e-12), g
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + k, 1001 + k) for k in range(200)] + [(2000, 2001 + k) for k in range(50)]
@@ -251,13 +267,14 @@ def test_quality_checks(spark):
     assert [r.severity for r in f] == ["warning"] * 5 and all(r.n == 1 and r.examples == ["c1|A"] for r in f)
 
 
-def test_search(spark):
+def test_search(spark, tmp_path):
     rows = [(1, "concept", "a", "en", "Skim milk"), (2, "concept", "b", "en", "Milk chocolate"), (3, "concept", "a", "pt", "Leite magro"), (4, "nutrient", "n", "en", "Milk fat"), (5, "concept", "c", "pt", "Polpa de açaí")]
     t = spark.createDataFrame(rows, "label_id long, ref_kind string, ref string, locale string, text string")
     from provendar.functions import scalar as S
 
     t = t.withColumn("text_normalized", S.fold(F.col("text")))
-    ids = lambda *a, **k: [r.label_id for r in search.search(t, *a, **k, words=search.word_index(t), grams=search.trigram_index(t)).collect()]
+    index = search.write_index(t, f"file://{tmp_path}/index")
+    ids = lambda *a, **k: [r.label_id for r in search.search(t, *a, **k, index=index).collect()]
     assert set(ids("milk", "en")) == {1, 2, 4} and set(ids("MIL choc", "en")) == {2}
     assert set(ids("milk", "pt-PT", kind="food")) == {1, 2}  # no Portuguese hit: English answers
     assert ids("acai", "pt") == [5] and ids("po aç", "pt-BR") == [5] and ids('"*', "en") == []
@@ -305,12 +322,49 @@ def test_energy_declared_as_zero_is_no_offender(spark):
     assert quality.energy_skipped(p, kcal.where("concept_id = 'a'")).first()[0] == 1
 
 
-def test_search_finds_any_script(spark):
+def rows_scanned(df):
+    """Rows that the scans of an executed plan gave out: what page statistics could not skip."""
+    df._jdf.queryExecution().executedPlan()
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), {}
+    todo = [plan.finalPhysicalPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            total[node.relation().location().rootPaths().head().getName()] = node.metrics().apply("numOutputRows").value()
+        if hasattr(node, "plan") and "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        kids = node.children()
+        todo += [kids.apply(k) for k in range(kids.size())]
+    return total
+
+
+def test_a_lookup_reads_few_pages_of_the_postings(spark, tmp_path):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    rows = [(k, "concept", str(k), "en", " ".join(word() for _ in range(8))) for k in range(6000)]
+    t = spark.createDataFrame(rows, "label_id long, ref_kind string, ref string, locale string, text string").withColumn("text_normalized", F.col("text")).repartition(4)
+    index = search.write_index(t, f"file://{tmp_path}/index")
+    some = rows[17][4].split()
+    query = f"{some[0]} {some[3]}"
+    want = sorted(r[0] for r in rows if some[0] in r[4] and some[3] in r[4])
+    assert sorted(r.label_id for r in search.search(t, query, "en", index=index).collect()) == want
+    read = rows_scanned(search.candidates(index, query.split(), ["en"]))
+    assert 0 < read["label_trigram"] < index.grams.count() / 15, read
+    scores = search.bm25(index, query.split())
+    read = rows_scanned(scores)
+    assert 0 < read["label_word"] < index.words.count() / 10, read
+    starts = search.candidates(index, [some[0][:2], some[3][:2]], ["en"])
+    assert {r.label_id for r in starts.collect()} == {r[0] for r in rows if all(any(w.startswith(p[:2]) for w in r[4].split()) for p in (some[0], some[3]))}
+
+
+def test_search_finds_any_script(spark, tmp_path):
     texts = ["brânză și țuică", "Đà Nẵng", "ΆΛΦΑ ένα", "Ｆｕｌｌ width", "한국 빵"]
     rows = labels.union_branches([spark.createDataFrame([("concept", str(k), "en", "native", t) for k, t in enumerate(texts)], "ref_kind string, ref string, locale string, status string, text string")]).withColumn("label_id", F.col("ref").cast("long"))
+    written = search.write_index(rows, f"file://{tmp_path}/index")
     for query, ref in (("țuică", "0"), ("tuica", "0"), ("branza", "0"), ("nang", "1"), ("αλφα", "2"), ("full", "3"), ("한국", "4")):
-        for grams in (None, search.trigram_index(rows)):
-            assert [r.ref for r in search.matches(rows, query, grams).collect()] == [ref], query
+        for index in (None, written):
+            assert [r.ref for r in search.matches(rows, query, index).collect()] == [ref], query
 
 
 def test_gates(spark):
