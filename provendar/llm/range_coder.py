@@ -30,10 +30,10 @@ import zlib
 import numpy as np
 
 #: Ids of a block, and blocks coded side by side.
-BLOCK, LANES = 2048, 4096
+BLOCK, LANES = 1024, 8192
 MAGIC = b"PTI1"
 #: Entries of the tables of order 1 and order 2 in each block, as bits.
-BITS = 9
+BITS = 8
 #: Different ids that a stretch may hold; one with more is written as two.
 DIFFERENT = 60_000
 #: Ids below this are counted in a table.
