@@ -35,7 +35,7 @@ def read(spark: SparkSession, a: argparse.Namespace) -> DataFrame | str | None:
     if a.command == "foods":
         return e.foods_for_nutrient(a.nutrient, a.locale, a.limit)
     if a.command == "diff":
-        return e.diff(Engine(spark, a.other)).where("status <> 'same'")
+        return e.changes(Engine(spark, a.other))
     if a.command == "docs":
         return artifact.dictionary(e.tables)
     artifact.jsonl(e.tables[a.table], a.folder)

@@ -49,14 +49,30 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return out.limit(limit) if limit else out
 
 
+#: Rounds that peel off nodes without a parent or without a child, before paths are looked for.
+PEELED = 8
+
+
 def cycles(edges: DataFrame, save, parent: str = "parent", child: str = "child") -> DataFrame:
-    """Nodes that reach themselves. Reachable pairs are doubled in length, without repeats, until nothing is new: as many
-    rounds as the longest path has doublings. save cuts the lineage of each round. The relation table is a small vocabulary."""
-    reach = save(edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).distinct())
+    """Nodes that reach themselves.
+
+    A node without a parent or without a child lies on no cycle: such nodes go with their edges, some rounds long, which takes
+    most of a graph that is nearly free of cycles. Among the edges that stay, reachable pairs are doubled in length, without repeats,
+    until nothing is new: as many rounds as the longest path has doublings. save cuts the lineage of each round.
+    """
+    reach = save(edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).where("p is not null and c is not null").distinct())
+    n = reach.count()
+    for _ in range(PEELED):
+        inner = reach.join(reach.select(F.col("c").alias("p")).distinct(), "p", "left_semi").join(reach.select(F.col("p").alias("c")).distinct(), "c", "left_semi")
+        reach = save(inner.select("p", "c"))
+        if (m := reach.count()) in (n, 0):
+            break
+        n = m
     n = reach.count()
-    while True:
+    while n:
         far = reach.select(F.col("p"), F.col("c").alias("m")).join(reach.select(F.col("p").alias("m"), F.col("c")), "m").select("p", "c")
         nxt = save(reach.unionAll(far).distinct())
         if (m := nxt.count()) == n:
-            return nxt.where("p = c").select(F.col("p").alias("node"))
+            break
         reach, n = nxt, m
+    return reach.where("p = c").select(F.col("p").alias("node"))

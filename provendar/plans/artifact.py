@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import VERSION
 from ..functions import fixed as K
 from ..functions import scalar as S
-from ..operators import gates, records, search, views
+from ..operators import digests, gates, records, search, views
 
 MODEL_KEYS = ["concept_id", "nutrient_id", "locale", "basis"]
 SCHEMA_VERSION = "1"
@@ -58,6 +58,8 @@ def write(tables: dict[str, DataFrame], folder: str, profile: str = "full", lite
     for name, df in out.items():
         w = in_order(df, name).write.mode("overwrite")
         (w.partitionBy("locale") if name == "mv_food_value" else w).parquet(f"{folder}/{name}")
+    model = spark.read.parquet(f"{folder}/mv_food_value")
+    digests.digests(model, MODEL_KEYS, _payload(model), ["locale"]).coalesce(1).write.mode("overwrite").parquet(f"{folder}/_digests")  # a few hundred rows a locale
     saved = spark.read.parquet(f"{folder}/label")
     search.write_index(saved, folder)
     for name in (*out, *search.INDEX_TABLES):
@@ -90,6 +92,17 @@ def diff(before: DataFrame, after: DataFrame, payload: list[str] | None = None)
     return records.diff(before, after, MODEL_KEYS, payload or ["value", "unit", "value_type", "source_id"])
 
 
+def _payload(model: DataFrame) -> list[str]:
+    return [c for c in ("value", "unit", "value_type", "source_id") if c in model.columns]
+
+
+def changes(spark: SparkSession, before: str, after: str) -> DataFrame:
+    """Added, removed and changed rows of the read models of two artifact folders. Locales and buckets whose digests agree are not read."""
+    a, b = (spark.read.parquet(f"{x}/mv_food_value") for x in (before, after))
+    cells = digests.differing(*(spark.read.parquet(f"{x}/_digests") for x in (before, after)), ["locale"])
+    return digests.changes(a, b, cells, MODEL_KEYS, _payload(a), ["locale"])
+
+
 def jsonl(df: DataFrame, folder: str) -> None:
     """One JSON object per row, sorted by the first column and then the rest."""
     df.orderBy(*df.columns).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(folder)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed as K
-from ..operators import gates, labels, matching, quality, selection, vocabulary
+from ..operators import gates, labels, matching, quality, vocabulary
 from ..sources import tables, xlsx, xml
 from . import artifact, build
 from .store import Scratch
@@ -102,7 +102,7 @@ class Workspace:
             return food.join(own.select("id", "food_group"), "id"), values
 
         (a, x), (b, y) = side(left, left_names), side(right, right_names)
-        found = store.save(matching.match_foods(a, b, terms, x, y, {k: f"name_{k}" for k in left_names}, {k: f"name_{k}" for k in right_names}, store.save))
+        found = store.save(matching.match_foods(a, b, terms, x, y, {k: f"name_{k}" for k in left_names}, {k: f"name_{k}" for k in right_names}, store.save, prune=True))
         old = self.config("links", ["concept_id", "source", "source_code", "status"]).toDF("concept_id", "side", "code", "status") if self.has("config", "links.csv") else None
         old = None if old is None else old.withColumn("side", F.when(F.col("side") == left, "left").otherwise("right"))
         rows = matching.links(found, left, right, store.save, old)
@@ -175,6 +175,3 @@ class Workspace:
         counts = self.package(profile, list(K.GRAM_NUTRIENTS), built_at)
         self.release(profile)
         return counts
-
-
-__all__ = ["Workspace", "selection"]

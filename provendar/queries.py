@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .functions import fixed as K
 from .functions import scalar as S
 from .functions import text as T
-from .operators import gates, labels, matching, quality, ranks, records, search, selection, views
+from .operators import digests, gates, labels, matching, quality, ranks, records, search, selection, views
 from .plans.store import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -631,13 +631,34 @@ def q_html_record_extract(spark, d):
     return p.select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
 
 
-EDGES = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("x", "y"), ("q", "q")]
+EDGE_SQL = "e AS (SELECT DISTINCT o_custkey AS p, o_orderkey * 7 % (SELECT count(*) FROM customer) AS c FROM orders WHERE o_orderkey % 11 = 0)"
 
 
-@query(f"""WITH RECURSIVE e(p, c) AS (VALUES {', '.join(str(x) for x in EDGES)}),
-w(start, node) AS (SELECT p, c FROM e UNION SELECT w.start, e.c FROM w JOIN e ON w.node = e.p) SELECT DISTINCT start AS node FROM w WHERE start = node""")
+@query(f"WITH RECURSIVE {EDGE_SQL}, w(start, node) AS (SELECT p, c FROM e UNION SELECT w.start, e.c FROM w JOIN e ON w.node = e.p) SELECT DISTINCT start AS node FROM w WHERE start = node")
 def q_relation_cycle(spark, d):
-    return gates.cycles(spark.createDataFrame(EDGES, "parent string, child string"), Scratch(spark).save)
+    """Customers that lie on a cycle of the relation that their orders make."""
+    n = table(spark, d, "customer").agg(F.count("*").alias("n"))
+    o = table(spark, d, "orders").where("o_orderkey % 11 = 0").crossJoin(F.broadcast(n))  # one row
+    return gates.cycles(o.select(F.col("o_custkey").alias("parent"), F.expr("o_orderkey * 7 % n").alias("child")), Scratch(spark).save)
+
+
+@query("""WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, max(l_quantity) AS q, l_returnflag AS flag FROM lineitem GROUP BY ALL),
+b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, flag, CASE WHEN flag = 'R' AND l_orderkey % 40 = 0 THEN q + 1 ELSE q END AS q FROM a WHERE NOT (flag = 'R' AND l_orderkey % 50 = 0))
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, flag, a.q AS before_q, b.q AS after_q, CASE WHEN b.q IS NULL THEN 'removed' ELSE 'changed' END AS status
+FROM a LEFT JOIN b USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, flag) WHERE b.q IS NULL OR a.q <> b.q""")
+def q_digest_diff(spark, d):
+    """Two versions of the line items that differ in one flag: the digests tell where, and only that is joined."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "flag"]
+    a = table(spark, d, "lineitem").groupBy(*keys[:-1], F.col("l_returnflag").alias("flag")).agg(F.max("l_quantity").alias("q"))
+    touched = F.col("flag") == "R"
+    b = a.where(~(touched & (F.col("l_orderkey") % 50 == 0))).withColumn("q", F.when(touched & (F.col("l_orderkey") % 40 == 0), F.col("q") + 1).otherwise(F.col("q")))
+    store, out = Scratch(spark), []
+    for name, df in (("before", a), ("after", b)):
+        df.write.partitionBy("flag").parquet(store.path(name))
+        saved = spark.read.schema(df.schema).parquet(store.path(name))
+        out.append((saved, store.save(digests.digests(saved, keys, ["q"], ["flag"]))))
+    cells = digests.differing(out[0][1], out[1][1], ["flag"])
+    return digests.changes(out[0][0], out[1][0], cells, keys, ["q"], ["flag"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from provendar.functions import fixed as K
-from provendar.operators import components, gates, labels, matching, quality, ranks, records, search, selection
+from provendar.operators import components, digests, gates, labels, matching, quality, ranks, records, search, selection
 from provendar.plans.store import Scratch
 
 RULES = [("en", "*", "*", "a>b"), ("en", "veg", "*", "b>a"), ("en", "*", "FAT", "c>a"), ("en", "veg", "FAT", "a>c")]
@@ -75,6 +75,56 @@ def test_a_long_falling_chain_takes_few_jobs(spark):
     assert got == {(k, k) for k in range(n // 2)} and jobs < 15, jobs
 
 
+def test_the_letter_bound_is_no_less_than_the_ratio(spark):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(5)
+    names = ["".join(rng.choice("abcé 1ß") for _ in range(rng.randrange(0, 12))) for _ in range(60)] + ["", "a", "leite magro", "leite gordo"]
+    rows = [(x, y) for x in names for y in rng.sample(names, 12)]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", matching.similarity_bound(matching.letter_counts(F.col("a")), matching.letter_counts(F.col("b"))).alias("bound")).collect()
+    assert all(r.bound >= SequenceMatcher(None, r.a, r.b).ratio() - 1e-12 for r in got) and sum(r.bound < 0.5 for r in got) > 50
+
+
+def test_cycles_against_a_walk(spark):
+    rng = random.Random(7)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(55)] + [(100 + k, 101 + k) for k in range(40)] + [(200, 200), (None, 3)]
+    nxt = {}
+    for a, b in edges:
+        nxt.setdefault(a, set()).add(b)
+
+    def reach(x):
+        seen, todo = set(), [x]
+        while todo:
+            for y in nxt.get(todo.pop(), ()):
+                if y not in seen:
+                    seen.add(y)
+                    todo.append(y)
+        return seen
+
+    got = {r.node for r in gates.cycles(spark.createDataFrame(edges, "parent int, child int"), Scratch(spark).save).collect()}
+    assert got == {x for x in nxt if x is not None and x in reach(x)} and 200 in got
+    assert gates.cycles(spark.createDataFrame([(k, k + 1) for k in range(30)], "parent int, child int"), Scratch(spark).save).count() == 0
+
+
+def test_digests_tell_where_versions_differ(spark, tmp_path):
+    rng = random.Random(11)
+    rows = [(k, "abc"[k % 3], rng.choice([None, "x", "y"]), float(k % 7)) for k in range(900)]
+    new = [(k, loc, t, v + (loc == "b" and k % 50 == 1)) for k, loc, t, v in rows if not (loc == "b" and k % 97 == 4)] + [(1000, "b", None, 1.0)]
+    schema = "k int, locale string, t string, v double"
+    for name, r in (("a", rows), ("b", new)):
+        spark.createDataFrame(r, schema).repartition(3).write.partitionBy("locale").parquet(f"file://{tmp_path}/{name}")
+    a, b = (spark.read.parquet(f"file://{tmp_path}/{n}") for n in "ab")
+    da, db = (digests.digests(x, ["k", "locale"], ["t", "v"], ["locale"]) for x in (a, b))
+    cells = digests.differing(da, db, ["locale"])
+    assert {r.locale for r in cells.collect()} == {"b"}
+    got = digests.changes(a, b, cells, ["k", "locale"], ["t", "v"], ["locale"])
+    want = records.diff(a, b, ["k", "locale"], ["t", "v"]).where("status <> 'same'")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect())) and got.count() > 3
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "locale" in plan.split("PartitionFilters")[1][:80] and " b" in plan.split("PartitionFilters")[1][:120].replace("=", " ").replace("(", " ").replace(",", " ")
+    assert digests.changes(a, a, digests.differing(da, da, ["locale"]), ["k", "locale"], ["t", "v"], ["locale"]).count() == 0
+
+
 def test_medians_by_rank(spark):
     """Against a sort, in buckets of every size; the values of a group that one task orders stay within the limit."""
     import statistics
@@ -221,6 +271,10 @@ def test_the_matcher_equals_plain_loops(spark):
     save = Scratch(spark).save
     got = save(matching.match_foods(spark.createDataFrame(left, "id string, food_group string, pt string"), spark.createDataFrame(right, "id string, food_group string, fr string, en string"), dic, spark.createDataFrame(lv, v), spark.createDataFrame(rv, v), {"pt": "pt"}, {"fr": "fr", "en": "en"}, save))
     assert {(r.left_id, r.right_id): (round(r.score, 9), round(r.similarity, 9), r.vetoed, r.conflict, r.status) for r in got.collect()} == want
+    less = matching.match_foods(spark.createDataFrame(left, "id string, food_group string, pt string"), spark.createDataFrame(right, "id string, food_group string, fr string, en string"), dic, spark.createDataFrame(lv, v), spark.createDataFrame(rv, v), {"pt": "pt"}, {"fr": "fr", "en": "en"}, save, prune=True).collect()
+    assert {(r.left_id, r.right_id): r.status for r in less} == {k: w[4] for k, w in want.items()}
+    spared = sum(r.similarity is None for r in less)
+    assert len(less) / 10 < spared < len(less) and all(want[r.left_id, r.right_id][0] < 0.5 for r in less if r.similarity is None), (spared, len(less))
     links: set = set()
     for (li, ri), w in sorted(want.items(), key=lambda x: (-x[1][0], -x[1][1], x[0])):
         if w[4] == "automatic" and not {li, ri} & {x for p in links for x in p}:
