@@ -20,7 +20,7 @@ from .sources import tables
 READ = {"search": ("artifact", "query", "locale"), "food-values": ("artifact", "concept", "locale"), "foods": ("artifact", "nutrient", "locale"), "diff": ("artifact", "other"), "docs": ("artifact",), "export": ("artifact", "table", "folder"), "query": ("name", "sf_dir")}
 BUILD = {
     "vocab": ("workspace",), "verify": ("workspace",), "extract-xml": ("workspace", "source", "files"), "extract-xlsx": ("workspace", "source", "file", "data_sheet", "components_sheet"), "transform": ("workspace",), "link": ("workspace", "left", "right"),
-    "review": ("workspace", "decisions"), "derive": ("workspace",), "labels": ("workspace",), "merge": ("workspace",), "qa": ("workspace",), "package": ("workspace",), "release": ("workspace",), "attributions": ("workspace",), "build": ("workspace",),
+    "review": ("workspace", "decisions"), "evaluate": ("workspace",), "review-labels": ("workspace",), "verify-release": ("workspace",), "derive": ("workspace",), "labels": ("workspace",), "merge": ("workspace",), "qa": ("workspace",), "package": ("workspace",), "release": ("workspace",), "attributions": ("workspace",), "build": ("workspace",),
 }
 
 
@@ -55,7 +55,13 @@ def work(spark: SparkSession, a: argparse.Namespace) -> DataFrame | str | None:
     elif a.command == "link":
         return w.match(a.left, a.right, {"pt": "pt"}, {"fr": "fr", "en": "en"})
     elif a.command == "review":
-        return review(w, a.decisions)
+        return w.review(spark.read.option("header", True).csv(a.decisions))
+    elif a.command == "evaluate":
+        return w.evaluate()
+    elif a.command == "review-labels":
+        return w.review_labels()
+    elif a.command == "verify-release":
+        return w.verify_release(a.profile)
     elif a.command == "qa":
         found = w.findings()
         gates.none_left(found.where("severity = 'error'"), "quality")
@@ -67,23 +73,12 @@ def work(spark: SparkSession, a: argparse.Namespace) -> DataFrame | str | None:
     elif a.command == "attributions":
         return artifact.attributions(tables.registry_entries(tables.toml(spark, w._path("config", "registry.toml"))))
     elif a.command == "build":
-        return str(w.build(a.profile))
+        return str(w.build(a.profile, full=a.full))
     else:
         {"transform": w.transform, "derive": w.derive, "labels": w.label, "merge": w.model}[a.command]()
     return None
 
 
-def review(w: Workspace, decisions: str) -> DataFrame:
-    """Applies a CSV of decisions to the proposed links; the result goes to work/links-reviewed."""
-    links = w.spark.read.option("header", True).csv(w._path("work", "links")).toDF("concept_id", "side", "code", "status")
-    first = links.agg({"side": "min"}).first()[0]  # the two sources in their order stand for the sides
-    sided = links.selectExpr("concept_id", f"case when side = '{first}' then 'left' else 'right' end as side", "code", "status")
-    rows = w.spark.read.option("header", True).csv(decisions).toDF("left_code", "right_code", "decision", "justification")
-    out = matching.apply_decisions(sided, rows)
-    tables.write_csv(out, w._path("work", "links-reviewed"), ["concept_id", "side", "code", "status"])
-    return out
-
-
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="provendar")
     sub = p.add_subparsers(dest="command", required=True)
@@ -93,6 +88,7 @@ def main(argv: list[str] | None = None) -> None:
             s.add_argument(a)
         s.add_argument("--limit", type=int, default=20)
         s.add_argument("--profile", default="core")
+        s.add_argument("--full", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("provendar").getOrCreate()
     ship(spark)

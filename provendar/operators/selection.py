@@ -134,10 +134,12 @@ def merge_cells(cells: DataFrame, locales: DataFrame, rules: DataFrame) -> DataF
 
 
 def apply_overrides(model: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Curated values replace value and unit, and the acquisition becomes declared; all else stays. A justification is required."""
+    """Curated values replace value and unit, and the acquisition becomes declared; all else stays. A value, a unit and a justification are required."""
     o = overrides.select("concept_id", "nutrient_id", "basis", F.col("value").cast("double").alias("_v"), F.col("unit").alias("_u"), F.col("justification").alias("_j"))
-    o = o.withColumn("_j", F.when(F.trim(F.coalesce("_j", F.lit(""))) == "", F.raise_error(F.lit("an override needs a justification")).cast("string")).otherwise(F.col("_j")))
-    out = model.join(F.broadcast(o), ["concept_id", "nutrient_id", "basis"], "left")
+    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    stop = lambda what: F.raise_error(F.lit(f"an override needs a {what}")).cast("string")
+    o = o.withColumn("_j", F.when(blank("_j"), stop("justification")).when(blank("_u"), stop("unit")).when(F.col("_v").isNull(), stop("value")).otherwise(F.col("_j")))
+    out = model.join(o, ["concept_id", "nutrient_id", "basis"], "left")
     hit = F.col("_j").isNotNull()
     out = out.withColumn("value", F.when(hit, F.col("_v")).otherwise(F.col("value"))).withColumn("unit", F.when(hit, F.col("_u")).otherwise(F.col("unit")))
     if "acquisition_type" in model.columns:

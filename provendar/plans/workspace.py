@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,9 @@ class Workspace:
         links = self.links()
         return self.save("canonical", out if links is None else build.link(out, links))
 
+    def queue(self, name: str, columns: list[str]) -> DataFrame:
+        return self.config(name, columns) if self.has("config", f"{name}.csv") else self.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+
     def match(self, left: str, right: str, left_names: dict[str, str], right_names: dict[str, str]) -> DataFrame:
         """Proposed links between two sources, adjudicated rows of links.csv kept, written to work/links as CSV for review."""
         store, t = Scratch(self.spark), self.contract()
@@ -102,7 +107,7 @@ class Workspace:
             return food.join(own.select("id", "food_group"), "id"), values
 
         (a, x), (b, y) = side(left, left_names), side(right, right_names)
-        found = store.save(matching.match_foods(a, b, terms, x, y, {k: f"name_{k}" for k in left_names}, {k: f"name_{k}" for k in right_names}, store.save, prune=True))
+        found = self.save("match", {"sides": self.spark.createDataFrame([(left, right)], "left string, right string"), "proposal": matching.match_foods(a, b, terms, x, y, {k: f"name_{k}" for k in left_names}, {k: f"name_{k}" for k in right_names}, store.save, prune=True)})["proposal"]
         old = self.config("links", ["concept_id", "source", "source_code", "status"]).toDF("concept_id", "side", "code", "status") if self.has("config", "links.csv") else None
         old = None if old is None else old.withColumn("side", F.when(F.col("side") == left, "left").otherwise("right"))
         rows = matching.links(found, left, right, store.save, old)
@@ -110,6 +115,37 @@ class Workspace:
         tables.write_csv(out, self._path("work", "links"), ["concept_id", "source", "source_code", "status"])
         return out
 
+    def review(self, decisions: DataFrame) -> DataFrame:
+        """Applies decisions (left_code, right_code, decision, justification) to the proposed links. The result becomes config/links.csv, which the next build reads."""
+        left = self.load("match", "sides").first()["left"]
+        links = self.spark.read.option("header", True).csv(self._path("work", "links"))
+        names = links.select("source", F.when(F.col("source") == left, "left").otherwise("right").alias("side")).distinct()
+        sided = links.join(F.broadcast(names), "source").select("concept_id", "side", F.col("source_code").alias("code"), "status")  # two sources
+        done = Scratch(self.spark).save(matching.apply_decisions(sided, decisions).join(F.broadcast(names), "side").select("concept_id", "source", F.col("code").alias("source_code"), "status"))
+        for folder in (("work", "links"), ("config", "links.csv")):
+            tables.write_csv(done, self._path(*folder), ["concept_id", "source", "source_code", "status"])
+        return done
+
+    def evaluate(self, precision: float = 0.98, recall: float = 0.90) -> DataFrame:
+        """The last match against config/golden_links.csv (left_code, right_code, label, evidence); too low a precision or recall stops it."""
+        golden = self.config("golden_links", ["left_code", "right_code", "label", "evidence"])
+        gates.holds(golden, F.lower("label").isin("true", "false"), "a label is neither true nor false")
+        truth = golden.select(F.col("left_code").alias("left_id"), F.col("right_code").alias("right_id"), (F.lower("label") == "true").alias("label"))
+        store = Scratch(self.spark)
+        out = store.save(matching.evaluate(truth, self.load("match", "proposal"), store.save))
+        gates.none_left(vocabulary.matcher(out, precision, recall), "matcher")
+        return out
+
+    def review_labels(self) -> DataFrame:
+        """Counts of the queue config/label_queue.csv; approved labels go to config/reviewed.csv, where they replace earlier ones."""
+        approved, told = labels.review_queue(self.config("label_queue", ["ref_kind", "ref", "locale", "label", "candidate_status"]))
+        key, store = ["ref_kind", "ref", "locale"], Scratch(self.spark)
+        new = approved.select(*key, F.col("text").alias("label"))
+        gates.unique(new, key, "approved labels")
+        rows = store.save(self.queue("reviewed", [*key, "label"]).join(new, key, "left_anti").unionByName(new))
+        tables.write_csv(rows, self._path("config", "reviewed.csv"), key)
+        return told
+
     def derive(self) -> dict[str, DataFrame]:
         c = self.loaded("canonical", CANONICAL)
         portions = tables.portions(self.spark, self._path("config", "portions.csv")) if self.has("config", "portions.csv") else None
@@ -126,16 +162,32 @@ class Workspace:
         official = nutrients.select("tagname", F.lit("en").alias("locale"), F.lit("official").alias("status"), F.col("name_en").alias("label"))
         glossary = self.config("glossary", ["tagname", "locale", "label"]).select("tagname", "locale", F.lit("curated").alias("status"), "label") if self.has("config", "glossary.csv") else official.limit(0)
         names = self.load("canonical", "name").where(F.col("locale").isin(*active))
-        out = self.save("label", {"label": build.label_table(names, official.unionByName(glossary))})["label"]
-        none = self.spark.createDataFrame([], "ref string")
-        gates.none_left(labels.gate_findings(out.where("ref_kind = 'nutrient'"), nutrients, [x for x in active if x == "en" or self.has("config", "glossary.csv")], none), "labels")
+        kind = F.when(F.col("ref_kind") == "food", "concept").otherwise(F.col("ref_kind")).alias("ref_kind")
+        reviewed = self.queue("reviewed", ["ref_kind", "ref", "locale", "label"]).select(kind, "ref", "locale", F.lit("curated").alias("status"), F.col("label").alias("text"))
+        apart = self.config("divergences", ["ref_kind", "ref", "pt-PT", "pt-BR"], ("pt-PT", "pt-BR")) if self.has("config", "divergences.csv") else self.queue("divergences", ["ref_kind", "ref", "pt-PT", "pt-BR"])
+        apart = apart.select(kind, "ref", "`pt-PT`", "`pt-BR`").where("`pt-PT` <> '' and `pt-BR` <> ''")
+        food, tag = (apart.where(F.col("ref_kind") == k).drop("ref_kind") for k in ("concept", "nutrient"))
+        gates.covered(food.select(F.col("ref").alias("concept_id")), self.load("canonical", "concept").select("concept_id"), ["concept_id"], "divergences: concept")
+        plain = lambda df, ref, of: df.join(of.select(F.col("ref").alias(ref), F.lit("pt").alias("locale")), [ref, "locale"], "left_anti")  # noqa: E731  variants forbid the generic label
+        variant = food.select(F.lit("concept").alias("ref_kind"), "ref", F.explode(F.map_from_arrays(F.array(F.lit("pt-PT"), F.lit("pt-BR")), F.array("`pt-PT`", "`pt-BR`"))).alias("locale", "text"))
+        variant = variant.where(F.col("locale").isin(*active)).withColumn("status", F.lit("curated"))
+        told = plain(glossary, "tagname", tag)
+        out = self.save("label", {"label": build.label_table(plain(names, "concept_id", food), official.unionByName(told), reviewed, variant)})["label"]
+        needed = [x for x in active if x == "en" or self.has("config", "glossary.csv")]
+        gates.none_left(labels.gate_findings(out.where("ref_kind = 'nutrient'"), nutrients, needed, tag, glossary if tag.limit(1).count() else None), "labels")
         return out
 
     def model(self) -> DataFrame:
         rules = self.config("rules", ["locale", "food_group", "nutrient", "source_order"])
         gates.unique(rules, ["locale", "food_group", "nutrient"], "rules")
         codes = self.config("mapping", MAPPING).where("is_default = '1'").select("source_id", F.col("nutrient_code").alias("source_nutrient_code"))
-        out = build.read_model(self.canonical(), self.load("label", "label"), rules, codes)
+        overrides = None
+        if self.has("config", "overrides.csv"):
+            overrides = self.config("overrides", ["concept_id", "nutrient_id", "basis", "value", "unit", "justification"])
+            gates.holds(overrides, F.expr("try_cast(value as double)").isNotNull(), "an override is not a number")
+            gates.unique(overrides, ["concept_id", "nutrient_id", "basis"], "overrides")
+            gates.covered(overrides, self.load("canonical", "concept"), ["concept_id"], "overrides: concept")
+        out = build.read_model(self.canonical(), self.load("label", "label"), rules, codes, overrides)
         return self.save("model", {"mv_food_value": out})["mv_food_value"]
 
     def findings(self) -> DataFrame:
@@ -161,17 +213,33 @@ class Workspace:
         Scratch(self.spark).spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(self._path("out", f"{profile}.manifest"))
         return text
 
-    def build(self, profile: str = "core", built_at: str | None = None) -> dict[str, int]:
-        """Everything after extraction: gates, canonical tables, derived values, labels, read model, artifact, quality, manifest. Errors of the suite stop it."""
+    def build(self, profile: str = "core", built_at: str | None = None, full: bool = False) -> dict[str, int]:
+        """Everything after extraction: gates, canonical tables, derived values, labels, read model, artifact, quality, manifest. Errors of the suite stop it.
+
+        A stage whose inputs (contract tables, configuration, earlier stages) are those of an earlier build takes its tables from work/cache; full works all of them out again.
+        """
         gates.none_left(self.check_vocabulary(), "vocabulary")
         if self.has("config", "unmapped"):
             gates.none_left(tables.unmapped(self.spark, self._path("config", "unmapped")), "unmapped")
-        self.transform()
-        self.derive()
-        self.label()
-        self.model()
+        cache, key = artifact.StageCache(self.spark, self._path("work", "cache")), None
+        if not full:
+            key = artifact.fingerprint(self.spark, self._path("config"), {"contract": artifact.fingerprint(self.spark, self._path("work", "contract"))})
+        for stage, work in (("canonical", self.transform), ("derived", self.derive), ("label", self.label), ("model", self.model)):
+            if key and cache.has(stage, key):
+                self.save(stage, cache.refresh(stage, key))
+                continue
+            made = work()
+            if key:
+                cache.populate(stage, key, made if isinstance(made, dict) else {{"label": "label", "model": "mv_food_value"}[stage]: made})
         found = self.findings()
         gates.none_left(found.where("severity = 'error'"), "quality")
         counts = self.package(profile, list(K.GRAM_NUTRIENTS), built_at)
         self.release(profile)
         return counts
+
+    def verify_release(self, profile: str = "core") -> DataFrame:
+        """(file, expected, sha256) of files that are not as the manifest says: changed, missing or unknown."""
+        told = json.loads("\n".join(r["value"] for r in self.spark.read.text(self._path("out", f"{profile}.manifest")).collect()))["files"]
+        want = self.spark.createDataFrame(sorted(told.items()), "file string, expected string")
+        both = want.join(artifact.checksums(self.spark, self._path("out", profile)), "file", "full_outer")
+        return both.where(~F.col("expected").eqNullSafe(F.col("sha256")))

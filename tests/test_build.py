@@ -162,19 +162,42 @@ def test_workspace_from_raw_files_to_release(spark, raw_a, raw_b, tmp_path):
     found = {(r.source, r.source_code): (r.concept_id, r.status) for r in w.match("b", "a", {"pt": "pt"}, {"fr": "fr", "en": "en"}).collect()}
     assert found[("b", "100")][1] == found[("a", "7100")][1] == "automatic" and found[("b", "100")][0] == found[("a", "7100")][0]
     queue = spark.createDataFrame([(found[("b", "100")][0], "a", "7100", "review"), (found[("b", "100")][0], "b", "100", "review")], "concept_id string, source string, source_code string, status string")
+    (tmp_path / "config" / "golden_links.csv").write_text("left_code,right_code,label,evidence\n100,7100,true,seen\n200,7100,false,seen\n")
+    judged = work(spark, type("A", (), {"command": "evaluate", "workspace": str(tmp_path)})()).first()
+    assert (judged.precision, judged.recall, judged.auto_finals) == (1.0, 1.0, 1)
+    (tmp_path / "config" / "golden_links.csv").write_text("left_code,right_code,label,evidence\n100,7100,false,seen\n")
+    with pytest.raises(gates.ContractError, match="matcher"):
+        w.evaluate()
     tables.write_csv(queue, str(tmp_path / "work" / "links"), ["source"])
-    (tmp_path / "dec.csv").write_text("left_code,right_code,decision,justification\n7100,100,accepted,same food\n")
+    (tmp_path / "dec.csv").write_text("left_code,right_code,decision,justification\n100,7100,accepted,same food\n")
     done = work(spark, type("A", (), {"command": "review", "workspace": str(tmp_path), "decisions": str(tmp_path / "dec.csv")})())
-    assert {(r.side, r.code, r.status) for r in done.collect()} == {("left", "7100", "adjudicated"), ("right", "100", "adjudicated")}
+    assert {(r.source, r.source_code, r.status) for r in done.collect()} == {("b", "100", "adjudicated"), ("a", "7100", "adjudicated")}
     survivor = found[("b", "100")][0]
-    (tmp_path / "config" / "links.csv").write_text(f"concept_id,source,source_code,status\n{survivor},a,7100,adjudicated\n{survivor},b,100,adjudicated\n")
+    kept = {r.concept_id: r.ref for r in w.load("canonical", "concept_link").join(w.load("canonical", "source_record"), "source_record_id").collect()}
+    other = next(c for c, ref in kept.items() if ref == "200")
+    (tmp_path / "config" / "overrides.csv").write_text(f"concept_id,nutrient_id,basis,value,unit,justification\n{survivor},WATER,per_100g_edible,12.5,g,weighed again\n")
+    (tmp_path / "config" / "label_queue.csv").write_text(f"ref_kind,ref,locale,label,candidate_status\nfood,{survivor},en,Fresh milk,approved\nfood,{survivor},fr,Lait frais,rejected\n")
+    assert {(r.locale, r.candidate_status) for r in w.review_labels().collect()} == {("en", "approved"), ("fr", "rejected")}
     before = {r.concept_id for r in w.load("canonical", "concept").collect()}
     w.build("core", "2000-01-01T00:00:00Z")
     assert {r.concept_id for r in w.load("canonical", "concept").collect()} == before
     assert {r.state for r in w.load("canonical", "ledger").collect()} == {"same"}
     assert {r.successor_id for r in w.load("canonical", "tombstone").collect()} == {survivor}
     assert survivor in {r.concept_id for r in w.load("canonical", "value").where("source_id = 'a'").collect()} & {r.concept_id for r in w.load("canonical", "value").where("source_id = 'b'").collect()}
+    milk = w.load("model", "mv_food_value").where(f"concept_id = '{survivor}' and nutrient_id = 'WATER' and locale = 'en'").first()
+    assert (milk.value, milk.override_justification, milk.label) == (12.5, "weighed again", "Fresh milk") and other
+    stored = sorted(str(p) for p in (tmp_path / "work" / "cache").rglob("*.parquet"))
+    w.build("core", "2000-01-01T00:00:00Z")  # nothing changed: all stages come from the cache, and it stays as it is
+    assert sorted(str(p) for p in (tmp_path / "work" / "cache").rglob("*.parquet")) == stored and len({p.name for p in (tmp_path / "work" / "cache" / "model").iterdir()}) == 2
+    assert w.load("model", "mv_food_value").where("override_justification is not null").count() >= 1
+    assert w.verify_release().collect() == []
+    part = next((tmp_path / "out" / "core" / "concept").glob("*.parquet"))
+    part.write_bytes(part.read_bytes() + b"x")
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    assert [r.file for r in w.verify_release().collect()] == [f"concept/{part.name}"]
+    w.build("core", "2000-01-01T00:00:00Z", full=True)
     with Engine(spark, str(tmp_path / "out" / "core")) as e:
+        assert e.nutrients().count() == 4 and e.provenance(milk.source_record_id).first()["source_name"].startswith("Source")
         assert {r.display for r in e.search("lait", "fr").collect()} == {"Lait"}
         assert {r.key for r in e.tables["build_metadata"].collect()} >= {"built_at", "profile", "engine_version"}
     assert json.loads(w.release())["profile"] == "core" and "search" in READ
