@@ -153,9 +153,13 @@ def q_workbook_long(spark, d):
     return long.withColumn("value", S.native_number(F.col("text"))).drop("text")
 
 
-@query("SELECT * FROM (VALUES ('energia_kcal', 'Energia [kcal]'), ('a_tocoferol_mg', 'alfa-tocoferol [mg]'), ('agua_g', 'Água [g]')) v(nutrient_code, name)")
+@query(f"""WITH {BOOK_SQL} SELECT 'energia_kcal' AS nutrient_code, 'Energia [kcal]' AS name, count(*) AS filled FROM nat UNION ALL
+SELECT 'a_tocoferol_mg', 'alfa-tocoferol [mg]', count(*) FILTER (k % 3 <> 0) FROM nat UNION ALL SELECT 'agua_g', 'Água [g]', count(*) FROM nat""")
 def q_workbook_components(spark, d):
-    return xlsx.component_keys(xlsx.read_workbook(spark, _workbook(spark, d, Scratch(spark))), "components")
+    """The components, and how many foods have a value of each."""
+    path = _workbook(spark, d, Scratch(spark))
+    filled = xlsx.extract(spark, path, "data", "components")["value"].where("value is not null").groupBy("nutrient_code").agg(F.count("*").alias("filled"))
+    return xlsx.component_keys(xlsx.read_workbook(spark, path), "components").join(filled, "nutrient_code").select("nutrient_code", "name", "filled")
 
 
 @query(f"""WITH {BOOK_SQL}, h(nutrient_code, c) AS (VALUES ('energia_kcal', 0), ('a_tocoferol_mg', 1), ('agua_g', 2)),
@@ -202,11 +206,13 @@ def q_checksum_verify(spark, d):
 CHAIN_SQL = "chain(locale, hop, pos) AS (VALUES " + ", ".join(str((x, hop, k)) for x in K.CHAINS for k, hop in enumerate([x, *K.CHAINS[x]])) + ")"
 
 
-@query(f"WITH {CHAIN_SQL} SELECT * FROM chain")
+@query(f"WITH {CHAIN_SQL} SELECT doc_id, hop, pos FROM documents JOIN chain ON locale = lang")
 def q_locale_chains(spark, d):
+    """The fallbacks of each document's language, by a file of chains."""
     text = "active = " + json.dumps(list(K.CHAINS)) + "\n" + "\n".join(f"[locale.{k}]\nfallback = {json.dumps(v)}" for k, v in K.CHAINS.items())
     active, chains = tables.locales(spark, Scratch(spark).put("locales.toml", text.encode()))
-    return search.chain_table(spark, active, chains)
+    docs = table(spark, d, "documents").select("doc_id", F.col("lang").alias("locale"))
+    return docs.join(F.broadcast(search.chain_table(spark, active, chains)), "locale").select("doc_id", "hop", "pos")  # a few rows a locale
 
 
 @query("SELECT p_partkey::VARCHAR AS id, p_name AS name, p_size::VARCHAR AS size FROM part")
@@ -456,12 +462,15 @@ def _dictionary(spark) -> DataFrame:
     return matching.dictionary(spark.createDataFrame(DICTIONARY, "row int, term string, pt string, fr string, en string"), ("pt", "fr", "en"))
 
 
-@query("""WITH r(row, term, pt, fr, en) AS (VALUES """ + ", ".join(str(x) for x in DICTIONARY) + """),
-l AS (SELECT row, term, 'pt' AS lang, string_split(pt, '|') AS cells FROM r UNION ALL SELECT row, term, 'fr', string_split(fr, '|') FROM r UNION ALL SELECT row, term, 'en', string_split(en, '|') FROM r),
-c AS (SELECT row, term, lang, unnest(cells) AS key, generate_subscripts(cells, 1) AS place FROM l WHERE term <> '' AND term NOT LIKE '#%')
-SELECT lang, key, arg_max(CASE WHEN contains(key, ' ') OR length(key) >= 2 THEN term END, row * 100 + place) AS term FROM (SELECT * REPLACE (CASE WHEN contains(key, ' ') OR length(key) >= 2 THEN term ELSE '~' END AS term) FROM c WHERE key <> '') GROUP BY ALL""".replace("arg_max(CASE WHEN contains(key, ' ') OR length(key) >= 2 THEN term END, row * 100 + place) AS term", "nullif(arg_max(term, row * 100 + place), '~') AS term"))
+@query("""WITH r AS (SELECT p_partkey AS row, CASE WHEN p_size % 9 = 0 THEN '# note' ELSE p_type END AS term, p_name AS pt, p_type || '|' || p_name || '|x' AS fr, '' AS en FROM part),
+l AS (SELECT row, term, 'pt' AS lang, string_split(pt, '|') AS cells FROM r UNION ALL SELECT row, term, 'fr', string_split(fr, '|') FROM r),
+c AS (SELECT row, term, lang, array_to_string(regexp_extract_all(lower(unnest(cells)), '[a-z0-9]+'), ' ') AS key, generate_subscripts(cells, 1) AS place FROM l WHERE term NOT LIKE '#%')
+SELECT lang, key, nullif(arg_max(CASE WHEN length(key) >= 2 THEN term ELSE '~' END, row * 100 + place), '~') AS term FROM c WHERE key <> '' GROUP BY ALL""")
 def q_term_dictionary(spark, d):
-    return _dictionary(spark).select("lang", "key", "term")
+    """The parts as a curated table: a term a row, its name and type as synonyms; a key of one letter names no term, the last row of a key holds."""
+    p = table(spark, d, "part")
+    rows = p.select(F.col("p_partkey").alias("row"), F.when(F.col("p_size") % 9 == 0, "# note").otherwise(F.col("p_type")).alias("term"), F.col("p_name").alias("pt"), F.concat_ws("|", "p_type", "p_name", F.lit("x")).alias("fr"), F.lit("").alias("en"))
+    return matching.dictionary(rows, ("pt", "fr", "en")).select("lang", "key", "term")
 
 
 @query("""WITH RECURSIVE w AS (SELECT p_partkey, string_split(p_name || ' ring tiny small ring', ' ') AS t FROM part),
@@ -600,26 +609,39 @@ def q_severity_counts(spark, d):
     return quality.severity_counts(quality.findings(_suite(spark, d)))
 
 
-@query("SELECT * FROM (VALUES ('json', 'error', 2::BIGINT), ('json', 'info', 1), ('html', 'error', 2), ('html', 'info', 1)) v(report, severity, n)")
+@query(f"WITH {SUITE_SQL}, n AS (SELECT c AS \"check\", s AS severity, count(*) AS n FROM o GROUP BY ALL) SELECT r AS report, n.* FROM n, (VALUES ('json'), ('html')) v(r)")
 def q_quality_reports(spark, d):
-    """Findings as JSON and as HTML, read back."""
-    found = table(spark, d, "region").where("r_regionkey < 3").select(F.concat(F.lit("c<"), "r_regionkey").alias("check"), F.when(F.col("r_regionkey") == 0, "info").otherwise("error").alias("severity"), F.lit(1).cast("long").alias("n"), F.array("r_name").alias("examples"))
-    data, page = json.loads(artifact.report_json(found, "now")), artifact.report_html(found)
-    rows = [("json", s, n) for s, n in data["counts"].items() if n] + [("html", s, page.count(f"class='{s}'")) for s in ("error", "info")]
-    return spark.createDataFrame(rows, "report string, severity string, n long")
-
-
-VOCABULARY = [("FAT", "m", "g"), ("FAT", "m", "g"), ("bad", "m", "g"), ("ASH", "x", "g"), ("NA", "m", "kg"), ("ENERC_KJ", "m", "g")]
-
-
-@query("""SELECT * FROM (VALUES ('tag_form', 'bad'), ('tag_unique', 'FAT'), ('group_known', 'ASH'), ('unit_known', 'NA'), ('relation_known', 'NONE'), ('relation_self', 'NA'), ('relation_twice', 'FAT>ASH'), ('relation_cycle', 'FAT'),
-('relation_cycle', 'ASH'), ('relation_cycle', 'NA'), ('energy_tag', 'ENERC_KCAL'), ('absence_type', 'not_applicable'), ('absence_type', 'assumed_zero'), ('absence_flag', 'odd')) v("check", ref)""")
+    """The findings of the suite, written as JSON and as HTML and read back from both."""
+    store = Scratch(spark)
+    found = store.save(quality.findings(_suite(spark, d)))
+    told = spark.read.option("multiLine", True).json(store.put("report.json", artifact.report_json(found, "now").encode()))
+    one = told.select(F.explode("findings").alias("f")).select(F.lit("json").alias("report"), "f.check", "f.severity", "f.n")
+    page = spark.read.option("lineSep", "</tr>").text(store.put("report.html", artifact.report_html(found).encode()))
+    cell = lambda k: F.regexp_extract("value", r"<tr class='(\w+)'><td>([^<]*)</td><td>[^<]*</td><td>(\d+)</td>", k)
+    return one.unionAll(page.where(cell(1) != "").select(F.lit("html"), cell(2), cell(1), cell(3).cast("long")))
+
+
+@query("""WITH RECURSIVE n AS (SELECT CASE WHEN p_partkey % 40 = 0 THEN 'bad ' || p_partkey ELSE 'T' || (p_partkey - (p_partkey % 30 = 2)::INT) END AS tagname, p_type AS g, p_brand AS u FROM part),
+r AS (SELECT 'T' || p_partkey AS parent, 'T' || (p_partkey * 7 + p_size) % 211 AS child FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT 'T' || p_partkey, 'T' || (p_partkey * 7 + p_size) % 211 FROM part WHERE p_partkey % 33 = 0),
+e AS (SELECT DISTINCT parent AS p, child AS c FROM r),
+w(start, node) AS (SELECT p, c FROM e UNION SELECT w.start, e.c FROM w JOIN e ON w.node = e.p)
+SELECT 'tag_form' AS "check", tagname AS ref FROM n WHERE tagname LIKE 'bad%' UNION ALL SELECT 'tag_unique', tagname FROM n GROUP BY tagname HAVING count(*) > 1 UNION ALL
+SELECT 'group_known', tagname FROM n WHERE g = (SELECT min(p_type) FROM part) UNION ALL SELECT 'unit_known', tagname FROM n WHERE u = (SELECT max(p_brand) FROM part) UNION ALL
+SELECT 'relation_known', x FROM (SELECT DISTINCT unnest([parent, child]) AS x FROM r) WHERE x NOT IN (SELECT tagname FROM n) UNION ALL SELECT 'relation_self', parent FROM r WHERE parent = child UNION ALL
+SELECT 'relation_twice', parent || '>' || child FROM r GROUP BY parent, child HAVING count(*) > 1 UNION ALL SELECT DISTINCT 'relation_cycle', start FROM w WHERE start = node UNION ALL
+SELECT 'energy_tag', unnest(['ENERC_KJ', 'ENERC_KCAL']) UNION ALL SELECT 'absence_type', unnest(['not_measured', 'not_detected', 'below_loq', 'trace', 'not_applicable', 'assumed_zero']) UNION ALL
+SELECT 'absence_flag', n_name FROM nation WHERE n_nationkey % 5 = 4""")
 def q_vocabulary_findings(spark, d):
-    n = spark.createDataFrame(VOCABULARY, "tagname string, `group` string, unit string")
-    g, u = spark.createDataFrame([("m",)], "`group` string"), spark.createDataFrame([("g",)], "unit string")
-    r = spark.createDataFrame([("FAT", "ASH"), ("FAT", "ASH"), ("ASH", "FAT"), ("NA", "NA"), ("FAT", "NONE")], "parent string, child string")
-    v = spark.createDataFrame([(x, "true") for x in K.ABSENCE_TYPES[:4]] + [("measured", "false"), ("odd", "maybe")], "id string, is_absence string")
-    return vocabulary.vocabulary(n, g, u, r, v, Scratch(spark).save)
+    """The parts as a vocabulary: each rule is broken by some of them."""
+    p, n = table(spark, d, "part"), table(spark, d, "nation")
+    k, key = F.col("p_partkey"), lambda x: F.concat(F.lit("T"), x.cast("string"))
+    tags = p.select(F.when(k % 40 == 0, F.concat(F.lit("bad "), k)).otherwise(key(k - (k % 30 == 2).cast("long"))).alias("tagname"), F.col("p_type").alias("group"), F.col("p_brand").alias("unit"))
+    edge = p.select(key(k).alias("parent"), key((k * 7 + F.col("p_size")) % 211).alias("child"), k.alias("k"))
+    relations = edge.where("k % 3 = 0").unionAll(edge.where("k % 33 = 0")).drop("k")
+    known = lambda c, edge: p.select(c).distinct().join(F.broadcast(p.agg(edge(c).alias("_e"))), F.col(c) != F.col("_e")).drop("_e")  # noqa: E731  one row
+    groups, units = known("p_type", F.min).toDF("group"), known("p_brand", F.max).toDF("unit")
+    kinds = n.select(F.col("n_name").alias("id"), F.when(F.col("n_nationkey") % 5 == 4, "maybe").when(F.col("n_nationkey") % 2 == 0, "true").otherwise("false").alias("is_absence"))
+    return vocabulary.vocabulary(tags, groups, units, relations, kinds, Scratch(spark).save)
 
 
 @query("SELECT 'licence' AS \"check\", n_name AS ref FROM nation WHERE n_regionkey IN (1, 3)")
@@ -645,10 +667,10 @@ def q_structure_checks(spark, d):
     return artifact.checks({"value": value, "concept": concept, "label": label, "nutrient": spark.createDataFrame([("T1",)], "tagname string")})
 
 
-@query("SELECT 'left_over.csv' AS file")
+@query("SELECT r_name || '.csv' AS file FROM region")
 def q_unmapped_files(spark, d):
     store = Scratch(spark)
-    for name in ("README.md", "left_over.csv"):
+    for name in ("README.md", ".hidden", *(f"{r['r_name']}.csv" for r in table(spark, d, "region").collect())):
         store.put(f"unmapped/{name}", b"x")
     return tables.unmapped(spark, store.path("unmapped"))
 
@@ -741,9 +763,11 @@ def q_artifact_tables(spark, d):
     return out
 
 
-@query("SELECT * FROM (VALUES ('built_at', '2000-01-01T00:00:00Z'), ('schema_version', '1'), ('profile', 'lite')) v(key, value)")
+@query("SELECT 'built_at' AS key, strftime(max(o_orderdate), '%Y-%m-%dT%H:%M:%SZ') AS value FROM orders UNION ALL SELECT * FROM (VALUES ('schema_version', '1'), ('profile', 'lite')) v(key, value)")
 def q_build_metadata(spark, d):
-    return artifact.build_metadata(spark, "lite", "2000-01-01T00:00:00Z").where("key not in ('engine_version', 'spark_version')")
+    """The metadata of a build as of the newest order."""
+    newest = table(spark, d, "orders").agg(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss'Z'")).first()[0]
+    return artifact.build_metadata(spark, "lite", newest).where("key not in ('engine_version', 'spark_version')")
 
 
 @query("""SELECT 'search' AS answer, n_nationkey::VARCHAR AS ref, 'fr Ñame ' || n_name AS value FROM nation WHERE starts_with(n_name, 'NATION_1') UNION ALL
@@ -818,16 +842,18 @@ def q_diff_samples(spark, d):
     return records.diff_samples(records.diff(a, b, ["k"], ["v"]), ["k"], 3).select("k", "status", F.col("sample").cast("long").alias("sample"))
 
 
-@query("""SELECT '## nation' AS line UNION ALL SELECT count(*) || ' rows' FROM nation UNION ALL SELECT * FROM (VALUES ('| column | type |'), ('|---|---|'), ('| code | bigint |'), ('| name | string |')) v""")
+@query("""SELECT '## orders' AS line UNION ALL SELECT count(*) || ' rows' FROM orders UNION ALL SELECT '## part' UNION ALL SELECT count(*) || ' rows' FROM part UNION ALL
+SELECT * FROM (VALUES ('| column | type |'), ('|---|---|'), ('| column | type |'), ('|---|---|'), ('| o_orderkey | bigint |'), ('| o_orderpriority | string |'), ('| p_name | string |'), ('| p_size | int |')) v""")
 def q_data_dictionary(spark, d):
-    text = artifact.dictionary({"nation": table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("code"), F.col("n_name").alias("name"))})
-    return spark.createDataFrame([(x,) for x in text.splitlines() if x], "line string")
+    """The dictionary of two tables as Markdown, read back."""
+    text = artifact.dictionary({"orders": table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "part": table(spark, d, "part").select("p_name", "p_size")})
+    return spark.read.text(Scratch(spark).put("dictionary.md", text.encode())).where("value <> ''").withColumnRenamed("value", "line")
 
 
 @query("SELECT '## ' || r_name || ' (`s' || r_regionkey || '`)' AS line FROM region UNION ALL SELECT '- Version: ' || (2000 + r_regionkey) FROM region UNION ALL SELECT '- Pinned files: f' || r_regionkey FROM region")
 def q_attributions(spark, d):
-    text = artifact.attributions(_registry(spark, d)[1])
-    return spark.createDataFrame([(x,) for x in text.splitlines() if x.startswith(("## ", "- Version", "- Pinned"))], "line string")
+    text = spark.read.text(Scratch(spark).put("attributions.md", artifact.attributions(_registry(spark, d)[1]).encode()))
+    return text.where(F.col("value").rlike("^(## |- Version|- Pinned)")).withColumnRenamed("value", "line")
 
 
 @query("SELECT 'source' AS part, 's' || r_regionkey AS name, sha256(r_name) AS sha256 FROM region UNION ALL SELECT 'file', 'sub/f' || r_regionkey, sha256(r_name) FROM region")
@@ -836,9 +862,10 @@ def q_release_manifest(spark, d):
     store = Scratch(spark)
     for r in table(spark, d, "region").collect():
         store.put(f"release/sub/f{r['r_regionkey']}", r["r_name"].encode())
-    m = json.loads(artifact.release_manifest(spark, store.path("release"), _registry(spark, d)[1], "core"))
-    rows = [("source", s["id"], s["files"][0]["sha256"]) for s in m["sources"]] + [("file", k, v) for k, v in m["files"].items()]
-    return spark.createDataFrame(rows, "part string, name string, sha256 string")
+    text = artifact.release_manifest(spark, store.path("release"), _registry(spark, d)[1], "core")
+    told = spark.read.text(store.put("core.manifest", text.encode()), wholetext=True).select(F.from_json("value", "files map<string, string>, sources array<struct<id: string, files: array<struct<sha256: string>>>>").alias("m"))
+    source = told.select(F.explode("m.sources").alias("s")).select(F.lit("source").alias("part"), F.col("s.id").alias("name"), F.get(F.col("s.files.sha256"), 0).alias("sha256"))
+    return source.unionAll(told.select(F.explode("m.files").alias("name", "sha256")).select(F.lit("file"), "name", "sha256"))
 
 
 @query("SELECT n_nationkey, n_name FROM nation")
