@@ -83,27 +83,3 @@ def normalize_label(text: Column) -> Column:
 def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of the normalized names; the argument order matters. Only for pairs that blocking left."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, " ".join(split_words(x)), " ".join(split_words(y))).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
-def term_keys(text: Column, dictionary: dict[str, str]) -> Column:
-    """Terms of a name: at each word the longest phrase of the (small, curated) dictionary wins, then the single word."""
-    phrases: dict[str, list[list[str]]] = {}
-    for key in sorted((k for k in dictionary if " " in k), key=lambda k: -k.count(" ")):
-        parts = key.split(" ")
-        phrases.setdefault(parts[0], []).append(parts)
-
-    def scan(name: str) -> list[str]:
-        words, found, i = split_words(name), set(), 0
-        while i < len(words):
-            hit = next((p for p in phrases.get(words[i], ()) if words[i : i + len(p)] == p), None)
-            key = " ".join(hit) if hit else words[i]
-            if key in dictionary:
-                found.add(dictionary[key])
-            i += len(hit) if hit else 1
-        return sorted(found)
-
-    @F.pandas_udf(ArrayType(StringType()))
-    def run(names: pd.Series) -> pd.Series:
-        return names.map(scan, na_action="ignore")
-
-    return run(text)

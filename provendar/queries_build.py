@@ -483,8 +483,19 @@ scan(p_partkey, t, i, found) AS (
 SELECT p_partkey, string_agg(DISTINCT found, '|' ORDER BY found) AS terms FROM scan WHERE found IS NOT NULL GROUP BY ALL""")
 def q_term_scan(spark, d):
     """Dictionary terms of names, the longest phrase first."""
-    keys, _ = matching._keys(_dictionary(spark), "pt")
-    return table(spark, d, "part").select("p_partkey", F.array_join(T.term_keys(F.concat("p_name", F.lit(" ring tiny small ring")), keys), "|").alias("terms"))
+    keys = _dictionary(spark).where("lang = 'pt'")
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), T.words_exact(F.concat("p_name", F.lit(" ring tiny small ring"))).alias("w"))
+    return matching.phrase_terms(rows, "w", keys).select(F.col("id").alias("p_partkey"), F.array_join("terms", "|").alias("terms"))
+
+
+@query()
+def q_phrase_join(spark, d):
+    """Terms of doubled part names, by a dictionary made of the parts' own names and first words: a test holds it against a plain scan."""
+    p = table(spark, d, "part")
+    whole = p.where("p_partkey % 3 <> 0").groupBy(F.col("p_name").alias("key")).agg(F.max_by("p_brand", "p_partkey").alias("term"))
+    first = p.where("p_size % 2 = 0").groupBy(F.substring_index("p_name", " ", 1).alias("key")).agg(F.min("p_type").alias("term"))
+    rows = p.select(F.col("p_partkey").alias("id"), F.split(F.concat_ws(" ", "p_name", "p_name"), " ").alias("w"))
+    return matching.phrase_terms(rows, "w", whole.unionAll(first)).select(F.col("id").alias("p_partkey"), F.array_join("terms", "|").alias("terms"))
 
 
 SIGN_SQL = """a AS (SELECT p_partkey AS id, string_split(p_name, ' ') AS w, p_size FROM part WHERE p_partkey % 2 = 0), b AS (SELECT p_partkey AS id, string_split(p_name, ' ') AS w, p_size FROM part WHERE p_partkey % 2 = 1),

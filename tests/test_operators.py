@@ -75,6 +75,27 @@ def test_a_long_falling_chain_takes_few_jobs(spark):
     assert got == {(k, k) for k in range(n // 2)} and jobs < 15, jobs
 
 
+def test_phrases_of_a_large_dictionary(spark):
+    """A hundred thousand keys of up to four words against a scan."""
+    rng = random.Random(15)
+    word = lambda: f"w{rng.randrange(60)}"
+    keys = {" ".join(word() for _ in range(rng.choice((1, 2, 3, 3, 4)))): f"t{k % 977}" for k in range(100_000)}
+    rows = [(k, [word() for _ in range(rng.randrange(0, 14))]) for k in range(300)]
+
+    def scan(words):
+        i, out = 0, set()
+        while i < len(words):
+            n = next((n for n in range(min(4, len(words) - i), 0, -1) if " ".join(words[i : i + n]) in keys), 0)
+            out |= {keys[" ".join(words[i : i + n])]} if n else set()
+            i += n or 1
+        return sorted(out)
+
+    table = spark.createDataFrame(list(keys.items()), "key string, term string")
+    got = {r.id: r.terms for r in matching.phrase_terms(spark.createDataFrame(rows, "id int, w array<string>"), "w", table).collect()}
+    assert got == {k: scan(w) for k, w in rows if scan(w)}
+    assert matching.phrase_terms(spark.createDataFrame(rows, "id int, w array<string>"), "w", table.limit(0)).count() == 0
+
+
 def test_the_letter_bound_is_no_less_than_the_ratio(spark):
     from difflib import SequenceMatcher
 

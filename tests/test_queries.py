@@ -80,3 +80,28 @@ def test_name_similarity_equals_the_plain_ratio(spark):
 
     got = Q["name_similarity"](spark, SF).collect()
     assert got and all(abs(r.similarity - SequenceMatcher(None, r.p_name, r.other).ratio()) < 1e-12 for r in got)
+
+
+def test_phrases_equal_a_plain_scan(spark):
+    import pyarrow.parquet as pq
+
+    parts = pq.read_table(f"{SF}/part.parquet").to_pylist()
+    keys = {}
+    for p in sorted(parts, key=lambda p: p["p_partkey"]):
+        if p["p_partkey"] % 3:
+            keys[p["p_name"]] = p["p_brand"]
+    for p in parts:
+        if p["p_size"] % 2 == 0:
+            k = p["p_name"].split()[0]
+            keys[k] = min(keys.get(k, p["p_type"]), p["p_type"])
+
+    def scan(words):
+        i, out = 0, set()
+        while i < len(words):
+            n = next((n for n in range(len(words) - i, 0, -1) if " ".join(words[i : i + n]) in keys), 0)
+            out |= {keys[" ".join(words[i : i + n])]} if n else set()
+            i += n or 1
+        return "|".join(sorted(out))
+
+    want = {p["p_partkey"]: scan((p["p_name"] + " " + p["p_name"]).split()) for p in parts}
+    assert {r.p_partkey: r.terms for r in Q["phrase_join"](spark, SF).collect()} == {k: t for k, t in want.items() if t}
