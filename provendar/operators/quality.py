@@ -24,13 +24,22 @@ def measured(values: DataFrame) -> DataFrame:
 def profile(values: DataFrame, nutrients: list[str], keys: tuple[str, ...] = ("concept_id", "source_id"), in_grams: bool = True) -> DataFrame:
     """One row per key with a column per nutrient; of several values that with the greatest record id, then the greatest value.
 
-    The winner of each cell is found first (two columns in the buffer, whatever the number of nutrients); the pivot
-    then only meets one number per cell, which plain hash aggregation holds.
+    Where all values of a cell agree (nearly always there is one), the record ids need no look: the greatest and the least value
+    of each nutrient are numbers, which one hash aggregation per key holds, summed up before the shuffle. Only keys with a cell whose
+    values differ are gone through by record id. A value that is no number counts as none.
     """
     v = S.in_grams(F.col("value"), F.col("unit")) if in_grams else F.col("value")
-    cells = values.where(F.col("nutrient_id").isin(*nutrients)).select(*keys, "nutrient_id", F.struct(F.col("source_record_id"), v.cast("double").alias("v")).alias("_w"))
-    won = cells.groupBy(*keys, "nutrient_id").agg(F.max("_w").alias("_w"))
-    return won.groupBy(*keys).agg(*[F.max(F.when(F.col("nutrient_id") == n, F.col("_w.v"))).alias(n) for n in nutrients])
+    cells = values.where(F.col("nutrient_id").isin(*nutrients)).select(*keys, "nutrient_id", "source_record_id", F.coalesce(v.cast("double"), F.lit(float("nan"))).alias("_v"))
+    each = lambda f, n: f(F.when(F.col("nutrient_id") == n, F.col("_v")))
+    wide = cells.groupBy(*keys).agg(*[each(F.max, n).alias(f"_h{k}") for k, n in enumerate(nutrients)], *[each(F.min, n).alias(f"_l{k}") for k, n in enumerate(nutrients)])
+    agree = reduce(lambda a, b: a & b, [F.col(f"_h{k}").eqNullSafe(F.col(f"_l{k}")) for k in range(len(nutrients))])
+    number = lambda c: F.when(~F.isnan(c), F.col(c))
+    plain = wide.where(agree).select(*keys, *[number(f"_h{k}").alias(n) for k, n in enumerate(nutrients)])
+    odd = wide.where(~agree).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+    some = cells.join(odd, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]), "left_semi")
+    won = some.groupBy(*keys, "nutrient_id").agg(F.max(F.struct("source_record_id", F.when(~F.isnan("_v"), F.col("_v")).alias("v"))).alias("_w"))
+    rest = won.groupBy(*keys).agg(*[F.max(F.when(F.col("nutrient_id") == n, F.col("_w.v"))).alias(n) for n in nutrients])
+    return plain.unionAll(rest)
 
 
 def _ref(keys=("concept_id", "source_id")) -> Column:
