@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -10,6 +10,25 @@ class ContractError(ValueError):
     """A table broke its contract."""
 
 
+class Watch:
+    """Counters of a table and conditions on its rows, worked out in the pass that writes it: no job of their own.
+
+    Write `df` instead of the table, then ask for counts(). A row that breaks a condition stops it there.
+    """
+
+    def __init__(self, table: DataFrame, counters: dict[str, Column], conditions: dict[str, Column] | None = None):
+        self.conditions = dict(conditions or {})
+        self._seen = Observation()
+        broken = [F.count_if(~F.coalesce(c, F.lit(False))).alias(f"!{k}") for k, c in self.conditions.items()]
+        self.df = table.observe(self._seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counters.items()], *broken)
+
+    def counts(self) -> dict[str, int]:
+        got = self._seen.get
+        if bad := {k: got[f"!{k}"] for k in self.conditions if got[f"!{k}"]}:
+            raise ContractError(", ".join(f"{k}: {n} rows" for k, n in bad.items()))
+        return {k: v for k, v in got.items() if not k.startswith("!")}
+
+
 def none_left(df: DataFrame, what: str, examples: int = 5) -> None:
     """df must be empty."""
     got = df.limit(examples).collect()

@@ -41,8 +41,16 @@ class Workspace:
         return tables.dimension(self.spark, self._path("config", f"{name}.csv"), columns, may_be_empty)
 
     def save(self, stage: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Writes a stage's tables. Rows are counted, and the conditions on values tested, while they are written; the counts go to work/<stage>/_counts."""
+        counts = {}
         for name, df in frames.items():
-            artifact.in_order(df, name).write.mode("overwrite").parquet(self._path("work", stage, name))
+            types = {f"value_type:{t}": F.count_if(F.col("value_type") == t) for t in K.TYPE_RANK} if "value_type" in df.columns else {}
+            known = {"a value has no type": F.col("value_type").isNotNull(), "a value has no source": F.col("source_id").isNotNull()} if name == "value" else {}
+            watch = gates.Watch(artifact.in_order(df, name), types, known)
+            watch.df.write.mode("overwrite").parquet(self._path("work", stage, name))
+            counts[name] = watch.counts()
+        rows = [(n, k, v) for n, c in counts.items() for k, v in c.items()]
+        self.spark.createDataFrame(rows, "name string, counter string, n long").coalesce(1).write.mode("overwrite").json(self._path("work", stage, "_counts"))
         return {n: self.load(stage, n) for n in frames}
 
     def load(self, stage: str, name: str) -> DataFrame:

@@ -310,6 +310,16 @@ def q_transform_counts(spark, d):
     return build.counts(t["value"], mapping)
 
 
+@query(f"""WITH {CELL_SQL} SELECT 'rows' AS counter, count(*) AS n FROM cell UNION ALL SELECT 'measured', count(*) FROM cell WHERE value_type = 'measured' UNION ALL
+SELECT 'trace', count(*) FROM cell WHERE value_type = 'trace' UNION ALL SELECT 'below_loq', count(*) FROM cell WHERE value_type = 'below_loq' UNION ALL SELECT 'sources', count(DISTINCT source_id) FROM cell""")
+def q_observed_counters(spark, d):
+    """Counters of the cells, taken while they are written, and read back from where the build keeps them."""
+    store, kinds = Scratch(spark), ("measured", "trace", "below_loq")
+    watch = gates.Watch(cells(spark, d), {k: F.count_if(F.col("value_type") == k) for k in kinds} | {"sources": F.size(F.collect_set("source_id")).cast("long")}, {"no source": F.col("source_id").isNotNull()})
+    watch.df.write.parquet(store.path("cells"))
+    return spark.read.json(store.put("counts.json", "\n".join(json.dumps({"counter": k, "n": v}) for k, v in watch.counts().items()).encode()), "counter string, n long")
+
+
 @query(f"""WITH {TRANSFORM_SQL}, dens(food_group, x) AS (VALUES ('ASIA', 1.1), ('NATION_2', 0.9)), m AS (SELECT c.*, x FROM canon c JOIN grp USING (concept_id) JOIN dens USING (food_group) WHERE value_type = 'measured')
 SELECT concept_id, nutrient_id, basis, value, derivation_id IS NOT NULL AS derived FROM (
   SELECT concept_id, nutrient_id, 'per_100g_edible' AS basis, value, NULL AS derivation_id FROM canon UNION ALL SELECT concept_id, nutrient_id, 'per_100ml', value * x, 'd' FROM m)""")

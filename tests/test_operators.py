@@ -75,6 +75,24 @@ def test_a_long_falling_chain_takes_few_jobs(spark):
     assert got == {(k, k) for k in range(n // 2)} and jobs < 15, jobs
 
 
+def test_counters_come_with_the_write(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "if(id % 10 = 0, null, id) as v").repartition(3)
+    sc, jobs = spark.sparkContext, []
+    for name, watched in (("plain", False), ("watched", True)):
+        sc.setJobGroup(name, name)
+        w = gates.Watch(df, {"empty": F.count_if(F.col("v").isNull())}, {"negative": F.col("id") >= 0})
+        (w.df if watched else df).write.parquet(f"file://{tmp_path}/{name}")
+        if watched:
+            assert w.counts() == {"rows": 1000, "empty": 100}
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(name)))
+    sc.setJobGroup("other", "other")
+    assert jobs[0] == jobs[1]
+    bad = gates.Watch(df, {}, {"a value is missing": F.col("v").isNotNull(), "fine": F.col("id") >= 0})
+    bad.df.write.parquet(f"file://{tmp_path}/bad")
+    with pytest.raises(gates.ContractError, match="a value is missing: 100 rows"):
+        bad.counts()
+
+
 def test_phrases_of_a_large_dictionary(spark):
     """A hundred thousand keys of up to four words against a scan."""
     rng = random.Random(15)
