@@ -146,6 +146,16 @@ def q_workbook_cells(spark, d):
     return c.where("sheet = 'far' or sheet = 'data' and row > 2 and col in (0, 7)")
 
 
+@query("""WITH p AS (SELECT *, row_number() OVER (ORDER BY p_partkey)::INT AS r FROM part)
+SELECT 'parts' AS sheet, r AS row, 0 AS col, 'P' || p_partkey AS text FROM p UNION ALL SELECT 'parts', r, 1, p_name FROM p UNION ALL SELECT 'parts', r, 3, p_size::VARCHAR FROM p WHERE p_size % 2 = 0""")
+def q_workbook_source(spark, d):
+    """The parts as a workbook, read in stretches of 32 KB."""
+    rows = [[f"P{r['p_partkey']}", r["p_name"], None, r["p_size"] if r["p_size"] % 2 == 0 else None] for r in table(spark, d, "part").orderBy("p_partkey").toLocalIterator()]
+    path = Scratch(spark).put("parts.xlsx", workbook_bytes({"parts": rows}))
+    spark.dataSource.register(xlsx.WorkbookSource)
+    return spark.read.format("workbook").option("split", 32 << 10).load(path)
+
+
 @query(f"""WITH {BOOK_SQL}, h(header, c) AS (VALUES ('Energia [kcal]', 0), ('α-tocoferol [mg]', 1), ('Água [g]', 2))
 SELECT printf('%03d', k) AS food_code, n_name || ' x' AS name, level1, 'l2' AS level2, 'l3' AS level3, header, CASE c WHEN 0 THEN k * 1.5 WHEN 1 THEN CASE WHEN k % 3 <> 0 THEN -k END ELSE k END::DOUBLE AS value FROM nat, h""")
 def q_workbook_long(spark, d):

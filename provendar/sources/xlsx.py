@@ -1,20 +1,26 @@
 """Source B: one workbook, as cells (sheet, row, col, text); the rest is DataFrame work.
 
-The file is fetched through Spark (binaryFile), so any store that Spark can read will do, and unpacked in one task: a
-workbook's sheets share one string table, so it cannot be split. Several workbooks are as many tasks.
+read_workbook() fetches the file through Spark (binaryFile), so any store that Spark can read will do, and unpacks it in
+one task; several workbooks are as many tasks. For large workbooks on a path that all executors mount there is a data source,
+spark.read.format("workbook"): a partition is a sheet and a stretch of its unpacked bytes, whose rows are those that begin
+in it; a worker reads a workbook's string table once.
 """
 
 from __future__ import annotations
 
 import io
+import os
 import re
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import fixed as K
 from ..functions import scalar as S
@@ -22,6 +28,11 @@ from ..operators import gates
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+#: A sheet's root tag, the beginning of a row, and a whole row.
+_ROOT, _BEGIN = re.compile(rb"<(\w+:)?worksheet\b[^>]*>"), re.compile(rb"<(?:\w+:)?row\b")
+_ROW = re.compile(rb"<(?:\w+:)?row\b[^>]*?(?:/>|>.*?</(?:\w+:)?row>)", re.S)
+#: Unpacked bytes of a sheet that one task reads.
+SPLIT = 8 << 20
 _PACKAGE = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 ALCOHOL = "Bebidas alcoólicas"
 LEAD = ["food_code", "name", "level1", "level2", "level3"]
@@ -35,35 +46,122 @@ def column_index(letters: str) -> int:
     return n - 1
 
 
+def _strings(z: zipfile.ZipFile) -> list[str]:
+    """The string table that all sheets share."""
+    if "xl/sharedStrings.xml" not in z.namelist():
+        return []
+    found = ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_MAIN}si")
+    return ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in found]
+
+
+def _sheets(z: zipfile.ZipFile) -> list[tuple[str, str]]:
+    """(name, file) of all sheets."""
+    rels = {r.get("Id"): r.get("Target").lstrip("/") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels")).iter(f"{_PACKAGE}Relationship")}
+    files = [(s.get("name"), rels[s.get(f"{_REL}id")]) for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")]
+    return [(name, f if f.startswith("xl/") else f"xl/{f}") for name, f in files]
+
+
+def _row_cells(row: ElementTree.Element, shared: list[str]) -> Iterator[tuple[int, str]]:
+    """(column from 0, text) of the filled cells of a row."""
+    for k, c in enumerate(row.iter(f"{_MAIN}c")):
+        ref = re.match("[A-Z]+", c.get("r") or "")
+        kind, v = c.get("t"), c.find(f"{_MAIN}v")
+        if kind == "inlineStr":
+            text = "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
+        else:
+            text = None if v is None else shared[int(v.text)] if kind == "s" else v.text
+        if text is not None and text.strip():
+            yield column_index(ref[0]) if ref else k, text
+
+
 def sheet_cells(content: bytes) -> Iterator[tuple[str, int, int, str]]:
     """(sheet, row from 1, column from 0, text) of all filled cells."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        shared = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_MAIN}si"):
-                shared.append("".join(t.text or "" for t in si.iter(f"{_MAIN}t")))
-        rels = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels")).iter(f"{_PACKAGE}Relationship")}
-        for sheet in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_MAIN}sheet"):
-            target = rels[sheet.get(f"{_REL}id")].lstrip("/")
-            target = target if target.startswith("xl/") else f"xl/{target}"
+        shared = _strings(z)
+        for name, file in _sheets(z):
             row_no = 0
-            for _, el in ElementTree.iterparse(z.open(target)):
+            for _, el in ElementTree.iterparse(z.open(file)):
                 if el.tag != f"{_MAIN}row":
                     continue
                 row_no = int(el.get("r") or row_no + 1)
-                for k, c in enumerate(el.iter(f"{_MAIN}c")):
-                    ref = re.match("[A-Z]+", c.get("r") or "")
-                    col = column_index(ref[0]) if ref else k
-                    kind, v = c.get("t"), c.find(f"{_MAIN}v")
-                    if kind == "inlineStr":
-                        text = "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
-                    else:
-                        text = None if v is None else shared[int(v.text)] if kind == "s" else v.text
-                    if text is not None and text.strip():
-                        yield sheet.get("name"), row_no, col, text
+                for col, text in _row_cells(el, shared):
+                    yield name, row_no, col, text
                 el.clear()
 
 
+@dataclass
+class Stretch(InputPartition):
+    """Rows of a sheet that begin in a range of its unpacked bytes."""
+
+    path: str
+    sheet: str
+    file: str
+    start: int
+    end: int
+
+
+@lru_cache(maxsize=2)
+def _kept_strings(path: str, changed: float) -> list[str]:
+    with zipfile.ZipFile(path) as z:
+        return _strings(z)
+
+
+class WorkbookSource(DataSource):
+    """The cells of a workbook under a mounted path; option split: unpacked bytes of a partition."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "workbook"
+
+    def schema(self) -> str:
+        return "sheet string, row int, col int, text string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return WorkbookReader(self.options["path"].removeprefix("file://").removeprefix("file:"), int(self.options.get("split", SPLIT)))
+
+
+class WorkbookReader(DataSourceReader):
+    def __init__(self, path: str, split: int):
+        self.path, self.split = path, split
+
+    def partitions(self) -> list[Stretch]:
+        with zipfile.ZipFile(self.path) as z:
+            return [Stretch(self.path, name, file, at, at + self.split) for name, file in _sheets(z) for at in range(0, z.getinfo(file).file_size, self.split)]
+
+    def read(self, p: Stretch) -> Iterator[tuple[str, int, int, str]]:
+        shared = _kept_strings(p.path, os.path.getmtime(p.path))
+        with zipfile.ZipFile(p.path) as z, z.open(p.file) as f:
+            head = b""
+            while not (root := _ROOT.search(head)):
+                if not (more := f.read(1 << 12)):
+                    return
+                head += more
+            f.seek(max(0, p.start - 16))  # unpacks and drops what is before; a tag may begin just before the border
+            held, at = b"", max(0, p.start - 16)  # at: where held begins in the sheet
+            while True:
+                more = f.read(1 << 18)
+                held += more
+                last = 0
+                for m in _ROW.finditer(held):
+                    if m.end() == len(held) and more and not m[0].endswith(b">"):
+                        break
+                    last = m.end()
+                    if at + m.start() < p.start:
+                        continue
+                    if at + m.start() >= p.end:
+                        return
+                    row = next(ElementTree.fromstring(root[0] + m[0] + b"</" + (root[1] or b"") + b"worksheet>").iter(f"{_MAIN}row"))
+                    if row.get("r") is None:
+                        raise ValueError(f"{p.path}: a row of {p.sheet} has no number")
+                    for col, text in _row_cells(row, shared):
+                        yield p.sheet, int(row.get("r")), col, text
+                open_tag = _BEGIN.search(held, last)
+                drop = open_tag.start() if open_tag else max(last, len(held) - 16)
+                if not more or (at + drop >= p.end):
+                    return
+                held, at = held[drop:], at + drop
+
+
 def read_workbook(spark: SparkSession, path: str) -> DataFrame:
     """(sheet, row, col, text) of one or more workbooks."""
 

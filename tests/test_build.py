@@ -191,16 +191,35 @@ def test_workspace_from_raw_files_to_release(spark, raw_a, raw_b, tmp_path):
     assert sorted(str(p) for p in (tmp_path / "work" / "cache").rglob("*.parquet")) == stored and len({p.name for p in (tmp_path / "work" / "cache" / "model").iterdir()}) == 2
     assert w.load("model", "mv_food_value").where("override_justification is not null").count() >= 1
     assert w.verify_release().collect() == []
-    part = next((tmp_path / "out" / "core" / "concept").glob("*.parquet"))
-    part.write_bytes(part.read_bytes() + b"x")
-    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
-    assert [r.file for r in w.verify_release().collect()] == [f"concept/{part.name}"]
-    w.build("core", "2000-01-01T00:00:00Z", full=True)
     with Engine(spark, str(tmp_path / "out" / "core")) as e:
         assert e.nutrients().count() == 4 and e.provenance(milk.source_record_id).first()["source_name"].startswith("Source")
         assert {r.display for r in e.search("lait", "fr").collect()} == {"Lait"}
         assert {r.key for r in e.tables["build_metadata"].collect()} >= {"built_at", "profile", "engine_version"}
     assert json.loads(w.release())["profile"] == "core" and "search" in READ
+    part = next((tmp_path / "out" / "core" / "concept").glob("*.parquet"))
+    part.write_bytes(part.read_bytes() + b"x")
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    assert [r.file for r in w.verify_release().collect()] == [f"concept/{part.name}"]
     (tmp_path / "config" / "licences.csv").write_text("profile,license_id\ncore,other\n")
     with pytest.raises(gates.ContractError, match="licences"):
         w.package()
+
+
+def test_a_workbook_as_a_data_source(spark, tmp_path):
+    """Several partitions of any size give the cells of the whole; a row that spans a border is read once."""
+    import random
+
+    from provendar.queries_build import workbook_bytes
+
+    rng = random.Random(2)
+    word = lambda: rng.choice(["a&lt;b", "é ñ", "x" * rng.randrange(1, 40), None, 7, 2.5])
+    rows = [[word() for _ in range(rng.randrange(0, 9))] for _ in range(700)]
+    path = tmp_path / "w.xlsx"
+    path.write_bytes(workbook_bytes({"one": rows, "empty": [], "two": [["only"]]}))
+    spark.dataSource.register(xlsx.WorkbookSource)
+    want = sorted(xlsx.sheet_cells(path.read_bytes()))
+    assert len(want) > 1500
+    for split in (1 << 23, 5000, 333):
+        df = spark.read.format("workbook").option("split", split).load(f"file://{path}")
+        assert sorted(tuple(r) for r in df.collect()) == want
+        assert split > 5000 or df.rdd.getNumPartitions() > 10
