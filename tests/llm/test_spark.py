@@ -399,3 +399,14 @@ def test_pipeline(spark):
             assert {r.doc_id for r in stage.collect()} == {c for _, c in comp.values()}
     assert {r.doc_id for r in out} == {r.doc_id for r in stage.collect()}
     assert all(r.round_trip for r in out)
+
+
+def test_scratch_tables_leave_little_in_the_driver(spark):
+    """The text of a scratch table's plan is cut, the session's own limit stays; an id list of over half a million rows is not broadcast."""
+    key, before = "spark.sql.maxPlanStringLength", spark.conf.get("spark.sql.maxPlanStringLength")
+    wide = spark.range(10).select(*[(F.col("id") + k).alias(f"a_rather_long_name_of_a_column_{k}") for k in range(400)])
+    C.drop(C.save(wide.groupBy(*wide.columns).agg(F.count("*").alias("n")), "plan"))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    held = spark._jsparkSession.sharedState().statusStore().executionsList()
+    assert len(held.last().physicalPlanDescription()) < 2 * C.PLAN_TEXT and spark.conf.get(key) == before
+    assert C.few(spark.range(500_000)) and not C.few(spark.range(500_001))
