@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from provendar.functions import fixed as K
+from provendar.functions import text as T
 from provendar.operators import components, digests, gates, labels, matching, quality, ranks, records, search, selection
 from provendar.plans.store import Scratch
 
@@ -468,3 +469,31 @@ def test_gates(spark):
         gates.covered(df, df.where("k = 1"), ["k"], "t")
     gates.covered(df, df, ["k"], "t")
     assert {r.node for r in gates.cycles(spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c")], "parent string, child string"), Scratch(spark).save).collect()} == {"a", "b"}
+
+
+def test_ratio_is_that_of_the_library():
+    from difflib import SequenceMatcher
+
+    r = random.Random(5)
+    for k in range(3000):
+        letters = "ab" if k % 2 else "abcde 12"
+        a, b = ("".join(r.choice(letters) for _ in range(r.randrange(230 if k % 50 == 0 else 20))) for _ in "ab")
+        assert T.ratio(a, b) == SequenceMatcher(None, a, b).ratio(), (a, b)
+
+
+def test_proposals_are_the_pairs_with_a_status(spark):
+    """propose() against match_foods(): groups that are null, repeated core values, null names, pairs that only a rare word brings together."""
+    r = random.Random(11)
+    name = lambda: " ".join(r.choice(["maca", "pera", "crua", "verde", "sumo", f"n{r.randrange(9)}", "zzz"]) for _ in range(r.randrange(1, 4)))
+    group = lambda: r.choice(["a", "b", None])
+    left = [(f"l{k}", group(), name() if k % 9 else None) for k in range(60)]
+    right = [(f"r{k}", group(), name(), name() if k % 2 else None) for k in range(60)]
+    terms = [(k, w, w, w, w) for k, w in enumerate(("maca", "pera", "raw", "sumo"))] + [(9, "green", "verde", "verde", "verde"), (10, "raw", "crua", "crua", "crua")]
+    values = lambda s: [(f"{s}{k}", n, r.choice([1.0, 5.0, None])) for k in range(60) for n in ("FAT", "WATER", "PROCNT", "FAT") if r.random() < 0.8]
+    save = Scratch(spark).save
+    dic = matching.dictionary(spark.createDataFrame(terms, "row int, term string, pt string, fr string, en string"), ("pt", "fr", "en"))
+    v = "id string, nutrient_id string, value double"
+    sides = spark.createDataFrame(left, "id string, food_group string, pt string"), spark.createDataFrame(right, "id string, food_group string, fr string, en string"), dic, spark.createDataFrame(values("l"), v), spark.createDataFrame(values("r"), v), {"pt": "pt"}, {"fr": "fr", "en": "en"}, save
+    want = {tuple(x) for x in matching.match_foods(*sides).where("status is not null").select("left_id", "right_id", "similarity", "score", "conflict", "vetoed", "status").collect()}
+    got = [tuple(x) for x in matching.propose(*sides).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
