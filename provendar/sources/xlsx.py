@@ -11,16 +11,19 @@ from __future__ import annotations
 import io
 import os
 import re
+import uuid
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape, quoteattr
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StringType
 
 from ..functions import fixed as K
 from ..functions import scalar as S
@@ -46,6 +49,15 @@ def column_index(letters: str) -> int:
     return n - 1
 
 
+def column_letters(k: int) -> str:
+    """0 -> A, 25 -> Z, 26 -> AA."""
+    out = ""
+    while k >= 0:
+        k, rest = k // 26 - 1, k % 26
+        out = chr(65 + rest) + out
+    return out
+
+
 def _strings(z: zipfile.ZipFile) -> list[str]:
     """The string table that all sheets share."""
     if "xl/sharedStrings.xml" not in z.namelist():
@@ -174,6 +186,37 @@ def read_workbook(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "sheet string, row int, col int, text string")
 
 
+def write_workbook(rows: DataFrame, key: str, path: str, sheet: str) -> int:
+    """Writes rows (in ascending order of key, which is no cell) as the one sheet of a workbook under a mounted path; returns the sheet's bytes.
+
+    One task sorts the rows and writes them as they come, texts inside their cells: neither it nor the driver holds them.
+    """
+    kinds = {c: isinstance(rows.schema[c].dataType, StringType) for c in rows.columns if c != key}
+    main, rel = f'xmlns="{_MAIN[1:-1]}"', _REL[1:-1]
+    file = path.removeprefix("file://").removeprefix("file:")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.makedirs(os.path.dirname(file), exist_ok=True)
+        own, at, size = f"{file}.{uuid.uuid4().hex}", 0, 0
+        with zipfile.ZipFile(own, "w") as z:
+            z.writestr("xl/workbook.xml", f"<workbook {main} xmlns:r=\"{rel}\"><sheets><sheet name={quoteattr(sheet)} sheetId=\"1\" r:id=\"r1\"/></sheets></workbook>")
+            z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{_PACKAGE[1:-1]}"><Relationship Id="r1" Target="worksheets/s1.xml" Type="x"/></Relationships>')
+            with z.open("xl/worksheets/s1.xml", "w", force_zip64=True) as f:
+                size += f.write(f"<worksheet {main}><sheetData>".encode())
+                for b in batches:
+                    out = []
+                    for cells in zip(*(b.column(c).to_pylist() for c in kinds), strict=True):
+                        at += 1
+                        held = [(f"{column_letters(k)}{at}", text, v) for k, (text, v) in enumerate(zip(kinds.values(), cells, strict=True)) if v is not None]
+                        out.append(f'<row r="{at}">' + "".join(f'<c r="{to}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>' if text else f'<c r="{to}"><v>{v}</v></c>' for to, text, v in held) + "</row>")
+                    size += f.write("".join(out).encode())
+                size += f.write(b"</sheetData></worksheet>")
+        os.replace(own, file)
+        yield pa.RecordBatch.from_arrays([pa.array([size], pa.int64())], ["size"])
+
+    return rows.repartition(1).sortWithinPartitions(key).select(*kinds).mapInArrow(run, "size long").first()["size"]
+
+
 def long_table(cells: DataFrame, sheet: str) -> DataFrame:
     """(food_code, name, level1..3, header, text): one row per food and measured column, text null where the cell is empty.
 

@@ -497,3 +497,17 @@ def test_proposals_are_the_pairs_with_a_status(spark):
     want = {tuple(x) for x in matching.match_foods(*sides).where("status is not null").select("left_id", "right_id", "similarity", "score", "conflict", "vetoed", "status").collect()}
     got = [tuple(x) for x in matching.propose(*sides).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+
+
+def test_a_workbook_is_written_by_one_task_and_read_back(spark, tmp_path, monkeypatch):
+    """Marks of XML in texts, absent cells, and rows that come to the driver neither at once nor one by one."""
+    from provendar import queries
+    from pyspark.sql import DataFrame
+
+    names = ["a & b", "<x>", " two  spaces ", None, 'q"uote']
+    rows = [(k, names[k % 5], k % 7) for k in range(400)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int").repartition(5).write.parquet(str(tmp_path / "part.parquet"))
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda *a, **b: pytest.fail("rows pass through the driver"))
+    got = {tuple(r) for r in queries.queries()["workbook_source"](spark, str(tmp_path)).collect()}
+    want = {("parts", k + 1, c, v) for k, n, s in rows for c, v in ((0, f"P{k}"), (1, n), (3, str(s) if s % 2 == 0 else None)) if v is not None}
+    assert got == want
