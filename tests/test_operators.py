@@ -511,3 +511,32 @@ def test_a_workbook_is_written_by_one_task_and_read_back(spark, tmp_path, monkey
     got = {tuple(r) for r in queries.queries()["workbook_source"](spark, str(tmp_path)).collect()}
     want = {("parts", k + 1, c, v) for k, n, s in rows for c, v in ((0, f"P{k}"), (1, n), (3, str(s) if s % 2 == 0 else None)) if v is not None}
     assert got == want
+
+
+def test_findings_take_one_pass_and_sort_nothing(spark):
+    """Counts and first refs against plain loops; a check may come with two severities, and refs may repeat."""
+    r = random.Random(3)
+    rows = [(r.choice("abc"), r.choice(["error", "warning"]), f"ö{r.randrange(300)}" if k % 3 else f"z{r.randrange(9)}", 1.0) for k in range(2000)]
+    off = spark.createDataFrame(rows, "check string, severity string, ref string, metric double").repartition(7)
+    found = quality.findings(off)
+    first = {c: sorted((x[2] for x in rows if x[0] == c), key=str.encode)[: K.EXAMPLES] for c in "abc"}
+    want = {(c, s, sum(x[:2] == (c, s) for x in rows), tuple(first[c])) for c in "abc" for s in ("error", "warning")}
+    assert {(*x[:3], tuple(x[3])) for x in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_small_groups_are_left_out_before_their_values_move(spark):
+    r = random.Random(8)
+    rows = [(f"c{k}", n, 90.0 if k == 0 else r.choice([1.0, 1.1, 1.2]), "s", f"r{i}") for k in range(200) for n in ("FAT", "WATER") for i in range(1 + (k < 40))]
+    values = spark.createDataFrame(rows, "concept_id string, nutrient_id string, value double, source_id string, source_record_id string")
+    groups = spark.createDataFrame([(f"c{k}", "big" if k < 80 else f"g{k}") for k in range(200)], "concept_id string, food_group string")
+    saved = []
+
+    def save(df):
+        saved.append(Scratch(spark).save(df))
+        return saved[-1]
+
+    get = lambda df: sorted((x.ref, round(x.metric, 9)) for x in df.collect())
+    assert (got := get(quality.outliers(values, groups, save))) == get(quality.outliers(values, groups)) and got
+    assert saved[0].count() == 1  # one group may reach the least size
