@@ -1,7 +1,8 @@
 """Search over labels: substring and prefix matching with locale fallback, ranked.
 
-The index of a label table is written once: postings of trigrams and of words, range-sorted by (gram or word, locale, label)
+The index of a label table is written once: postings of trigrams and of words, range-sorted by (gram or word, locale, run of labels)
 in small pages, so that a lookup reads the pages that hold its terms and skips all others by their least and greatest entry.
+One pass over the labels gives the runs (see runs.py).
 Beside them lie the number of labels per gram, the length of its label with each word posting, and a row of totals per
 locale. A lookup reads the counts of its grams, then the postings of the rarest ones, and verifies the texts of
 those labels; scores need the postings of the query's words alone. Without an index, all labels are looked at.
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed as K
 from ..functions import scalar as S
 from ..functions.text import fold_exact
+from ..plans.store import drop, tidy
+from .runs import GRAM, TOTAL, WORD, Runs
 
 TRIGRAM = 3
 BM25_K1, BM25_B = 1.2, 0.75
@@ -85,20 +88,45 @@ class Index:
 INDEX_TABLES = {"label_trigram": "grams", "label_trigram_count": "counts", "label_word": "words", "label_totals": "totals"}
 
 
-def write_index(labels: DataFrame, folder: str) -> Index:
-    """Writes the four tables of an index under folder."""
-    spark = labels.sparkSession
+RUNS = "kind int, term string, locale string, first {id}, n long, total long, ids array<{id}>, tf array<int>, len array<int>"
+
+
+
+def _put_runs(labels: DataFrame, path: str) -> None:
+    """Writes the runs of all labels, by kind: of each gram or word the labels of a locale in one stretch of the table, and the stretch's totals.
+
+    Labels are read once, here. Grams are those of trigram_index, words those of postings.
+    """
+    spark, schema = labels.sparkSession, RUNS.format(id=labels.schema["label_id"].dataType.simpleString())
+    runs = Runs(S.separators(spark))
+    lower = F.lower("text")  # null where it says no more than the folded text; without a text there are no grams
+    some = labels.select("label_id", "locale", F.when(~lower.eqNullSafe(F.col("text_normalized")), lower).alias("lower"), F.col("text_normalized").alias("norm"), F.col("text").isNotNull().alias("any"))
+    some.mapInArrow(runs, schema).write.mode("overwrite").option("compression", "zstd").partitionBy("kind").parquet(path)
 
-    def put(name: str, df: DataFrame, *order: str) -> DataFrame:
-        placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-        placed.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS).option("parquet.block.size", GROUP_BYTES).parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
 
-    grams = put("label_trigram", trigram_index(labels).select("gram", "locale", "label_id"), "gram", "locale", "label_id")
-    put("label_trigram_count", grams.groupBy("gram", "locale").agg(F.count("*").alias("df")), "gram", "locale")
-    put("label_word", postings(labels), "word", "locale", "label_id")
-    sizes = labels.select("locale", F.size(S.words_of(F.col("text_normalized"))).alias("len")).where("len > 0")
-    put("label_totals", sizes.groupBy("locale").agg(F.count("*").alias("n"), F.avg("len").alias("avg_len")), "locale")
+def write_index(labels: DataFrame, folder: str) -> Index:
+    """Writes the four tables of an index under folder. What is sorted and moved is runs, not postings; they become rows as they are written."""
+    spark = labels.sparkSession
+    place = f"{folder}/_label_runs"
+    _put_runs(labels, place)
+    runs = spark.read.schema(RUNS.format(id=labels.schema["label_id"].dataType.simpleString())).parquet(place)
+    kind = lambda k: runs.where(F.col("kind") == k)
+
+    def placed(df: DataFrame, *order: str) -> DataFrame:
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def put(name: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS).option("parquet.block.size", GROUP_BYTES).parquet(f"{folder}/{name}")
+
+    with tidy(spark):
+        put("label_trigram", placed(kind(GRAM), "term", "locale", "first").select(F.col("term").alias("gram"), "locale", F.explode("ids").alias("label_id")))
+        words = placed(kind(WORD), "term", "locale", "first").select("term", "locale", F.posexplode("ids").alias("k", "label_id"), "tf", "len")
+        put("label_word", words.select(F.col("term").alias("word"), "locale", "label_id", *(F.get(x, "k").cast("long").alias(x) for x in ("tf", "len"))))
+        counts = kind(GRAM).groupBy(F.col("term").alias("gram"), "locale").agg(F.sum("n").alias("df"))
+        put("label_trigram_count", placed(counts, "gram", "locale"))
+        totals = kind(TOTAL).groupBy("locale").agg(F.sum("n").alias("n"), (F.sum("total").cast("double") / F.sum("n")).alias("avg_len"))
+        put("label_totals", placed(totals, "locale"))
+    drop(spark, place)
     return open_index(spark, folder)
 
 
@@ -159,6 +187,15 @@ def bm25(index: Index, terms: list[str]) -> DataFrame:
     return both.groupBy("label_id").agg(F.sum(part).alias("score"))
 
 
+def _first_locale(found: DataFrame, chain: list[str]) -> DataFrame:
+    """The rows of the first locale that has any. A small job per locale before the last looks for its first row; rows of later locales are not looked at."""
+    for locale in chain[:-1]:
+        here = found.where(F.col("locale") == locale)
+        if not here.isEmpty():
+            return here
+    return found.where(F.col("locale") == chain[-1])
+
+
 def search(labels: DataFrame, query: str, locale: str, limit: int = 20, kind: str | None = None, groups: DataFrame | None = None, food_group: str | None = None, index: Index | None = None, chains: dict[str, list[str]] | None = None) -> DataFrame:
     """The best labels in the first locale of the chain that has any hit: label_id, kind, ref, locale, text, score.
 
@@ -175,9 +212,12 @@ def search(labels: DataFrame, query: str, locale: str, limit: int = 20, kind: st
         some = some.where(F.col("ref_kind") == ("concept" if kind == "food" else "nutrient"))
     if food_group is not None and groups is not None:
         some = some.join(groups.where(F.col("food_group") == food_group).select(F.col("concept_id").alias("ref")), "ref", "left_semi")
-    found = matches(some, query, index, chain).withColumn("hop", hop)
-    first = found.agg(F.min("hop").alias("hop"))
-    found = found.join(F.broadcast(first), "hop", "left_semi")
+    found = matches(some, query, index, chain)
+    if index is not None:
+        found = _first_locale(found, chain)
+    else:
+        found = found.withColumn("hop", hop)
+        found = found.join(F.broadcast(found.agg(F.min("hop").alias("hop"))), "hop", "left_semi")
     if index is not None and terms_of(query):
         found = found.join(bm25(index, terms_of(query)), "label_id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     else:
