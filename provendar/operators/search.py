@@ -19,7 +19,7 @@ from ..functions import fixed as K
 from ..functions import scalar as S
 from ..functions.text import fold_exact
 from ..plans.store import drop, tidy
-from .runs import GRAM, TOTAL, WORD, Runs
+from .runs import GRAM, TOTAL, WORD, Runs, unpack, unpack_words
 
 TRIGRAM = 3
 BM25_K1, BM25_B = 1.2, 0.75
@@ -79,8 +79,8 @@ def postings(labels: DataFrame) -> DataFrame:
 class Index:
     """The written index: grams (gram, locale, label_id), counts (gram, locale, df), words (word, locale, label_id, tf, len), totals (locale, n, avg_len)."""
 
-    grams: DataFrame
-    counts: DataFrame
+    grams: DataFrame | None
+    counts: DataFrame | None
     words: DataFrame
     totals: DataFrame
 
@@ -88,56 +88,67 @@ class Index:
 INDEX_TABLES = {"label_trigram": "grams", "label_trigram_count": "counts", "label_word": "words", "label_totals": "totals"}
 
 
-RUNS = "kind int, term string, locale string, first {id}, n long, total long, ids array<{id}>, tf array<int>, len array<int>"
+RUNS = "kind int, term string, locale string, first long, n long, total long, wide int, packed binary"
 
 
-
-def _put_runs(labels: DataFrame, path: str) -> None:
+def _put_runs(labels: DataFrame, path: str, grams: bool) -> None:
     """Writes the runs of all labels, by kind: of each gram or word the labels of a locale in one stretch of the table, and the stretch's totals.
 
     Labels are read once, here. Grams are those of trigram_index, words those of postings.
     """
-    spark, schema = labels.sparkSession, RUNS.format(id=labels.schema["label_id"].dataType.simpleString())
-    runs = Runs(S.separators(spark))
-    lower = F.lower("text")  # null where it says no more than the folded text; without a text there are no grams
-    some = labels.select("label_id", "locale", F.when(~lower.eqNullSafe(F.col("text_normalized")), lower).alias("lower"), F.col("text_normalized").alias("norm"), F.col("text").isNotNull().alias("any"))
-    some.mapInArrow(runs, schema).write.mode("overwrite").option("compression", "zstd").partitionBy("kind").parquet(path)
+    if labels.schema["label_id"].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
+        raise SearchError("label_id must be a whole number")
+    runs = Runs(S.separators(labels.sparkSession), grams)
+    lower = F.lower("text") if grams else F.lit(None).cast("string")  # null where it says no more than the folded text; without a text there are no grams
+    some = labels.select(F.col("label_id").cast("long"), "locale", F.when(~lower.eqNullSafe(F.col("text_normalized")), lower).alias("lower"), F.col("text_normalized").alias("norm"), F.col("text").isNotNull().alias("any"))
+    some.mapInArrow(runs, RUNS).write.mode("overwrite").option("compression", "zstd").partitionBy("kind").parquet(path)
+
 
+def write_index(labels: DataFrame, folder: str, grams: bool = True) -> Index:
+    """Writes the four tables of an index under folder. What is sorted and moved is runs, not postings; they become rows as they are written.
 
-def write_index(labels: DataFrame, folder: str) -> Index:
-    """Writes the four tables of an index under folder. What is sorted and moved is runs, not postings; they become rows as they are written."""
+    grams=False leaves out grams and their counts, which no search for starts of words (terms of one or two characters) reads.
+    """
     spark = labels.sparkSession
-    place = f"{folder}/_label_runs"
-    _put_runs(labels, place)
-    runs = spark.read.schema(RUNS.format(id=labels.schema["label_id"].dataType.simpleString())).parquet(place)
+    place, own = f"{folder}/_label_runs", labels.schema["label_id"].dataType
+    _put_runs(labels, place, grams)
+    runs = spark.read.schema(RUNS).parquet(place)
     kind = lambda k: runs.where(F.col("kind") == k)
 
     def placed(df: DataFrame, *order: str) -> DataFrame:
         return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
+    def postings_of(k: int, unpack, schema: str) -> DataFrame:
+        some = placed(kind(k).select("term", "locale", "first", "n", "wide", "packed"), "term", "locale", "first")
+        return some.mapInArrow(unpack, "term string, locale string, " + schema)
+
     def put(name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS).option("parquet.block.size", GROUP_BYTES).parquet(f"{folder}/{name}")
 
     with tidy(spark):
-        put("label_trigram", placed(kind(GRAM), "term", "locale", "first").select(F.col("term").alias("gram"), "locale", F.explode("ids").alias("label_id")))
-        words = placed(kind(WORD), "term", "locale", "first").select("term", "locale", F.posexplode("ids").alias("k", "label_id"), "tf", "len")
-        put("label_word", words.select(F.col("term").alias("word"), "locale", "label_id", *(F.get(x, "k").cast("long").alias(x) for x in ("tf", "len"))))
-        counts = kind(GRAM).groupBy(F.col("term").alias("gram"), "locale").agg(F.sum("n").alias("df"))
-        put("label_trigram_count", placed(counts, "gram", "locale"))
+        if grams:
+            lists = postings_of(GRAM, unpack, "ids array<long>").select(F.col("term").alias("gram"), "locale", F.explode("ids").alias("label_id"))
+            put("label_trigram", lists.withColumn("label_id", F.col("label_id").cast(own)))
+            counts = kind(GRAM).groupBy(F.col("term").alias("gram"), "locale").agg(F.sum("n").alias("df"))
+            put("label_trigram_count", placed(counts, "gram", "locale"))
+        words = postings_of(WORD, unpack_words, "id long, tf long, len long")
+        put("label_word", words.select(F.col("term").alias("word"), "locale", F.col("id").cast(own).alias("label_id"), "tf", "len"))
         totals = kind(TOTAL).groupBy("locale").agg(F.sum("n").alias("n"), (F.sum("total").cast("double") / F.sum("n")).alias("avg_len"))
         put("label_totals", placed(totals, "locale"))
     drop(spark, place)
-    return open_index(spark, folder)
+    return open_index(spark, folder, grams)
 
 
-def open_index(spark: SparkSession, folder: str) -> Index:
-    return Index(**{field: spark.read.parquet(f"{folder}/{name}") for name, field in INDEX_TABLES.items()})
+def open_index(spark: SparkSession, folder: str, grams: bool = True) -> Index:
+    return Index(**{field: spark.read.parquet(f"{folder}/{name}") if grams or field in ("words", "totals") else None for name, field in INDEX_TABLES.items()})
 
 
 def candidates(index: Index, terms: list[str], locales: list[str]) -> DataFrame | None:
-    """(label_id): labels that may hold every term. None: a gram occurs nowhere. One small job asks for the counts of the query's grams."""
+    """(label_id, n): labels that may hold every term, n is above 0. None: a gram occurs nowhere. One small job asks for the counts of the query's grams."""
     here = F.col("locale").isin(*locales)
     if all(len(t) >= TRIGRAM for t in terms):
+        if index.grams is None:
+            raise SearchError("the index was written without grams")
         wanted = sorted({t[i : i + TRIGRAM] for t in terms for i in range(len(t) - TRIGRAM + 1)})
         df = {r["gram"]: r["df"] for r in index.counts.where(F.col("gram").isin(*wanted) & here).groupBy("gram").agg(F.sum("df").alias("df")).collect()}
         if len(df) < len(wanted):
@@ -145,11 +156,11 @@ def candidates(index: Index, terms: list[str], locales: list[str]) -> DataFrame
         rare = sorted(wanted, key=lambda g: (df[g], g))[:RAREST]
         # a term may lie in either text column, but then each of its grams lies in one of them too
         hits = index.grams.where(F.col("gram").isin(*rare) & here).groupBy("label_id").agg(F.count("*").alias("n"))
-        return hits.where(F.col("n") == len(rare)).select("label_id")
+        return hits.where(F.col("n") == len(rare))
     out = None
     for t in terms:
         part = index.words.where(F.col("word").startswith(t) & here).select("label_id")
-        out = part.distinct() if out is None else out.join(part, "label_id", "left_semi")
+        out = part.groupBy("label_id").agg(F.count("*").alias("n")) if out is None else out.join(part, "label_id", "left_semi")
     return out
 
 
@@ -163,14 +174,18 @@ def matches(labels: DataFrame, query: str, index: Index | None = None, locales:
         found = candidates(index, terms, chain)
         if found is None:
             return labels.where(F.lit(False))
-        labels = labels.join(found, "label_id", "left_semi")
+        # The first join goes below what makes up the labels' texts. The second brings n, which keeps the tests of texts above it: they would be
+        # pushed below a semi join and be made on all labels.
+        found = found.withColumnRenamed("n", "_n")
+        labels = labels.join(found, "label_id", "left_semi").join(found, "label_id")
+    sure = (lambda c: c) if index is None else (lambda c: F.when(F.col("_n") > 0, c))
     if all(len(t) >= TRIGRAM for t in terms):
         for t in terms:
-            labels = labels.where(F.lower("text").contains(t) | F.col("text_normalized").contains(t))
-        return labels
+            labels = labels.where(sure(F.lower("text").contains(t) | F.col("text_normalized").contains(t)))
+        return labels.drop("_n")
     for t in terms:
-        labels = labels.where(F.exists(S.words_of(F.col("text_normalized")), _starts(t)))
-    return labels
+        labels = labels.where(sure(F.exists(S.words_of(F.col("text_normalized")), _starts(t))))
+    return labels.drop("_n")
 
 
 def _starts(term: str):

@@ -5,6 +5,7 @@ import unicodedata
 from collections import Counter
 
 import pyspark.sql.functions as F
+import pytest
 
 from provendar.functions import scalar as S
 from provendar.operators import runs, search
@@ -45,6 +46,20 @@ def test_index_of_odd_texts_is_that_of_a_loop(spark, tmp_path, monkeypatch):
     assert {r.locale: (r.n, r.avg_len) for r in index.totals.collect()} == {k: (len(v), sum(v) / len(v)) for k, v in sizes.items()}
 
 
+def test_only_labels_of_the_postings_are_tested(spark, tmp_path):
+    """The tests of texts stay above the join with the labels found."""
+    rows = [(k, "concept", str(k), "en", f"milk {'eu ment' if k % 100 == 7 else 'rice'} {k}") for k in range(1000)]
+    t = spark.createDataFrame(rows, "label_id long, ref_kind string, ref string, locale string, text string").withColumn("text_normalized", F.col("text"))
+    index = search.write_index(t, f"file://{tmp_path}/index", grams=False)
+    found = search.matches(t, "eu me", index)
+    assert sorted(r.label_id for r in found.collect()) == list(range(7, 1000, 100))
+    lines = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    first = next(k for k, x in enumerate(lines) if "Join" in x)
+    assert any("exists(" in x for x in lines[: first + 1]) and not any("exists(" in x for x in lines[first + 1 :])
+    with pytest.raises(search.SearchError):
+        search.matches(t, "milk", index)
+
+
 def test_grams_of_large_alphabets():
     """More characters than a cube of flags holds."""
     rng = random.Random(2)
